@@ -4,6 +4,7 @@ from fleetworks.functions.columns import (
     hash24,
     logistic,
     lookup,
+    prorate,
     safe_ratio,
 )
 from fleetworks.functions.dates import (
@@ -18,6 +19,6 @@ from fleetworks.functions.dates import (
 )
 
 __all__ = [
-    "coin", "draw", "hash24", "logistic", "lookup", "safe_ratio", "day_number", "elapsed_months", "hours_between",
+    "coin", "draw", "hash24", "logistic", "lookup", "prorate", "safe_ratio", "day_number", "elapsed_months", "hours_between",
     "iso_weekday", "month_name", "month_start", "quarter_end", "quarter_start",
 ]

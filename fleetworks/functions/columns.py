@@ -21,6 +21,21 @@ def safe_ratio(numerator: Column, denominator: Column) -> Column:
     return numerator / F.nullif(denominator, F.lit(0))
 
 
+def prorate(amount: Column, part: Column, whole: Column) -> Column:
+    """``amount * part / whole`` to the cent, halves away from zero, for money with two decimals.
+
+    Computed on whole cents, so no digit of an intermediate quotient can tip a half-cent the wrong way.
+    """
+    def cents(x: Column, digits: int) -> Column:
+        return (x * 100).cast(f"decimal({digits},0)")
+
+    product = cents(amount, 16) * cents(part, 18)
+    divisor = cents(whole, 18)
+    rounded = F.call_function("div", F.abs(product) * 2 + F.abs(divisor), F.abs(divisor) * 2)
+    sign = F.when((product < 0) != (divisor < 0), F.lit(-1)).otherwise(F.lit(1))
+    return ((rounded * sign).cast("decimal(20,0)") / F.lit(100).cast("decimal(3,0)")).cast("decimal(18,2)")
+
+
 def logistic(x: Column, low: float, high: float, midpoint: float, steepness: float) -> Column:
     """S-curve from ``low`` to ``high`` centred on ``midpoint``."""
     return F.lit(low) + F.lit(high - low) / (F.lit(1.0) + F.exp(F.lit(-steepness) * (x - F.lit(midpoint))))

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetworks import constants as C
-from fleetworks.functions import coin, elapsed_months, month_start, quarter_end, quarter_start
+from fleetworks.functions import coin, elapsed_months, month_start, prorate, quarter_end, quarter_start
 from fleetworks.operators import conditional_pivot, expand_months, rank_and_accumulate, share_of_group
 from fleetworks.session import settle
 
@@ -116,13 +116,15 @@ def allocate_period_to_month(filings: DataFrame, revenue: DataFrame) -> DataFram
         .withColumn("month_revenue", F.coalesce("month_revenue", F.lit(0).cast(TOTAL)))
         .withColumn("quarter_revenue", share_of_group("month_revenue", ["customer_id", "period_start"]).cast(TOTAL))
     )
-    share = F.when(F.col("quarter_revenue") > 0, F.col("month_revenue") / F.nullif("quarter_revenue", F.lit(0))) \
-        .otherwise(F.lit(1).cast("decimal(20,2)") / F.lit(3).cast("decimal(20,2)")).cast("decimal(21,18)")
+    # without revenue the quarter splits evenly: one part of three
+    empty = F.coalesce(F.col("quarter_revenue") <= 0, F.lit(True))
+    part_of = F.when(empty, F.lit(1)).otherwise(F.col("month_revenue")).cast(MONEY)
+    whole = F.when(empty, F.lit(3)).otherwise(F.col("quarter_revenue")).cast(MONEY)
 
     def part(amount: str) -> Column:
-        return F.round(F.col(amount).cast("decimal(16,2)") * F.col("revenue_share_of_quarter"), 2).cast(MONEY)
+        return prorate(F.col(amount), part_of, whole)
 
-    return joined.withColumn("revenue_share_of_quarter", share).select(
+    return joined.withColumn("revenue_share_of_quarter", (part_of / whole).cast("decimal(21,18)")).select(
         "customer_id", "period_month", F.col("period_start").alias("quarter_start"),
         F.col("period_end").alias("quarter_end"), "filing_status", "revenue_share_of_quarter",
         part("vat_amount").alias("vat_amount_allocated"),

@@ -198,8 +198,7 @@ def warehouse_inventory(spark, root):
     bed = Testbed(spark, root)
     chain = SignalChain(bed)
     used = inventory.parts_consumption(bed.parts_used(), bed.work_orders())
-    return present(inventory.warehouse_inventory(staging.inventory(_stock(bed)), bed.parts(), used, chain.demand()), {
-        "annualized_consumption": 4})
+    return present(inventory.warehouse_inventory(staging.inventory(_stock(bed)), bed.parts(), used, chain.demand()))
 
 
 @report

@@ -108,11 +108,11 @@ class Testbed:
         ])
 
     def component_parts(self) -> DataFrame:
-        """Component 12 also maps to a category no part has, which forces catalogue gaps."""
+        """Component 2 also maps to a category no part has, which forces catalogue gaps."""
         return literal_frame(
             self.spark, "component_id int; part_category string; typical_qty int; is_primary boolean", [
-                (1, "ECONOMY", 1, True), (1, "SMALL", 2, False), (2, "MEDIUM", 1, True), (12, "LARGE", 1, True),
-                (12, "UNLISTED", 1, False),
+                (1, "ECONOMY", 1, True), (1, "SMALL", 2, False), (2, "MEDIUM", 1, True), (2, "UNLISTED", 1, False),
+                (12, "LARGE", 1, True),
             ])
 
     def technicians(self) -> DataFrame:

@@ -94,9 +94,10 @@ class KeyedUpsert:
         spark = batch.sparkSession
         staged = f"{self.staging}/batch_id={batch_id}"
         if not path_exists(spark, f"{staged}/_SUCCESS"):
-            batch = batch.persist()
-            self._stage(batch, batch_id, staged)
-            batch.unpersist()
+            # messages of one machine arrive in one partition in order, so position there decides which is last
+            numbered = batch.withColumn("_seq", F.monotonically_increasing_id()).persist()
+            self._stage(numbered, batch_id, staged)
+            numbered.unpersist()
         merged = spark.read.schema(self.schema).parquet(staged)
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.day).parquet(self.path)
 
@@ -106,13 +107,13 @@ class KeyedUpsert:
         if "raw" in batch.columns:
             batch.filter(~good).select("raw").write.mode("overwrite").parquet(f"{self.quarantine}/batch_id={batch_id}")
             rows = rows.drop("raw")
-        if "_seq" in batch.columns:
-            rows = latest_by_key(rows, self.keys, ["_seq"])
+        rows = latest_by_key(rows, self.keys, ["_seq"])
         # calendar days of one batch: few by nature, and as literals they prune partitions at the scan
         days = [r[0] for r in rows.select(self.day).distinct().collect()]
         affected = self.read(batch.sparkSession).filter(F.col(self.day).isin(days))
         merged = merge_rows(affected, rows, self.keys, self.update)
-        merged.write.mode("overwrite").partitionBy(self.day).parquet(staged)
+        # rebalancing by day keeps files large and still splits a day too big for one task
+        merged.hint("rebalance", self.day).write.mode("overwrite").partitionBy(self.day).parquet(staged)
 
     def read(self, spark: SparkSession) -> DataFrame:
         if not path_exists(spark, self.path):
@@ -133,8 +134,7 @@ class TelemetryLanding(KeyedUpsert):
 
     def decode(self, messages: DataFrame) -> DataFrame:
         rows = decode(messages, TELEMETRY_MESSAGE)
-        # messages of one machine arrive in one partition in order, so position there decides which is last
-        return rows.withColumn("date_id", F.try_to_date("date_id")).withColumn("_seq", F.monotonically_increasing_id())
+        return rows.withColumn("date_id", F.try_to_date("date_id"))
 
 
 def drain(rows: DataFrame, sink, checkpoint: str) -> None:
