@@ -47,12 +47,14 @@ def train_and_evaluate(features: DataFrame, holdout_days: int = C.HOLDOUT_DAYS,
         GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed),
     ]
     model = Pipeline(stages=stages).fit(tagged.filter(F.col("split") == "train"))
-    judged = model.transform(tagged.filter(F.col("split") == "test")).select("label", "prediction", "rawPrediction")
+    predicted = model.transform(tagged.filter(F.col("split") == "test"))
+    judged = predicted.select("label", "prediction", "rawPrediction").persist()
     cells = {(r["label"], r["prediction"]): r["n"] for r in confusion_counts(judged).collect()}  # at most four rows
     hit = cells.get((1, 1), 0)
     flagged = hit + cells.get((0, 1), 0)
     actual = hit + cells.get((1, 0), 0)
     auc = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC").evaluate(judged)
+    judged.unpersist()
     return model, Evaluation(auc, hit / flagged if flagged else 0.0, hit / actual if actual else 0.0, cells)
 
 

@@ -118,13 +118,18 @@ def labelled_features(equipment: DataFrame, components: DataFrame, telemetry: Da
         rows = rows.unionByName(failed, allowMissingColumns=True)
     rows = rows.withColumn("_day", day_number(F.col("date_id")))
 
-    in_grid = rolling_days("_grid", GRID, "_day", 1) > 0
+    rows = rows.withColumn("_in", rolling_days("_grid", GRID, "_day", 1))
+    in_grid = F.col("_in") > 0
     zero = F.lit(0)
-    score = F.when(in_grid, F.coalesce("daily_weighted_score", zero)).otherwise(zero).cast(SCORE)
+    # scores as whole ten-thousandths: window sums over longs are exact and far cheaper than over wide decimals
+    score = F.when(in_grid, F.coalesce(F.col("daily_weighted_score") * 10000, zero)).otherwise(zero).cast("bigint")
     critical = F.when(in_grid, F.coalesce("daily_critical_count", zero)).otherwise(zero)
     count = F.when(in_grid, F.coalesce("daily_fault_count", zero)).otherwise(zero)
     rows = rows.withColumn("_score", score).withColumn("_critical", critical).withColumn("_count", count)
 
+    def as_score(units: Column) -> Column:
+        return (units.cast("decimal(19,0)") / F.lit(10000).cast("decimal(5,0)")).cast(SCORE)
+
     features = {
         "daily_weighted_score": rolling_days("_score", GRID, "_day", 1),
         "daily_critical_count": rolling_days("_critical", GRID, "_day", 1),
@@ -141,7 +146,8 @@ def labelled_features(equipment: DataFrame, components: DataFrame, telemetry: Da
         "equipment_id", "component_id", "date_id", "model_id", "customer_id", "_grid",
         *[F.coalesce(expr, zero).alias(name) for name, expr in features.items()],
         "machine_age_days", "engine_hours", "utilization_hours", "days_since_last_maintenance")
-    return windowed.filter(F.col("_grid") == 1).drop("_grid")
+    scores = {name: as_score(F.col(name)) for name in features if "score" in name}
+    return windowed.filter(F.col("_grid") == 1).drop("_grid").withColumns(scores)
 
 
 def rolling_features(equipment: DataFrame, components: DataFrame, telemetry: DataFrame, maintenance: DataFrame,

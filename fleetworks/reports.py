@@ -68,8 +68,9 @@ class FinanceInputs:
             self.revenue(), self.allocated(), finance.sales_margin_by_month(self.monthly), self.bed.customers(),
             self.bed.industries())
 
-    def concentration(self) -> DataFrame:
-        return finance.customer_concentration(self.monthly_finance(), self.bed.customers(), self.bed.industries())
+    def concentration(self, monthly_finance: DataFrame | None = None) -> DataFrame:
+        source = self.monthly_finance() if monthly_finance is None else monthly_finance
+        return finance.customer_concentration(source, self.bed.customers(), self.bed.industries())
 
 
 @report
@@ -333,17 +334,19 @@ class SignalChain:
     def reviewed(self) -> DataFrame:
         return signals.review_signals(self.triaged())
 
-    def new_orders(self) -> DataFrame:
+    def new_orders(self, reviewed: DataFrame | None = None) -> DataFrame:
         last = self.bed.raw("orders").agg(F.max("o_orderkey")).scalar()
+        decided = self.reviewed() if reviewed is None else reviewed
         return signals.predictive_work_orders(
-            self.reviewed(), self.bed.equipment(), self.bed.customers(), self.bed.technicians(),
+            decided, self.bed.equipment(), self.bed.customers(), self.bed.technicians(),
             self.bed.branch_of_customer(), last)
 
     def enriched(self) -> DataFrame:
         bed = self.bed
+        reviewed = settle(self.reviewed(), "reviewed")
         return signals.predictive_signals_enriched(
-            self.reviewed(), bed.equipment(), bed.customers(), bed.models(), bed.categories(), bed.components(),
-            self.new_orders())
+            reviewed, bed.equipment(), bed.customers(), bed.models(), bed.categories(), bed.components(),
+            self.new_orders(reviewed))
 
     def catalog_gaps(self) -> DataFrame:
         bed = self.bed
@@ -528,14 +531,16 @@ def result_checks(spark, root):
     bed = Testbed(spark, root)
     inputs = FinanceInputs(spark, root)
     chain = SignalChain(bed)
+    monthly_finance = settle(inputs.monthly_finance(), "finance-monthly")
+    # results are tables: each is computed once and then read by its checks
     results = {
-        "finance_monthly": inputs.monthly_finance(),
-        "customer_concentration": inputs.concentration(),
+        "finance_monthly": monthly_finance,
+        "customer_concentration": settle(inputs.concentration(monthly_finance), "concentration"),
         "fleet_operations": bed.equipment(),
         "predictive_signals": chain.signals,
-        "warehouse_inventory": staging.inventory(_stock(bed)),
+        "warehouse_inventory": settle(staging.inventory(_stock(bed)), "stock"),
         "branch_performance": service.branch_performance(bed.work_orders(technicians=True, tiers=True), bed.technicians()),
-        "catalog_gaps": chain.catalog_gaps(),
+        "catalog_gaps": settle(chain.catalog_gaps(), "catalog-gaps"),
     }
     return present(quality.check_results(results, ["AFRICA", "AMERICA", "ASIA", "EUROPE"]))
 
