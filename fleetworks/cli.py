@@ -11,7 +11,7 @@ from datetime import UTC, date, datetime
 from fleetworks.plans.signals import status_frequency
 from fleetworks.plans.warehouse import DailyRun, Warehouse, inventory_snapshot, tax_filings
 from fleetworks.session import build_session
-from fleetworks.sources import Catalog, write_table
+from fleetworks.sources import Catalog, conform, write_table
 from fleetworks.streaming import FaultLanding, TelemetryLanding, drain, file_source, kafka_source
 
 FAULT_TOPIC = "equipment.fault_events"
@@ -33,16 +33,16 @@ def score(args, catalog: Catalog) -> None:
     reviewed, orders = run.convert(triaged)
     for name, df in (("parts_demand_forecast", demand), ("parts_mapping_gaps", gaps), ("ml_maintenance_signals", reviewed),
                      ("fact_maintenance_events", orders)):
-        write_table(df, f"{args.out}/{name}")
+        write_table(conform(df, name), f"{args.out}/{name}")
     status_frequency(catalog.spark.read.parquet(f"{args.out}/ml_maintenance_signals")).show()
 
 
 def filings(args, catalog: Catalog) -> None:
-    write_table(tax_filings(catalog, args.as_of), f"{args.out}/fact_tax_filings")
+    write_table(conform(tax_filings(catalog, args.as_of), "fact_tax_filings"), f"{args.out}/fact_tax_filings")
 
 
 def inventory(args, catalog: Catalog) -> None:
-    write_table(inventory_snapshot(catalog, args.as_of), f"{args.out}/fact_inventory")
+    write_table(conform(inventory_snapshot(catalog, args.as_of), "fact_inventory"), f"{args.out}/fact_inventory")
 
 
 def land(args, catalog: Catalog) -> None:

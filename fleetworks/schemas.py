@@ -7,61 +7,61 @@ from dataclasses import dataclass, field
 from fleetworks import constants as C
 
 TABLES: dict[str, str] = {
-    "dim_industry": "industry_id INT, industry_name STRING",
-    "dim_customer": "customer_id INT, customer_code STRING, customer_name STRING, customer_type STRING, "
-                    "industry_id INT, region STRING, contract_tier STRING, created_at TIMESTAMP",
-    "dim_site": "site_id INT, site_name STRING, customer_id INT, region STRING, "
+    "dim_industry": "industry_id BIGINT, industry_name STRING",
+    "dim_customer": "customer_id BIGINT, customer_code STRING, customer_name STRING, customer_type STRING, "
+                    "industry_id BIGINT, region STRING, contract_tier STRING, created_at TIMESTAMP",
+    "dim_site": "site_id BIGINT, site_name STRING, customer_id BIGINT, region STRING, "
                 "latitude DECIMAL(9,6), longitude DECIMAL(9,6)",
-    "dim_equipment_category": "category_id INT, category_name STRING, primary_application STRING",
-    "dim_equipment_model": "model_id INT, category_id INT, model_name STRING, engine_series STRING, "
+    "dim_equipment_category": "category_id BIGINT, category_name STRING, primary_application STRING",
+    "dim_equipment_model": "model_id BIGINT, category_id BIGINT, model_name STRING, engine_series STRING, "
                            "list_price_usd DECIMAL(14,2)",
-    "dim_equipment": "equipment_id INT, model_id INT, serial_number STRING, customer_id INT, site_id INT, "
+    "dim_equipment": "equipment_id BIGINT, model_id BIGINT, serial_number STRING, customer_id BIGINT, site_id BIGINT, "
                      "install_date DATE, ownership_type STRING, status STRING",
-    "dim_component": "component_id INT, component_name STRING, system_category STRING",
+    "dim_component": "component_id BIGINT, component_name STRING, system_category STRING",
     "dim_fault_code": "fault_code STRING, description STRING, severity STRING, system_category STRING",
-    "dim_part": "part_id INT, part_number STRING, part_name STRING, part_category STRING, "
-                "unit_cost DECIMAL(12,2), supplier_id INT, lead_time_days INT",
-    "dim_technician": "technician_id INT, technician_name STRING, branch STRING, certification_level STRING",
+    "dim_part": "part_id BIGINT, part_number STRING, part_name STRING, part_category STRING, "
+                "unit_cost DECIMAL(12,2), supplier_id BIGINT, lead_time_days INT",
+    "dim_technician": "technician_id BIGINT, technician_name STRING, branch STRING, certification_level STRING",
     "dim_date": "date_id DATE, year INT, quarter INT, month INT, month_name STRING, day INT, day_of_week INT, "
                 "is_weekend BOOLEAN",
-    "bridge_part_model_compatibility": "part_id INT, model_id INT",
-    "bridge_component_part": "component_id INT, part_category STRING, typical_qty INT, is_primary BOOLEAN",
-    "bridge_faultcode_component": "fault_code STRING, component_id INT, correlation_weight DECIMAL(4,3), "
+    "bridge_part_model_compatibility": "part_id BIGINT, model_id BIGINT",
+    "bridge_component_part": "component_id BIGINT, part_category STRING, typical_qty INT, is_primary BOOLEAN",
+    "bridge_faultcode_component": "fault_code STRING, component_id BIGINT, correlation_weight DECIMAL(4,3), "
                                   "is_direct_indicator BOOLEAN",
-    "fact_equipment_sales": "sale_id INT, equipment_id INT, customer_id INT, sale_date DATE, "
+    "fact_equipment_sales": "sale_id BIGINT, equipment_id BIGINT, customer_id BIGINT, sale_date DATE, "
                             "sale_price DECIMAL(14,2), cost_basis DECIMAL(14,2), salesperson STRING",
-    "fact_rental_contracts": "rental_id INT, equipment_id INT, customer_id INT, start_date DATE, end_date DATE, "
+    "fact_rental_contracts": "rental_id BIGINT, equipment_id BIGINT, customer_id BIGINT, start_date DATE, end_date DATE, "
                              "rate_type STRING, rate DECIMAL(12,2), total_billed DECIMAL(14,2), "
                              "actual_usage_hours DECIMAL(10,1)",
-    "fact_telemetry_daily": "equipment_id INT, date_id DATE, engine_hours DECIMAL(6,1), "
+    "fact_telemetry_daily": "equipment_id BIGINT, date_id DATE, engine_hours DECIMAL(6,1), "
                             "utilization_hours DECIMAL(5,1), fault_count_info INT, fault_count_warning INT, "
                             "fault_count_critical INT, avg_sensor_reading DECIMAL(10,3), "
                             "max_sensor_reading DECIMAL(10,3)",
-    "fact_fault_events": "event_id INT, equipment_id INT, event_date DATE, fault_code STRING, severity STRING, "
+    "fact_fault_events": "event_id BIGINT, equipment_id BIGINT, event_date DATE, fault_code STRING, severity STRING, "
                          "ingested_at TIMESTAMP",
-    "fact_maintenance_events": "work_order_id INT, equipment_id INT, customer_id INT, technician_id INT, "
-                               "maintenance_type STRING, priority STRING, source_signal_id INT, "
+    "fact_maintenance_events": "work_order_id BIGINT, equipment_id BIGINT, customer_id BIGINT, technician_id BIGINT, "
+                               "maintenance_type STRING, priority STRING, source_signal_id BIGINT, "
                                "scheduled_date DATE, actual_start TIMESTAMP, actual_completion TIMESTAMP, "
                                "downtime_hours DECIMAL(6,1), sla_target_hours DECIMAL(6,1), "
                                "labor_hours DECIMAL(6,1), total_cost DECIMAL(12,2), warranty_flag BOOLEAN, "
                                "status STRING, root_cause STRING, follow_up_required BOOLEAN",
-    "fact_maintenance_parts_used": "work_order_id INT, part_id INT, qty_used INT",
-    "fact_inventory": "part_id INT, branch STRING, snapshot_date DATE, qty_on_hand INT, "
+    "fact_maintenance_parts_used": "work_order_id BIGINT, part_id BIGINT, qty_used INT",
+    "fact_inventory": "part_id BIGINT, branch STRING, snapshot_date DATE, qty_on_hand INT, "
                       "unit_cost DECIMAL(12,2), reorder_point INT, days_of_supply DECIMAL(6,1)",
-    "fact_tax_filings": "filing_id INT, customer_id INT, period_start DATE, period_end DATE, "
+    "fact_tax_filings": "filing_id BIGINT, customer_id BIGINT, period_start DATE, period_end DATE, "
                         "vat_amount DECIMAL(14,2), nhil_amount DECIMAL(14,2), getfund_amount DECIMAL(14,2), "
                         "withholding_tax_amount DECIMAL(14,2), filing_status STRING",
-    "ml_maintenance_signals": "signal_id INT, equipment_id INT, scoring_date DATE, predicted_component_id INT, "
+    "ml_maintenance_signals": "signal_id BIGINT, equipment_id BIGINT, scoring_date DATE, predicted_component_id BIGINT, "
                               "failure_probability DECIMAL(5,4), model_version STRING, "
                               "recommended_action_window_days INT, contributing_fault_codes STRING, "
                               "signal_status STRING, dismiss_reason STRING, created_at TIMESTAMP",
-    "parts_demand_forecast": "forecast_id INT, signal_id INT, equipment_id INT, part_id INT, expected_qty INT, "
+    "parts_demand_forecast": "forecast_id BIGINT, signal_id BIGINT, equipment_id BIGINT, part_id BIGINT, expected_qty INT, "
                              "is_primary BOOLEAN, needed_by_date DATE, demand_source STRING",
-    "parts_mapping_gaps": "gap_id INT, signal_id INT, component_id INT, model_id INT, logged_at TIMESTAMP, "
+    "parts_mapping_gaps": "gap_id BIGINT, signal_id BIGINT, component_id BIGINT, model_id BIGINT, logged_at TIMESTAMP, "
                           "resolved BOOLEAN",
-    "signal_outcomes": "signal_id INT, actual_outcome STRING, lead_time_delivered_days INT, "
-                       "resulting_work_order_id INT",
-    "failure_calendar": "calendar_id INT, equipment_id INT, component_id INT, event_type STRING, "
+    "signal_outcomes": "signal_id BIGINT, actual_outcome STRING, lead_time_delivered_days INT, "
+                       "resulting_work_order_id BIGINT",
+    "failure_calendar": "calendar_id BIGINT, equipment_id BIGINT, component_id BIGINT, event_type STRING, "
                         "window_start DATE, failure_date DATE, lead_window_days INT, midpoint DOUBLE, k DOUBLE, "
                         "false_start_cutoff DOUBLE, false_start_decay_days INT",
 }
@@ -76,7 +76,7 @@ CSV_ABSENT: dict[str, dict[str, str | None]] = {
 
 # Columns a CSV carries in the middle of its header that the table must never see.
 # The fault log names the component that caused each event; a model reading it would know the answer.
-CSV_EXCLUDED: dict[str, str] = {"fact_fault_events": "component_id INT"}
+CSV_EXCLUDED: dict[str, str] = {"fact_fault_events": "component_id BIGINT"}
 
 # Message payloads on the two telemetry topics
 FAULT_MESSAGE = "equipment_id BIGINT, event_date STRING, fault_code STRING, severity STRING"

@@ -1,4 +1,4 @@
-from fleetworks.sources.catalog import Catalog, csv_scan, parquet_scan
+from fleetworks.sources.catalog import Catalog, conform, csv_scan, parquet_scan
 from fleetworks.sources.literals import literal_frame
 from fleetworks.sources.sinks import (
     append_jdbc,
@@ -10,6 +10,6 @@ from fleetworks.sources.sinks import (
 )
 
 __all__ = [
-    "Catalog", "csv_scan", "parquet_scan", "literal_frame", "append_jdbc", "append_missing", "as_messages",
+    "Catalog", "conform", "csv_scan", "parquet_scan", "literal_frame", "append_jdbc", "append_missing", "as_messages",
     "write_csv", "write_daily_csv", "write_table",
 ]

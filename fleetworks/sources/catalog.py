@@ -39,6 +39,18 @@ def csv_scan(spark: SparkSession, table: str, path: str) -> DataFrame:
     ])
 
 
+def conform(df: DataFrame, table: str) -> DataFrame:
+    """A result in the stored shape of its table: the table's columns in order, cast, NULL where absent."""
+    kinds = dict(df.dtypes)
+    columns = []
+    for name, kind in _columns(TABLES[table]):
+        value = F.col(name) if name in kinds else F.lit(None)
+        if kinds.get(name, "").startswith("array"):
+            value = F.array_join(value, ",")
+        columns.append(value.cast(kind).alias(name))
+    return df.select(*columns)
+
+
 class Catalog:
     """The warehouse tables under one folder, ``<root>/<table>`` as parquet or ``<root>/<table>.csv``.
 
