@@ -69,9 +69,6 @@ BRANCH_BY_CUSTOMER = {
     7: "Tarkwa", 8: "Accra", 9: "Tarkwa", 10: "Accra", 11: "Accra", 12: "Accra",
     13: "Accra", 14: "Accra", 15: "Accra", 16: "Takoradi", 17: "Kumasi", 18: "Accra",
 }
-SERVICE_INTERVAL_BY_CATEGORY = {
-    1: 100, 2: 90, 3: 80, 4: 120, 5: 100, 6: 110, 7: 130, 8: 130, 9: 120, 10: 100, 11: 140, 12: 120,
-}
 
 # Inventory
 DEAD_STOCK_DAYS = 180

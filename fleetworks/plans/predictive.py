@@ -49,8 +49,12 @@ def machine_days(equipment: DataFrame, telemetry: DataFrame) -> DataFrame:
 
 
 def dense_spine(equipment: DataFrame, components: DataFrame, telemetry: DataFrame) -> DataFrame:
-    """The machine × component × day grid, so that a day without faults is a zero and not a hole."""
-    return each_of(machine_days(equipment, telemetry), scalar_array(components, "component_id"), "component_id")
+    """The machine × component × day grid, so that a day without faults is a zero and not a hole.
+
+    Machines are placed before they expand, so that windows per machine find the grid where they need it.
+    """
+    days = machine_days(equipment.repartition("equipment_id"), telemetry)
+    return each_of(days, scalar_array(components, "component_id"), "component_id")
 
 
 def maintenance_asof(telemetry: DataFrame, maintenance: DataFrame) -> DataFrame:
@@ -160,7 +164,10 @@ def failure_labels(spine: DataFrame, failures: DataFrame, label_days: int = C.LA
 
     A failure on the row's own day does not count; one exactly ``label_days`` ahead does.
     """
-    failed = failures.select(*GRID, F.col("failure_date").alias("date_id")).distinct().withColumn("_failed", F.lit(1))
+    failed = (
+        failures.select(*GRID, F.col("failure_date").alias("date_id")).distinct().withColumn("_failed", F.lit(1))
+        .repartition("equipment_id")
+    )
     rows = spine.withColumn("_failed", F.lit(None).cast("int")).unionByName(failed, allowMissingColumns=True)
     tagged = rows.withColumn("_day", day_number(F.col("date_id")))
     return (

@@ -15,11 +15,12 @@ def _mean(value: str, where: Column | None = None) -> Column:
     return F.sum(picked).cast("decimal(20,3)") / F.nullif(F.count(picked), F.lit(0)).cast("decimal(14,0)")
 
 
-def branch_performance(work_orders: DataFrame, technicians: DataFrame) -> DataFrame:
+def branch_performance(work_orders: DataFrame, technicians: DataFrame, approximate: bool = False) -> DataFrame:
     """Completed orders per technician's branch and month: mix, downtime and service-level compliance.
 
     An order without start or completion is not measurable and counts neither way. Orders whose
-    technician is unknown form a group with a NULL branch.
+    technician is unknown form a group with a NULL branch. ``approximate`` estimates the number of distinct
+    technicians instead of counting them.
     """
     done = work_orders.filter(F.col("status") == "Completed").join(
         technicians.select("technician_id", "branch"), "technician_id", "left")
@@ -27,6 +28,8 @@ def branch_performance(work_orders: DataFrame, technicians: DataFrame) -> DataFr
     measurable = duration.isNotNull()
     met = measurable & (duration <= F.col("sla_target_hours").cast("double"))
 
+    active = F.approx_count_distinct("technician_id") if approximate else F.countDistinct("technician_id")
+
     def of(kind: str) -> Column:
         return F.count_if(F.col("maintenance_type") == kind)
 
@@ -36,7 +39,7 @@ def branch_performance(work_orders: DataFrame, technicians: DataFrame) -> DataFr
         of("Predictive").alias("predictive_count"), of("Inspection").alias("inspection_count"),
         F.round(_mean("downtime_hours"), 2).cast("decimal(10,2)").alias("avg_downtime_hours"),
         F.count_if(measurable).alias("sla_measurable_count"), F.count_if(met).alias("sla_met_count"),
-        F.countDistinct("technician_id").alias("active_technicians"),
+        active.alias("active_technicians"),
     )
     met_share = F.col("sla_met_count").cast("decimal(14,0)") * 100 / F.nullif("sla_measurable_count", F.lit(0)).cast(
         "decimal(14,0)")
@@ -132,3 +135,11 @@ def ownership_split(fleet: DataFrame) -> DataFrame:
         F.sum("total_rental_billed").alias("rental_billed"),
         F.sum("total_actual_usage_hours").alias("usage_hours"),
     )
+
+
+def rental_use(fleet: DataFrame) -> DataFrame:
+    """Rented-out machines with what was billed, the hours used, and the amount per hour."""
+    hours = F.nullif(F.col("total_actual_usage_hours"), F.lit(0)).cast("decimal(18,1)")
+    return fleet.filter(F.col("total_rental_billed").isNotNull()).select(
+        "equipment_id", "ownership_type", "total_rental_billed", "total_actual_usage_hours",
+        F.round(F.col("total_rental_billed").cast("decimal(18,2)") / hours, 2).cast("decimal(18,2)").alias("billed_per_hour"))

@@ -164,6 +164,11 @@ def ownership_split(spark, root):
     return present(service.ownership_split(_fleet(Testbed(spark, root))))
 
 
+@report
+def rental_use(spark, root):
+    return present(service.rental_use(_fleet(Testbed(spark, root))))
+
+
 @report
 def active_windows_daily(spark, root):
     bed = Testbed(spark, root)
@@ -420,10 +425,8 @@ def signal_funnel(spark, root):
     return present(signals.signal_funnel(SignalChain(Testbed(spark, root)).enriched()))
 
 
-@report
-def signal_outcomes(spark, root):
+def _outcomes(bed: Testbed) -> DataFrame:
     """Signals of every day judged against later failures, from the rolling scores of the whole grid."""
-    bed = Testbed(spark, root)
     grid = FeatureInputs(bed).features(labelled=False)
     risky = grid.filter(F.col("weighted_score_7d") >= 12).select(
         "equipment_id", "component_id", F.col("date_id").alias("scoring_date"))
@@ -432,12 +435,32 @@ def signal_outcomes(spark, root):
     rows = risky.select(
         key.alias("signal_id"), "equipment_id", F.col("component_id").alias("predicted_component_id"), "scoring_date",
         window.alias("recommended_action_window_days"))
-    return present(signals.signal_outcomes(rows, bed.failures(), bed.work_orders()))
+    return signals.signal_outcomes(rows, bed.failures(), bed.work_orders())
+
+
+@report
+def signal_outcomes(spark, root):
+    return present(_outcomes(Testbed(spark, root)))
+
+
+@report
+def outcome_precision(spark, root):
+    return present(signals.outcome_precision(_outcomes(Testbed(spark, root))), {"precision": 6, "avg_lead_time_days": 6})
+
+
+@report
+def risk_confusion(spark, root):
+    """How the fixed risk curve does on the held-out days: rows per label and prediction."""
+    graded = FeatureInputs(Testbed(spark, root)).features(labelled=True).withColumn(
+        "prediction", (predictive.risk_score("weighted_score_7d", midpoint=9.0, steepness=0.5) >= 0.5).cast("int"))
+    held_out = predictive.holdout_split(graded, HOLDOUT_DAYS).filter(F.col("split") == "test")
+    return present(model.confusion_counts(held_out))
 
 
 @report
 def signal_visits(spark, root):
-    return present(signals.merge_into_visits(SignalChain(Testbed(spark, root)).triaged()))
+    triaged = settle(SignalChain(Testbed(spark, root)).triaged(), "triaged")
+    return present(signals.merge_into_visits(triaged))
 
 
 @report

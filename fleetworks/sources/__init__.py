@@ -4,12 +4,13 @@ from fleetworks.sources.sinks import (
     append_jdbc,
     append_missing,
     as_messages,
+    publish_kafka,
     write_csv,
     write_daily_csv,
     write_table,
 )
 
 __all__ = [
-    "Catalog", "conform", "csv_scan", "parquet_scan", "literal_frame", "append_jdbc", "append_missing", "as_messages",
+    "Catalog", "conform", "csv_scan", "parquet_scan", "literal_frame", "append_jdbc", "append_missing", "as_messages", "publish_kafka",
     "write_csv", "write_daily_csv", "write_table",
 ]

@@ -40,3 +40,8 @@ def append_missing(new: DataFrame, existing: DataFrame, keys: Sequence[str]) ->
 def as_messages(df: DataFrame, key: str) -> DataFrame:
     """Rows as (key, value) text messages, the value being the row as JSON."""
     return df.select(F.col(key).cast("string").alias("key"), F.to_json(F.struct("*")).alias("value"))
+
+
+def publish_kafka(messages: DataFrame, servers: str, topic: str) -> None:
+    """Send (key, value) messages to a topic. Needs the Kafka connector on the cluster's class path."""
+    messages.write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()

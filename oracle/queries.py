@@ -133,6 +133,12 @@ SELECT ownership_type, COUNT(*) AS machines, SUM(corrective_count) AS corrective
   SUM(total_actual_usage_hours) AS usage_hours
 FROM fleet GROUP BY 1""")
 
+check("rental_use",
+      "equipment_id:i ownership_type:s total_rental_billed:f total_actual_usage_hours:f billed_per_hour:f", f"""
+SELECT equipment_id, ownership_type, total_rental_billed, total_actual_usage_hours,
+  {fine("total_rental_billed::DOUBLE / NULLIF(total_actual_usage_hours, 0)::DOUBLE", 2)} AS billed_per_hour
+FROM fleet WHERE total_rental_billed IS NOT NULL""")
+
 check("active_windows_daily", "rate_type:s date_id:d active_count:i", """
 SELECT rate_type, CAST(day AS DATE) AS date_id, COUNT(*) AS active_count
 FROM (SELECT rate_type, unnest(generate_series(start_date::TIMESTAMP, COALESCE(end_date, DATE '2001-06-30')::TIMESTAMP,
@@ -276,16 +282,18 @@ SELECT date_trunc('month', scoring_date)::DATE AS period_month, system_category,
 FROM enriched GROUP BY 1, 2""")
 
 check("signal_outcomes",
-      "signal_id:i actual_outcome:s lead_time_delivered_days:i resulting_work_order_id:i", """
-SELECT signal_id, CASE WHEN lead_days <= lead_limit THEN 'Confirmed Failure' ELSE 'False Positive' END AS actual_outcome,
-  CASE WHEN lead_days <= lead_limit THEN lead_days END AS lead_time_delivered_days,
-  (SELECT MIN(work_order_id) FROM jobs WHERE source_signal_id = signal_id) AS resulting_work_order_id
-FROM (
-  SELECT (r.equipment_id * 64 + r.component_id) * 100000 + (r.date_id - DATE '1970-01-01') AS signal_id,
-    CASE r.component_id WHEN 1 THEN 14 WHEN 2 THEN 11 ELSE 8 END AS lead_limit,
-    (SELECT MIN(f.failure_date) FROM failed f WHERE f.equipment_id = r.equipment_id AND f.component_id = r.component_id
-       AND f.failure_date >= r.date_id) - r.date_id AS lead_days
-  FROM rolled r WHERE r.score_7 >= 12) AS s""")
+      "signal_id:i actual_outcome:s lead_time_delivered_days:i resulting_work_order_id:i", "SELECT * FROM outcomes")
+
+check("outcome_precision", "signals:i confirmed:i precision:f avg_lead_time_days:f", """
+SELECT COUNT(*) AS signals, COUNT(*) FILTER (WHERE actual_outcome = 'Confirmed Failure') AS confirmed,
+  ROUND(COUNT(*) FILTER (WHERE actual_outcome = 'Confirmed Failure')::DOUBLE / COUNT(*), 6) AS precision,
+  ROUND(AVG(lead_time_delivered_days), 6) AS avg_lead_time_days
+FROM outcomes""")
+
+check("risk_confusion", "label:i prediction:i n:i", """
+SELECT l.label, CASE WHEN r.score_7::DOUBLE >= 9.0 THEN 1 ELSE 0 END AS prediction, COUNT(*) AS n
+FROM labelled l JOIN rolled r USING (equipment_id, component_id, date_id) CROSS JOIN newest
+WHERE l.date_id >= newest.day - 10 GROUP BY 1, 2""")
 
 check("signal_visits", "signal_id:i equipment_id:i due_date:d visit_no:i", """
 SELECT t.signal_id, t.equipment_id, t.due_date, v.visit_no
