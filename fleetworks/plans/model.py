@@ -29,6 +29,12 @@ def _inputs(features: DataFrame) -> DataFrame:
     return features.withColumns(cast)
 
 
+def _spread(df: DataFrame) -> DataFrame:
+    """At least one partition per core: boosting passes over its rows hundreds of times."""
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+
+
 def confusion_counts(predictions: DataFrame) -> DataFrame:
     """Rows per (label, prediction)."""
     return predictions.groupBy(F.col("label").cast("int").alias("label"),
@@ -46,7 +52,7 @@ def train_and_evaluate(features: DataFrame, holdout_days: int = C.HOLDOUT_DAYS,
         VectorAssembler(inputCols=C.FEATURES, outputCol="features"),
         GBTClassifier(featuresCol="features", labelCol="label", maxIter=max_iter, maxDepth=max_depth, seed=seed),
     ]
-    model = Pipeline(stages=stages).fit(tagged.filter(F.col("split") == "train"))
+    model = Pipeline(stages=stages).fit(_spread(tagged.filter(F.col("split") == "train")))
     predicted = model.transform(tagged.filter(F.col("split") == "test"))
     judged = predicted.select("label", "prediction", "rawPrediction").persist()
     cells = {(r["label"], r["prediction"]): r["n"] for r in confusion_counts(judged).collect()}  # at most four rows

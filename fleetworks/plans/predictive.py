@@ -213,7 +213,8 @@ def latest_scores(equipment: DataFrame, components: DataFrame, telemetry: DataFr
         "equipment_id", "install_date")
     age = F.datediff(newest, F.col("date_id"))
     seen = (
-        component_faults.filter(age.between(0, 29) & F.array_contains(dates, F.col("date_id")))
+        component_faults.filter(F.col("date_id").between(F.date_sub(newest, 29), newest))
+        .filter(F.array_contains(dates, F.col("date_id")))
         .join(working, "equipment_id").filter(F.col("date_id") >= F.col("install_date"))
         .groupBy(*GRID).agg(
             F.sum(F.when(age < 7, F.col("daily_weighted_score"))).alias("weighted_score_7d"),
@@ -274,9 +275,8 @@ def contributing_fault_codes(faults: DataFrame, bridge: DataFrame, newest: Colum
 
     Codes come from a fixed dictionary and are made distinct before they are gathered.
     """
-    age = F.datediff(newest, F.col("event_date"))
     return (
-        faults.filter(age.between(0, days - 1)).select("equipment_id", "fault_code").distinct()
+        faults.filter(F.col("event_date").between(F.date_sub(newest, days - 1), newest)).select("equipment_id", "fault_code").distinct()
         .join(bridge.select("fault_code", "component_id"), "fault_code")
         .groupBy(*GRID).agg(F.array_sort(F.collect_set("fault_code")).alias("contributing_fault_codes"))
     )

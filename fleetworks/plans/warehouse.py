@@ -41,7 +41,7 @@ class Warehouse:
         return finance.revenue_by_stream_month(self.monthly)
 
     def tax_allocated_to_month(self) -> DataFrame:
-        return finance.allocate_period_to_month(self.stg("tax_filings"), self.revenue_by_stream_month())
+        return finance.allocate_period_to_month(self.stg("tax_filings"), finance.revenue_rows(self.monthly))
 
     def parts_consumption(self) -> DataFrame:
         return inventory.parts_consumption(self.stg("maintenance_parts_used"), self.stg("maintenance_events"))
@@ -50,7 +50,7 @@ class Warehouse:
 
     def finance_monthly(self) -> DataFrame:
         return finance.finance_monthly(
-            self.revenue_by_stream_month(), self.tax_allocated_to_month(), finance.sales_margin_by_month(self.monthly),
+            finance.revenue_rows(self.monthly), self.tax_allocated_to_month(), finance.sales_margin_by_month(self.monthly),
             self.stg("customers"), self.stg("industries"))
 
     def customer_concentration(self) -> DataFrame:

@@ -55,7 +55,7 @@ class FinanceInputs:
         self.monthly = settle(finance.monthly_lines(self.bed.revenue_lines()), "monthly-lines")
 
     def revenue(self) -> DataFrame:
-        return finance.revenue_by_stream_month(self.monthly)
+        return finance.revenue_rows(self.monthly)
 
     def filings(self) -> DataFrame:
         return finance.quarterly_tax_filings(self.monthly, AS_OF)

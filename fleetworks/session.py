@@ -19,6 +19,9 @@ def build_session(app: str = "fleetworks", master: str | None = None, **conf: st
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
+        # streaming state on local disk instead of the executor heap
+        "spark.sql.streaming.stateStore.providerClass":
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
     }
     settings.update(conf)
     for key, value in settings.items():

@@ -26,6 +26,11 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def latest_by_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row per key in ``order``; an aggregate, so duplicates fold before the shuffle."""
     values = [c for c in batch.columns if c not in keys and c not in order]
@@ -100,6 +105,8 @@ class KeyedUpsert:
             numbered.unpersist()
         merged = spark.read.schema(self.schema).parquet(staged)
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.day).parquet(self.path)
+        # a later batch only starts once the one before is committed, so its staging can never be needed again
+        drop_path(spark, f"{self.staging}/batch_id={batch_id - 1}")
 
     def _stage(self, batch: DataFrame, batch_id: int, staged: str) -> None:
         good = reduce(Column.__and__, [F.col(k).isNotNull() for k in self.keys])
