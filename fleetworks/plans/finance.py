@@ -230,17 +230,14 @@ def top_n_share(concentration: DataFrame, n: int) -> DataFrame:
 
 def finance_rollup(finance: DataFrame) -> DataFrame:
     """Company revenue and margin at month, quarter, year and overall level in one pass."""
-    level = F.grouping_id()
-    return (
-        finance.withColumnRenamed("period_year", "year").withColumnRenamed("period_quarter", "quarter")
-        .withColumn("month", F.month("period_month"))
-        .rollup("year", "quarter", "month")
-        .agg(F.sum("total_revenue").cast("decimal(24,2)").alias("total_revenue"),
-             F.sum("equipment_sales_margin").cast("decimal(24,2)").alias("equipment_sales_margin"),
-             F.sum("total_output_tax_allocated").cast("decimal(24,2)").alias("total_output_tax_allocated"),
-             F.count("*").alias("customer_months"),
-             level.cast("int").alias("level"))
-    )
+    sums = ["total_revenue", "equipment_sales_margin", "total_output_tax_allocated"]
+    # months first: the rollup then multiplies a few rows per month, not every customer-month
+    months = finance.groupBy(
+        F.col("period_year").alias("year"), F.col("period_quarter").alias("quarter"), F.month("period_month").alias("month")
+    ).agg(*[F.sum(c).alias(c) for c in sums], F.count("*").alias("customer_months"))
+    return months.rollup("year", "quarter", "month").agg(
+        *[F.sum(c).cast("decimal(24,2)").alias(c) for c in sums],
+        F.sum("customer_months").alias("customer_months"), F.grouping_id().cast("int").alias("level"))
 
 
 def rental_billing(contracts: DataFrame, as_of: date) -> DataFrame:

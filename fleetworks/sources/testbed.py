@@ -229,11 +229,12 @@ class Testbed:
     def fault_stream(self, files_per_batch: int = 1000) -> DataFrame:
         """The events file read as a stream, with a real timestamp for watermarks."""
         code = F.col("event_type")
+        as_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
         schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
         return (
             self.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
             .parquet(f"{self.root}/events*.parquet")
-            .select(F.col("user_id").alias("equipment_id"), F.col("ts").cast("timestamp").alias("ts"),
+            .select(F.col("user_id").alias("equipment_id"), as_utc.alias("ts"),
                     lookup(SEVERITY_BY_EVENT, code, "Info").alias("severity"), F.col("value").alias("reading"))
         )
 

@@ -13,12 +13,14 @@ def daily_fault_rollup(events: DataFrame, late_by: str = "60 days") -> DataFrame
     files that arrive out of order; the watermark only bounds how long a day can still be corrected.
     """
     day = F.window("ts", "1 day")
+    # windows start at midnight UTC, whatever zone the session shows times in
+    utc_date = F.date_from_unix_date(F.floor(F.unix_micros("day.start") / 86400000000).cast("int"))
     return (
         events.withWatermark("ts", late_by)
         .groupBy(day.alias("day"), "equipment_id")
         .agg(*[F.count_if(F.col("severity") == level).cast("int").alias(f"fault_count_{level.lower()}")
                for level in ("Info", "Warning", "Critical")],
              F.count("*").alias("event_count"), F.max("reading").alias("max_sensor_reading"))
-        .select("equipment_id", F.col("day.start").cast("date").alias("date_id"), "fault_count_info",
+        .select("equipment_id", utc_date.alias("date_id"), "fault_count_info",
                 "fault_count_warning", "fault_count_critical", "event_count", "max_sensor_reading")
     )
