@@ -32,10 +32,13 @@ def build_session(app: str = "fleetworks", master: str | None = None, **conf: st
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh path under the cluster's shared checkpoint folder.
 
-    Only a session without ``spark.checkpoint.dir`` (a test on one machine) gets a temporary folder.
+    Only a local session without ``spark.checkpoint.dir``, such as a test, gets a temporary folder; on a cluster
+    no other machine could read one.
     """
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder every executor can reach")
         app = spark.sparkContext.applicationId
         if app not in _local_scratch:
             _local_scratch[app] = tempfile.mkdtemp(prefix="fleetworks-")

@@ -27,13 +27,6 @@ def big_tables(spark):
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("name", [n for n in entrypoint.queries() if n != "gbt_scored"])
-def test_no_pairing_and_no_python(spark, name):
-    plan = plan_of(entrypoint.queries()[name](spark, DATA))
-    for node in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
-        assert node not in plan
-
-
 def test_nothing_is_broadcast_without_a_size_check(spark, big_tables):
     for name in ("finance_monthly", "branch_performance", "fleet_operations", "work_order_costing", "parts_consumption",
                  "warehouse_inventory", "signals_triaged", "catalog_gaps", "secure_sales"):
@@ -84,7 +77,22 @@ def test_scratch_follows_the_session(spark):
         def get(self, key, default=None):
             return "hdfs://shared/tmp" if key == "spark.checkpoint.dir" else default
 
+    class Unset:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
     class Session:
         conf = Conf()
+        sparkContext = Context()
 
     assert scratch_dir(Session(), "x").startswith("hdfs://shared/tmp/fleetworks/x-")
+    lost = Session()
+    lost.conf = Unset()
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scratch_dir(lost, "x")
