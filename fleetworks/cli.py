@@ -9,6 +9,7 @@ import argparse
 from datetime import UTC, date, datetime
 
 from fleetworks.plans.signals import status_frequency
+from fleetworks.plans.telemetry import calendar_range
 from fleetworks.plans.warehouse import DailyRun, Warehouse, inventory_snapshot, tax_filings
 from fleetworks.session import build_session
 from fleetworks.sources import Catalog, conform, write_table
@@ -26,7 +27,7 @@ def marts(args, catalog: Catalog) -> None:
 
 def score(args, catalog: Catalog) -> None:
     run = DailyRun(catalog, args.now, args.holdout_days, args.sample_days, args.carry_hours)
-    found, evaluation = run.score()
+    found, evaluation = run.score(max_iter=args.max_iter)
     print(f"auc {evaluation.auc:.4f} precision {evaluation.precision:.4f} recall {evaluation.recall:.4f}")
     triaged = run.triage(found)
     demand, gaps = run.resolve(triaged)
@@ -45,6 +46,10 @@ def inventory(args, catalog: Catalog) -> None:
     write_table(conform(inventory_snapshot(catalog, args.as_of), "fact_inventory"), f"{args.out}/fact_inventory")
 
 
+def calendar(args, catalog: Catalog) -> None:
+    write_table(calendar_range(catalog.spark), f"{args.out}/dim_date")
+
+
 def land(args, catalog: Catalog) -> None:
     """Drain both topics, from Kafka or from folders named after them under ``--root``."""
     for topic, sink in ((FAULT_TOPIC, FaultLanding(args.out)), (TELEMETRY_TOPIC, TelemetryLanding(args.out))):
@@ -55,7 +60,7 @@ def land(args, catalog: Catalog) -> None:
         drain(sink.decode(messages), sink, f"{args.checkpoints or args.out + '/_checkpoints'}/{topic}")
 
 
-STEPS = {"marts": marts, "score": score, "filings": filings, "inventory": inventory, "land": land}
+STEPS = {"marts": marts, "score": score, "filings": filings, "inventory": inventory, "calendar": calendar, "land": land}
 
 
 def parse(argv: list[str] | None = None) -> argparse.Namespace:
@@ -68,6 +73,7 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     parser.add_argument("--now", type=datetime.fromisoformat, default=datetime.now(UTC).replace(tzinfo=None))
     parser.add_argument("--holdout-days", type=int, default=60)
     parser.add_argument("--sample-days", type=int)
+    parser.add_argument("--max-iter", type=int, default=50, help="boosting rounds")
     parser.add_argument("--carry-hours", action="store_true")
     parser.add_argument("--kafka", help="bootstrap servers; without it messages are read from files")
     parser.add_argument("--checkpoints")

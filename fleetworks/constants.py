@@ -70,6 +70,10 @@ BRANCH_BY_CUSTOMER = {
     13: "Accra", 14: "Accra", 15: "Accra", 16: "Takoradi", 17: "Kumasi", 18: "Accra",
 }
 
+# Calendar bounds
+CALENDAR_FIRST = "2016-01-01"
+CALENDAR_LAST = "2027-12-31"
+
 # Inventory
 DEAD_STOCK_DAYS = 180
 MIN_DAILY_USE = 0.01

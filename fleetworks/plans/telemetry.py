@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
+from fleetworks import constants as C
 from fleetworks.functions import iso_weekday, month_name
 from fleetworks.operators import active_count_by_day, calendar_days, expand_days
 
@@ -54,6 +55,13 @@ def calendar_between(df: DataFrame, start: Column, end: Column, padded_names: bo
     return calendar(calendar_days(df, start, end), padded_names)
 
 
+def calendar_range(spark: SparkSession, first: str = C.CALENDAR_FIRST, last: str = C.CALENDAR_LAST,
+                   padded_names: bool = False) -> DataFrame:
+    """The warehouse's own calendar between two fixed dates."""
+    bounds = spark.range(1).select(F.lit(first).cast("date").alias("lo"), F.lit(last).cast("date").alias("hi"))
+    return calendar_between(bounds, F.min("lo"), F.max("hi"), padded_names)
+
+
 def active_windows_daily(intervals: DataFrame, start: str, end: str, by: list[str]) -> DataFrame:
     """Number of intervals active per day and group."""
     return active_count_by_day(intervals, start, end, by, "active_count")

@@ -79,7 +79,8 @@ class Catalog:
         path = self.path(name)
         if self.fmt == "csv":
             return csv_scan(self.spark, name, path)
-        return parquet_scan(self.spark, path, TABLES[name])
+        # a folder may be partitioned by something of its own, such as the batch that landed it
+        return parquet_scan(self.spark, path, TABLES[name]).select(*[column for column, _ in _columns(TABLES[name])])
 
     def register_views(self, names: list[str] | None = None) -> None:
         for name in names or self.names():

@@ -134,14 +134,19 @@ class TelemetryLanding(KeyedUpsert):
     def __init__(self, path: str):
         super().__init__(
             path, "telemetry_daily",
-            "equipment_id BIGINT, engine_hours DECIMAL(12,1), utilization_hours DOUBLE, fault_count_info INT, "
-            "fault_count_warning INT, fault_count_critical INT, avg_sensor_reading DOUBLE, "
-            "max_sensor_reading DOUBLE, date_id DATE",
+            "equipment_id BIGINT, engine_hours DECIMAL(6,1), utilization_hours DECIMAL(5,1), fault_count_info INT, "
+            "fault_count_warning INT, fault_count_critical INT, avg_sensor_reading DECIMAL(10,3), "
+            "max_sensor_reading DECIMAL(10,3), date_id DATE",
             ["equipment_id", "date_id"], TELEMETRY_COLUMNS)
 
     def decode(self, messages: DataFrame) -> DataFrame:
         rows = decode(messages, TELEMETRY_MESSAGE)
-        return rows.withColumn("date_id", F.try_to_date("date_id"))
+        return rows.withColumns({
+            "date_id": F.try_to_date("date_id"),
+            "utilization_hours": F.col("utilization_hours").try_cast("decimal(5,1)"),
+            "avg_sensor_reading": F.col("avg_sensor_reading").try_cast("decimal(10,3)"),
+            "max_sensor_reading": F.col("max_sensor_reading").try_cast("decimal(10,3)"),
+        })
 
 
 def drain(rows: DataFrame, sink, checkpoint: str) -> None:

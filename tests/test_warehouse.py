@@ -145,6 +145,13 @@ def test_commands(catalog, spark, tmp_path):
     filed = stored.table("fact_tax_filings")
     assert tuples(filed, "filing_id", "customer_id", "filing_status") == [(1, 1, "Pending"), (2, 2, "Pending")]
     assert stored.table("fact_inventory").count() == 8
+    cli.main(["calendar", *base])
+    assert stored.table("dim_date").count() == 4383
+    cli.main(["score", *base, "--holdout-days", "10", "--max-iter", "2", "--now", "2024-02-15T00:00:00"])
+    assert stored.table("ml_maintenance_signals").count() == 10
+    assert stored.table("fact_maintenance_events").count() >= 9
+    cli.main(["marts", *base])
+    assert spark.read.parquet(f"{out}/maintenance_type_ratio").count() > 0
 
 
 def test_landing_feeds_the_same_tables_scoring_reads(spark, catalog, tmp_path):
@@ -158,5 +165,11 @@ def test_landing_feeds_the_same_tables_scoring_reads(spark, catalog, tmp_path):
     assert FaultLanding(out).read(spark).count() == 1
     landed = TelemetryLanding(out).read(spark)
     assert tuples(landed, "equipment_id", "date_id", "utilization_hours") == [(1, day("2024-02-15"), 3.0)]
+    # the batch side reads exactly what landed
+    shared = Catalog(spark, catalog.root, "parquet", {
+        "fact_telemetry_daily": TelemetryLanding(out).path, "fact_fault_events": FaultLanding(out).path})
+    assert tuples(shared.table("fact_telemetry_daily"), "equipment_id", "engine_hours") == [(1, None)]
+    assert tuples(shared.table("fact_fault_events"), "equipment_id", "fault_code", "event_id") == [(1, "E-2", None)]
+    assert shared.table("fact_fault_events").columns == catalog.table("fact_fault_events").columns
     write_table(landed, str(tmp_path / "copy"), ["date_id"])
     assert spark.read.parquet(str(tmp_path / "copy")).count() == 1
