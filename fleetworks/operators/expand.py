@@ -4,8 +4,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from fleetworks.functions.dates import day_number
-
 
 def expand_months(df: DataFrame, first_month: Column, months: int, out: str) -> DataFrame:
     """Repeat each row for ``months`` consecutive months starting at ``first_month``."""
@@ -62,7 +60,3 @@ def active_count_by_day(df: DataFrame, start: str, end: str, by: list[str], out:
         .filter(F.col(out) > 0)
     )
     return expand_days(running, F.col("day"), F.col("until"), "date_id").select(*by, "date_id", out)
-
-
-def span_in_days(lo: Column, hi: Column) -> Column:
-    return day_number(hi) - day_number(lo)

@@ -62,27 +62,31 @@ def warehouse_inventory(inventory: DataFrame, parts: DataFrame, consumption: Dat
     )
 
 
-def inventory_replenishment(parts: DataFrame, consumption: DataFrame, branches: Column, snapshot: date,
+def history_days(work_orders: DataFrame) -> Column:
+    """Days from the first to the last work order, at least one, as a scalar subquery."""
+    day = "scheduled_date"
+    return work_orders.agg(F.greatest(F.lit(1), F.datediff(F.max(day), F.min(day)))).scalar()
+
+
+def inventory_replenishment(parts: DataFrame, consumption: DataFrame, history: Column, branches: Column, snapshot: date,
                             cover_days: float = 25.0, safety: float = 1.5) -> DataFrame:
     """Stock and reorder point per part and branch from the part's consumption history.
 
-    ``consumption`` has part_id, branch, scheduled_date and qty_used; ``branches`` is an array of every
-    branch. Stock covers ``cover_days`` of use, the reorder point the lead time with a ``safety`` margin;
+    ``consumption`` has part_id, branch and qty_used; use outside any branch still counts towards the part's total.
+    ``history`` is the days it spans and ``branches`` an array of every branch. Stock covers ``cover_days`` of use, the reorder point the lead time with a ``safety`` margin;
     both are split over the branches by their share of use, each branch counted one unit up so that
     none is left without. Days of supply divide a branch's stock by the part's use everywhere.
     """
-    per_branch = consumption.groupBy("part_id", "branch").agg(
-        F.sum("qty_used").alias("used"), F.max("scheduled_date").alias("last"), F.min("scheduled_date").alias("first"))
-    history = per_branch.agg(F.greatest(F.lit(1), F.datediff(F.max("last"), F.min("first")))).scalar()
-    slots = each_of(parts.select("part_id", "unit_cost_usd", "lead_time_days"), branches, "branch")
-    of_part = Window.partitionBy("part_id")
+    per_branch = consumption.groupBy("part_id", "branch").agg(F.sum("qty_used").alias("used"))
+    totals = per_branch.groupBy("part_id").agg(F.sum("used").cast("double").alias("_total"))
+    used_parts = parts.select("part_id", "unit_cost_usd", "lead_time_days").join(totals, "part_id", "left")
+    slots = each_of(used_parts, branches, "branch")
+    weight = F.coalesce("used", F.lit(0)).cast("double") + 1.0
+    daily = F.coalesce("_total", F.lit(0.0)) / history
     weighted = (
-        slots.join(per_branch.select("part_id", "branch", "used"), ["part_id", "branch"], "left")
-        .withColumn("used", F.coalesce("used", F.lit(0)).cast("double"))
-        .withColumn("_weight", F.col("used") + 1.0)
-        .withColumn("_total", F.sum("used").over(of_part))
-        .withColumn("_share", F.col("_weight") / F.sum("_weight").over(of_part))
-        .withColumn("avg_daily_use", F.greatest(F.col("_total") / history, F.lit(C.MIN_DAILY_USE)))
+        slots.join(per_branch, ["part_id", "branch"], "left")
+        .withColumn("_share", weight / F.sum(weight).over(Window.partitionBy("part_id")))
+        .withColumn("avg_daily_use", F.greatest(daily, F.lit(C.MIN_DAILY_USE)))
     )
 
     def whole(value: Column, at_least: int) -> Column:

@@ -276,7 +276,8 @@ def contributing_fault_codes(faults: DataFrame, bridge: DataFrame, newest: Colum
     Codes come from a fixed dictionary and are made distinct before they are gathered.
     """
     return (
-        faults.filter(F.col("event_date").between(F.date_sub(newest, days - 1), newest)).select("equipment_id", "fault_code").distinct()
+        faults.filter(F.col("event_date").between(F.date_sub(newest, days - 1), newest))
+        .select("equipment_id", "fault_code").distinct()
         .join(bridge.select("fault_code", "component_id"), "fault_code")
         .groupBy(*GRID).agg(F.array_sort(F.collect_set("fault_code")).alias("contributing_fault_codes"))
     )

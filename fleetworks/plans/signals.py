@@ -66,9 +66,9 @@ def _candidates(signals: DataFrame, equipment: DataFrame, component_parts: DataF
 
 def parts_demand(signals: DataFrame, equipment: DataFrame, component_parts: DataFrame, compatibility: DataFrame,
                  parts: DataFrame) -> DataFrame:
-    """A forecast row for each part category a recommended signal can be served from."""
+    """A forecast row for each part category a recommended signal can be served from, its primary part first."""
     resolved = _candidates(signals, equipment, component_parts, compatibility, parts).filter(F.col("part_id").isNotNull())
-    numbered = number_rows(resolved, ["signal_id", "part_category"], "forecast_id")
+    numbered = number_rows(resolved, ["signal_id", ("is_primary", "desc"), "part_category"], "forecast_id")
     return numbered.select(
         "forecast_id", "signal_id", "equipment_id", "part_id", F.col("typical_qty").alias("expected_qty"), "is_primary",
         F.date_add("scoring_date", F.col("recommended_action_window_days")).alias("needed_by_date"),

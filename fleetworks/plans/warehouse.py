@@ -190,9 +190,10 @@ def tax_filings(catalog: Catalog, as_of: date) -> DataFrame:
 
 def inventory_snapshot(catalog: Catalog, snapshot: date, cover_days: float = 25.0, safety: float = 1.5) -> DataFrame:
     """Stock and reorder points from the catalog's parts consumption."""
-    consumption = inventory.parts_consumption(
-        catalog.table("fact_maintenance_parts_used"), catalog.table("fact_maintenance_events"))
+    orders = catalog.table("fact_maintenance_events")
+    consumption = inventory.parts_consumption(catalog.table("fact_maintenance_parts_used"), orders)
     placed = consumption.withColumn("branch", lookup(C.BRANCH_BY_CUSTOMER, F.col("customer_id").cast("int")))
     parts = catalog.table("dim_part").withColumnRenamed("unit_cost", "unit_cost_usd")
     branches = F.array(*[F.lit(b) for b in C.BRANCHES])
-    return inventory.inventory_replenishment(parts, placed, branches, snapshot, cover_days, safety)
+    history = inventory.history_days(orders)
+    return inventory.inventory_replenishment(parts, placed, history, branches, snapshot, cover_days, safety)

@@ -191,7 +191,8 @@ def _branch_consumption(bed: Testbed) -> DataFrame:
 
 
 def _stock(bed: Testbed) -> DataFrame:
-    return inventory.inventory_replenishment(bed.parts(), _branch_consumption(bed), bed.branches(), SNAPSHOT)
+    history = inventory.history_days(bed.work_orders())
+    return inventory.inventory_replenishment(bed.parts(), _branch_consumption(bed), history, bed.branches(), SNAPSHOT)
 
 
 @report

@@ -3,5 +3,6 @@ from fleetworks.streaming.messages import decode, file_source, kafka_source
 from fleetworks.streaming.rollup import daily_fault_rollup
 
 __all__ = [
-    "FaultLanding", "KeyedUpsert", "TelemetryLanding", "drain", "land_streams", "decode", "file_source", "kafka_source", "daily_fault_rollup",
+    "FaultLanding", "KeyedUpsert", "TelemetryLanding", "drain", "land_streams", "decode", "file_source",
+    "kafka_source", "daily_fault_rollup",
 ]

@@ -223,7 +223,7 @@ FROM (
   SELECT w.part_id, r.r_name AS branch, w.unit_cost AS unit_cost_usd, w.lead_time_days,
     (COALESCE(b.used, 0)::DOUBLE + 1) / SUM(COALESCE(b.used, 0)::DOUBLE + 1) OVER (PARTITION BY w.part_id) AS share,
     GREATEST(SUM(COALESCE(b.used, 0)::DOUBLE) OVER (PARTITION BY w.part_id)
-             / (SELECT GREATEST(1, MAX(scheduled_date) - MIN(scheduled_date)) FROM consumed), 0.01) AS daily
+             / (SELECT GREATEST(1, MAX(scheduled_date) - MIN(scheduled_date)) FROM jobs), 0.01) AS daily
   FROM wares w CROSS JOIN region r LEFT JOIN branches_used b ON b.part_id = w.part_id AND b.branch = r.r_name)"""
 
 CTES["inventory"] = f"""
@@ -342,7 +342,7 @@ LEFT JOIN (SELECT n_nationkey AS model_id, p_type AS part_category, MIN(p_partke
 WHERE t.signal_status = 'Action Recommended'"""
 
 CTES["demand"] = """
-SELECT ROW_NUMBER() OVER (ORDER BY signal_id, part_category) AS forecast_id, signal_id, equipment_id, part_id,
+SELECT ROW_NUMBER() OVER (ORDER BY signal_id, is_primary DESC, part_category) AS forecast_id, signal_id, equipment_id, part_id,
   qty AS expected_qty, is_primary, CAST(scoring_date + recommended_action_window_days AS DATE) AS needed_by_date,
   'Predictive Signal' AS demand_source
 FROM candidates WHERE part_id IS NOT NULL"""

@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 import pytest
+from pyspark.sql import functions as F
 
 import __spark_entry__ as entrypoint
 from fleetworks.plans import finance, predictive
@@ -67,6 +68,27 @@ def test_revenue_is_summed_before_it_moves(spark):
     assert "partial_sum" in plan
 
 
+def test_hot_keys_are_split_at_run_time(spark, big_tables, tmp_path):
+    """A third of all lines in one order: the join reads that partition in pieces."""
+    bed = Testbed(spark, DATA)
+    lines = bed.raw("lineitem").withColumn("l_orderkey", F.when(F.col("l_partkey") % 3 == 0, 7).otherwise(F.col("l_orderkey")))
+    lines.repartition(16).write.parquet(str(tmp_path / "lineitem.parquet"))
+    bed.raw("orders").write.parquet(str(tmp_path / "orders.parquet"))
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8KB",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "4KB",
+                "spark.sql.adaptive.coalescePartitions.enabled": "false", "spark.sql.shuffle.partitions": "32"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        summed = finance.monthly_lines(Testbed(spark, str(tmp_path)).revenue_lines())
+        assert summed.collect()
+        assert "SortMergeJoin(skew=true)" in plan_of(summed)
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
 def test_allocation_uses_one_window(spark):
     plan = plan_of(entrypoint.queries()["tax_allocated_to_month"](spark, DATA))
     assert plan.count("- Window") == 1

@@ -119,14 +119,20 @@ def test_turnover_annualises_over_the_whole_span(frame):
 
 def test_replenishment_splits_and_floors(frame):
     parts = frame("part_id long, unit_cost_usd decimal(12,2), lead_time_days int", [(1, D("1.00"), 10), (2, D("2.00"), 10)])
-    used = frame("part_id long, branch string, scheduled_date date, qty_used int", [(1, "A", at(0), 60), (1, "A", at(10), 40)])
+    used = frame("part_id long, branch string, qty_used int", [(1, "A", 60), (1, "A", 40)])
+    orders = frame("scheduled_date date", [(at(0),), (at(10),), (at(4),)])
+    history = inventory.history_days(orders)
     branches = F.array(F.lit("A"), F.lit("B"))
     got = {(r["part_id"], r["branch"]): r for r in inventory.inventory_replenishment(
-        parts, used, branches, at(20), cover_days=20, safety=1.5).collect()}
+        parts, used, history, branches, at(20), cover_days=20, safety=1.5).collect()}
     assert len(got) == 4
     a, b = got[1, "A"], got[1, "B"]
     assert (a["qty_on_hand"], b["qty_on_hand"]) == (198, 2) and (a["reorder_point"], b["reorder_point"]) == (149, 1)
     assert a["unit_cost"] == D("11.40") and a["days_of_supply"] == 19.8
+    elsewhere = used.unionByName(frame("part_id long, branch string, qty_used int", [(1, None, 100)]))
+    more = inventory.inventory_replenishment(parts, elsewhere, history, branches, at(20), cover_days=20, safety=1.5)
+    # use outside the branches raises the part's total but not the split
+    assert more.filter("part_id = 1").groupBy().sum("qty_on_hand").first()[0] == 400
     idle = got[2, "A"]
     assert (idle["qty_on_hand"], idle["reorder_point"]) == (0, 1)  # half of one, to the even neighbour
 
