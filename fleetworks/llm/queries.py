@@ -114,11 +114,11 @@ ORACLE: dict[str, str] = {
                                       '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
             FROM benchmark),
         windows AS (
-            SELECT DISTINCT item_id, n, list_slice(w, pos, at + n - 1) AS words
+            SELECT DISTINCT item_id, n, list_slice(w, pos, pos + n - 1) AS words
             FROM (SELECT item_id, w, least(10, len(w)) AS n,
                          unnest(range(1, len(w) - least(10, len(w)) + 2)) AS pos FROM i WHERE len(w) > 0)),
         places AS (
-            SELECT row_id, pos, n, list_slice(w, pos, at + n - 1) AS words
+            SELECT row_id, pos, n, list_slice(w, pos, pos + n - 1) AS words
             FROM (SELECT row_id, w, n, unnest(range(1, len(w) - n + 2)) AS pos
                   FROM d, (SELECT DISTINCT n FROM windows) WHERE len(w) >= n)),
         hits AS (
