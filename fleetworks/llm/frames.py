@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Text handed to one call of the computing function; a single longer text is handed over alone.
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 
 Work = Callable[..., Sequence]
 
@@ -55,7 +55,7 @@ def append(docs: DataFrame, text: str, added: str, make: Callable[[], Work],
     """The rows of ``docs`` with columns computed from ``text``.
 
     ``make()`` runs once in a task and returns a function from a list of texts (None for null), and a list for each
-    column named in ``also``, to one list of values per added column. ``added`` declares these as DDL. ``keep`` names
+    column named in ``also``, to one list of values, or Arrow array, per added column. ``added`` declares these as DDL. ``keep`` names
     the columns of ``docs`` to return, all if not given; those that clash with an added one are left out.
     """
     new = T.StructType.fromDDL(added)
@@ -76,7 +76,7 @@ def append(docs: DataFrame, text: str, added: str, make: Callable[[], Work],
                 work = work or make()
                 values = work(*[batch.column(i).to_pylist() for i in places])
                 arrays = batch.columns[:len(kept)]
-                arrays += [pa.array(v, type=t) for v, t in zip(values, types, strict=True)]
+                arrays += [v if isinstance(v, pa.Array) else pa.array(v, type=t) for v, t in zip(values, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
     return source.mapInArrow(run, out)

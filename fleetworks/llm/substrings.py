@@ -12,6 +12,7 @@ import hashlib
 from itertools import accumulate
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -185,11 +186,17 @@ def _single_windows(found: DataFrame, window: int, last: int) -> DataFrame:
             words = raw.split(b" ")
             ends = list(accumulate(map(len, words), lambda at, n: at + 1 + n))
             places = np.flatnonzero(_alive(words, window, last, keys))
-            spans = [(ends[i - 1] + 1 if i else 0, ends[i + window - 1]) for i in places]
-            halves = np.frombuffer(b"".join(xxhash.xxh3_128_digest(raw[a:b]) for a, b in spans), "<i8").reshape(-1, 2)
-            return [{"h1": a, "h2": b, "at": c} for (a, b), c in zip(halves.tolist(), places.tolist())]
+            digests = b"".join(xxhash.xxh3_128_digest(raw[ends[i - 1] + 1 if i else 0:ends[i + window - 1]]) for i in places)
+            return np.frombuffer(digests, "<i8").reshape(-1, 2), places
 
-        return lambda texts, keys: [[one(*row) for row in zip(texts, keys)]]
+        def work(texts, keys):
+            rows = [one(*row) for row in zip(texts, keys)]
+            halves, places = (np.concatenate([r[i] for r in rows]) for i in range(2))
+            offsets = np.cumsum([0, *(len(r[1]) for r in rows)], dtype=np.int32)
+            items = pa.StructArray.from_arrays([halves[:, 0], halves[:, 1], places], names=["h1", "h2", "at"])
+            return [pa.ListArray.from_arrays(offsets, items)]
+
+        return work
 
     windows = append(found, "words", "_windows array<struct<h1:bigint,h2:bigint,at:bigint>>", make, ["_row", "copies"], ["keys"])
     counted = windows.select("_row", "copies", F.inline("_windows")).groupBy("h1", "h2").agg(
