@@ -63,7 +63,8 @@ def append(docs: DataFrame, text: str, added: str, make: Callable[[], Work],
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in names]
     given = [text, *also]
     extra = [c for c in given if c not in kept]
-    source = docs.select(*map(named, kept), *[named(c).alias(f"_given{i}") for i, c in enumerate(extra)])
+    # plain names inside, since a name with a dot can't be handed over
+    source = docs.select(*[named(c).alias(f"_p{i}") for i, c in enumerate([*kept, *extra])])
     places = [kept.index(c) if c in kept else len(kept) + extra.index(c) for c in given]
     at = places[0]
     out = T.StructType(source.schema.fields[:len(kept)] + list(new))
@@ -79,4 +80,4 @@ def append(docs: DataFrame, text: str, added: str, make: Callable[[], Work],
                 arrays += [v if isinstance(v, pa.Array) else pa.array(v, type=t) for v, t in zip(values, types, strict=True)]
                 yield pa.RecordBatch.from_arrays(arrays, names=out.names)
 
-    return source.mapInArrow(run, out)
+    return source.mapInArrow(run, out).toDF(*kept, *new.names)

@@ -178,30 +178,33 @@ def held_out(key: str = "doc_id") -> Column:
 
 
 def learning_sample(docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
-    """Pieces of at most ``SAMPLE_ROWS`` rows of each language, spread evenly over their texts.
+    """(lang, place, k, pieces): pieces of at most ``SAMPLE_ROWS`` rows of each language, spread over their texts.
 
-    The rows with the smallest key hashes are taken; a rank limit keeps Spark from gathering more than that many of a
-    frequent language from any task. Held-out rows, null labels and texts without a letter are left out.
+    The rows with the smallest key hashes are taken, equal ones once. Counts of the languages first tell how small a
+    hash must be, so that only a few times that many rows are ranked, however many there are. Held-out rows, null labels
+    and texts without a letter are left out, and languages beyond the ``MAX_LANGUAGES`` most frequent.
     """
-    length = F.length(named(text))
-    seen = docs.where(~held_out(key) & named(label).isNotNull() & named(text).rlike(r"\p{L}"))
+    seen = docs.where(~held_out(key) & named(label).isNotNull() & named(text).rlike(r"\p{L}")).select(
+        named(label).cast("string").alias("lang"), named(key).alias("k"), named(text).alias("body"),
+        (F.shiftrightunsigned(F.xxhash64(named(key)), 11) / F.lit(2.0 ** 53)).alias("h"))
+    counts = seen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
+    below = {r["lang"]: min(1.0, 4 * SAMPLE_ROWS / r["count"]) for r in counts} or {"": 0.0}
+    limit = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])[F.col("lang")]
+    length = F.length("body")
     pieces = F.transform(
         F.sequence(F.lit(0), F.lit(SAMPLE_PIECES - 1)),
-        lambda i: F.substring(named(text), (1 + i * F.greatest(length - WINDOW, F.lit(0)) / (SAMPLE_PIECES - 1)).cast("int"),
+        lambda i: F.substring("body", (1 + i * F.greatest(length - WINDOW, F.lit(0)) / (SAMPLE_PIECES - 1)).cast("int"),
                               F.lit(WINDOW)))
-    cut = seen.select(named(label).alias("lang"), F.xxhash64(named(key)).alias("h"), named(key).alias("k"),
-                      F.array_distinct(pieces).alias("pieces"))
+    cut = seen.where(F.col("h") <= limit).select("lang", "h", "k", F.array_distinct(pieces).alias("pieces")).distinct()
     by_hash = Window.partitionBy("lang").orderBy("h", "k", "pieces")
-    return cut.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE_ROWS)
+    return cut.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE_ROWS).drop("h")
 
 
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> Network:
     """A network fitted to the learning sample. Without any labelled row it knows no language."""
-    sample = learning_sample(docs, key, text, label)
-    frequent = [r["lang"] for r in sample.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()]
-    languages = sorted(frequent)
     # at most MAX_LANGUAGES * SAMPLE_ROWS * SAMPLE_PIECES pieces of WINDOW characters
-    rows = sample.where(F.col("lang").isin(languages)).orderBy("lang", "place").select("lang", "pieces").collect()
+    rows = learning_sample(docs, key, text, label).orderBy("lang", "place").select("lang", "pieces").collect()
+    languages = sorted({r["lang"] for r in rows})
     pieces = [(p.encode()[:WINDOW].ljust(WINDOW), languages.index(r["lang"])) for r in rows for p in r["pieces"]]
     network = Network.fresh(languages)
     if len(languages) > 1:
