@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame, functions as F, types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
 #: Text handed to one call of the computing function; a single longer text is handed over alone.
-CHUNK_BYTES = 4 << 20
+CHUNK_BYTES = 2 << 20
 
 Work = Callable[..., Sequence]
 

@@ -6,12 +6,15 @@ import os
 import re
 import struct
 import zlib
+from collections import Counter
 from functools import lru_cache
 
-from pyspark.sql import DataFrame, functions as F
+import numpy as np
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetworks.llm.frames import append, named
-from fleetworks.operators import number_rows
 from fleetworks.session import settle
 
 LONGEST = 1024
@@ -88,7 +91,8 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int
 
     ``longest`` is a power of two. A text's ids are followed by ``end_id``, so null and empty texts make one piece of
     one id. Every sequence is one piece and a power of two long, so none needs padding or crosses documents. Sequences
-    are numbered from 0, longest first, equal lengths together, then by key. Repeated rows keep pieces of their own.
+    are numbered from 0, longest first and equal lengths together. Repeated rows keep pieces of their own. The pieces
+    are written once, and numbering them moves none. An empty table gives an empty result.
     ``tokenizer`` returns the vocabulary's path on the machine where it is called.
     """
     if longest < 1 or longest & (longest - 1):
@@ -96,27 +100,43 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int
     ending = end_id.to_bytes(4, "little")
 
     def make():
-        encoder = encoder_for(tokenizer())
-
-        def one(text):
-            ids = encoder.encode(text) + ending
-            n = len(ids) // 4
-            pieces = []
-            for start, length in binary_pieces(n, longest):
-                part = ids[4 * start:4 * (start + length)]
-                piece = {"start": start, "length": length, "ids_crc32": zlib.crc32(part)}
-                if with_ids:
-                    piece["ids"] = memoryview(part).cast("I").tolist()
-                pieces.append(piece)
-            return n, pieces
-
-        return lambda texts: list(zip(*map(one, texts)))
-
-    fields = "start:bigint,length:bigint,ids_crc32:bigint" + ",ids:array<int>" * with_ids
+        encoder, part, reached = encoder_for(tokenizer()), TaskContext.get().partitionId(), Counter()
+
+        def work(texts):
+            ids = [encoder.encode(t) + ending for t in texts]
+            cuts = [binary_pieces(len(i) // 4, longest) for i in ids]
+            start, length, crc, place = [], [], [], []
+            for own, pieces in zip(ids, cuts):
+                for at, size in pieces:
+                    start.append(at)
+                    length.append(size)
+                    crc.append(zlib.crc32(own[4 * at:4 * (at + size)]))
+                    place.append(reached[size])
+                    reached[size] += 1
+            columns = {"start": start, "length": length, "ids_crc32": crc, "place": place}
+            arrays = [pa.array(c, pa.int64()) for c in columns.values()]
+            if with_ids:
+                ends = np.cumsum([0, *length], dtype=np.int32)
+                arrays.append(pa.ListArray.from_arrays(ends, pa.array(np.frombuffer(b"".join(ids), "<i4"))))
+            rows = pa.StructArray.from_arrays(arrays, names=[*columns, *["ids"] * with_ids])
+            offsets = np.cumsum([0, *map(len, cuts)], dtype=np.int32)
+            return [len(i) // 4 for i in ids], [part] * len(texts), pa.ListArray.from_arrays(offsets, rows)
+
+        return work
+
+    fields = "start:bigint,length:bigint,ids_crc32:bigint,place:bigint" + ",ids:array<int>" * with_ids
     cut = append(docs.select(named(key).alias("_key"), named(text).alias("_body")), "_body",
-                 f"doc_tokens bigint, _pieces array<struct<{fields}>>", make, ["_key"])
-    pieces = settle(cut.select("_key", "doc_tokens", F.inline("_pieces")), "pieces")
-    numbered = number_rows(pieces, [("length", "desc"), "_key", "start", "ids_crc32"], "sequence_id", start=0)
-    return numbered.select(
-        F.col("_key").alias(key), "start", "length", "ids_crc32", "doc_tokens", "sequence_id",
+                 f"doc_tokens bigint, _part int, _pieces array<struct<{fields}>>", make, ["_key"])
+    pieces = settle(cut.select("_key", "doc_tokens", "_part", F.inline("_pieces")), "pieces")
+    # a task has numbered its pieces of each length; what the tasks before it hold, and longer pieces, come first
+    counts = pieces.groupBy("length", "_part").agg(F.count("*").alias("n"))
+    earlier = Window.partitionBy("length").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)  # one row per length
+    lengths = counts.groupBy("length").agg(F.sum("n").alias("all")).select(
+        "length", F.coalesce(F.sum("all").over(longer), F.lit(0)).alias("longer"))
+    first = counts.select("length", "_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")).join(
+        lengths, "length")
+    return pieces.join(first, ["length", "_part"]).select(
+        F.col("_key").alias(key), "start", "length", "ids_crc32", "doc_tokens",
+        (F.col("longer") + F.col("before") + F.col("place")).alias("sequence_id"),
         F.lit(0).cast("bigint").alias("offset"), *["ids"] * with_ids)

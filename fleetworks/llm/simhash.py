@@ -22,7 +22,7 @@ from fleetworks.session import settle
 
 SHINGLE, SEED, RADIUS, BITS = 4, 42, 4, 64
 #: Variants that one task sorts at once; blocks with more are split into slices of the variants.
-SLICE_VARIANTS = 2_000_000
+SLICE_VARIANTS = 1_000_000
 _HASHES = 1 << 16
 
 
