@@ -134,8 +134,9 @@ def pack(docs: DataFrame, key: str = "doc_id", text: str = "text", longest: int
     longer = Window.orderBy(F.desc("length")).rowsBetween(Window.unboundedPreceding, -1)  # one row per length
     lengths = counts.groupBy("length").agg(F.sum("n").alias("all")).select(
         "length", F.coalesce(F.sum("all").over(longer), F.lit(0)).alias("longer"))
-    first = counts.select("length", "_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")).join(
-        lengths, "length")
+    # written, so that its small size is known before the pieces would be sent to meet it
+    first = settle(counts.select("length", "_part", F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("before")).join(
+        lengths, "length"), "first-pieces")
     return pieces.join(first, ["length", "_part"]).select(
         F.col("_key").alias(key), "start", "length", "ids_crc32", "doc_tokens",
         (F.col("longer") + F.col("before") + F.col("place")).alias("sequence_id"),
