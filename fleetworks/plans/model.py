@@ -30,9 +30,9 @@ def _inputs(features: DataFrame) -> DataFrame:
 
 
 def _spread(df: DataFrame) -> DataFrame:
-    """At least one partition per core: boosting passes over its rows hundreds of times."""
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
+    """Rows placed by their key, since boosting passes over them hundreds of times and its splits follow the placement."""
+    return df.repartition(
+        int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "equipment_id", "component_id", "date_id")
 
 
 def confusion_counts(predictions: DataFrame) -> DataFrame:

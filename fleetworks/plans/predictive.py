@@ -37,6 +37,15 @@ def fault_component_daily(faults: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
+def _by_machine(df: DataFrame) -> DataFrame:
+    """Rows placed by machine in a stated number of partitions.
+
+    Without a number, adaptive execution would size the partitions by the rows that move, which are few, and not by the
+    grid that is expanded behind them.
+    """
+    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "equipment_id")
+
+
 def machine_days(equipment: DataFrame, telemetry: DataFrame) -> DataFrame:
     """Every working machine on every telemetry date from its installation on.
 
@@ -53,7 +62,7 @@ def dense_spine(equipment: DataFrame, components: DataFrame, telemetry: DataFram
 
     Machines are placed before they expand, so that windows per machine find the grid where they need it.
     """
-    days = machine_days(equipment.repartition("equipment_id"), telemetry)
+    days = machine_days(_by_machine(equipment), telemetry)
     return each_of(days, scalar_array(components, "component_id"), "component_id")
 
 
@@ -73,12 +82,12 @@ def machine_day_context(equipment: DataFrame, telemetry: DataFrame, maintenance:
     Grid rows, telemetry rows and maintenance marks meet in one window per machine. The result stays
     partitioned by machine, which is what the feature windows need next.
     """
-    grid = machine_days(equipment.repartition("equipment_id"), telemetry).withColumn("_kind", F.lit(0))
+    grid = machine_days(_by_machine(equipment), telemetry).withColumn("_kind", F.lit(0))
     readings = telemetry.select("equipment_id", "date_id", "engine_hours", "utilization_hours").withColumn(
-        "_kind", F.lit(1)).repartition("equipment_id")
+        "_kind", F.lit(1)).transform(_by_machine)
     marks = (
         maintenance.select("equipment_id", F.col("scheduled_date").alias("date_id")).distinct()
-        .withColumn("_mark", F.col("date_id")).withColumn("_kind", F.lit(2)).repartition("equipment_id")
+        .withColumn("_mark", F.col("date_id")).withColumn("_kind", F.lit(2)).transform(_by_machine)
     )
     rows = grid.unionByName(readings, allowMissingColumns=True).unionByName(marks, allowMissingColumns=True)
     order = Window.partitionBy("equipment_id").orderBy("_day")
@@ -112,12 +121,12 @@ def labelled_features(equipment: DataFrame, components: DataFrame, telemetry: Da
     """
     context = machine_day_context(equipment, telemetry, maintenance)
     grid = each_of(context, scalar_array(components, "component_id"), "component_id").withColumn("_grid", F.lit(1))
-    faults = component_faults.withColumn("_grid", F.lit(0)).repartition("equipment_id")
+    faults = component_faults.withColumn("_grid", F.lit(0)).transform(_by_machine)
     rows = grid.unionByName(faults, allowMissingColumns=True)
     if failures is not None:
         failed = (
             failures.select("equipment_id", "component_id", F.col("failure_date").alias("date_id")).distinct()
-            .withColumn("_failed", F.lit(1)).withColumn("_grid", F.lit(0)).repartition("equipment_id")
+            .withColumn("_failed", F.lit(1)).withColumn("_grid", F.lit(0)).transform(_by_machine)
         )
         rows = rows.unionByName(failed, allowMissingColumns=True)
     rows = rows.withColumn("_day", day_number(F.col("date_id")))
@@ -166,7 +175,7 @@ def failure_labels(spine: DataFrame, failures: DataFrame, label_days: int = C.LA
     """
     failed = (
         failures.select(*GRID, F.col("failure_date").alias("date_id")).distinct().withColumn("_failed", F.lit(1))
-        .repartition("equipment_id")
+        .transform(_by_machine)
     )
     rows = spine.withColumn("_failed", F.lit(None).cast("int")).unionByName(failed, allowMissingColumns=True)
     tagged = rows.withColumn("_day", day_number(F.col("date_id")))

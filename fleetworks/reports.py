@@ -597,10 +597,17 @@ def _as_files(df: DataFrame, label: str, files: int) -> str:
     return path
 
 
+def _spoiled(messages: DataFrame, every: int) -> DataFrame:
+    """A share of the messages cut off in the middle."""
+    cut = F.pmod(F.xxhash64("value"), F.lit(every)) == 0
+    return messages.filter(cut).withColumn("value", F.expr("left(value, length(value) - 2)"))
+
+
 @report
 def stream_fault_append(spark, root):
-    bed = Testbed(spark, root)
-    source = _as_files(_fault_messages(bed), "fault-messages", 4)
+    """Fault messages over several batches, some of them sent a second time cut off, which lands nowhere."""
+    messages = _fault_messages(Testbed(spark, root))
+    source = _as_files(messages.unionByName(_spoiled(messages, 5)), "fault-messages", 4)
     target, checkpoint = scratch_dir(spark, "landed"), scratch_dir(spark, "offsets")
     sink = FaultLanding(target)
     drain(sink.decode(file_source(spark, source, 2)), sink, checkpoint)
@@ -609,11 +616,16 @@ def stream_fault_append(spark, root):
 
 @report
 def stream_upsert_daily(spark, root):
-    bed = Testbed(spark, root)
-    rows = telemetry.telemetry_daily_rollup(bed.faults()).drop("engine_hours")
-    source = _as_files(as_messages(rows, "equipment_id"), "telemetry-messages", 4)
+    """Half of the machine-days arrive with other hours and again cut off, then all of them as they are."""
+    rows = settle(telemetry.telemetry_daily_rollup(Testbed(spark, root).faults()).drop("engine_hours"), "telemetry-rows")
+    final = as_messages(rows, "equipment_id")
+    early = as_messages(rows.filter(F.pmod("equipment_id", F.lit(2)) == 0).withColumn(
+        "utilization_hours", F.lit(0).cast(rows.schema["utilization_hours"].dataType)), "equipment_id")
     target, checkpoint = scratch_dir(spark, "landed"), scratch_dir(spark, "offsets")
+    source = _as_files(early.unionByName(_spoiled(final, 3)), "telemetry-messages", 2)
     sink = TelemetryLanding(target)
+    drain(sink.decode(file_source(spark, source, 1)), sink, checkpoint)
+    final.repartition(4).write.mode("append").parquet(source)
     drain(sink.decode(file_source(spark, source, 2)), sink, checkpoint)
     return present(sink.read(spark).drop("engine_hours"))
 

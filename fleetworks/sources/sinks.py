@@ -28,7 +28,7 @@ def write_daily_csv(df: DataFrame, day: str, path: str) -> None:
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], parallel: int = 8) -> None:
     """Append over JDBC with a bounded number of connections."""
-    df.coalesce(parallel).write.jdbc(url, table, mode="append", properties=dict(properties))
+    df.repartition(parallel).write.jdbc(url, table, mode="append", properties=dict(properties))
 
 
 def append_missing(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:

@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetworks.schemas import FAULT_MESSAGE, TELEMETRY_MESSAGE
-from fleetworks.streaming.messages import decode
+from fleetworks.streaming.messages import POSITION, decode
 
 TELEMETRY_COLUMNS = [
     "utilization_hours", "fault_count_info", "fault_count_warning", "fault_count_critical",
@@ -31,6 +31,12 @@ def drop_path(spark: SparkSession, path: str) -> None:
     target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
+def batch_folder(batch: DataFrame, batch_id: int) -> str:
+    """Where a batch's files belong. Batch numbers start again with a new checkpoint, so its query's id is part of it."""
+    run = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "direct"
+    return f"run={run}/batch_id={batch_id}"
+
+
 def latest_by_key(batch: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
     """The last row per key in ``order``; an aggregate, so duplicates fold before the shuffle."""
     values = [c for c in batch.columns if c not in keys and c not in order]
@@ -53,9 +59,9 @@ def merge_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str], updat
 
 
 class FaultLanding:
-    """Append-only log of fault events, one folder per batch, so a replayed batch replaces itself.
+    """Append-only log of fault events, one folder per checkpoint and batch, so a replayed batch replaces itself.
 
-    Rows without a machine, date or code are malformed and go to the quarantine folder.
+    Rows without a machine, date or code, or with a field that can't be read, go to the quarantine folder.
     """
 
     def __init__(self, path: str):
@@ -69,22 +75,25 @@ class FaultLanding:
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
         if batch.isEmpty():
             return
-        good = F.col("equipment_id").isNotNull() & F.col("event_date").isNotNull() & F.col("fault_code").isNotNull()
-        batch.filter(good).drop("raw").write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
-        batch.filter(~good).select("raw").write.mode("overwrite").parquet(f"{self.quarantine}/batch_id={batch_id}")
+        good = (F.col("equipment_id").isNotNull() & F.col("event_date").isNotNull() & F.col("fault_code").isNotNull()
+                & ~F.col("malformed"))
+        folder = batch_folder(batch, batch_id)
+        batch.filter(good).drop("raw", "malformed", POSITION).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        batch.filter(~good).select("raw").write.mode("overwrite").parquet(f"{self.quarantine}/{folder}")
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(
-            "equipment_id BIGINT, event_date DATE, fault_code STRING, severity STRING, batch_id BIGINT"
-        ).option("basePath", self.path).parquet(self.path)
+            "equipment_id BIGINT, event_date DATE, fault_code STRING, severity STRING, run STRING, batch_id BIGINT"
+        ).option("basePath", self.path).parquet(self.path).drop("run")
 
 
 class KeyedUpsert:
     """A parquet table partitioned by date, kept at one row per key.
 
-    A batch only touches the dates it carries. The new content of those dates is written to the batch's
-    staging folder first; swapping it in overwrites just these partitions. A replay finds the finished staging
-    folder and repeats the swap, so a crash halfway leaves nothing lost and nothing doubled.
+    A batch only touches the dates it carries. The new content of those dates is written to a staging folder of
+    its checkpoint and batch first; swapping it in overwrites just these partitions. A replay finds the finished
+    staging folder and repeats the swap, so a crash halfway leaves nothing lost and nothing doubled. Of several rows
+    of a key, the one with the greatest position wins; a batch that repeats a key without positions is refused.
     """
 
     def __init__(self, path: str, name: str, schema: str, keys: Sequence[str], update: Sequence[str], day: str = "date_id"):
@@ -97,27 +106,31 @@ class KeyedUpsert:
         if batch.isEmpty():
             return
         spark = batch.sparkSession
-        staged = f"{self.staging}/batch_id={batch_id}"
+        folder = batch_folder(batch, batch_id)
+        staged = f"{self.staging}/{folder}"
         if not path_exists(spark, f"{staged}/_SUCCESS"):
-            # messages of one machine arrive in one partition in order, so position there decides which is last
-            numbered = batch.withColumn("_seq", F.monotonically_increasing_id()).persist()
-            self._stage(numbered, batch_id, staged)
-            numbered.unpersist()
+            kept = batch.persist()
+            self._stage(kept, folder, staged)
+            kept.unpersist()
         merged = spark.read.schema(self.schema).parquet(staged)
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.day).parquet(self.path)
         # a later batch only starts once the one before is committed, so its staging can never be needed again
-        drop_path(spark, f"{self.staging}/batch_id={batch_id - 1}")
+        drop_path(spark, f"{self.staging}/{batch_folder(batch, batch_id - 1)}")
 
-    def _stage(self, batch: DataFrame, batch_id: int, staged: str) -> None:
+    def _stage(self, batch: DataFrame, folder: str, staged: str) -> None:
         good = reduce(Column.__and__, [F.col(k).isNotNull() for k in self.keys])
+        if "malformed" in batch.columns:
+            good = good & ~F.col("malformed")
         rows = batch.filter(good)
         if "raw" in batch.columns:
-            batch.filter(~good).select("raw").write.mode("overwrite").parquet(f"{self.quarantine}/batch_id={batch_id}")
-            rows = rows.drop("raw")
-        rows = latest_by_key(rows, self.keys, ["_seq"])
-        # calendar days of one batch: few by nature, and as literals they prune partitions at the scan
-        days = [r[0] for r in rows.select(self.day).distinct().collect()]
-        affected = self.read(batch.sparkSession).filter(F.col(self.day).isin(days))
+            batch.filter(~good).select("raw").write.mode("overwrite").parquet(f"{self.quarantine}/{folder}")
+        rows = rows.drop("raw", "malformed")
+        if POSITION in rows.columns:
+            rows = latest_by_key(rows, self.keys, [POSITION])
+        elif not rows.groupBy(*self.keys).count().filter("count > 1").isEmpty():
+            raise ValueError(f"a key is repeated and nothing says which row is last: give the source a {POSITION}")
+        # the days of the batch prune the table's partitions when the join runs
+        affected = self.read(batch.sparkSession).join(rows.select(self.day).distinct(), self.day, "left_semi")
         merged = merge_rows(affected, rows, self.keys, self.update)
         # rebalancing by day keeps files large and still splits a day too big for one task
         merged.hint("rebalance", self.day).write.mode("overwrite").partitionBy(self.day).parquet(staged)
@@ -141,12 +154,14 @@ class TelemetryLanding(KeyedUpsert):
 
     def decode(self, messages: DataFrame) -> DataFrame:
         rows = decode(messages, TELEMETRY_MESSAGE)
-        return rows.withColumns({
+        read = {
             "date_id": F.try_to_date("date_id"),
             "utilization_hours": F.col("utilization_hours").try_cast("decimal(5,1)"),
             "avg_sensor_reading": F.col("avg_sensor_reading").try_cast("decimal(10,3)"),
             "max_sensor_reading": F.col("max_sensor_reading").try_cast("decimal(10,3)"),
-        })
+        }
+        lost = reduce(Column.__or__, [F.col(name).isNotNull() & value.isNull() for name, value in read.items()])
+        return rows.withColumns({**read, "malformed": F.col("malformed") | lost})
 
 
 def drain(rows: DataFrame, sink, checkpoint: str) -> None:

@@ -5,19 +5,21 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 
-def daily_fault_rollup(events: DataFrame, late_by: str = "60 days") -> DataFrame:
+def daily_fault_rollup(events: DataFrame, late_by: str | None = None) -> DataFrame:
     """Fault counts per machine, UTC day and severity, for update mode.
 
     ``events`` has a timestamp ``ts``. Each batch emits the groups it touched with their full counts so far,
     so a keyed upsert of the output is always current. Append mode would hold back the open days and drop
-    files that arrive out of order; the watermark only bounds how long a day can still be corrected.
+    files that arrive out of order. Without ``late_by`` every day can always be corrected, and the state has as many
+    rows as the result. With it, days older than that are closed and rows that come later still are lost: give it only
+    where the landed log corrects them in batch.
     """
     day = F.window("ts", "1 day")
     # windows start at midnight UTC, whatever zone the session shows times in
     utc_date = F.date_from_unix_date(F.floor(F.unix_micros("day.start") / 86400000000).cast("int"))
+    open_days = events.withWatermark("ts", late_by) if late_by else events
     return (
-        events.withWatermark("ts", late_by)
-        .groupBy(day.alias("day"), "equipment_id")
+        open_days.groupBy(day.alias("day"), "equipment_id")
         .agg(*[F.count_if(F.col("severity") == level).cast("int").alias(f"fault_count_{level.lower()}")
                for level in ("Info", "Warning", "Critical")],
              F.count("*").alias("event_count"), F.max("reading").alias("max_sensor_reading"))

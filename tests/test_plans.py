@@ -118,3 +118,12 @@ def test_scratch_follows_the_session(spark):
     lost.conf = Unset()
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
         scratch_dir(lost, "x")
+
+
+def test_grid_is_spread(spark):
+    bed = Testbed(spark, DATA)
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    for grid in (predictive.dense_spine(bed.equipment(), bed.components(), FeatureInputs(bed).telemetry()),
+                 FeatureInputs(bed).features(labelled=True)):
+        filled = grid.select(F.spark_partition_id().alias("part")).distinct().count()
+        assert filled > wanted / 2

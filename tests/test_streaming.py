@@ -2,7 +2,9 @@ from __future__ import annotations
 
 import datetime as dt
 import json
+import time
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetworks.sources import append_missing, as_messages, write_daily_csv
@@ -53,6 +55,46 @@ def test_replay_repeats_the_swap_from_staging(spark, frame, tmp_path):
     assert tuples(sink.read(spark)) == once
 
 
+def test_a_new_checkpoint_loses_nothing(spark, frame, tmp_path):
+    target = str(tmp_path / "out")
+    for n, rows in enumerate([[message(1, "2024-01-01", 5.0)], [message(1, "2024-01-01", 6.0), message(2, "2024-01-01", 7.0)]]):
+        sink, source = TelemetryLanding(target), str(tmp_path / f"in{n}")
+        send(frame, source, rows)
+        drain(sink.decode(file_source(spark, source)), sink, str(tmp_path / f"offsets{n}"))
+    assert tuples(sink.read(spark), "equipment_id", "utilization_hours") == [(1, 6.0), (2, 7.0)]
+    faults = FaultLanding(target)
+    for n in range(2):
+        source = str(tmp_path / f"faults{n}")
+        frame("equipment_id long, event_date string, fault_code string, severity string", [(n, "2024-01-01", "A", "Info")]).transform(
+            lambda df: as_messages(df, "equipment_id")).write.parquet(source)
+        drain(faults.decode(file_source(spark, source)), faults, str(tmp_path / f"fault-offsets{n}"))
+    assert tuples(faults.read(spark), "equipment_id") == [(0,), (1,)]
+
+
+def test_the_later_file_of_a_batch_wins(spark, frame, tmp_path):
+    source, sink = str(tmp_path / "in"), TelemetryLanding(str(tmp_path / "out"))
+    for hours in (1.0, 3.0, 2.0):
+        send(frame, source, [message(1, "2024-01-01", hours)])
+        time.sleep(1.1)
+    drain(sink.decode(file_source(spark, source)), sink, str(tmp_path / "offsets"))
+    assert tuples(sink.read(spark), "utilization_hours") == [(2.0,)]
+
+
+def test_an_unreadable_number_never_replaces_a_good_one(spark, frame, tmp_path):
+    source, sink = str(tmp_path / "in"), TelemetryLanding(str(tmp_path / "out"))
+    send(frame, source, [message(1, "2024-01-01", 4.0)], [message(1, "2024-01-01", "many"), message(2, "2024-01-01", 1e9)])
+    for _ in range(2):
+        drain(sink.decode(file_source(spark, source, 1)), sink, str(tmp_path / "offsets"))
+    assert tuples(sink.read(spark), "equipment_id", "utilization_hours") == [(1, 4.0)]
+    assert spark.read.parquet(sink.quarantine).count() == 2
+
+
+def test_repeated_keys_need_an_order(spark, frame, tmp_path):
+    sink = TelemetryLanding(str(tmp_path / "out"))
+    with pytest.raises(ValueError):
+        sink(sink.decode(frame(MESSAGE, [message(1, "2024-01-01", 4.0), message(1, "2024-01-01", 5.0)])), 0)
+
+
 def test_untouched_columns_and_days_keep_their_values(spark, frame):
     schema = "equipment_id long, date_id date, engine_hours double, utilization_hours double"
     existing = frame(schema, [(1, day("2024-01-01"), 50.0, 1.0), (2, day("2024-01-01"), 60.0, 1.0)])
