@@ -312,6 +312,19 @@ def gbt_scored(spark, root):
     return present(model.score_latest(features, fitted))
 
 
+@report
+def gbt_score_checks(spark, root):
+    """What must hold of the model's scores, whatever it learned: who is scored, when, from what, and what follows."""
+    features = settle(FeatureInputs(Testbed(spark, root)).features(labelled=True), "features")
+    fitted, judged = model.train_and_evaluate(features, HOLDOUT_DAYS)
+    probability = F.col("failure_probability")
+    status = F.when(probability >= 0.70, "Action Recommended").when(probability >= 0.40, "Watch").otherwise("New")
+    return present(model.score_latest(features, fitted).select(
+        "equipment_id", "component_id", "scoring_date", "weighted_score_7d", F.col("critical_count_7d").cast("bigint"),
+        probability.between(0, 1).cast("int").alias("is_probability"), (F.col("signal_status") == status).cast("int").alias("status_follows"),
+        F.lit(sum(judged.confusion.values())).alias("held_out_rows")))
+
+
 class SignalChain:
     """Signals and each step after them. The numbered signals are written once and shared by all steps."""
 

@@ -227,6 +227,14 @@ SELECT r.equipment_id, r.component_id, r.date_id, r.model_id, r.customer_id, r.s
 FROM rolled r LEFT JOIN daily d ON d.equipment_id = r.equipment_id AND d.date_id = r.date_id
 LEFT JOIN last_marks l ON l.equipment_id = r.equipment_id AND l.date_id = r.date_id""")
 
+check("gbt_score_checks",
+      "equipment_id:i component_id:i scoring_date:d weighted_score_7d:f critical_count_7d:i is_probability:i status_follows:i"
+      " held_out_rows:i", """
+SELECT r.equipment_id, r.component_id, r.date_id AS scoring_date, r.score_7 AS weighted_score_7d,
+  r.criticals_7 AS critical_count_7d, 1 AS is_probability, 1 AS status_follows,
+  (SELECT COUNT(*) FROM labelled l, newest n WHERE l.date_id >= n.day - 10) AS held_out_rows
+FROM rolled r, newest WHERE r.date_id = newest.day""")
+
 check("failure_labels", "equipment_id:i component_id:i date_id:d label:i", "SELECT * FROM labelled")
 
 check("time_split_label_rate", "split:s row_count:i positives:i positive_rate:f", """

@@ -7,12 +7,13 @@ import os
 import duckdb
 import pytest
 
-import __spark_entry__ as entrypoint
+from fleetworks.reports import REPORTS
+from oracle import ORACLE
 from tools.verify import TABLES, compare, duck
 
 DATA = "/root/testdata/sf0.001"
 SLOW = {"gbt_scored"}
-NAMES = [n for n in entrypoint.queries() if n not in SLOW]
+NAMES = [n for n in REPORTS if n not in SLOW]
 
 # a third of the rows go to one key; ORDER BY keeps the choice of rows repeatable
 SKEW = {
@@ -56,7 +57,7 @@ def test_report_matches_sql_on_the_given_tables(spark, name):
 
 
 def test_every_report_but_the_model_has_sql():
-    assert set(entrypoint.oracle_sql()) == set(NAMES)
+    assert set(ORACLE) == set(NAMES)
 
 
 def test_entry(spark):
