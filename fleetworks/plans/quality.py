@@ -21,8 +21,9 @@ def duplicate_keys(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return present.groupBy(*keys).agg(F.count("*").alias("n")).filter(F.col("n") > 1)
 
 
-def _unlisted(column: str, values: Sequence) -> Column:
-    return F.col(column).isNotNull() & ~F.col(column).isin(list(values))
+def _unlisted(column: str, values: Sequence | Column) -> Column:
+    listed = F.array_contains(values, F.col(column)) if isinstance(values, Column) else F.col(column).isin(list(values))
+    return F.col(column).isNotNull() & ~listed
 
 
 def unlisted_values(df: DataFrame, column: str, values: Sequence) -> DataFrame:
@@ -47,7 +48,7 @@ def _total(violating: DataFrame, name: str) -> DataFrame:
 
 
 def check_table(df: DataFrame, table: str, rules: Constraints, parents: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Violation counts for a table's declared constraints; references to tables not given are skipped."""
+    """Violation counts for a table's declared constraints; a reference to a table not given is reported as not checked."""
     rows: dict[str, Column] = {}
     for column in (*rules.key, *rules.not_null):
         rows[f"{column} not null"] = F.col(column).isNull()
@@ -62,6 +63,10 @@ def check_table(df: DataFrame, table: str, rules: Constraints, parents: Mapping[
         if parent in parents:
             lost = orphans(df, column, parents[parent], parent_column)
             reports.append(_total(lost, f"{table}: {column} in {parent}"))
+        else:
+            name = f"{table}: {column} in {parent} (not checked)"
+            reports.append(df.sparkSession.range(1).select(
+                F.lit(name).alias("check_name"), F.lit(None).cast("bigint").alias("violations")))
     return reports
 
 
@@ -94,8 +99,8 @@ RESULT_CHECKS: dict[str, Constraints] = {
 }
 
 
-def check_results(results: Mapping[str, DataFrame], branches: Sequence[str] = C.BRANCHES) -> DataFrame:
-    """The data tests on finished results. Finance has one row per customer and month, so it has no single key."""
+def check_results(results: Mapping[str, DataFrame], branches: Sequence[str] | Column = C.BRANCHES) -> DataFrame:
+    """The data tests on finished results; ``branches`` may be an array column. Finance has one row per customer and month, so it has no single key."""
     reports = []
     for name, df in results.items():
         rules = RESULT_CHECKS[name]

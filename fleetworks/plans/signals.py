@@ -217,29 +217,36 @@ def catalog_gaps_summary(gaps: DataFrame) -> DataFrame:
     ).orderBy(F.desc("total_gaps"), "model_id", "component_id")
 
 
-def signal_outcomes(signals: DataFrame, failures: DataFrame, work_orders: DataFrame) -> DataFrame:
-    """Whether the predicted component failed inside the window, how early the signal was, and its order."""
+def signal_outcomes(signals: DataFrame, failures: DataFrame, work_orders: DataFrame, observed_until: Column) -> DataFrame:
+    """Whether the predicted component failed inside the window, how early the signal was, and its order.
+
+    A failure counts from the day after the signal on, as it does in the training label. A signal that nothing has
+    confirmed while its window reaches beyond ``observed_until`` is undecided: its outcome is NULL.
+    """
+    window = F.col("recommended_action_window_days")
     renamed = failures.withColumnRenamed("component_id", "predicted_component_id")
-    followed = next_at_or_after(signals, renamed, ["equipment_id", "predicted_component_id"], "scoring_date",
-                                "failure_date", "_failure")
+    followed = next_at_or_after(
+        signals.withColumn("_from", F.date_add("scoring_date", 1)), renamed, ["equipment_id", "predicted_component_id"],
+        "_from", "failure_date", "_failure")
     lead = F.datediff("_failure", "scoring_date")
-    confirmed = lead <= F.col("recommended_action_window_days")
+    confirmed = lead <= window
+    ended = F.date_add("scoring_date", window) <= observed_until
     orders = best_per_group(
         work_orders.filter(F.col("source_signal_id").isNotNull()).withColumnRenamed("source_signal_id", "signal_id"),
         ["signal_id"], F.col("work_order_id"), ["work_order_id"])
     return followed.join(orders, "signal_id", "left").select(
         "signal_id",
-        F.when(confirmed, "Confirmed Failure").otherwise("False Positive").alias("actual_outcome"),
+        F.when(confirmed, "Confirmed Failure").when(ended, "False Positive").alias("actual_outcome"),
         F.when(confirmed, lead).alias("lead_time_delivered_days"),
         F.col("work_order_id").alias("resulting_work_order_id"))
 
 
 def outcome_precision(outcomes: DataFrame) -> DataFrame:
-    """Share of signals a failure confirmed, and their average notice."""
+    """Share of the decided signals that a failure confirmed, and their average notice."""
     hit = F.col("actual_outcome") == "Confirmed Failure"
     return outcomes.agg(
-        F.count("*").alias("signals"), F.count_if(hit).alias("confirmed"),
-        F.avg(F.when(hit, 1.0).otherwise(0.0)).alias("precision"),
+        F.count("*").alias("signals"), F.count("actual_outcome").alias("decided"), F.count_if(hit).alias("confirmed"),
+        F.avg(F.when(hit, 1.0).when(F.col("actual_outcome").isNotNull(), 0.0)).alias("precision"),
         F.avg("lead_time_delivered_days").alias("avg_lead_time_days"))
 
 

@@ -9,19 +9,17 @@ from fleetworks.functions import iso_weekday, month_name
 from fleetworks.operators import active_count_by_day, calendar_days, expand_days
 
 
-def telemetry_daily_rollup(events: DataFrame, utilization: Column | None = None) -> DataFrame:
+def telemetry_daily_rollup(events: DataFrame, utilization: Column) -> DataFrame:
     """Faults by severity and sensor readings per machine and day, with running engine hours.
 
-    ``events`` has equipment_id, event_date, severity and reading. Utilisation is estimated as half an hour per
-    event up to a full day unless given. The running sum only sees one row per machine and day.
+    ``events`` has equipment_id, event_date, severity and reading; ``utilization`` is the aggregate that gives a day's
+    hours from them. The running sum only sees one row per machine and day.
     """
-    used = utilization if utilization is not None else F.least(F.lit(24.0), F.count("*") * F.lit(0.5))
-
     def faults(level: str) -> Column:
         return F.count_if(F.col("severity") == level).cast("int").alias(f"fault_count_{level.lower()}")
 
     daily = events.groupBy("equipment_id", F.col("event_date").alias("date_id")).agg(
-        used.cast("decimal(5,1)").alias("utilization_hours"),
+        utilization.cast("decimal(5,1)").alias("utilization_hours"),
         faults("Info"), faults("Warning"), faults("Critical"),
         (F.sum(F.col("reading").cast("decimal(12,3)")) / F.nullif(F.count("reading"), F.lit(0)).cast("decimal(14,0)"))
         .cast("decimal(20,6)").alias("_mean"),
@@ -70,7 +68,10 @@ def active_windows_daily(intervals: DataFrame, start: str, end: str, by: list[st
 def stab(points: DataFrame, intervals: DataFrame, keys: list[str], day: str, start: str, end: str) -> DataFrame:
     """Each point with every interval of its key that contains its day.
 
-    Intervals expand to their days, so the join is a plain equality one.
+    Intervals expand to their days, but to none before the first point or after the last one, so that a long or open
+    one (no end) stays bounded, and the join is a plain equality one.
     """
-    expanded = expand_days(intervals, F.col(start), F.col(end), day)
+    first, last = (points.agg(bound(day)).scalar() for bound in (F.min, F.max))
+    dated = intervals.filter(F.col(start).isNotNull())
+    expanded = expand_days(dated, F.greatest(F.col(start), first), F.least(F.col(end), last), day)
     return points.join(expanded, [*keys, day])

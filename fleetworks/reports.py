@@ -7,7 +7,6 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
-from fleetworks.functions import day_number
 from fleetworks.operators import number_rows, scalar_array
 from fleetworks.plans import finance, governance, inventory, model, predictive, quality, service, signals, staging, telemetry
 from fleetworks.schemas import Constraints
@@ -147,10 +146,14 @@ def corrective_gaps(spark, root):
     return present(service.corrective_gaps(Testbed(spark, root).work_orders()))
 
 
+def _telemetry(bed: Testbed) -> DataFrame:
+    return telemetry.telemetry_daily_rollup(bed.faults(), bed.utilization())
+
+
 def _fleet(bed: Testbed) -> DataFrame:
     return service.fleet_operations(
         bed.equipment(), bed.models(), bed.categories(), bed.customers(),
-        telemetry.telemetry_daily_rollup(bed.faults()), bed.work_orders(), bed.rentals_by_machine())
+        _telemetry(bed), bed.work_orders(), bed.rentals_by_machine())
 
 
 @report
@@ -200,12 +203,15 @@ def inventory_replenishment(spark, root):
     return present(_stock(Testbed(spark, root)))
 
 
+def _warehouse(bed: Testbed, demand: DataFrame) -> DataFrame:
+    used = inventory.parts_consumption(bed.parts_used(), bed.work_orders())
+    return inventory.warehouse_inventory(staging.inventory(_stock(bed)), bed.parts(), used, demand)
+
+
 @report
 def warehouse_inventory(spark, root):
     bed = Testbed(spark, root)
-    chain = SignalChain(bed)
-    used = inventory.parts_consumption(bed.parts_used(), bed.work_orders())
-    return present(inventory.warehouse_inventory(staging.inventory(_stock(bed)), bed.parts(), used, chain.demand()))
+    return present(_warehouse(bed, SignalChain(bed).demand()))
 
 
 @report
@@ -230,9 +236,17 @@ def calendar(spark, root):
     return present(telemetry.calendar_between(orders, F.min(day), F.max(day)))
 
 
+@report
+def calendar_padded(spark, root):
+    """The calendar with month names filled up to nine characters."""
+    orders = Testbed(spark, root).raw("orders")
+    day = F.col("o_orderdate").cast("date")
+    return present(telemetry.calendar_between(orders, F.min(day), F.max(day), padded_names=True))
+
+
 @report
 def telemetry_daily_rollup(spark, root):
-    return present(telemetry.telemetry_daily_rollup(Testbed(spark, root).faults()))
+    return present(_telemetry(Testbed(spark, root)))
 
 
 # Predictive maintenance
@@ -243,7 +257,7 @@ class FeatureInputs:
         self.bed = bed
 
     def telemetry(self) -> DataFrame:
-        return telemetry.telemetry_daily_rollup(self.bed.faults())
+        return _telemetry(self.bed)
 
     def component_faults(self) -> DataFrame:
         return predictive.fault_component_daily(self.bed.faults(), self.bed.fault_bridge())
@@ -299,6 +313,15 @@ def time_split_label_rate(spark, root):
     return present(predictive.label_rates(predictive.holdout_split(labelled, HOLDOUT_DAYS)), {"positive_rate": 6})
 
 
+@report
+def purged_split_label_rate(spark, root):
+    """The split without the training days whose labels look into the test period, up to five of them."""
+    bed = Testbed(spark, root)
+    spine = predictive.dense_spine(bed.equipment(), bed.components(), FeatureInputs(bed).telemetry())
+    labelled = predictive.failure_labels(spine, bed.failures())
+    return present(predictive.label_rates(predictive.holdout_split(labelled, HOLDOUT_DAYS, 5)), {"positive_rate": 6})
+
+
 @report
 def recent_faults(spark, root):
     recent = predictive.recent_days(Testbed(spark, root).faults(), "event_date", 7)
@@ -440,16 +463,13 @@ def signal_funnel(spark, root):
 
 
 def _outcomes(bed: Testbed) -> DataFrame:
-    """Signals of every day judged against later failures, from the rolling scores of the whole grid."""
-    grid = FeatureInputs(bed).features(labelled=False)
-    risky = grid.filter(F.col("weighted_score_7d") >= 12).select(
-        "equipment_id", "component_id", F.col("date_id").alias("scoring_date"))
-    window = predictive.lookup(predictive.C.ACTION_WINDOW_BY_COMPONENT, F.col("component_id"))
-    key = (F.col("equipment_id") * 64 + F.col("component_id")) * 100000 + day_number(F.col("scoring_date"))
-    rows = risky.select(
-        key.alias("signal_id"), "equipment_id", F.col("component_id").alias("predicted_component_id"), "scoring_date",
-        window.alias("recommended_action_window_days"))
-    return signals.signal_outcomes(rows, bed.failures(), bed.work_orders())
+    """The signals above New that the triage rule makes on each day of the grid, judged against later failures."""
+    probability = F.round(predictive.risk_score("weighted_score_30d", midpoint=38.0, steepness=0.12), 4)
+    risky = FeatureInputs(bed).features(labelled=False).filter(predictive.triage_status(probability) != "New").select(
+        "equipment_id", F.col("component_id").alias("predicted_component_id"), F.col("date_id").alias("scoring_date"),
+        predictive.lookup(predictive.C.ACTION_WINDOW_BY_COMPONENT, F.col("component_id")).alias("recommended_action_window_days"))
+    numbered = number_rows(risky, ["scoring_date", "equipment_id", "predicted_component_id"], "signal_id")
+    return signals.signal_outcomes(numbered, bed.failures(), bed.work_orders(), bed.last_day())
 
 
 @report
@@ -494,6 +514,13 @@ def secure_sales(spark, root):
     return present(seen.select("customer_id", "event_date", "amount"))
 
 
+@report
+def secure_tax_filings(spark, root):
+    inputs = FinanceInputs(spark, root)
+    return present(governance.visible_through_customer(
+        inputs.filings(), inputs.bed.customers(), "analyst_west", REGIONS_BY_ROLE))
+
+
 @report
 def secure_row_counts(spark, root):
     """Customers and sales each role can see."""
@@ -513,18 +540,20 @@ def secure_row_counts(spark, root):
 
 @report
 def audit_diff(spark, root):
-    """Customers against a version with some rows removed, some changed and some added."""
-    before = Testbed(spark, root).raw("customer").select("c_custkey", "c_name", "c_acctbal")
+    """Customers, all their columns, against a version with some rows removed, some changed and some added."""
+    before = Testbed(spark, root).raw("customer")
     key = F.col("c_custkey")
     kept = before.filter(F.pmod(key, F.lit(17)) != 0).withColumn(
-        "c_acctbal", F.when(F.pmod(key, F.lit(13)) == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal")))
+        "c_acctbal", F.when(F.pmod(key, F.lit(13)) == 0, F.col("c_acctbal") + 1).otherwise(F.col("c_acctbal"))).withColumn(
+        "c_mktsegment", F.when(F.pmod(key, F.lit(11)) == 0, F.lit("MOVED")).otherwise(F.col("c_mktsegment")))
     added = before.filter(F.pmod(key, F.lit(19)) == 0).withColumn("c_custkey", key + 1000000000)
     log = governance.audit_diff(before, kept.unionByName(added), ["c_custkey"], "customer", "loader", CREATED_AT)
-    balance = "$.c_acctbal"
+    balance, segment = "$.c_acctbal", "$.c_mktsegment"
     return present(log.select(
         "c_custkey", "table_name", "operation", "db_user",
         F.round(F.get_json_object("old_data", balance).cast("double"), 2).alias("old_balance"),
-        F.round(F.get_json_object("new_data", balance).cast("double"), 2).alias("new_balance")))
+        F.round(F.get_json_object("new_data", balance).cast("double"), 2).alias("new_balance"),
+        F.get_json_object("old_data", segment).alias("old_segment"), F.get_json_object("new_data", segment).alias("new_segment")))
 
 
 @report
@@ -563,23 +592,31 @@ def quality_report(spark, root):
          .withColumn("work_order_id", F.col("l_orderkey"))}, rules))
 
 
+def _changed(df: DataFrame, column: str, value, key: str, every: int) -> DataFrame:
+    """A planted fault: another value in the rows whose key ``every`` divides."""
+    return df.withColumn(column, F.when(F.pmod(F.col(key), F.lit(every)) == 0, F.lit(value)).otherwise(F.col(column)))
+
+
 @report
 def result_checks(spark, root):
+    """The marts with planted faults: repeated machines, odd owners and branches, probabilities above one."""
     bed = Testbed(spark, root)
     inputs = FinanceInputs(spark, root)
     chain = SignalChain(bed)
     monthly_finance = settle(inputs.monthly_finance(), "finance-monthly")
+    fleet = settle(_fleet(bed), "fleet")
+    fleet = _changed(fleet.unionByName(fleet.filter("equipment_id % 97 = 0")), "ownership_type", "Borrowed", "equipment_id", 61)
     # results are tables: each is computed once and then read by its checks
     results = {
         "finance_monthly": monthly_finance,
         "customer_concentration": settle(inputs.concentration(monthly_finance), "concentration"),
-        "fleet_operations": bed.equipment(),
-        "predictive_signals": chain.signals,
-        "warehouse_inventory": settle(staging.inventory(_stock(bed)), "stock"),
+        "fleet_operations": fleet,
+        "predictive_signals": _changed(settle(chain.enriched(), "enriched"), "failure_probability", 1.5, "signal_id", 89),
+        "warehouse_inventory": _changed(settle(_warehouse(bed, chain.demand()), "stock"), "branch", "Nowhere", "part_id", 83),
         "branch_performance": service.branch_performance(bed.work_orders(technicians=True, tiers=True), bed.technicians()),
         "catalog_gaps": settle(chain.catalog_gaps(), "catalog-gaps"),
     }
-    return present(quality.check_results(results, ["AFRICA", "AMERICA", "ASIA", "EUROPE"]))
+    return present(quality.check_results(results, bed.branches()))
 
 
 # Messages, streams and sinks
@@ -630,7 +667,7 @@ def stream_fault_append(spark, root):
 @report
 def stream_upsert_daily(spark, root):
     """Half of the machine-days arrive with other hours and again cut off, then all of them as they are."""
-    rows = settle(telemetry.telemetry_daily_rollup(Testbed(spark, root).faults()).drop("engine_hours"), "telemetry-rows")
+    rows = settle(_telemetry(Testbed(spark, root)).drop("engine_hours"), "telemetry-rows")
     final = as_messages(rows, "equipment_id")
     early = as_messages(rows.filter(F.pmod("equipment_id", F.lit(2)) == 0).withColumn(
         "utilization_hours", F.lit(0).cast(rows.schema["utilization_hours"].dataType)), "equipment_id")

@@ -13,7 +13,6 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from fleetworks import constants as C
 from fleetworks.functions import lookup
-from fleetworks.operators.expand import each_of
 from fleetworks.sources.literals import literal_frame
 
 AS_OF = date(2001, 6, 30)
@@ -130,10 +129,11 @@ class Testbed:
 
     def part_models(self) -> DataFrame:
         """Part and model fit each other when their keys add up to a multiple of three."""
-        models = self.raw("nation").select(F.array_sort(F.collect_set("n_nationkey"))).scalar()
-        fits = F.pmod(F.col("p_partkey") + F.col("model_id"), F.lit(3)) == 0
-        return each_of(self.raw("part").select("p_partkey"), models, "model_id").filter(fits).select(
-            F.col("p_partkey").alias("part_id"), "model_id")
+        models = self.raw("nation").select(
+            F.col("n_nationkey").alias("model_id"), F.pmod(-F.col("n_nationkey"), F.lit(3)).cast("int").alias("_class"))
+        parts = self.raw("part").select(
+            F.col("p_partkey").alias("part_id"), F.pmod("p_partkey", F.lit(3)).cast("int").alias("_class"))
+        return parts.join(models, "_class").select("part_id", "model_id")
 
     # revenue and work orders
 
@@ -226,6 +226,13 @@ class Testbed:
             F.col("user_id").alias("equipment_id"), F.col("ts").cast("date").alias("event_date"), code.alias("fault_code"),
             lookup(SEVERITY_BY_EVENT, code, "Info").alias("severity"), F.col("value").alias("reading"))
 
+    def utilization(self) -> Column:
+        """Hours of a machine-day, estimated at half an hour an event up to a full day."""
+        return F.least(F.lit(24.0), F.count("*") * F.lit(0.5))
+
+    def last_day(self) -> Column:
+        return self.faults().agg(F.max("event_date")).scalar()
+
     def fault_stream(self, files_per_batch: int = 1000) -> DataFrame:
         """The events file read as a stream, with a real timestamp for watermarks."""
         code = F.col("event_type")

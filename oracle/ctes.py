@@ -405,15 +405,35 @@ LEFT JOIN clients c ON c.customer_id = m.customer_id LEFT JOIN kinds k ON k.mode
 LEFT JOIN units u ON u.component_id = r.predicted_component_id LEFT JOIN booked b ON b.source_signal_id = r.signal_id"""
 
 CTES["outcomes"] = """
-SELECT signal_id, CASE WHEN lead_days <= lead_limit THEN 'Confirmed Failure' ELSE 'False Positive' END AS actual_outcome,
+SELECT signal_id, CASE WHEN lead_days <= lead_limit THEN 'Confirmed Failure'
+    WHEN scored_on + lead_limit <= last_seen THEN 'False Positive' END AS actual_outcome,
   CASE WHEN lead_days <= lead_limit THEN lead_days END AS lead_time_delivered_days,
   (SELECT MIN(work_order_id) FROM jobs WHERE source_signal_id = signal_id) AS resulting_work_order_id
 FROM (
-  SELECT (r.equipment_id * 64 + r.component_id) * 100000 + (r.date_id - DATE '1970-01-01') AS signal_id,
-    CASE r.component_id WHEN 1 THEN 14 WHEN 2 THEN 11 ELSE 8 END AS lead_limit,
+  SELECT ROW_NUMBER() OVER (ORDER BY r.date_id, r.equipment_id, r.component_id) AS signal_id, r.date_id AS scored_on,
+    newest.day AS last_seen, CASE r.component_id WHEN 1 THEN 14 WHEN 2 THEN 11 ELSE 8 END AS lead_limit,
     (SELECT MIN(f.failure_date) FROM failed f WHERE f.equipment_id = r.equipment_id AND f.component_id = r.component_id
-       AND f.failure_date >= r.date_id) - r.date_id AS lead_days
-  FROM rolled r WHERE r.score_7 >= 12)"""
+       AND f.failure_date > r.date_id) - r.date_id AS lead_days
+  FROM rolled r CROSS JOIN newest
+  WHERE ROUND(0.02 + (0.98 - 0.02) / (1.0 + exp(-0.12 * (r.score_30::DOUBLE - 38.0))), 4) >= 0.4)"""
+
+CTES["stock_mart"] = f"""
+SELECT *, CASE WHEN is_dead_stock THEN inventory_value_ghs ELSE 0 END AS dead_stock_value
+FROM (
+  SELECT n.part_id, w.part_number, w.part_name, w.part_category, n.branch, n.snapshot_date, n.qty_on_hand,
+    n.unit_cost AS unit_cost_ghs, CAST(n.qty_on_hand * n.unit_cost AS DECIMAL(24,2)) AS inventory_value_ghs,
+    n.reorder_point, n.days_of_supply, n.qty_on_hand < n.reorder_point AS is_below_reorder_point,
+    {fine("COALESCE(c.yearly, 0)", 6, 11)} AS annualized_consumption,
+    CASE WHEN n.qty_on_hand > 0 THEN {fine("COALESCE(c.yearly, 0) / n.qty_on_hand", 2)} END AS inventory_turnover_ratio,
+    c.last_day AS last_consumption_date, n.snapshot_date - c.last_day AS days_since_last_consumption,
+    n.qty_on_hand > 0 AND (c.last_day IS NULL OR n.snapshot_date - c.last_day > 180) AS is_dead_stock,
+    COALESCE(d.signals, 0) AS predictive_demand_signals, COALESCE(d.qty, 0) AS predictive_demand_qty
+  FROM inventory n LEFT JOIN wares w ON w.part_id = n.part_id
+  LEFT JOIN (SELECT part_id, MAX(scheduled_date) AS last_day, SUM(qty_used)::DOUBLE * 365
+               / (SELECT MAX(scheduled_date) - MIN(scheduled_date) FROM consumed) AS yearly
+             FROM consumed GROUP BY 1) c ON c.part_id = n.part_id
+  LEFT JOIN (SELECT part_id, COUNT(*) AS signals, SUM(expected_qty) AS qty FROM demand GROUP BY 1) d
+    ON d.part_id = n.part_id) AS stock"""
 
 CTES["fleet"] = """
 SELECT m.equipment_id, m.serial_number, m.ownership_type, m.status, m.install_date, k.model_name, k.category_name,

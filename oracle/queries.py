@@ -157,23 +157,7 @@ check("warehouse_inventory",
       "part_id:i part_number:s part_name:s part_category:s branch:s snapshot_date:d qty_on_hand:i unit_cost_ghs:f"
       " inventory_value_ghs:f reorder_point:i days_of_supply:f is_below_reorder_point:b annualized_consumption:f"
       " inventory_turnover_ratio:f last_consumption_date:d days_since_last_consumption:i is_dead_stock:b"
-      " dead_stock_value:f predictive_demand_signals:i predictive_demand_qty:i", f"""
-SELECT *, CASE WHEN is_dead_stock THEN inventory_value_ghs ELSE 0 END AS dead_stock_value
-FROM (
-  SELECT n.part_id, w.part_number, w.part_name, w.part_category, n.branch, n.snapshot_date, n.qty_on_hand,
-    n.unit_cost AS unit_cost_ghs, CAST(n.qty_on_hand * n.unit_cost AS DECIMAL(24,2)) AS inventory_value_ghs,
-    n.reorder_point, n.days_of_supply, n.qty_on_hand < n.reorder_point AS is_below_reorder_point,
-    {fine("COALESCE(c.yearly, 0)", 6, 11)} AS annualized_consumption,
-    CASE WHEN n.qty_on_hand > 0 THEN {fine("COALESCE(c.yearly, 0) / n.qty_on_hand", 2)} END AS inventory_turnover_ratio,
-    c.last_day AS last_consumption_date, n.snapshot_date - c.last_day AS days_since_last_consumption,
-    n.qty_on_hand > 0 AND (c.last_day IS NULL OR n.snapshot_date - c.last_day > 180) AS is_dead_stock,
-    COALESCE(d.signals, 0) AS predictive_demand_signals, COALESCE(d.qty, 0) AS predictive_demand_qty
-  FROM inventory n LEFT JOIN wares w ON w.part_id = n.part_id
-  LEFT JOIN (SELECT part_id, MAX(scheduled_date) AS last_day, SUM(qty_used)::DOUBLE * 365
-               / (SELECT MAX(scheduled_date) - MIN(scheduled_date) FROM consumed) AS yearly
-             FROM consumed GROUP BY 1) c ON c.part_id = n.part_id
-  LEFT JOIN (SELECT part_id, COUNT(*) AS signals, SUM(expected_qty) AS qty FROM demand GROUP BY 1) d
-    ON d.part_id = n.part_id) AS stock""")
+      " dead_stock_value:f predictive_demand_signals:i predictive_demand_qty:i", "SELECT * FROM stock_mart")
 
 check("baseline_demand", "part_id:i expected_qty:i demand_source:s", """
 SELECT part_id, CEIL(SUM(qty_used) * 30.0 / (SELECT GREATEST(1, MAX(scheduled_date) - MIN(scheduled_date)) FROM consumed))
@@ -194,6 +178,11 @@ SELECT day::DATE AS date_id, year(day) AS year, quarter(day) AS quarter, month(d
   dayofmonth(day) AS day, isodow(day) AS day_of_week, isodow(day) >= 6 AS is_weekend
 FROM (SELECT unnest(generate_series(MIN(o_orderdate), MAX(o_orderdate), INTERVAL 1 DAY)) AS day FROM orders) AS d""")
 
+check("calendar_padded", "date_id:d year:i quarter:i month:i month_name:s day:i day_of_week:i is_weekend:b", """
+SELECT day::DATE AS date_id, year(day) AS year, quarter(day) AS quarter, month(day) AS month,
+  rpad(monthname(day), 9, ' ') AS month_name, dayofmonth(day) AS day, isodow(day) AS day_of_week, isodow(day) >= 6 AS is_weekend
+FROM (SELECT unnest(generate_series(MIN(o_orderdate), MAX(o_orderdate), INTERVAL 1 DAY)) AS day FROM orders) AS d""")
+
 _readings = ("fault_count_info:i fault_count_warning:i fault_count_critical:i avg_sensor_reading:f"
              " max_sensor_reading:f")
 check("telemetry_daily_rollup", f"equipment_id:i date_id:d engine_hours:f utilization_hours:f {_readings}",
@@ -242,6 +231,11 @@ SELECT CASE WHEN date_id >= newest.day - 10 THEN 'test' ELSE 'train' END AS spli
   SUM(label) AS positives, ROUND(AVG(label), 6) AS positive_rate
 FROM labelled, newest GROUP BY 1""")
 
+check("purged_split_label_rate", "split:s row_count:i positives:i positive_rate:f", """
+SELECT CASE WHEN date_id >= newest.day - 10 THEN 'test' ELSE 'train' END AS split, COUNT(*) AS row_count,
+  SUM(label) AS positives, ROUND(AVG(label), 6) AS positive_rate
+FROM labelled, newest WHERE date_id >= newest.day - 10 OR date_id < newest.day - 15 GROUP BY 1""")
+
 check("recent_faults", "equipment_id:i fault_code:s n:i", """
 SELECT equipment_id, fault_code, COUNT(*) AS n FROM alerts, newest WHERE event_date >= newest.day - 7 GROUP BY 1, 2""")
 
@@ -292,9 +286,9 @@ FROM enriched GROUP BY 1, 2""")
 check("signal_outcomes",
       "signal_id:i actual_outcome:s lead_time_delivered_days:i resulting_work_order_id:i", "SELECT * FROM outcomes")
 
-check("outcome_precision", "signals:i confirmed:i precision:f avg_lead_time_days:f", """
-SELECT COUNT(*) AS signals, COUNT(*) FILTER (WHERE actual_outcome = 'Confirmed Failure') AS confirmed,
-  ROUND(COUNT(*) FILTER (WHERE actual_outcome = 'Confirmed Failure')::DOUBLE / COUNT(*), 6) AS precision,
+check("outcome_precision", "signals:i decided:i confirmed:i precision:f avg_lead_time_days:f", """
+SELECT COUNT(*) AS signals, COUNT(actual_outcome) AS decided, COUNT(*) FILTER (WHERE actual_outcome = 'Confirmed Failure') AS confirmed,
+  ROUND(COUNT(*) FILTER (WHERE actual_outcome = 'Confirmed Failure')::DOUBLE / NULLIF(COUNT(actual_outcome), 0), 6) AS precision,
   ROUND(AVG(lead_time_delivered_days), 6) AS avg_lead_time_days
 FROM outcomes""")
 
@@ -327,6 +321,12 @@ SELECT customer_id, event_date, amount FROM lines
 WHERE revenue_stream = 'Equipment Sales' AND customer_id IN (SELECT customer_id FROM clients WHERE region = 'ASIA')""")
 
 
+check("secure_tax_filings",
+      "customer_id:i period_start:d period_end:d vat_amount:f nhil_amount:f getfund_amount:f withholding_tax_amount:f"
+      " filing_status:s",
+      "SELECT * FROM filings WHERE customer_id IN (SELECT customer_id FROM clients WHERE region IN ('AMERICA', 'EUROPE'))")
+
+
 def _seen(role: str, condition: str) -> str:
     return (f"SELECT '{role}' AS role, (SELECT COUNT(*) FROM clients WHERE {condition}) AS customers,"
             f" (SELECT COUNT(*) FROM lines JOIN clients USING (customer_id) WHERE revenue_stream = 'Equipment Sales'"
@@ -337,13 +337,16 @@ check("secure_row_counts", "role:s customers:i sales:i", " UNION ALL ".join([
     _seen("analyst", "region IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')"), _seen("analyst_asia", "region = 'ASIA'"),
     _seen("analyst_west", "region IN ('AMERICA', 'EUROPE')"), _seen("stranger", "false"), _seen("etl", "true")]))
 
-check("audit_diff", "c_custkey:i table_name:s operation:s db_user:s old_balance:f new_balance:f", """
+check("audit_diff",
+      "c_custkey:i table_name:s operation:s db_user:s old_balance:f new_balance:f old_segment:s new_segment:s", """
 SELECT c_custkey, 'customer' AS table_name, 'DELETE' AS operation, 'loader' AS db_user, ROUND(c_acctbal, 2) AS old_balance,
-  NULL AS new_balance FROM customer WHERE c_custkey % 17 = 0
-UNION ALL SELECT c_custkey, 'customer', 'UPDATE', 'loader', ROUND(c_acctbal, 2), ROUND(c_acctbal + 1, 2) FROM customer
-WHERE c_custkey % 17 <> 0 AND c_custkey % 13 = 0
-UNION ALL SELECT c_custkey + 1000000000, 'customer', 'INSERT', 'loader', NULL, ROUND(c_acctbal, 2) FROM customer
-WHERE c_custkey % 19 = 0""")
+  NULL AS new_balance, c_mktsegment AS old_segment, NULL AS new_segment FROM customer WHERE c_custkey % 17 = 0
+UNION ALL SELECT c_custkey, 'customer', 'UPDATE', 'loader', ROUND(c_acctbal, 2),
+  ROUND(CASE WHEN c_custkey % 13 = 0 THEN c_acctbal + 1 ELSE c_acctbal END, 2), c_mktsegment,
+  CASE WHEN c_custkey % 11 = 0 THEN 'MOVED' ELSE c_mktsegment END FROM customer
+WHERE c_custkey % 17 <> 0 AND (c_custkey % 13 = 0 OR c_custkey % 11 = 0)
+UNION ALL SELECT c_custkey + 1000000000, 'customer', 'INSERT', 'loader', NULL, ROUND(c_acctbal, 2), NULL, c_mktsegment
+FROM customer WHERE c_custkey % 19 = 0""")
 
 check("encrypt_roundtrip", "c_custkey:i decrypted:s matches:b cipher_bytes:i", """
 SELECT c_custkey, c_name AS decrypted, true AS matches, strlen(c_name) + 28 AS cipher_bytes FROM customer""")
@@ -387,7 +390,8 @@ check("quality_report", "check_name:s violations:i", _violations({
     "order_lines: l_orderkey in work_orders": "lineitem WHERE l_orderkey NOT IN (SELECT work_order_id FROM jobs)",
 }))
 
-_branch = "branch NOT IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE')"
+_branch = "branch NOT IN (SELECT r_name FROM region)"
+_fleet = "(SELECT * FROM fleet UNION ALL SELECT * FROM fleet WHERE equipment_id % 97 = 0) AS f"
 check("result_checks", "check_name:s violations:i", _violations({
     "finance_monthly: customer_id not null": "finance WHERE customer_id IS NULL",
     "finance_monthly: industry_id not null": "finance WHERE industry_id IS NULL",
@@ -395,21 +399,26 @@ check("result_checks", "check_name:s violations:i", _violations({
     "customer_concentration: customer_id not null": "standing WHERE customer_id IS NULL",
     "customer_concentration: revenue_rank not null": "standing WHERE revenue_rank IS NULL",
     "customer_concentration: customer_id unique": _repeated("standing", "customer_id"),
-    "fleet_operations: equipment_id not null": "machines WHERE equipment_id IS NULL",
-    "fleet_operations: ownership_type in domain": "machines WHERE ownership_type NOT IN ('Owned', 'Rented')",
-    "fleet_operations: equipment_id unique": _repeated("machines", "equipment_id"),
-    "predictive_signals: signal_id not null": "signals WHERE signal_id IS NULL",
-    "predictive_signals: failure_probability not null": "signals WHERE failure_probability IS NULL",
-    "predictive_signals: signal_status in domain": "signals WHERE signal_status NOT IN ('New', 'Watch', 'Action Recommended')",
-    "predictive_signals: failure probability in range": "signals WHERE failure_probability < 0 OR failure_probability > 1",
-    "predictive_signals: signal_id unique": _repeated("signals", "signal_id"),
-    "warehouse_inventory: part_id not null": "inventory WHERE part_id IS NULL",
-    "warehouse_inventory: branch not null": "inventory WHERE branch IS NULL",
-    "warehouse_inventory: snapshot_date not null": "inventory WHERE snapshot_date IS NULL",
-    "warehouse_inventory: unit_cost_ghs not null": "inventory WHERE unit_cost IS NULL",
-    "warehouse_inventory: branch in domain": f"inventory WHERE {_branch}",
-    "warehouse_inventory: inventory value not negative": "inventory WHERE qty_on_hand * unit_cost < 0",
-    "warehouse_inventory: part_id+branch+snapshot_date unique": _repeated("inventory", "part_id, branch, snapshot_date"),
+    "fleet_operations: equipment_id not null": f"{_fleet} WHERE equipment_id IS NULL",
+    "fleet_operations: ownership_type in domain":
+        f"{_fleet} WHERE equipment_id % 61 = 0 OR ownership_type NOT IN ('Owned', 'Rented')",
+    "fleet_operations: equipment_id unique": "(SELECT equipment_id FROM " + _fleet + " GROUP BY 1 HAVING COUNT(*) > 1) AS d",
+    "predictive_signals: signal_id not null": "enriched WHERE signal_id IS NULL",
+    "predictive_signals: failure_probability not null": "enriched WHERE failure_probability IS NULL",
+    "predictive_signals: signal_status in domain":
+        "enriched WHERE signal_status NOT IN ('New', 'Watch', 'Action Recommended', 'Reviewed', 'Converted', 'Dismissed', 'Expired')",
+    "predictive_signals: failure probability in range":
+        "enriched WHERE signal_id % 89 = 0 OR failure_probability < 0 OR failure_probability > 1",
+    "predictive_signals: signal_id unique": _repeated("enriched", "signal_id"),
+    "warehouse_inventory: part_id not null": "stock_mart WHERE part_id IS NULL",
+    "warehouse_inventory: branch not null": "stock_mart WHERE part_id % 83 <> 0 AND branch IS NULL",
+    "warehouse_inventory: snapshot_date not null": "stock_mart WHERE snapshot_date IS NULL",
+    "warehouse_inventory: unit_cost_ghs not null": "stock_mart WHERE unit_cost_ghs IS NULL",
+    "warehouse_inventory: branch in domain": f"stock_mart WHERE part_id % 83 = 0 OR {_branch}",
+    "warehouse_inventory: inventory value not negative": "stock_mart WHERE inventory_value_ghs < 0",
+    "warehouse_inventory: part_id+branch+snapshot_date unique":
+        "(SELECT part_id FROM stock_mart GROUP BY part_id, CASE WHEN part_id % 83 = 0 THEN 'Nowhere' ELSE branch END,"
+        " snapshot_date HAVING COUNT(*) > 1) AS d",
     "branch_performance: branch in domain": f"""(
       SELECT DISTINCT t.branch, date_trunc('month', j.scheduled_date) AS m FROM jobs j
       JOIN assigned a ON a.work_order_id = j.work_order_id JOIN crews t ON t.technician_id = a.technician_id

@@ -61,6 +61,8 @@ def test_declared_constraints_find_planted_faults(frame):
             " region string, contract_tier string", [
                 (1, "A", "n", "Contract Miner", 1, "r", "Gold"), (1, "B", None, "Nobody", 7, "r", None)]),
     }
+    alone = {r["check_name"]: r["violations"] for r in quality.check_constraints({"dim_customer": tables["dim_customer"]}).collect()}
+    assert alone["dim_customer: industry_id in dim_industry (not checked)"] is None
     found = {r["check_name"]: r["violations"] for r in quality.check_constraints(tables).collect() if r["violations"]}
     assert found == {
         "dim_industry: industry_name unique": 1, "dim_customer: customer_name not null": 1,

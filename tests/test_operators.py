@@ -105,8 +105,10 @@ def test_active_counts_match_expansion(frame, spans):
 
 def test_stab_finds_every_interval_of_the_key(frame):
     points = frame("k int, d date", [(1, at(3)), (1, at(9)), (2, at(3))])
-    spans = frame("k int, s date, e date, name string", [(1, at(0), at(3), "a"), (1, at(3), at(4), "b")])
-    assert tuples(stab(points, spans, ["k"], "d", "s", "e"), "d", "name") == [(at(3), "a"), (at(3), "b")]
+    spans = frame("k int, s date, e date, name string", [
+        (1, at(0), at(3), "a"), (1, at(3), at(4), "b"), (1, at(5), None, "open"), (1, None, at(9), "never begun")])
+    assert tuples(stab(points, spans, ["k"], "d", "s", "e"), "d", "name") == [
+        (at(3), "a"), (at(3), "b"), (at(9), "open")]
 
 
 def test_grouping_helpers(frame):

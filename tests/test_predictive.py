@@ -141,7 +141,7 @@ def test_fault_codes_behind_a_signal(frame):
 def test_rollup_and_engine_hours(frame):
     events = frame("equipment_id long, event_date date, severity string, reading double", [
         (1, at(0), "Info", 1.0), (1, at(0), "Critical", 4.0), (1, at(2), "Warning", 9.0)])
-    got = telemetry.telemetry_daily_rollup(events)
+    got = telemetry.telemetry_daily_rollup(events, F.least(F.lit(24.0), F.count("*") * 0.5))
     assert tuples(got, "date_id", "engine_hours", "utilization_hours", "fault_count_info", "fault_count_warning",
                   "fault_count_critical", "avg_sensor_reading", "max_sensor_reading") == [
         (at(0), D("1.0"), D("1.0"), 1, 0, 1, D("2.500"), D("4.000")),

@@ -121,11 +121,17 @@ def test_outcomes_visits_and_expiry(frame):
                           signal(4, ACTION, equipment=1, component=3, window=14), signal(5, "Converted")])
     failures = frame("equipment_id long, component_id int, failure_date date", [(1, 1, at(4)), (1, 2, at(30))])
     orders = frame("work_order_id long, source_signal_id long", [(9, 1), (8, 1)])
-    outcomes = signals.signal_outcomes(rows.filter("signal_id < 4"), failures, orders)
+    outcomes = signals.signal_outcomes(rows.filter("signal_id < 4"), failures, orders, F.lit(at(60)))
     assert tuples(outcomes) == [(1, "Confirmed Failure", 4, 8), (2, "False Positive", None, None),
                                 (3, "False Positive", None, None)]
     precision = signals.outcome_precision(outcomes).first()
     assert precision["confirmed"] == 1 and abs(precision["precision"] - 1 / 3) < 1e-9
+    # windows still open on the last observed day are undecided, and a failure on the signal's own day is none
+    early = signals.signal_outcomes(rows.filter("signal_id < 4"), failures.withColumn(
+        "failure_date", F.when(F.col("component_id") == 1, F.lit(at(0))).otherwise(F.col("failure_date"))), orders, F.lit(at(1)))
+    assert [r["actual_outcome"] for r in early.collect()] == [None] * 3
+    undecided = signals.outcome_precision(early).first()
+    assert (undecided["signals"], undecided["decided"], undecided["precision"]) == (3, 0, None)
     assert tuples(signals.merge_into_visits(rows, 3), "signal_id", "visit_no") == [(1, 1), (2, 1), (3, 1), (4, 2)]
     aged = signals.expire_signals(rows, F.lit(at(12)))
     assert tuples(aged.filter("signal_status = 'Expired'"), "signal_id") == [(1,), (2,)]
