@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from datetime import datetime
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
@@ -349,7 +350,7 @@ def gbt_score_checks(spark, root):
 
 
 class SignalChain:
-    """Signals and each step after them. The numbered signals are written once and shared by all steps."""
+    """Signals and each step after them. The numbered and the triaged signals are written once and shared by all steps."""
 
     def __init__(self, bed: Testbed):
         self.bed = bed
@@ -361,8 +362,13 @@ class SignalChain:
         codes = predictive.contributing_fault_codes(bed.faults(), bed.fault_bridge(), F.array_max(dates))
         self.signals = predictive.signals_table(scored, CREATED_AT, "risk-v1", codes)
 
+    @cached_property
+    def _triaged(self) -> DataFrame:
+        return settle(signals.apply_triage(
+            self.signals, self.bed.equipment(), self.bed.customers(), self.bed.visits_2024()), "triaged")
+
     def triaged(self) -> DataFrame:
-        return signals.apply_triage(self.signals, self.bed.equipment(), self.bed.customers(), self.bed.visits_2024())
+        return self._triaged
 
     def _catalog(self) -> tuple[DataFrame, ...]:
         return self.bed.equipment(), self.bed.component_parts(), self.bed.part_models(), self.bed.parts()
@@ -493,8 +499,7 @@ def risk_confusion(spark, root):
 
 @report
 def signal_visits(spark, root):
-    triaged = settle(SignalChain(Testbed(spark, root)).triaged(), "triaged")
-    return present(signals.merge_into_visits(triaged))
+    return present(signals.merge_into_visits(SignalChain(Testbed(spark, root)).triaged()))
 
 
 @report
