@@ -6,7 +6,10 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 from fleetworks import constants as C
 from fleetworks.functions import iso_weekday, month_name
-from fleetworks.operators import active_count_by_day, calendar_days, expand_days
+from fleetworks.operators import active_count_by_day, calendar_days
+
+#: Days of the stretches in which points and intervals meet.
+STAB_DAYS = 32
 
 
 def telemetry_daily_rollup(events: DataFrame, utilization: Column) -> DataFrame:
@@ -66,12 +69,17 @@ def active_windows_daily(intervals: DataFrame, start: str, end: str, by: list[st
 
 
 def stab(points: DataFrame, intervals: DataFrame, keys: list[str], day: str, start: str, end: str) -> DataFrame:
-    """Each point with every interval of its key that contains its day.
+    """Each point with every interval of its key that contains its day. An interval without end is open.
 
-    Intervals expand to their days, but to none before the first point or after the last one, so that a long or open
-    one (no end) stays bounded, and the join is a plain equality one.
+    An interval meets points in the stretches of ``STAB_DAYS`` days it touches, and in none before the first point or
+    after the last one, so the join is a plain equality one and a long interval costs few rows.
     """
+    def stretch(at: Column) -> Column:
+        return F.floor(F.unix_date(at) / STAB_DAYS).cast("int")
+
     first, last = (points.agg(bound(day)).scalar() for bound in (F.min, F.max))
-    dated = intervals.filter(F.col(start).isNotNull())
-    expanded = expand_days(dated, F.greatest(F.col(start), first), F.least(F.col(end), last), day)
-    return points.join(expanded, [*keys, day])
+    since, until = F.greatest(F.col(start), first), F.least(F.col(end), last)
+    touched = F.when(since <= until, F.sequence(stretch(since), stretch(until)))
+    placed = intervals.filter(F.col(start).isNotNull()).withColumn("_stretch", F.explode(touched))
+    met = points.withColumn("_stretch", stretch(F.col(day))).join(placed, [*keys, "_stretch"])
+    return met.filter((F.col(day) >= F.col(start)) & (F.col(end).isNull() | (F.col(day) <= F.col(end)))).drop("_stretch")

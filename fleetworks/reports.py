@@ -12,7 +12,7 @@ from fleetworks.operators import number_rows, scalar_array
 from fleetworks.plans import finance, governance, inventory, model, predictive, quality, service, signals, staging, telemetry
 from fleetworks.schemas import Constraints
 from fleetworks.session import scratch_dir, settle
-from fleetworks.sources import append_missing, as_messages
+from fleetworks.sources import Catalog, append_missing, as_messages, conform, write_csv, write_table
 from fleetworks.sources.testbed import AS_OF, HOLDOUT_DAYS, REGIONS_BY_ROLE, SNAPSHOT, Testbed
 from fleetworks.streaming import FaultLanding, KeyedUpsert, TelemetryLanding, drain, file_source
 from fleetworks.streaming.rollup import daily_fault_rollup
@@ -79,6 +79,59 @@ def revenue_by_stream_month(spark, root):
     return present(finance.revenue_by_stream_month(finance.monthly_lines(lines)))
 
 
+def _stored(fmt: str, **tables: DataFrame) -> Catalog:
+    """A warehouse folder holding these frames as the tables they are named after."""
+    spark = next(iter(tables.values())).sparkSession
+    catalog = Catalog(spark, scratch_dir(spark, "warehouse"), fmt)
+    for name, df in tables.items():
+        (write_csv if fmt == "csv" else write_table)(conform(df, name), catalog.path(name))
+    return catalog
+
+
+@report
+def staged_sales(spark, root):
+    """Sales from a CSV folder of several part files, with their margin."""
+    catalog = _stored("csv", fact_equipment_sales=Testbed(spark, root).equipment_sales())
+    return present(staging.stage(catalog, "stg_equipment_sales"))
+
+
+@report
+def staged_rentals(spark, root):
+    """Contracts from a CSV folder, where an empty end date means an ongoing one."""
+    catalog = _stored("csv", fact_rental_contracts=Testbed(spark, root).customer_rentals())
+    return present(staging.stage(catalog, "stg_rental_contracts").drop("actual_usage_hours"))
+
+
+@report
+def staged_orders(spark, root):
+    catalog = _stored("parquet", fact_maintenance_events=Testbed(spark, root).work_orders())
+    return present(staging.stage(catalog, "stg_maintenance_events").select(
+        "work_order_id", "customer_id", "source_signal_id", "scheduled_date", "total_cost", "status", "is_predictive_sourced"))
+
+
+@report
+def staged_telemetry(spark, root):
+    catalog = _stored("csv", fact_telemetry_daily=_telemetry(Testbed(spark, root)))
+    return present(staging.stage(catalog, "stg_telemetry_daily"))
+
+
+@report
+def staged_tax_filings(spark, root):
+    catalog = _stored("parquet", fact_tax_filings=FinanceInputs(spark, root).filings())
+    return present(staging.stage(catalog, "stg_tax_filings").drop("filing_id"))
+
+
+@report
+def revenue_of_three_tables(spark, root):
+    """Revenue by customer, month and stream from the staged sales, rental and work order tables."""
+    bed = Testbed(spark, root)
+    catalog = _stored("parquet", fact_equipment_sales=bed.equipment_sales(), fact_rental_contracts=bed.customer_rentals(),
+                      fact_maintenance_events=bed.work_orders())
+    lines = finance.revenue_lines(*[
+        staging.stage(catalog, m) for m in ("stg_equipment_sales", "stg_rental_contracts", "stg_maintenance_events")])
+    return present(finance.revenue_by_stream_month(finance.monthly_lines(lines)))
+
+
 @report
 def tax_filings_quarterly(spark, root):
     lines = Testbed(spark, root).revenue_lines()
@@ -180,6 +233,15 @@ def active_windows_daily(spark, root):
     return present(telemetry.active_windows_daily(contracts, "start_date", "last_day", ["rate_type"]))
 
 
+@report
+def orders_during_rentals(spark, root):
+    """Each work order with every contract of its machine that runs on the scheduled day."""
+    bed = Testbed(spark, root)
+    orders = bed.work_orders().select("work_order_id", "equipment_id", "scheduled_date")
+    rentals = bed.customer_rentals().select("rental_id", "equipment_id", "start_date", "end_date")
+    return present(telemetry.stab(orders, rentals, ["equipment_id"], "scheduled_date", "start_date", "end_date"))
+
+
 # Inventory
 
 
@@ -204,9 +266,9 @@ def inventory_replenishment(spark, root):
     return present(_stock(Testbed(spark, root)))
 
 
-def _warehouse(bed: Testbed, demand: DataFrame) -> DataFrame:
+def _warehouse(bed: Testbed, demand: DataFrame, integer_division: bool = False) -> DataFrame:
     used = inventory.parts_consumption(bed.parts_used(), bed.work_orders())
-    return inventory.warehouse_inventory(staging.inventory(_stock(bed)), bed.parts(), used, demand)
+    return inventory.warehouse_inventory(staging.inventory(_stock(bed)), bed.parts(), used, demand, integer_division)
 
 
 @report
@@ -215,6 +277,13 @@ def warehouse_inventory(spark, root):
     return present(_warehouse(bed, SignalChain(bed).demand()))
 
 
+@report
+def warehouse_inventory_whole_units(spark, root):
+    """The stock with units per day cut to whole ones before they are annualised."""
+    bed = Testbed(spark, root)
+    return present(_warehouse(bed, SignalChain(bed).demand(), integer_division=True))
+
+
 @report
 def baseline_demand(spark, root):
     bed = Testbed(spark, root)
@@ -561,6 +630,25 @@ def audit_diff(spark, root):
         F.get_json_object("old_data", segment).alias("old_segment"), F.get_json_object("new_data", segment).alias("new_segment")))
 
 
+@report
+def audit_four_tables(spark, root):
+    """Changes of four tables in one log, each against a version with some rows removed, some changed and some added."""
+    bed = Testbed(spark, root)
+    logs = None
+    for table, key, value in (("customer", "c_custkey", "c_acctbal"), ("orders", "o_orderkey", "o_totalprice"),
+                              ("part", "p_partkey", "p_retailprice"), ("supplier", "s_suppkey", "s_acctbal")):
+        before, at = bed.raw(table), F.col(key)
+        kept = before.filter(F.pmod(at, F.lit(17)) != 0).withColumn(
+            value, F.when(F.pmod(at, F.lit(13)) == 0, F.col(value) + 1).otherwise(F.col(value)))
+        added = before.filter(F.pmod(at, F.lit(19)) == 0).withColumn(key, at + 1000000000)
+        log = governance.audit_diff(before, kept.unionByName(added), [key], table, "loader", CREATED_AT).select(
+            F.col(key).alias("row_key"), "table_name", "operation",
+            *[F.round(F.get_json_object(f"{when}_data", f"$.{value}").cast("double"), 2).alias(f"{when}_value")
+              for when in ("old", "new")])
+        logs = log if logs is None else logs.unionByName(log)
+    return present(logs)
+
+
 @report
 def encrypt_roundtrip(spark, root):
     customers = Testbed(spark, root).raw("customer").select("c_custkey", "c_name")

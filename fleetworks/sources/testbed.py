@@ -139,7 +139,8 @@ class Testbed:
 
     def line_dates(self) -> DataFrame:
         """Lineitems with their customer: one join, behind every revenue result."""
-        lines = self.raw("lineitem").select("l_orderkey", "l_returnflag", "l_linestatus", "l_extendedprice", "l_shipdate")
+        lines = self.raw("lineitem").select(
+            "l_orderkey", "l_linenumber", "l_returnflag", "l_linestatus", "l_extendedprice", "l_shipdate")
         orders = self.raw("orders").select("o_orderkey", "o_custkey")
         return lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
 
@@ -174,6 +175,24 @@ class Testbed:
             F.round(F.col("l_extendedprice").cast("decimal(18,2)") / F.lit(100).cast("decimal(5,0)"), 1)
             .cast("decimal(18,1)").alias("actual_usage_hours"))
 
+    def equipment_sales(self) -> DataFrame:
+        """A lineitems as sales to the ordering customer."""
+        price = F.col("l_extendedprice").cast("decimal(14,2)")
+        return self.line_dates().filter(F.col("l_returnflag") == "A").select(
+            (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("sale_id"), F.col("o_custkey").alias("equipment_id"),
+            F.col("o_custkey").alias("customer_id"), F.col("l_shipdate").cast("date").alias("sale_date"),
+            price.alias("sale_price"),
+            F.round(price * F.lit("0.8").cast("decimal(2,1)"), 2).cast("decimal(14,2)").alias("cost_basis"))
+
+    def customer_rentals(self) -> DataFrame:
+        """The contracts of ``rental_contracts`` with their customer, billed at their rate."""
+        contracts = self.rental_contracts()
+        orders = self.raw("orders").select(F.col("o_orderkey").alias("_order"), "o_custkey")
+        return contracts.join(orders, F.col("rental_id") == F.col("_order")).select(
+            (F.col("rental_id") * 10 + F.col("line_number")).alias("rental_id"), F.col("o_custkey").alias("equipment_id"),
+            F.col("o_custkey").alias("customer_id"), "start_date", "end_date", "rate_type", "rate",
+            F.col("rate").alias("total_billed"))
+
     def work_orders(self, technicians: bool = False, tiers: bool = False) -> DataFrame:
         """Orders as work orders. The technician and the service level need a join each, so both are optional."""
         key = F.col("o_orderkey")

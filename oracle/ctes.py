@@ -200,6 +200,17 @@ SELECT o_orderkey AS work_order_id, o_custkey AS equipment_id, o_custkey AS cust
   {pick("o_orderstatus", {"F": "Completed", "O": "Scheduled", "P": "In Progress"})} AS status
 FROM orders"""
 
+CTES["sales"] = """
+SELECT l_orderkey * 10 + l_linenumber AS sale_id, o_custkey AS equipment_id, o_custkey AS customer_id,
+  l_shipdate::DATE AS sale_date, CAST(l_extendedprice AS DECIMAL(14,2)) AS sale_price,
+  CAST(ROUND(CAST(l_extendedprice AS DECIMAL(14,2)) * 0.8, 2) AS DECIMAL(14,2)) AS cost_basis
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_returnflag = 'A'"""
+
+CTES["rentals"] = """
+SELECT c.rental_id * 10 + c.line_number AS rental_id, o_custkey AS equipment_id, o_custkey AS customer_id, c.start_date,
+  c.end_date, c.rate_type, c.rate, c.rate AS total_billed
+FROM contracts c JOIN orders ON c.rental_id = o_orderkey"""
+
 CTES["assigned"] = "SELECT l_orderkey AS work_order_id, MIN(l_suppkey) AS technician_id FROM lineitem GROUP BY 1"
 
 CTES["used"] = """
@@ -417,7 +428,8 @@ FROM (
   FROM rolled r CROSS JOIN newest
   WHERE ROUND(0.02 + (0.98 - 0.02) / (1.0 + exp(-0.12 * (r.score_30::DOUBLE - 38.0))), 4) >= 0.4)"""
 
-CTES["stock_mart"] = f"""
+def _stock_mart(yearly: str) -> str:
+    return f"""
 SELECT *, CASE WHEN is_dead_stock THEN inventory_value_ghs ELSE 0 END AS dead_stock_value
 FROM (
   SELECT n.part_id, w.part_number, w.part_name, w.part_category, n.branch, n.snapshot_date, n.qty_on_hand,
@@ -429,12 +441,16 @@ FROM (
     n.qty_on_hand > 0 AND (c.last_day IS NULL OR n.snapshot_date - c.last_day > 180) AS is_dead_stock,
     COALESCE(d.signals, 0) AS predictive_demand_signals, COALESCE(d.qty, 0) AS predictive_demand_qty
   FROM inventory n LEFT JOIN wares w ON w.part_id = n.part_id
-  LEFT JOIN (SELECT part_id, MAX(scheduled_date) AS last_day, SUM(qty_used)::DOUBLE * 365
-               / (SELECT MAX(scheduled_date) - MIN(scheduled_date) FROM consumed) AS yearly
+  LEFT JOIN (SELECT part_id, MAX(scheduled_date) AS last_day, {yearly} AS yearly
              FROM consumed GROUP BY 1) c ON c.part_id = n.part_id
   LEFT JOIN (SELECT part_id, COUNT(*) AS signals, SUM(expected_qty) AS qty FROM demand GROUP BY 1) d
     ON d.part_id = n.part_id) AS stock"""
 
+
+_span = "(SELECT MAX(scheduled_date) - MIN(scheduled_date) FROM consumed)"
+CTES["stock_mart"] = _stock_mart(f"SUM(qty_used)::DOUBLE * 365 / {_span}")
+CTES["stock_mart_whole"] = _stock_mart(f"((SUM(qty_used) // {_span}) * 365)::DOUBLE")
+
 CTES["fleet"] = """
 SELECT m.equipment_id, m.serial_number, m.ownership_type, m.status, m.install_date, k.model_name, k.category_name,
   k.primary_application, c.customer_id, c.customer_name, c.customer_type, c.region, t.avg_daily_utilization_hours,

@@ -23,6 +23,31 @@ def check(name: str, columns: str, sql: str) -> None:
 
 check("revenue_by_stream_month", "customer_id:i period_month:d revenue_stream:s revenue:f", "SELECT * FROM revenue")
 
+check("revenue_of_three_tables", "customer_id:i period_month:d revenue_stream:s revenue:f", """
+SELECT customer_id, date_trunc('month', day)::DATE AS period_month, revenue_stream, SUM(amount) AS revenue
+FROM (SELECT customer_id, sale_date AS day, 'Equipment Sales' AS revenue_stream, sale_price AS amount FROM sales
+      UNION ALL SELECT customer_id, start_date, 'Rental', total_billed FROM rentals
+      UNION ALL SELECT customer_id, scheduled_date, 'Service', total_cost FROM jobs WHERE status = 'Completed')
+GROUP BY ALL""")
+
+check("staged_sales",
+      "sale_id:i equipment_id:i customer_id:i sale_date:d sale_price:f cost_basis:f salesperson:s margin:f",
+      "SELECT *, NULL AS salesperson, sale_price - cost_basis AS margin FROM sales")
+
+check("staged_rentals",
+      "rental_id:i equipment_id:i customer_id:i start_date:d end_date:d rate_type:s rate:f total_billed:f is_ongoing:b",
+      "SELECT *, end_date IS NULL AS is_ongoing FROM rentals")
+
+check("staged_orders",
+      "work_order_id:i customer_id:i source_signal_id:i scheduled_date:d total_cost:f status:s is_predictive_sourced:b",
+      "SELECT *, source_signal_id IS NOT NULL AS is_predictive_sourced FROM jobs")
+
+check("staged_tax_filings",
+      "customer_id:i period_start:d period_end:d vat_amount:f nhil_amount:f getfund_amount:f withholding_tax_amount:f"
+      " filing_status:s total_output_tax:f", """
+SELECT *, CAST(vat_amount AS DECIMAL(18,2)) + CAST(nhil_amount AS DECIMAL(18,2)) + CAST(getfund_amount AS DECIMAL(18,2))
+    AS total_output_tax FROM filings""")
+
 check("tax_filings_quarterly",
       "customer_id:i period_start:d period_end:d vat_amount:f nhil_amount:f getfund_amount:f withholding_tax_amount:f"
       " filing_status:s", "SELECT * FROM filings")
@@ -145,6 +170,12 @@ FROM (SELECT rate_type, unnest(generate_series(start_date::TIMESTAMP, COALESCE(e
         INTERVAL 1 DAY)) AS day FROM contracts) AS d
 GROUP BY 1, 2""")
 
+check("orders_during_rentals",
+      "equipment_id:i work_order_id:i scheduled_date:d rental_id:i start_date:d end_date:d", """
+SELECT j.equipment_id, j.work_order_id, j.scheduled_date, r.rental_id, r.start_date, r.end_date
+FROM jobs j JOIN rentals r ON r.equipment_id = j.equipment_id AND j.scheduled_date >= r.start_date
+  AND (r.end_date IS NULL OR j.scheduled_date <= r.end_date)""")
+
 # Inventory
 
 check("parts_consumption", "part_id:i customer_id:i scheduled_date:d qty_used:i", "SELECT * FROM consumed")
@@ -159,6 +190,12 @@ check("warehouse_inventory",
       " inventory_turnover_ratio:f last_consumption_date:d days_since_last_consumption:i is_dead_stock:b"
       " dead_stock_value:f predictive_demand_signals:i predictive_demand_qty:i", "SELECT * FROM stock_mart")
 
+check("warehouse_inventory_whole_units",
+      "part_id:i part_number:s part_name:s part_category:s branch:s snapshot_date:d qty_on_hand:i unit_cost_ghs:f"
+      " inventory_value_ghs:f reorder_point:i days_of_supply:f is_below_reorder_point:b annualized_consumption:f"
+      " inventory_turnover_ratio:f last_consumption_date:d days_since_last_consumption:i is_dead_stock:b"
+      " dead_stock_value:f predictive_demand_signals:i predictive_demand_qty:i", "SELECT * FROM stock_mart_whole")
+
 check("baseline_demand", "part_id:i expected_qty:i demand_source:s", """
 SELECT part_id, CEIL(SUM(qty_used) * 30.0 / (SELECT GREATEST(1, MAX(scheduled_date) - MIN(scheduled_date)) FROM consumed))
     AS expected_qty, 'Historical Baseline' AS demand_source
@@ -188,6 +225,9 @@ _readings = ("fault_count_info:i fault_count_warning:i fault_count_critical:i av
 check("telemetry_daily_rollup", f"equipment_id:i date_id:d engine_hours:f utilization_hours:f {_readings}",
       "SELECT * FROM daily")
 
+check("staged_telemetry", f"equipment_id:i date_id:d engine_hours:f utilization_hours:f {_readings} fault_count_total:i",
+      "SELECT *, fault_count_info + fault_count_warning + fault_count_critical AS fault_count_total FROM daily")
+
 # Predictive maintenance
 
 check("fault_component_daily",
@@ -348,6 +388,21 @@ WHERE c_custkey % 17 <> 0 AND (c_custkey % 13 = 0 OR c_custkey % 11 = 0)
 UNION ALL SELECT c_custkey + 1000000000, 'customer', 'INSERT', 'loader', NULL, ROUND(c_acctbal, 2), NULL, c_mktsegment
 FROM customer WHERE c_custkey % 19 = 0""")
 
+
+
+def _changes(table: str, key: str, value: str) -> str:
+    return f"""
+SELECT {key} AS row_key, '{table}' AS table_name, 'DELETE' AS operation, ROUND({value}, 2) AS old_value, NULL AS new_value
+FROM {table} WHERE {key} % 17 = 0
+UNION ALL SELECT {key}, '{table}', 'UPDATE', ROUND({value}, 2), ROUND({value} + 1, 2)
+FROM {table} WHERE {key} % 17 <> 0 AND {key} % 13 = 0
+UNION ALL SELECT {key} + 1000000000, '{table}', 'INSERT', NULL, ROUND({value}, 2) FROM {table} WHERE {key} % 19 = 0"""
+
+
+check("audit_four_tables", "row_key:i table_name:s operation:s old_value:f new_value:f", " UNION ALL ".join([
+    _changes("customer", "c_custkey", "c_acctbal"), _changes("orders", "o_orderkey", "o_totalprice"),
+    _changes("part", "p_partkey", "p_retailprice"), _changes("supplier", "s_suppkey", "s_acctbal")]))
+
 check("encrypt_roundtrip", "c_custkey:i decrypted:s matches:b cipher_bytes:i", """
 SELECT c_custkey, c_name AS decrypted, true AS matches, strlen(c_name) + 28 AS cipher_bytes FROM customer""")
 

@@ -111,6 +111,17 @@ def test_stab_finds_every_interval_of_the_key(frame):
         (at(3), "a"), (at(3), "b"), (at(9), "open")]
 
 
+@few
+@given(days=st.lists(st.integers(0, 200), min_size=1, max_size=5),
+       spans=st.lists(st.tuples(st.integers(-100, 250), st.one_of(st.none(), st.integers(-3, 150))), min_size=1, max_size=6))
+def test_stab_matches_comparing_every_pair(frame, days, spans):
+    points = frame("k int, d date, p int", [(1, at(d), i) for i, d in enumerate(days)])
+    ranges = [(1, at(a), None if n is None else at(a + n), i) for i, (a, n) in enumerate(spans)]
+    want = sorted((p, i) for p, d in enumerate(days) for _, s, e, i in ranges if s <= at(d) and (e is None or at(d) <= e))
+    found = stab(points, frame("k int, s date, e date, i int", ranges), ["k"], "d", "s", "e").select("p", "i").collect()
+    assert sorted(map(tuple, found)) == want
+
+
 def test_grouping_helpers(frame):
     df = frame("k int, kind string, v int", [(1, "a", 3), (1, "b", 4), (2, "a", None), (2, "c", 9)])
     pivot = conditional_pivot(df, ["k"], "kind", "v", {"a": "a_sum", "b": "b_sum"})
