@@ -11,7 +11,7 @@ from datetime import UTC, date, datetime
 from fleetworks.plans.signals import status_frequency
 from fleetworks.plans.telemetry import calendar_range
 from fleetworks.plans.warehouse import DailyRun, Warehouse, inventory_snapshot, tax_filings
-from fleetworks.session import build_session
+from fleetworks.session import build_session, scratch_cleared
 from fleetworks.sources import Catalog, conform, write_table
 from fleetworks.streaming import FaultLanding, TelemetryLanding, drain, file_source, kafka_source
 
@@ -82,8 +82,9 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
 
 def main(argv: list[str] | None = None) -> None:
     args = parse(argv)
-    catalog = Catalog(build_session(), args.root, args.format)
-    STEPS[args.step](args, catalog)
+    spark = build_session()
+    with scratch_cleared(spark):
+        STEPS[args.step](args, Catalog(spark, args.root, args.format))
 
 
 if __name__ == "__main__":

@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
 _local_scratch: dict[str, str] = {}
+_handed_out: list[str] = []
 
 
 def build_session(app: str = "fleetworks", master: str | None = None, **conf: str) -> SparkSession:
@@ -43,7 +46,21 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
         if app not in _local_scratch:
             _local_scratch[app] = tempfile.mkdtemp(prefix="fleetworks-")
         base = _local_scratch[app]
-    return f"{base.rstrip('/')}/fleetworks/{label}-{uuid.uuid4().hex[:12]}"
+    path = f"{base.rstrip('/')}/fleetworks/{label}-{uuid.uuid4().hex[:12]}"
+    _handed_out.append(path)
+    return path
+
+
+@contextmanager
+def scratch_cleared(spark: SparkSession) -> Iterator[None]:
+    """Delete the scratch folders handed out inside, at its end. Frames that read them must not be used after that."""
+    before = len(_handed_out)
+    try:
+        yield
+    finally:
+        while len(_handed_out) > before:
+            path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import re
 
 import pytest
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entrypoint
 from fleetworks.plans import finance, predictive
 from fleetworks.reports import FeatureInputs
-from fleetworks.session import scratch_dir
+from fleetworks.session import scratch_cleared, scratch_dir, settle
 from fleetworks.sources.testbed import Testbed
 
 DATA = "/root/testdata/sf0.001"
@@ -120,6 +121,15 @@ def test_scratch_follows_the_session(spark):
         scratch_dir(lost, "x")
 
 
+def test_scratch_goes_when_the_work_is_done(spark):
+    kept = settle(spark.range(3), "kept")
+    with pytest.raises(ValueError), scratch_cleared(spark):
+        path = settle(spark.range(3), "done").inputFiles()[0].removeprefix("file://")
+        assert os.path.exists(path)
+        raise ValueError
+    assert not os.path.exists(os.path.dirname(path)) and kept.count() == 3
+
+
 def test_grid_is_spread(spark):
     bed = Testbed(spark, DATA)
     wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
