@@ -180,15 +180,18 @@ def held_out(key: str = "doc_id") -> Column:
 def learning_sample(docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
     """(lang, place, k, pieces): pieces of at most ``SAMPLE_ROWS`` rows of each language, spread over their texts.
 
-    The rows with the smallest key hashes are taken, equal ones once. Counts of the languages first tell how small a
-    hash must be, so that only a few times that many rows are ranked, however many there are. Held-out rows, null labels
-    and texts without a letter are left out, and languages beyond the ``MAX_LANGUAGES`` most frequent.
+    The rows with the smallest hashes of key and text are taken, equal ones once. The languages' estimated numbers of
+    different hashes first tell how small one must be, so that only a few times as many rows are ranked, however many
+    there are and however often a key or row repeats. Held-out rows, null labels and texts without a letter are left
+    out, and languages beyond the ``MAX_LANGUAGES`` most frequent.
     """
     seen = docs.where(~held_out(key) & named(label).isNotNull() & named(text).rlike(r"\p{L}")).select(
         named(label).cast("string").alias("lang"), named(key).alias("k"), named(text).alias("body"),
-        (F.shiftrightunsigned(F.xxhash64(named(key)), 11) / F.lit(2.0 ** 53)).alias("h"))
-    counts = seen.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MAX_LANGUAGES).collect()
-    below = {r["lang"]: min(1.0, 4 * SAMPLE_ROWS / r["count"]) for r in counts} or {"": 0.0}
+        (F.shiftrightunsigned(F.xxhash64(named(key), named(text)), 11) / F.lit(2.0 ** 53)).alias("h"))
+    counts = seen.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("different")).orderBy(
+        F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
+    # four times the rows wanted, so neither the estimate's 5 % nor chance leaves too few below the limit
+    below = {r["lang"]: min(1.0, 4 * SAMPLE_ROWS / max(1, r["different"])) for r in counts} or {"": 0.0}
     limit = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])[F.col("lang")]
     length = F.length("body")
     pieces = F.transform(

@@ -7,6 +7,7 @@ import random
 from pyspark.sql import functions as F
 
 import corpus_pipeline
+from fleetworks.llm import language
 
 SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint"
 
@@ -29,3 +30,11 @@ def test_all_texts_stay_if_nothing_was_learned(spark):
     kept = corpus_pipeline.identify_language(spark, spark.createDataFrame(rows, SCHEMA), "")
     assert kept.columns == ["doc_id", "text", "lang", "source", "n_chars"]
     assert sorted(r["doc_id"] for r in kept.collect()) == [0, 1]
+
+
+def test_a_hot_key_leaves_the_sample_whole(spark):
+    keys = F.when(F.col("id") < 100_000, 3).otherwise(F.col("id")).alias("doc_id")
+    texts = F.when(F.col("id") < 100_000, "the same text").otherwise(F.concat(F.lit("text "), F.col("id"))).alias("text")
+    docs = spark.range(101_000).select(keys, texts, F.lit("en").alias("lang"))
+    rows = language.learning_sample(docs, "doc_id", "text", "lang").collect()
+    assert len(rows) == language.SAMPLE_ROWS and sum(r["k"] == 3 for r in rows) <= 1
