@@ -63,6 +63,8 @@ _SECRET = re.compile(r"(?i)(?<!\w)(?:password|passwd|pwd|secret|token|api[_-]?ke
 _TITLE = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?")
 _NAME = re.compile(r"[  ]([^\W\d_](?:[\w]|['’-](?=\w))*)")
 _DIGIT = re.compile(r"\d")
+#: Country codes: one digit, two digits, else three.
+_COUNTRY = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
 
 
 class Draws:
@@ -132,6 +134,19 @@ def _name(kind: str, value: str, attempt: int, draws: Draws) -> str:
     return stem + (draws.of(endings.split()) if endings else "")
 
 
+def phone_parts(shown: str) -> tuple[str, str]:
+    """Country code and national number of a mention, as digits. Without a code it is empty."""
+    digits = re.sub(r"\D", "", shown)
+    code = m[0] if shown[0] == "+" and (m := _COUNTRY.match(digits)) else ""
+    return code, digits[len(code):]
+
+
+def _phone(shown: str) -> str:
+    """One entity for all spellings: national digits, behind any country code but 1, which is the one left out."""
+    code, national = phone_parts(shown)
+    return national if code in ("", "1") else f"+{code} {national}"
+
+
 def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     """What stands for an entity. ``value`` is the entity as ``mentions`` gives it."""
     draws = Draws(key, kind, value, str(attempt))
@@ -148,7 +163,7 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         parts = [spans[len(p)] if not extra else (1, 254) for p in value.split(".")]
         return ".".join(str(a + draws.below(b - a + 1)) for a, b in parts)
     if kind == "phone":
-        lead = re.match(r"\+\d{1,3}", value)
+        lead = re.match(r"\+\d+ ", value)
         head = lead[0] if lead else ""
         rest = _alike(value[len(head):] + "0" * extra, draws)
         return head + _DIGIT.sub(lambda m: draws.of("23456789"), rest, count=1)
@@ -170,6 +185,10 @@ def _dressed(kind: str, shown: str, new: str) -> str:
         return new.upper() if shown.isupper() and len(shown) > 1 else new[:1].upper() + new[1:] if shown[0].isupper() else new
     if kind == "email":
         return "".join(b.upper() if a.isupper() else b for a, b in zip(shown, new)) + new[len(shown):]
+    if kind == "phone":
+        code, _ = phone_parts(shown)
+        digits, skip = iter(new.rpartition(" ")[2]), iter(code)
+        return re.sub(r"\d", lambda m: next(skip, None) or next(digits), shown) + "".join(digits)
     if kind in ("card", "number", "account"):
         out, at = [], 0
         for c in shown:
@@ -199,7 +218,7 @@ def _found(text: str) -> Iterator[tuple[int, int, str, str]]:
                 yield m.start(), m.end(), "address", m[0]
         for pattern in (_PHONE, _ABROAD):
             for m in pattern.finditer(text):
-                yield m.start(), m.end(), "phone", m[0]
+                yield m.start(), m.end(), "phone", _phone(m[0])
         for m in _SOCIAL.finditer(text):
             yield m.start(), m.end(), "social", m[0]
         for m in _ACCOUNT.finditer(text):
