@@ -62,36 +62,66 @@ EXCEPTIONS = {"classpath-exception-2.0", "gcc-exception-3.1", "llvm-exception",
 TAG_SCORE, PHRASE_SCORE, WEAK_SCORE = 1.0, 0.9, 0.6
 
 _BINDS = {"or": 1, "and": 2, "with": 3}
-_TOKEN = re.compile(r"[^\S\n\r]*([()]|[a-z0-9][a-z0-9.+-]*)")
+_TOKEN = re.compile(r"[^\S\n\r]*([()]|(?:DocumentRef-[A-Za-z0-9.-]+:)?[A-Za-z0-9][A-Za-z0-9.+-]*)", re.I)
+#: What may stand between an expression and the line's end: the end of a comment, a quote, a stop.
+_LINE_END = re.compile(r"[^\S\n\r]*(?:\*+/|-->|[\"'`,;.#*)\]}>])*[^\S\n\r]*(?=[\n\r]|\Z)")
+#: Public identifiers of small letters alone, which nothing else tells from prose.
+_SMALL = set("blessing checkmk curl diffmark dtoa dvipdfm fwlw gnuplot hdparm jove libpng libtiff lsof magaz mailprio metamail"
+             " mpich2 mplus pnmstitch psfrag psutil snprintf swrule threeparttable ulem w3m wwl xinetd xlock xpp zlib".split())
+#: Values that say that there is no expression.
+_NOTHING = {"none", "noassertion"}
 
 RESULT = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, base_labels string, labels string,"
           " score double, expressions array<string>, permissive boolean")
 
 
+def _known(plain: str) -> bool:
+    return plain in IDENTIFIERS or plain in _SMALL or plain.startswith(("licenseref-", "documentref-"))
+
+
 def read_expression(text: str, at: int) -> tuple[list[str], int]:
-    """The tokens of the longest complete expression that starts at ``at`` and stays on its line."""
+    """The tokens, lowered, of the expression that starts at ``at`` and stays on its line; none if it can't be read.
+
+    Any identifier is an operand and any an exception. What tells them from prose: an operator in capitals always is one
+    and needs its operand, one in small letters only counts before an identifier of the table or with a digit, and an
+    expression with other names and no operator in capitals ends with its line.
+    """
     tokens: list[str] = []
-    depth, complete, end, wants = 0, 0, at, "operand"
+    depth, capitals, foreign, wants = 0, False, False, "operand"
     while match := _TOKEN.match(text, at):
-        token = match[1]
+        shown, token = match[1], match[1].lower()
         plain = token.rstrip("+.") if token not in IDENTIFIERS else token
         if wants == "operand" and token == "(":
             depth += 1
-        elif wants == "operand" and (plain in IDENTIFIERS or plain.startswith("licenseref-")):
+        elif wants == "operand" and token not in _BINDS and token not in _NOTHING and (
+                _known(plain) or re.search(r"[A-Z0-9-]", shown) and re.search(r"[a-z]", plain)):
+            foreign = foreign or not _known(plain)
             token, wants = plain, "operator"
-        elif wants == "exception" and plain in EXCEPTIONS:
+        elif wants == "exception" and re.search(r"[a-z]", plain) and token not in _BINDS:
             token, wants = plain, "operator"
         elif wants == "operator" and token == ")" and depth:
             depth -= 1
-        elif wants == "operator" and token in _BINDS:
+        elif wants == "operator" and token in _BINDS and (shown.isupper() or _follows(text, match.end(), token)):
+            capitals = capitals or shown.isupper()
             wants = "exception" if token == "with" else "operand"
         else:
             break
         tokens.append(token)
         at = match.end()
-        if wants == "operator" and not depth:
-            complete, end = len(tokens), at
-    return tokens[:complete], end
+    if wants != "operator" or depth or (foreign and not capitals and not _LINE_END.match(text, at)):
+        return [], at
+    return tokens, at
+
+
+def _follows(text: str, at: int, operator: str) -> bool:
+    """Whether an identifier follows an operator in small letters."""
+    match = _TOKEN.match(text, at)
+    while match and match[1] == "(":
+        match = _TOKEN.match(text, match.end())
+    plain = match[1].lower().rstrip("+.") if match else ""
+    if operator == "with":
+        return plain in EXCEPTIONS or bool(re.search(r"-exception|\d", plain))
+    return _known(plain) or bool(re.search(r"\d", plain))
 
 
 def postfix(tokens: list[str]) -> list[str]:
@@ -160,12 +190,13 @@ class Scanner:
         expressions, permissive = [], None
         lowered = text.encode().lower().decode() if text else ""
         for end, _ in self.tags.iter(lowered):
-            tokens, _ = read_expression(lowered, end + 1)
+            tokens, _ = read_expression(text, end + 1)
             if tokens:
                 shown, holds = evaluate(tokens)
                 expressions.append(shown)
                 permissive = holds if permissive is None else permissive and holds
-                labels.update(_label(t) for t in tokens if t not in _BINDS and t not in "()" and t not in EXCEPTIONS)
+                labels.update(_label(t) for before, t in zip(["", *tokens], tokens)
+                              if t not in _BINDS and t not in "()" and before != "with")
                 score = TAG_SCORE
         at = [None if s is None else line.count(" ", 0, s) for s in (first, last)]
         return (len(words), n_base, *at, ",".join(sorted(base_labels)), ",".join(sorted(labels)), score, expressions,
@@ -177,8 +208,8 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep=None, base: Mapping[
     """Licence evidence of every whole text, in the columns of ``RESULT``.
 
     ``n_base`` counts all places of base phrases, overlapping ones too; ``first_word`` and ``last_word`` are null
-    without any. ``expressions`` lists the bracketed expressions behind tags in order; what cannot be read after a tag
-    is ignored. ``permissive`` is null without an expression, else whether all of them allow permissive reuse. Null and
+    without any. ``expressions`` lists the bracketed expressions behind tags in order; one that cannot be read to its end
+    is left out, not cut. An identifier beyond ``IDENTIFIERS`` is its own label and not permissive. ``permissive`` is null without an expression, else whether all of them allow permissive reuse. Null and
     empty texts have no words, empty labels and score 0. Repeated rows stay; clashing columns are replaced.
     """
     base = BASE_PHRASES if base is None else base
