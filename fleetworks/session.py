@@ -51,6 +51,14 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
     return path
 
 
+def discard(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder that nothing reads any more."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+    if path in _handed_out:
+        _handed_out.remove(path)
+
+
 @contextmanager
 def scratch_cleared(spark: SparkSession) -> Iterator[None]:
     """Delete the scratch folders handed out inside, at its end. Frames that read them must not be used after that."""
@@ -59,8 +67,7 @@ def scratch_cleared(spark: SparkSession) -> Iterator[None]:
         yield
     finally:
         while len(_handed_out) > before:
-            path = spark._jvm.org.apache.hadoop.fs.Path(_handed_out.pop())
-            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+            discard(spark, _handed_out[-1])
 
 
 def settle(df: DataFrame, label: str) -> DataFrame:
