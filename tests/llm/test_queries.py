@@ -19,4 +19,4 @@ def test_query_matches_sql(spark, name):
 
 def test_all_queries_are_registered():
     assert set(QUERIES) <= set(entrypoint.queries()) and set(ORACLE) <= set(entrypoint.oracle_sql())
-    assert {f"op{n}" for n in range(1, 11)} == {q.split("_")[0] for q in QUERIES} - {"pipeline"}
+    assert {f"op{n}" for n in range(1, 14)} == {q.split("_")[0] for q in QUERIES} - {"pipeline"}
