@@ -210,7 +210,18 @@ ORACLE: dict[str, str] = {
         FROM parts""",
     "op11_centroids": _clusters_sql(),
     "op12_merkle": r"""
-        WITH RECURSIVE fields AS (
+        WITH RECURSIVE crc_table AS (
+            SELECT n, list_reduce(list_prepend(CAST(n AS BIGINT), CAST(range(8) AS BIGINT[])),
+                                  lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
+            FROM range(256) t(n)),
+        crc(doc_id, raw, i, c) AS (
+            SELECT doc_id, CAST(doc_id AS VARCHAR), 1, CAST(4294967295 AS BIGINT)
+            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
+            UNION ALL
+            SELECT doc_id, raw, i + 1, xor(t.c, crc.c // 256)
+            FROM crc JOIN crc_table t ON t.n = xor(crc.c % 256, CAST(ascii(substr(raw, i, 1)) AS BIGINT)) WHERE i <= len(raw)),
+        even_ids AS (SELECT doc_id FROM crc WHERE i > len(raw) AND xor(c, 4294967295) % 2 = 0),
+        fields AS (
             SELECT *, row_number() OVER () AS row_id,
                    CASE WHEN doc_id IS NOT NULL THEN strlen(CAST(doc_id AS VARCHAR)) || ':' || doc_id ELSE '-' END
                    || CASE WHEN source IS NOT NULL THEN strlen(source) || ':' || source ELSE '-' END
@@ -218,18 +229,6 @@ ORACLE: dict[str, str] = {
                    || CASE WHEN n_chars IS NOT NULL THEN strlen(CAST(n_chars AS VARCHAR)) || ':' || n_chars ELSE '-' END AS head,
                    CASE WHEN doc_id IN (SELECT doc_id FROM even_ids) THEN replace(text, chr(10), '') ELSE text END AS given
             FROM documents),
-        bits AS (SELECT doc_id, encode(CAST(doc_id AS VARCHAR)) AS raw FROM documents),
-        crc_table AS (
-            SELECT n, list_reduce(list_prepend(CAST(n AS BIGINT), CAST(range(8) AS BIGINT[])),
-                                  lambda c, i: CASE WHEN c % 2 = 1 THEN xor(c // 2, 3988292384) ELSE c // 2 END) AS c
-            FROM range(256) t(n)),
-        crc(doc_id, raw, at, c) AS (
-            SELECT doc_id, CAST(doc_id AS VARCHAR), 1, CAST(4294967295 AS BIGINT)
-            FROM (SELECT DISTINCT doc_id FROM documents WHERE doc_id IS NOT NULL)
-            UNION ALL
-            SELECT doc_id, raw, at + 1, xor(t.c, crc.c // 256)
-            FROM crc JOIN crc_table t ON t.n = xor(crc.c % 256, CAST(ascii(substr(raw, at, 1)) AS BIGINT)) WHERE at <= len(raw)),
-        even_ids AS (SELECT doc_id FROM crc WHERE at > len(raw) AND xor(c, 4294967295) % 2 = 0),
         hashed AS (
             SELECT row_id, doc_id, source, sha256(head || coalesce(strlen(text) || ':' || text, '-')) AS leaf,
                    sha256(head || coalesce(strlen(given) || ':' || given, '-')) AS given FROM fields),
