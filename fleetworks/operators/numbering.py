@@ -54,6 +54,21 @@ def number_rows(df: DataFrame, order_by: Sequence[str | tuple[str, str]], out: s
     )
 
 
+def running_totals(df: DataFrame, order_by: Sequence[str | tuple[str, str]], totals: dict[str, str]) -> DataFrame:
+    """Add the running total of each column of ``totals`` under its new name, over the whole frame in the given order.
+
+    Missing values count 0. The order must be total to be repeatable.
+    """
+    placed = _placed(df, order_by, "totals")
+    inside = Window.partitionBy("_part").orderBy("_idx").rowsBetween(Window.unboundedPreceding, 0)
+    parts = placed.groupBy("_part").agg(*[F.coalesce(F.sum(c), F.lit(0)).alias(f"_sum_{i}") for i, c in enumerate(totals)])
+    before = parts.select("_part", *[_before(f"_sum_{i}").alias(f"_before_{i}") for i in range(len(totals))])
+    # one row per partition, so it is always small enough to broadcast
+    return placed.join(F.broadcast(before), "_part").select(*df.columns, *[
+        (F.col(f"_before_{i}") + F.coalesce(F.sum(c).over(inside), F.lit(0))).alias(out)
+        for i, (c, out) in enumerate(totals.items())])
+
+
 def rank_and_accumulate(df: DataFrame, value: str, tiebreak: str, rank: str, running: str) -> DataFrame:
     """Competition rank by descending ``value`` and the running total in that order.
 

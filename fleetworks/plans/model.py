@@ -9,10 +9,12 @@ from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetworks import constants as C
+from fleetworks.plans.evaluation import threshold_curve
 from fleetworks.plans.predictive import holdout_split, triage_status
+from fleetworks.plans.trees import probability_column
 
 
 @dataclass(frozen=True)
@@ -64,6 +66,25 @@ def train_and_evaluate(features: DataFrame, holdout_days: int = C.HOLDOUT_DAYS,
     return model, Evaluation(auc, hit / flagged if flagged else 0.0, hit / actual if actual else 0.0, cells)
 
 
+def judge(model: PipelineModel, features: DataFrame, holdout_days: int = C.HOLDOUT_DAYS) -> DataFrame:
+    """The threshold curve of the model on the held-out days, scored by the compiled trees."""
+    held_out = holdout_split(_inputs(features), holdout_days).filter(F.col("split") == "test")
+    return threshold_curve(held_out.select("label", compiled_probability(model).alias("probability")), "probability")
+
+
+def compiled_probability(model: PipelineModel) -> Column:
+    """The model's probability of a failure as an expression over the feature columns as doubles."""
+    return probability_column(model.stages[-1], C.FEATURES)
+
+
+def score_day(features: DataFrame, model: PipelineModel) -> DataFrame:
+    """Failure probability of every row given, by the compiled trees: code generated by Spark, without vectors."""
+    scored = _inputs(features).withColumn("failure_probability", compiled_probability(model))
+    return scored.select(
+        "equipment_id", "component_id", F.col("date_id").alias("scoring_date"), "failure_probability",
+        triage_status(F.col("failure_probability")).alias("signal_status"), "weighted_score_7d", "critical_count_7d")
+
+
 def score_latest(features: DataFrame, model: PipelineModel) -> DataFrame:
     """Failure probability of every machine and component on the newest day."""
     newest = features.agg(F.max("date_id")).scalar()

@@ -9,7 +9,8 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from fleetworks.operators import number_rows, scalar_array
-from fleetworks.plans import finance, governance, inventory, model, predictive, quality, service, signals, staging, telemetry
+from fleetworks.plans import evaluation, finance, governance, inventory, model, predictive, quality, service, signals, staging, telemetry
+from fleetworks.plans.increments import FeatureStore
 from fleetworks.schemas import Constraints
 from fleetworks.session import scratch_dir, settle
 from fleetworks.sources import Catalog, append_missing, as_messages, conform, write_csv, write_table
@@ -398,26 +399,121 @@ def recent_faults(spark, root):
     return present(recent.groupBy("equipment_id", "fault_code").agg(F.count("*").alias("n")))
 
 
+_trained: dict[tuple[str, str], tuple] = {}
+
+
+def _trained_model(spark: SparkSession, root: str):
+    """The classifier and its evaluation, trained once per session and data folder; it is no larger than its trees."""
+    key = (spark.sparkContext.applicationId, root)
+    if key not in _trained:
+        _trained[key] = model.train_and_evaluate(
+            settle(FeatureInputs(Testbed(spark, root)).features(labelled=True), "features"), HOLDOUT_DAYS)
+    return _trained[key]
+
+
+def _newest_features(spark: SparkSession, root: str) -> DataFrame:
+    """The newest day's features, added to a store that holds the days before."""
+    bed = Testbed(spark, root)
+    store, days = _store_without(bed, 1)
+    return store.add_day(days[0], bed.equipment(), bed.components(), *_increment_inputs(bed))
+
+
 @report
 def gbt_scored(spark, root):
-    features = settle(FeatureInputs(Testbed(spark, root)).features(labelled=True), "features")
-    fitted, _ = model.train_and_evaluate(features, HOLDOUT_DAYS)
-    return present(model.score_latest(features, fitted))
+    fitted, _ = _trained_model(spark, root)
+    return present(model.score_latest(_newest_features(spark, root), fitted))
 
 
 @report
 def gbt_score_checks(spark, root):
     """What must hold of the model's scores, whatever it learned: who is scored, when, from what, and what follows."""
-    features = settle(FeatureInputs(Testbed(spark, root)).features(labelled=True), "features")
-    fitted, judged = model.train_and_evaluate(features, HOLDOUT_DAYS)
+    fitted, judged = _trained_model(spark, root)
     probability = F.col("failure_probability")
     status = F.when(probability >= 0.70, "Action Recommended").when(probability >= 0.40, "Watch").otherwise("New")
-    return present(model.score_latest(features, fitted).select(
+    return present(model.score_latest(_newest_features(spark, root), fitted).select(
         "equipment_id", "component_id", "scoring_date", "weighted_score_7d", F.col("critical_count_7d").cast("bigint"),
         probability.between(0, 1).cast("int").alias("is_probability"), (F.col("signal_status") == status).cast("int").alias("status_follows"),
         F.lit(sum(judged.confusion.values())).alias("held_out_rows")))
 
 
+@report
+def gbt_compiled(spark, root):
+    """Whether the trees as an expression give the probability of the model's own vectors, row by row."""
+    fitted, _ = _trained_model(spark, root)
+    newest = settle(_newest_features(spark, root), "newest")
+    keys = ["equipment_id", "component_id", "scoring_date"]
+    theirs = model.score_latest(newest, fitted).select(*keys, F.col("failure_probability").alias("_vector"), F.col("signal_status").alias("_status"))
+    both = model.score_day(newest, fitted).join(theirs, keys)
+    return present(both.select(
+        *keys, "weighted_score_7d", (F.abs(F.col("failure_probability") - F.col("_vector")) < 1e-9).cast("int").alias("probabilities_agree"),
+        (F.col("signal_status") == F.col("_status")).cast("int").alias("statuses_agree")))
+
+
+@report
+def gbt_evaluation(spark, root):
+    """The model on the held-out days: what is counted, and whether exact figures and Spark's own agree."""
+    fitted, judged = _trained_model(spark, root)
+    curve = settle(model.judge(fitted, FeatureInputs(Testbed(spark, root)).features(labelled=True), HOLDOUT_DAYS), "curve")
+    area, at = evaluation.area_under_curve(curve), evaluation.figures_at(curve, 0.5)
+    near = {"auc": judged.auc, "precision": judged.precision, "recall": judged.recall}
+    both = area.join(at, F.lit(True))
+    return present(both.select(
+        "positives", "negatives", F.col("auc").between(0, 1).cast("int").alias("is_share"),
+        # Spark's own area is taken over at most a thousand thresholds
+        *[(F.abs(F.coalesce(F.col(c), F.lit(0.0)) - v) < 0.005).cast("int").alias(f"{c}_agrees") for c, v in near.items()]))
+
+
+@report
+def risk_threshold_curve(spark, root):
+    """Every threshold of the fixed risk curve on the held-out days: hits, false alarms, misses, precision and recall."""
+    return present(_risk_curve(spark, root).drop("positives", "negatives"), {"precision": 6, "recall": 6})
+
+
+@report
+def risk_evaluation(spark, root):
+    """Area under the curve of the fixed risk curve, and precision and recall at one half."""
+    curve = settle(_risk_curve(spark, root), "curve")
+    both = evaluation.area_under_curve(curve).join(evaluation.figures_at(curve, 0.5), F.lit(True))
+    return present(both, {"auc": 6, "precision": 6, "recall": 6})
+
+
+def _risk_curve(spark: SparkSession, root: str) -> DataFrame:
+    graded = FeatureInputs(Testbed(spark, root)).features(labelled=True).withColumn(
+        "score", F.round(predictive.risk_score("weighted_score_7d", midpoint=9.0, steepness=0.5), 4))
+    held_out = predictive.holdout_split(graded, HOLDOUT_DAYS).filter(F.col("split") == "test")
+    return evaluation.threshold_curve(held_out.select("score", "label"), "score")
+
+
+def _increment_inputs(bed: Testbed) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Telemetry, maintenance and component faults, each written once for all days."""
+    inputs = FeatureInputs(bed)
+    return (settle(inputs.telemetry(), "telemetry"), settle(bed.maintenance_marks().distinct(), "marks"),
+            settle(inputs.component_faults(), "component-faults"))
+
+
+def _store_without(bed: Testbed, last: int) -> tuple[FeatureStore, list]:
+    """A store of all days but the ``last`` ones, and these."""
+    readings, marks, faults = _increment_inputs(bed)
+    days = [r["date_id"] for r in readings.select("date_id").distinct().orderBy(F.desc("date_id")).limit(last).collect()]
+    before = min(days)
+    store = FeatureStore(bed.spark, scratch_dir(bed.spark, "feature-store"))
+    store.build(bed.equipment(), bed.components(), readings.filter(F.col("date_id") < before),
+                marks.filter(F.col("scheduled_date") < before), faults.filter(F.col("date_id") < before))
+    return store, sorted(days)
+
+
+@report
+def feature_increments(spark, root):
+    """The feature grid of all days but three, to which these are added one by one."""
+    bed = Testbed(spark, root)
+    store, days = _store_without(bed, 3)
+    inputs = _increment_inputs(bed)
+    for day in days:
+        store.add_day(day, bed.equipment(), bed.components(), *inputs)
+    columns = FeatureInputs(bed).features(labelled=False).columns
+    return present(store.read().select(*columns))
+
+
 class SignalChain:
     """Signals and each step after them. The numbered and the triaged signals are written once and shared by all steps."""
 

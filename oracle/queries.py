@@ -256,6 +256,8 @@ SELECT r.equipment_id, r.component_id, r.date_id, r.model_id, r.customer_id, r.s
 FROM rolled r LEFT JOIN daily d ON d.equipment_id = r.equipment_id AND d.date_id = r.date_id
 LEFT JOIN last_marks l ON l.equipment_id = r.equipment_id AND l.date_id = r.date_id""")
 
+ORACLE["feature_increments"] = ORACLE["rolling_features"]
+
 check("gbt_score_checks",
       "equipment_id:i component_id:i scoring_date:d weighted_score_7d:f critical_count_7d:i is_probability:i status_follows:i"
       " held_out_rows:i", """
@@ -264,6 +266,40 @@ SELECT r.equipment_id, r.component_id, r.date_id AS scoring_date, r.score_7 AS w
   (SELECT COUNT(*) FROM labelled l, newest n WHERE l.date_id >= n.day - 10) AS held_out_rows
 FROM rolled r, newest WHERE r.date_id = newest.day""")
 
+check("gbt_compiled",
+      "equipment_id:i component_id:i scoring_date:d weighted_score_7d:f probabilities_agree:i statuses_agree:i", """
+SELECT r.equipment_id, r.component_id, r.date_id AS scoring_date, r.score_7 AS weighted_score_7d, 1 AS probabilities_agree,
+  1 AS statuses_agree
+FROM rolled r, newest WHERE r.date_id = newest.day""")
+
+check("gbt_evaluation", "positives:i negatives:i is_share:i auc_agrees:i precision_agrees:i recall_agrees:i", """
+SELECT SUM(label) AS positives, SUM(1 - label) AS negatives, 1 AS is_share, 1 AS auc_agrees, 1 AS precision_agrees,
+  1 AS recall_agrees
+FROM labelled, newest WHERE date_id >= newest.day - 10""")
+
+_graded = """
+SELECT ROUND(0.02 + (0.98 - 0.02) / (1.0 + exp(-0.5 * (r.score_7::DOUBLE - 9.0))), 4) AS score, l.label
+FROM labelled l JOIN rolled r USING (equipment_id, component_id, date_id) CROSS JOIN newest
+WHERE l.date_id >= newest.day - 10"""
+
+check("risk_threshold_curve", "threshold:f tp:i fp:i fn:i tn:i precision:f recall:f", f"""
+SELECT threshold, tp, fp, fn, tn, ROUND(tp / (tp + fp), 6) AS precision, ROUND(tp / NULLIF(tp + fn, 0), 6) AS recall
+FROM (SELECT h.threshold, COUNT(*) FILTER (WHERE score >= threshold AND label = 1) AS tp,
+        COUNT(*) FILTER (WHERE score >= threshold AND label = 0) AS fp,
+        COUNT(*) FILTER (WHERE score < threshold AND label = 1) AS fn,
+        COUNT(*) FILTER (WHERE score < threshold AND label = 0) AS tn
+      FROM (SELECT DISTINCT score AS threshold FROM ({_graded})) h CROSS JOIN ({_graded}) g GROUP BY 1)""")
+
+# the area as the mean rank of positive rows, ties taking the mean of their ranks
+check("risk_evaluation", "auc:f positives:i negatives:i precision:f recall:f flagged:i", f"""
+SELECT ROUND((SUM(place) FILTER (WHERE label = 1) - p::DOUBLE * (p + 1) / 2) / NULLIF(p::DOUBLE * n, 0), 6) AS auc,
+  p AS positives, n AS negatives, ROUND(tp / NULLIF(flagged, 0), 6) AS precision, ROUND(tp / NULLIF(p, 0), 6) AS recall, flagged
+FROM (SELECT label, RANK() OVER (ORDER BY score) + (COUNT(*) OVER (PARTITION BY score) - 1) / 2 AS place,
+        SUM(label) OVER () AS p, SUM(1 - label) OVER () AS n, COUNT(*) FILTER (WHERE score >= 0.5) OVER () AS flagged,
+        COUNT(*) FILTER (WHERE score >= 0.5 AND label = 1) OVER () AS tp
+      FROM ({_graded}))
+GROUP BY p, n, tp, flagged""")
+
 check("failure_labels", "equipment_id:i component_id:i date_id:d label:i", "SELECT * FROM labelled")
 
 check("time_split_label_rate", "split:s row_count:i positives:i positive_rate:f", """
