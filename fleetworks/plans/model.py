@@ -78,7 +78,10 @@ def compiled_probability(model: PipelineModel) -> Column:
 
 
 def score_day(features: DataFrame, model: PipelineModel) -> DataFrame:
-    """Failure probability of every row given, by the compiled trees: code generated by Spark, without vectors."""
+    """Failure probability of every row given, by the compiled trees: code generated by Spark, without vectors.
+
+    Fifty trees outgrow the one method of a fused stage. Spark logs that and generates many small methods instead.
+    """
     scored = _inputs(features).withColumn("failure_probability", compiled_probability(model))
     return scored.select(
         "equipment_id", "component_id", F.col("date_id").alias("scoring_date"), "failure_probability",

@@ -16,7 +16,7 @@ from fleetworks.session import scratch_dir, settle
 from fleetworks.sources import Catalog, append_missing, as_messages, conform, write_csv, write_table
 from fleetworks.sources.testbed import AS_OF, HOLDOUT_DAYS, REGIONS_BY_ROLE, SNAPSHOT, Testbed
 from fleetworks.streaming import FaultLanding, KeyedUpsert, TelemetryLanding, drain, file_source
-from fleetworks.streaming.rollup import daily_fault_rollup
+from fleetworks.streaming.rollup import COUNTS, DAILY, LateRollup, daily_fault_rollup
 
 Report = Callable[[SparkSession, str], DataFrame]
 REPORTS: dict[str, Report] = {}
@@ -873,11 +873,7 @@ def stream_upsert_daily(spark, root):
 def stream_daily_rollup(spark, root):
     bed = Testbed(spark, root)
     target, checkpoint = scratch_dir(spark, "rollup"), scratch_dir(spark, "offsets")
-    counts = ["fault_count_info", "fault_count_warning", "fault_count_critical", "event_count", "max_sensor_reading"]
-    sink = KeyedUpsert(
-        target, "daily_faults",
-        "equipment_id BIGINT, fault_count_info INT, fault_count_warning INT, fault_count_critical INT, "
-        "event_count BIGINT, max_sensor_reading DOUBLE, date_id DATE", ["equipment_id", "date_id"], counts)
+    sink = KeyedUpsert(target, "daily_faults", DAILY, ["equipment_id", "date_id"], COUNTS)
     query = (
         daily_fault_rollup(bed.fault_stream()).writeStream.outputMode("update").foreachBatch(sink)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
@@ -886,6 +882,26 @@ def stream_daily_rollup(spark, root):
     return present(sink.read(spark))
 
 
+def _scattered_events(bed: Testbed, files: int) -> str:
+    """The events in files of one batch each, every one with rows of all days, so that most come late."""
+    path = scratch_dir(bed.spark, "scattered-events")
+    rows = settle(bed.fault_rows(), "events")
+    for n in range(files):
+        rows.filter(F.pmod(F.xxhash64("equipment_id", "ts"), F.lit(files)) == n).write.mode("append").parquet(path)
+    return path
+
+
+@report
+def stream_late_rollup(spark, root):
+    """Daily counts from events out of order, with a state of two days: late rows are counted from the log."""
+    path = _scattered_events(Testbed(spark, root), 4)
+    events = spark.readStream.schema("equipment_id BIGINT, ts TIMESTAMP, severity STRING, reading DOUBLE").option(
+        "maxFilesPerTrigger", 8).parquet(path)
+    rollup = LateRollup(scratch_dir(spark, "rollup"))
+    rollup.run(events, scratch_dir(spark, "offsets"))
+    return present(rollup.table.read(spark))
+
+
 @report
 def numbered_orders(spark, root):
     """Dense numbers over every order by date and key."""

@@ -252,17 +252,22 @@ class Testbed:
     def last_day(self) -> Column:
         return self.faults().agg(F.max("event_date")).scalar()
 
-    def fault_stream(self, files_per_batch: int = 1000) -> DataFrame:
-        """The events file read as a stream, with a real timestamp for watermarks."""
-        code = F.col("event_type")
+    def _as_faults(self, events: DataFrame) -> DataFrame:
+        """Events with a real timestamp for watermarks."""
         as_utc = F.convert_timezone(F.lit("UTC"), F.current_timezone(), F.col("ts")).cast("timestamp")
+        return events.select(
+            F.col("user_id").alias("equipment_id"), as_utc.alias("ts"),
+            lookup(SEVERITY_BY_EVENT, F.col("event_type"), "Info").alias("severity"), F.col("value").alias("reading"))
+
+    def fault_rows(self) -> DataFrame:
+        return self._as_faults(self.raw("events"))
+
+    def fault_stream(self, files_per_batch: int = 1000) -> DataFrame:
+        """The events file read as a stream."""
         schema = "event_id BIGINT, ts TIMESTAMP_NTZ, user_id BIGINT, event_type STRING, value DOUBLE, props STRING"
-        return (
+        return self._as_faults(
             self.spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch)
-            .parquet(f"{self.root}/events*.parquet")
-            .select(F.col("user_id").alias("equipment_id"), as_utc.alias("ts"),
-                    lookup(SEVERITY_BY_EVENT, code, "Info").alias("severity"), F.col("value").alias("reading"))
-        )
+            .parquet(f"{self.root}/events*.parquet"))
 
     def maintenance_marks(self) -> DataFrame:
         return self.raw("events").filter(F.col("event_type") == "signup").select(

@@ -135,6 +135,15 @@ class KeyedUpsert:
         # rebalancing by day keeps files large and still splits a day too big for one task
         merged.hint("rebalance", self.day).write.mode("overwrite").partitionBy(self.day).parquet(staged)
 
+    def replace_days(self, rows: DataFrame) -> None:
+        """Replace the days of ``rows``, which are one row per key, by them. Other days stay."""
+        staged = f"{self.staging}/replaced"
+        rows.hint("rebalance", self.day).write.mode("overwrite").partitionBy(self.day).parquet(staged)
+        # an empty write leaves no partition, and so nothing to swap
+        done = rows.sparkSession.read.schema(self.schema).parquet(staged)
+        done.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.day).parquet(self.path)
+        drop_path(rows.sparkSession, staged)
+
     def read(self, spark: SparkSession) -> DataFrame:
         if not path_exists(spark, self.path):
             return spark.createDataFrame([], self.schema)

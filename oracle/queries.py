@@ -539,3 +539,4 @@ FROM daily d JOIN (SELECT user_id AS equipment_id, ts::DATE AS date_id, COUNT(*)
 check("numbered_orders", "o_orderkey:i order_date:d order_no:i", """
 SELECT o_orderkey, o_orderdate::DATE AS order_date, ROW_NUMBER() OVER (ORDER BY o_orderdate::DATE, o_orderkey) AS order_no
 FROM orders""")
+ORACLE["stream_late_rollup"] = ORACLE["stream_daily_rollup"]
