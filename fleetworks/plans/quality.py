@@ -1,14 +1,20 @@
-"""Data tests. Every check yields the rows that break it; a report counts them."""
+"""Data tests. Every check yields the rows that break it; a report counts them.
+
+All rules of all tables are counted together: each table is scanned once and emits one tagged row per broken row rule, per
+key and per reference, and a single group-by on (rule, key hash) then counts repeated keys and references without a parent.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
 from fleetworks import constants as C
 from fleetworks.schemas import CONSTRAINTS, Constraints
+from fleetworks.sources.literals import literal_frame
 
 
 def null_rows(df: DataFrame, column: str) -> DataFrame:
@@ -36,56 +42,72 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -
     return df.filter(F.col(column).isNotNull()).join(known, column, "left_anti")
 
 
-def _counts(df: DataFrame, table: str, conditions: Mapping[str, Column]) -> DataFrame:
-    """Violations of all row-level checks of a table in one scan."""
-    counted = df.agg(*[F.count_if(cond).alias(f"c{i}") for i, cond in enumerate(conditions.values())])
-    pairs = ", ".join(f"'{table}: {name}', c{i}" for i, name in enumerate(conditions))
-    return counted.selectExpr(f"stack({len(conditions)}, {pairs}) AS (check_name, violations)")
-
-
-def _total(violating: DataFrame, name: str) -> DataFrame:
-    return violating.agg(F.count("*").alias("violations")).select(F.lit(name).alias("check_name"), "violations")
+#: Kinds of tagged rows: a broken row rule, an occurrence of a key, a reference.
+BROKEN, KEY, REFERENCE = 0, 1, 2
+_ENTRY = "struct<rule:int,kind:int,h1:bigint,h2:bigint,n:bigint,parent:boolean>"
 
 
-def check_table(df: DataFrame, table: str, rules: Constraints, parents: Mapping[str, DataFrame]) -> list[DataFrame]:
-    """Violation counts for a table's declared constraints; a reference to a table not given is reported as not checked."""
-    rows: dict[str, Column] = {}
-    for column in (*rules.key, *rules.not_null):
-        rows[f"{column} not null"] = F.col(column).isNull()
-    for column, values in rules.allowed.items():
-        rows[f"{column} in domain"] = _unlisted(column, values)
-    for name, violated in rules.rules.items():
-        rows[name] = F.expr(violated)
-    reports = [_counts(df, table, rows)]
-    for key in (rules.key, *rules.unique):
-        reports.append(_total(duplicate_keys(df, key), f"{table}: {'+'.join(key)} unique"))
-    for column, (parent, parent_column) in rules.references.items():
-        if parent in parents:
-            lost = orphans(df, column, parents[parent], parent_column)
-            reports.append(_total(lost, f"{table}: {column} in {parent}"))
-        else:
-            name = f"{table}: {column} in {parent} (not checked)"
-            reports.append(df.sparkSession.range(1).select(
-                F.lit(name).alias("check_name"), F.lit(None).cast("bigint").alias("violations")))
-    return reports
+def _entry(when: Column, rule: int, kind: int, columns: Sequence[str] = (), n: int = 1) -> Column:
+    """A tagged row where the condition holds. The key is 128 bits of hash of its values as text, so types may differ."""
+    texts = [F.col(c).cast("string") for c in columns]
+    halves = [F.xxhash64(F.lit(seed), *texts) if texts else F.lit(0).cast("bigint") for seed in (1, 2)]
+    row = F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), halves[0].alias("h1"), halves[1].alias("h2"),
+                   F.lit(n).cast("bigint").alias("n"), F.lit(n == 0).alias("parent"))
+    return F.when(when, row).cast(_ENTRY)
 
 
-def run_checks(reports: Sequence[DataFrame]) -> DataFrame:
-    """All reports as one frame of (check_name, violations)."""
-    return reduce(DataFrame.unionByName, reports)
+def _whole(columns: Sequence[str]) -> Column:
+    return reduce(Column.__and__, [F.col(c).isNotNull() for c in columns])
 
 
 def check_constraints(tables: Mapping[str, DataFrame], declared: Mapping[str, Constraints] = CONSTRAINTS) -> DataFrame:
-    """Keys, references and domains of every given table."""
-    reports = []
-    for name, df in tables.items():
-        reports += check_table(df, name, declared[name], tables)
-    return run_checks(reports)
+    """Violations (check_name, violations) of the declared keys, references, domains and row rules of every given table.
+
+    A key counts once however often it is repeated, a reference once per row. Rows with a NULL in a key or reference are
+    not held against it. A reference to a table not given is reported as not checked, with no count.
+    """
+    names: list[str] = []
+    entries: dict[str, list[Column]] = {name: [] for name in tables}
+    unchecked: list[str] = []
+
+    def rule(name: str) -> int:
+        names.append(name)
+        return len(names) - 1
+
+    for table in tables:
+        rules = declared[table]
+        broken = {f"{c} not null": F.col(c).isNull() for c in (*rules.key, *rules.not_null)}
+        broken |= {f"{c} in domain": _unlisted(c, values) for c, values in rules.allowed.items()}
+        broken |= {name: F.expr(violated) for name, violated in rules.rules.items()}
+        for name, violated in broken.items():
+            entries[table].append(_entry(violated, rule(f"{table}: {name}"), BROKEN))
+        for key in (rules.key, *rules.unique):
+            if key:
+                entries[table].append(_entry(_whole(key), rule(f"{table}: {'+'.join(key)} unique"), KEY, key))
+        for column, (parent, parent_column) in rules.references.items():
+            if parent not in tables:
+                unchecked.append(f"{table}: {column} in {parent} (not checked)")
+                continue
+            number = rule(f"{table}: {column} in {parent}")
+            entries[table].append(_entry(_whole([column]), number, REFERENCE, [column]))
+            entries[parent].append(_entry(_whole([parent_column]), number, REFERENCE, [parent_column], 0))
+    tagged = [df.select(F.inline(F.array_compact(F.array(*entries[name])))) for name, df in tables.items() if entries[name]]
+    spark = next(iter(tables.values())).sparkSession
+    counted = reduce(DataFrame.unionByName, tagged).groupBy("rule", "kind", "h1", "h2").agg(
+        F.sum("n").alias("n"), F.max("parent").alias("parent"))
+    found = (
+        F.when(F.col("kind") == KEY, (F.col("n") > 1).cast("bigint"))
+        .when((F.col("kind") == REFERENCE) & F.col("parent"), F.lit(0)).otherwise(F.col("n")))
+    violations = counted.groupBy("rule").agg(F.sum(found).alias("violations"))
+    checks = literal_frame(spark, "rule int; check_name string", [*enumerate(names), *((-1, name) for name in unchecked)])
+    return checks.join(violations, "rule", "left").select(
+        "check_name", F.when(F.col("rule") >= 0, F.coalesce("violations", F.lit(0))).alias("violations"))
 
 
 # The tests on finished results. Domains can be replaced where a site's branches differ.
 RESULT_CHECKS: dict[str, Constraints] = {
-    "finance_monthly": Constraints(("customer_id",), ("industry_id", "total_revenue")),
+    # one row per customer and month, so the customer is no key
+    "finance_monthly": Constraints((), ("customer_id", "industry_id", "total_revenue")),
     "warehouse_inventory": Constraints(
         ("part_id", "branch", "snapshot_date"), ("unit_cost_ghs",), (), {}, {"branch": C.BRANCHES},
         {"inventory value not negative": "inventory_value_ghs < 0"}),
@@ -100,15 +122,7 @@ RESULT_CHECKS: dict[str, Constraints] = {
 
 
 def check_results(results: Mapping[str, DataFrame], branches: Sequence[str] | Column = C.BRANCHES) -> DataFrame:
-    """The data tests on finished results; ``branches`` may be an array column. Finance has one row per customer and month, so it has no single key."""
-    reports = []
-    for name, df in results.items():
-        rules = RESULT_CHECKS[name]
-        allowed = {c: (branches if c == "branch" else v) for c, v in rules.allowed.items()}
-        rows = {f"{c} not null": F.col(c).isNull() for c in (*rules.key, *rules.not_null)}
-        rows |= {f"{c} in domain": _unlisted(c, v) for c, v in allowed.items()}
-        rows |= {n: F.expr(v) for n, v in rules.rules.items()}
-        reports.append(_counts(df, name, rows))
-        if rules.key and name != "finance_monthly":
-            reports.append(_total(duplicate_keys(df, rules.key), f"{name}: {'+'.join(rules.key)} unique"))
-    return run_checks(reports)
+    """The data tests on finished results; ``branches`` may be an array column."""
+    declared = {name: replace(RESULT_CHECKS[name], allowed={
+        c: branches if c == "branch" else values for c, values in RESULT_CHECKS[name].allowed.items()}) for name in results}
+    return check_constraints(results, declared)

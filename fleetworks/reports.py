@@ -781,6 +781,29 @@ def quality_report(spark, root):
          .withColumn("work_order_id", F.col("l_orderkey"))}, rules))
 
 
+@report
+def declared_constraints(spark, root):
+    """The declared constraints over every table the given data can fill, with repeated machines and owners nobody knows."""
+    bed = Testbed(spark, root)
+    chain = SignalChain(bed)
+    orders, day = bed.raw("orders"), F.col("o_orderdate").cast("date")
+    machines = bed.equipment().withColumn("customer_id", F.when(
+        F.pmod("equipment_id", F.lit(53)) == 0, F.col("customer_id") + 1000000000).otherwise(F.col("customer_id")))
+    given = {
+        "dim_industry": bed.industries(), "dim_customer": bed.customers(),
+        "dim_equipment": machines.unionByName(machines.filter("equipment_id % 97 = 0")),
+        "dim_equipment_model": bed.models(), "dim_equipment_category": bed.categories(), "dim_component": bed.components(),
+        "dim_technician": bed.technicians(), "dim_part": bed.parts().withColumnRenamed("unit_cost_usd", "unit_cost"),
+        "dim_date": telemetry.calendar_between(orders, F.min(day), F.max(day)), "bridge_component_part": bed.component_parts(),
+        "bridge_faultcode_component": bed.fault_bridge(), "fact_equipment_sales": bed.equipment_sales(),
+        "fact_rental_contracts": bed.customer_rentals(), "fact_telemetry_daily": _telemetry(bed), "fact_fault_events": bed.faults(),
+        "fact_maintenance_events": bed.work_orders(), "fact_maintenance_parts_used": bed.parts_used(),
+        "fact_tax_filings": FinanceInputs(spark, root).filings(), "ml_maintenance_signals": settle(chain.triaged(), "signals"),
+        "parts_demand_forecast": chain.demand(), "parts_mapping_gaps": chain.gaps(),
+    }
+    return present(quality.check_constraints({name: conform(df, name) for name, df in given.items()}))
+
+
 def _changed(df: DataFrame, column: str, value, key: str, every: int) -> DataFrame:
     """A planted fault: another value in the rows whose key ``every`` divides."""
     return df.withColumn(column, F.when(F.pmod(F.col(key), F.lit(every)) == 0, F.lit(value)).otherwise(F.col(column)))

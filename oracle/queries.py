@@ -6,6 +6,7 @@ i BIGINT, f DOUBLE, d DATE, s VARCHAR, b BOOLEAN.
 
 from __future__ import annotations
 
+from fleetworks.schemas import CONSTRAINTS
 from oracle.ctes import fine, half_even, with_ctes
 
 TYPES = {"i": "BIGINT", "f": "DOUBLE", "d": "DATE", "s": "VARCHAR", "b": "BOOLEAN"}
@@ -481,6 +482,77 @@ check("quality_report", "check_name:s violations:i", _violations({
     "order_lines: l_orderkey in work_orders": "lineitem WHERE l_orderkey NOT IN (SELECT work_order_id FROM jobs)",
 }))
 
+# Every declared rule counted by itself. A table names what fills it and which of its columns that gives; the rest are NULL.
+_FILLED = {
+    "dim_industry": ("industries", "industry_id industry_name"),
+    "dim_customer": ("clients", "customer_id customer_name customer_type industry_id region contract_tier"),
+    "dim_equipment": ("""(SELECT * REPLACE (CASE WHEN equipment_id % 53 = 0 THEN customer_id + 1000000000 ELSE customer_id END
+        AS customer_id) FROM (SELECT * FROM machines UNION ALL SELECT * FROM machines WHERE equipment_id % 97 = 0))""",
+        "equipment_id model_id serial_number customer_id install_date ownership_type status"),
+    "dim_equipment_model": ("(SELECT n_nationkey AS model_id, n_regionkey AS category_id, n_name AS model_name FROM nation)",
+                            "model_id category_id model_name"),
+    "dim_equipment_category": ("""(SELECT r_regionkey AS category_id, r_name AS category_name, CASE r_regionkey % 3 WHEN 0 THEN 'Mining'
+        WHEN 1 THEN 'Construction' ELSE 'Both' END AS primary_application FROM region)""", "category_id category_name primary_application"),
+    "dim_component": ("units", "component_id component_name system_category"),
+    "dim_technician": ("(SELECT s_suppkey AS technician_id, s_name AS technician_name, branch FROM crews JOIN supplier ON s_suppkey = technician_id)",
+                       "technician_id technician_name branch"),
+    "dim_part": ("wares", "part_id part_number part_name part_category unit_cost lead_time_days"),
+    "dim_date": ("""(SELECT d::DATE AS date_id, 1 AS year, 1 AS quarter, 1 AS month, '' AS month_name, 1 AS day, 1 AS day_of_week,
+        false AS is_weekend FROM (SELECT unnest(generate_series(MIN(o_orderdate)::DATE, MAX(o_orderdate)::DATE, INTERVAL 1 DAY)) AS d
+        FROM orders))""", "date_id year quarter month month_name day day_of_week is_weekend"),
+    "bridge_component_part": ("(SELECT * FROM (VALUES (1, 'ECONOMY'), (1, 'SMALL'), (2, 'MEDIUM'), (2, 'UNLISTED'), (12, 'LARGE'))"
+                              " AS v(component_id, part_category), (SELECT 1 AS typical_qty, true AS is_primary))",
+                              "component_id part_category typical_qty is_primary"),
+    "bridge_faultcode_component": ("(SELECT *, weight AS correlation_weight FROM bridge)", "fault_code component_id correlation_weight"),
+    "fact_equipment_sales": ("sales", "sale_id equipment_id customer_id sale_date sale_price cost_basis"),
+    "fact_rental_contracts": ("rentals", "rental_id equipment_id customer_id start_date end_date rate_type rate total_billed"),
+    "fact_telemetry_daily": ("daily", "equipment_id date_id fault_count_info fault_count_warning fault_count_critical"),
+    "fact_fault_events": ("alerts", "equipment_id event_date fault_code severity"),
+    "fact_maintenance_events": ("(SELECT *, true AS warranty_flag FROM jobs)",
+                                "work_order_id equipment_id customer_id maintenance_type priority source_signal_id scheduled_date"
+                                " warranty_flag status"),
+    "fact_maintenance_parts_used": ("used", "work_order_id part_id qty_used"),
+    "fact_tax_filings": ("filings", "customer_id period_start period_end vat_amount nhil_amount getfund_amount"
+                         " withholding_tax_amount filing_status"),
+    "ml_maintenance_signals": ("triaged", "signal_id equipment_id scoring_date predicted_component_id failure_probability"
+                               " model_version signal_status"),
+    "parts_demand_forecast": ("demand", "forecast_id signal_id equipment_id part_id expected_qty is_primary demand_source"),
+    "parts_mapping_gaps": ("gaps", "gap_id signal_id component_id model_id resolved"),
+}
+
+
+def _declared() -> str:
+    parts = []
+
+    def count(name: str, rows: str) -> None:
+        parts.append(f"SELECT '{name}' AS check_name, COUNT(*) AS violations FROM {rows}")
+
+    for table, (source, given) in _FILLED.items():
+        rules, columns = CONSTRAINTS[table], given.split()
+        for c in (*rules.key, *rules.not_null):
+            count(f"{table}: {c} not null", f"{source} AS t WHERE {c if c in columns else 'NULL'} IS NULL")
+        for c, values in rules.allowed.items():
+            listed = ", ".join(f"'{v}'" for v in values)
+            count(f"{table}: {c} in domain", f"{source} AS t WHERE {c if c in columns else 'NULL'} NOT IN ({listed})")
+        for name, violated in rules.rules.items():
+            count(f"{table}: {name}", f"{source} AS t WHERE {violated}")
+        for key in (rules.key, *rules.unique):
+            names = ", ".join(key)
+            whole = " AND ".join(f"{c} IS NOT NULL" if c in columns else "false" for c in key)
+            inner = f"(SELECT {names} FROM {source} AS t WHERE {whole} GROUP BY ALL HAVING COUNT(*) > 1)"
+            count(f"{table}: {'+'.join(key)} unique", f"{inner} AS d" if set(key) <= set(columns) else f"{source} AS t WHERE false")
+        for c, (parent, parent_column) in rules.references.items():
+            if parent not in _FILLED:
+                parts.append(f"SELECT '{table}: {c} in {parent} (not checked)', NULL")
+                continue
+            known = f"SELECT {parent_column} FROM {_FILLED[parent][0]} AS p WHERE {parent_column} IS NOT NULL"
+            lost = f"{c} IS NOT NULL AND {c} NOT IN ({known})" if c in columns else "false"
+            count(f"{table}: {c} in {parent}", f"{source} AS t WHERE {lost}")
+    return " UNION ALL ".join(parts)
+
+
+check("declared_constraints", "check_name:s violations:i", _declared())
+
 _branch = "branch NOT IN (SELECT r_name FROM region)"
 _fleet = "(SELECT * FROM fleet UNION ALL SELECT * FROM fleet WHERE equipment_id % 97 = 0) AS f"
 check("result_checks", "check_name:s violations:i", _violations({

@@ -5,7 +5,7 @@ import json
 from pyspark.sql import functions as F
 
 from fleetworks.plans import governance, quality
-from fleetworks.schemas import CONSTRAINTS, TABLES
+from fleetworks.schemas import CONSTRAINTS, TABLES, Constraints
 from tests.conftest import tuples
 
 CUSTOMERS = [(1, "Western"), (2, "Greater Accra"), (3, "Ahafo"), (4, None)]
@@ -70,6 +70,22 @@ def test_declared_constraints_find_planted_faults(frame):
         "dim_customer: industry_id in dim_industry": 1}
 
 
+def test_all_rules_share_one_shuffle_and_one_scan_a_table(spark, frame, tmp_path):
+    for name, rows in (("a", [(1, 2, "x"), (1, 9, "y"), (None, None, None)]), ("b", [(2, 1, "x")] * 3 + [(3, 7, "z")])):
+        frame("k long, other int, v string", rows).write.parquet(str(tmp_path / name))
+    declared = {
+        "a": Constraints(("k",), ("v",), (("k", "v"),), {"other": ("b", "k")}, {"v": ["x"]}, {"k is one": "k <> 1"}),
+        "b": Constraints(("k", "v"), (), (("v",),), {"other": ("a", "k")})}
+    report = quality.check_constraints({n: spark.read.parquet(str(tmp_path / n)) for n in "ab"}, declared)
+    assert tuples(report) == [
+        ("a: k is one", 0), ("a: k not null", 1), ("a: k unique", 1), ("a: k+v unique", 0), ("a: other in b", 1),
+        ("a: v in domain", 1), ("a: v not null", 1), ("b: k not null", 0), ("b: k+v unique", 1), ("b: other in a", 1),
+        ("b: v not null", 0), ("b: v unique", 1)]
+    plan = report._jdf.queryExecution().executedPlan().toString()
+    final = plan[:plan.index("== Initial Plan ==")]
+    assert final.count("FileScan parquet") == 2 and final.count("hashpartitioning(rule") == 2
+
+
 def test_every_constraint_names_real_columns():
     columns = {t: {c.strip().split(" ")[0] for c in ddl.split(", ")} for t, ddl in TABLES.items()}
     for table, rules in CONSTRAINTS.items():
