@@ -272,3 +272,9 @@ def signal_funnel(enriched: DataFrame) -> DataFrame:
         F.count("*").alias("signals"), F.count_if(watched).alias("watched"),
         F.count_if(F.col("signal_status").isin(ACTION, "Converted")).alias("recommended"),
         F.count("resulting_work_order_id").alias("booked"))
+
+
+def fault_code_index(signals: DataFrame) -> DataFrame:
+    """One row (fault_code, signal_id, position) per code behind a signal: which signals a code stands behind."""
+    return signals.select(F.posexplode("contributing_fault_codes").alias("position", "fault_code"), "signal_id").select(
+        "fault_code", "signal_id", "position")

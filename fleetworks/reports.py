@@ -13,9 +13,9 @@ from fleetworks.plans import evaluation, finance, governance, inventory, model,
 from fleetworks.plans.increments import FeatureStore
 from fleetworks.schemas import Constraints
 from fleetworks.session import scratch_dir, settle
-from fleetworks.sources import Catalog, append_missing, as_messages, conform, write_csv, write_table
+from fleetworks.sources import Catalog, append_missing, as_messages, conform, literal_frame, write_csv, write_table
 from fleetworks.sources.testbed import AS_OF, HOLDOUT_DAYS, REGIONS_BY_ROLE, SNAPSHOT, Testbed
-from fleetworks.streaming import FaultLanding, KeyedUpsert, TelemetryLanding, drain, file_source
+from fleetworks.streaming import FaultLanding, KeyedUpsert, TelemetryLanding, drain, file_source, land_streams
 from fleetworks.streaming.rollup import COUNTS, DAILY, LateRollup, daily_fault_rollup
 
 Report = Callable[[SparkSession, str], DataFrame]
@@ -575,6 +575,13 @@ def risk_scored_signals(spark, root):
     return present(flat.drop("created_at"))
 
 
+@report
+def fault_code_index(spark, root):
+    """From code to signals, over signals stored with their lists."""
+    catalog = _stored("parquet", ml_maintenance_signals=SignalChain(Testbed(spark, root)).signals)
+    return present(signals.fault_code_index(catalog.table("ml_maintenance_signals")))
+
+
 @report
 def signals_triaged(spark, root):
     return present(SignalChain(Testbed(spark, root)).triaged().drop("created_at", "contributing_fault_codes"))
@@ -745,6 +752,40 @@ def audit_four_tables(spark, root):
     return present(logs)
 
 
+@report
+def audit_parts(spark, root):
+    """The log of orders changed within two ranges of keys, comparing rows in the changed ranges alone."""
+    before, at = Testbed(spark, root).raw("orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderstatus"), F.col("o_orderkey")
+    near = at.between(300, 2900) | at.between(4000, 5100)
+    kept = before.filter(~(near & (F.pmod(at, F.lit(17)) == 0))).withColumn(
+        "o_totalprice", F.when(near & (F.pmod(at, F.lit(13)) == 0), F.col("o_totalprice") + 1).otherwise(F.col("o_totalprice")))
+    added = before.filter(near & (F.pmod(at, F.lit(19)) == 0)).withColumn("o_orderkey", -at)
+    log = governance.audit_changed_parts(before, kept.unionByName(added), ["o_orderkey"], "orders", "loader", CREATED_AT, width=1000)
+    return present(log.select("o_orderkey", "operation", *[
+        F.round(F.get_json_object(f"{when}_data", "$.o_totalprice").cast("double"), 2).alias(f"{when}_price") for when in ("old", "new")]))
+
+
+@report
+def encrypt_rotation(spark, root):
+    """Names under two keys, a quarter of them moved on to a third; read side by side, and with ciphertexts exchanged."""
+    plain = Testbed(spark, root).raw("customer").select("c_custkey", "c_name")
+    secrets = [(1, "0123456789abcdef"), (2, "fedcba9876543210"), (3, "0123456789abcdef0123456789abcdef")]
+    keys = literal_frame(spark, "key_id int; secret string", secrets).withColumn("secret", F.col("secret").cast("binary"))
+    bound = ("customer", ["c_custkey"])
+    first = F.when(F.pmod("c_custkey", F.lit(2)) == 0, 1).otherwise(2)
+    locked = settle(governance.encrypt_rows(plain, "c_name", keys, first, *bound), "locked")
+    retired = locked.filter("c_custkey % 4 = 0")
+    rotated = settle(locked.filter("c_custkey % 4 <> 0").unionByName(
+        governance.rotate_key(retired, "c_name", keys, [1], 3, *bound)), "rotated")
+    opened = governance.decrypt_rows(rotated, "c_name", keys, *bound, "decrypted")
+    other = rotated.select((F.col("c_custkey") - 1).alias("c_custkey"), "c_name", "c_name_key")
+    swapped = governance.decrypt_rows(other, "c_name", keys, *bound, "swapped").select("c_custkey", "swapped")
+    without = governance.decrypt_rows(rotated, "c_name", keys.filter("key_id <> 2"), *bound, "without").select("c_custkey", "without")
+    return present(opened.join(swapped, "c_custkey", "left").join(without, "c_custkey").select(
+        "c_custkey", F.col("c_name_key").alias("key_id"), "decrypted", F.col("swapped").isNotNull().alias("swapped_opens"),
+        F.col("without").isNotNull().alias("opens_without_key_2")))
+
+
 @report
 def encrypt_roundtrip(spark, root):
     customers = Testbed(spark, root).raw("customer").select("c_custkey", "c_name")
@@ -831,6 +872,24 @@ def result_checks(spark, root):
     return present(quality.check_results(results, bed.branches()))
 
 
+@report
+def machines_served(spark, root):
+    """Distinct machines served by quarter and year from stored monthly sketches, against the exact numbers."""
+    bed = Testbed(spark, root)
+    orders, branches = bed.work_orders(), bed.branch_of_customer()
+    sketches = settle(service.machine_sketches(orders, branches), "sketches")
+    dated, out = orders.join(branches, "customer_id").withColumn("period_month", F.trunc("scheduled_date", "month")), None
+    for grain in ("quarter", "year"):
+        exact = dated.groupBy("branch", F.trunc("period_month", grain).alias("period_start")).agg(
+            F.count_distinct("equipment_id").alias("exact"))
+        # three standard errors, and one machine for rounding
+        near = F.abs(F.col("machines") - F.col("exact")) <= F.col("exact") * (3 * 1.04 / 2 ** (service.SKETCH_BITS / 2)) + 1
+        both = service.machines_served(sketches, grain).join(exact, ["branch", "period_start"]).select(
+            F.lit(grain).alias("grain"), "branch", "period_start", "exact", near.cast("int").alias("within_bound"))
+        out = both if out is None else out.unionByName(both)
+    return present(out)
+
+
 # Messages, streams and sinks
 
 
@@ -892,6 +951,23 @@ def stream_upsert_daily(spark, root):
     return present(sink.read(spark).drop("engine_hours"))
 
 
+@report
+def streams_landed(spark, root):
+    """Both topics landed in one job, with some messages cut off: what each landed and put aside, counted on the way."""
+    bed = Testbed(spark, root)
+    out, cut = scratch_dir(spark, "landed"), F.pmod(F.col("key").cast("bigint"), F.lit(5)) == 0
+    sources = []
+    for name, messages in (("faults", _fault_messages(bed)),
+                           ("telemetry", as_messages(_telemetry(bed).drop("engine_hours"), "equipment_id"))):
+        short = messages.filter(cut).withColumn("value", F.expr("left(value, length(value) - 2)"))
+        sources.append(file_source(spark, _as_files(messages.unionByName(short), name, 3), 2))
+    faults, days = land_streams(*sources, out, scratch_dir(spark, "offsets"))
+    counts = faults.counts.read(spark).unionByName(days.counts.read(spark))
+    stored = faults.read(spark).select(F.lit("faults").alias("topic")).unionByName(
+        days.read(spark).select(F.lit("telemetry_daily").alias("topic"))).groupBy("topic").agg(F.count("*").alias("stored"))
+    return present(counts.groupBy("topic").agg(F.sum("landed").alias("landed"), F.sum("quarantined").alias("quarantined")).join(stored, "topic"))
+
+
 @report
 def stream_daily_rollup(spark, root):
     bed = Testbed(spark, root)

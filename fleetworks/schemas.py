@@ -53,7 +53,7 @@ TABLES: dict[str, str] = {
                         "withholding_tax_amount DECIMAL(14,2), filing_status STRING",
     "ml_maintenance_signals": "signal_id BIGINT, equipment_id BIGINT, scoring_date DATE, predicted_component_id BIGINT, "
                               "failure_probability DECIMAL(5,4), model_version STRING, "
-                              "recommended_action_window_days INT, contributing_fault_codes STRING, "
+                              "recommended_action_window_days INT, contributing_fault_codes ARRAY<STRING>, "
                               "signal_status STRING, dismiss_reason STRING, created_at TIMESTAMP",
     "parts_demand_forecast": "forecast_id BIGINT, signal_id BIGINT, equipment_id BIGINT, part_id BIGINT, expected_qty INT, "
                              "is_primary BOOLEAN, needed_by_date DATE, demand_source STRING",

@@ -16,15 +16,19 @@ def _columns(ddl: str) -> list[tuple[str, str]]:
     return [tuple(part.strip().split(" ", 1)) for part in ddl.replace(", ", "\n").split("\n")]
 
 
+def _is_list(kind: str) -> bool:
+    return kind.upper().startswith("ARRAY")
+
+
 def csv_scan(spark: SparkSession, table: str, path: str) -> DataFrame:
     """Scan one CSV file, or a folder of part files, as the named table.
 
     The header must match, an empty field is NULL, columns the file lacks get their default, and columns
-    that must not be seen are dropped at the scan.
+    that must not be seen are dropped at the scan. A list is text here, its values separated by commas.
     """
     absent = CSV_ABSENT.get(table, {})
     columns = _columns(TABLES[table])
-    present = [f"{name} {kind}" for name, kind in columns if name not in absent]
+    present = [f"{name} {'STRING' if _is_list(kind) else kind}" for name, kind in columns if name not in absent]
     if table in CSV_EXCLUDED:
         present.append(CSV_EXCLUDED[table])
     df = (
@@ -35,19 +39,15 @@ def csv_scan(spark: SparkSession, table: str, path: str) -> DataFrame:
     fill = {name: F.expr(value) if value else F.lit(None) for name, value in absent.items()}
     kinds = dict(columns)
     return df.select(*[
-        fill[name].cast(kinds[name]).alias(name) if name in fill else F.col(name) for name, _ in columns
+        fill[name].cast(kinds[name]).alias(name) if name in fill
+        else F.split(name, ",").cast(kind).alias(name) if _is_list(kind) else F.col(name) for name, kind in columns
     ])
 
 
 def conform(df: DataFrame, table: str) -> DataFrame:
-    """A result in the stored shape of its table: the table's columns in order, cast, NULL where absent."""
-    kinds = dict(df.dtypes)
-    columns = []
-    for name, kind in _columns(TABLES[table]):
-        value = F.col(name) if name in kinds else F.lit(None)
-        if kinds.get(name, "").startswith("array"):
-            value = F.array_join(value, ",")
-        columns.append(value.cast(kind).alias(name))
+    """A result in the stored shape of its table: the table's columns in order, cast, NULL where absent. Lists stay lists."""
+    columns = [(F.col(name) if name in df.columns else F.lit(None)).cast(kind).alias(name)
+               for name, kind in _columns(TABLES[table])]
     return df.select(*columns)
 
 

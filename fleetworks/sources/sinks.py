@@ -16,14 +16,22 @@ def write_table(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> N
     writer.parquet(path)
 
 
+def _as_text(df: DataFrame) -> DataFrame:
+    """Lists as comma-separated text, since CSV has none."""
+    return df.select(*[F.array_join(c, ",").alias(c) if kind.startswith("array") else F.col(c) for c, kind in df.dtypes])
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     """Replace a CSV folder. It keeps one part file per task: reading the folder concatenates them."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    _as_text(df).write.mode("overwrite").option("header", True).csv(path)
 
 
 def write_daily_csv(df: DataFrame, day: str, path: str) -> None:
-    """One CSV folder per day, ``<path>/<day>=YYYY-MM-DD``."""
-    df.write.mode("overwrite").option("header", True).partitionBy(day).csv(path)
+    """One CSV folder per day, ``<path>/<day>=YYYY-MM-DD``.
+
+    Rebalancing by day keeps a day in few files, and splits one too big for a task.
+    """
+    _as_text(df).hint("rebalance", day).write.mode("overwrite").option("header", True).partitionBy(day).csv(path)
 
 
 def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, str], parallel: int = 8) -> None:
@@ -32,8 +40,17 @@ def append_jdbc(df: DataFrame, url: str, table: str, properties: Mapping[str, st
 
 
 def append_missing(new: DataFrame, existing: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """The existing rows plus those new ones whose key is not there yet; existing rows never change."""
-    fresh = new.dropDuplicates(list(keys)).join(existing.select(*keys), list(keys), "left_anti")
+    """The existing rows plus those new ones whose key is not there yet; existing rows never change.
+
+    Of several new rows of a key the least one is taken, by its other columns in order, so a rerun takes the same one.
+    A NULL in a key matches nothing stored.
+    """
+    values = [c for c in new.columns if c not in keys]
+    if values:
+        new = new.groupBy(*keys).agg(F.min(F.struct(*values)).alias("_least")).select(*keys, "_least.*").select(*new.columns)
+    else:
+        new = new.distinct()
+    fresh = new.join(existing.select(*keys), list(keys), "left_anti")
     return existing.unionByName(fresh, allowMissingColumns=True)
 
 

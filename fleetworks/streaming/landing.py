@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
 from fleetworks.schemas import FAULT_MESSAGE, TELEMETRY_MESSAGE
 from fleetworks.streaming.messages import POSITION, decode
@@ -58,28 +58,57 @@ def merge_rows(existing: DataFrame, batch: DataFrame, keys: Sequence[str], updat
     return joined.select(*keys, *updated).select(*existing.columns)
 
 
+class LandingCounts:
+    """How many rows each batch landed and quarantined, observed while the batch is decoded for its first use."""
+
+    def __init__(self, path: str, topic: str):
+        self.path, self.topic = f"{path}/{topic}_counts", topic
+
+    def observed(self, batch: DataFrame, good: Column) -> tuple[DataFrame, Observation]:
+        """The batch, kept for several uses, and what will have been counted after the first."""
+        counted = Observation(self.topic)
+        return batch.observe(
+            counted, F.coalesce(F.count_if(good), F.lit(0)).alias("landed"), F.coalesce(F.count_if(~good), F.lit(0)).alias("quarantined"),
+        ).persist(), counted
+
+    def store(self, batch: DataFrame, folder: str, counted: Observation) -> None:
+        """One row in the batch's own folder, so that a replay replaces it."""
+        found = counted.get
+        row = batch.sparkSession.range(1).select(
+            F.lit(self.topic).alias("topic"), F.lit(found["landed"]).cast("bigint").alias("landed"),
+            F.lit(found["quarantined"]).cast("bigint").alias("quarantined"))
+        row.write.mode("overwrite").parquet(f"{self.path}/{folder}")
+
+    def read(self, spark: SparkSession) -> DataFrame:
+        return spark.read.schema("topic STRING, landed BIGINT, quarantined BIGINT, run STRING, batch_id BIGINT").option(
+            "basePath", self.path).parquet(self.path)
+
+
 class FaultLanding:
     """Append-only log of fault events, one folder per checkpoint and batch, so a replayed batch replaces itself.
 
-    Rows without a machine, date or code, or with a field that can't be read, go to the quarantine folder.
+    Rows without a machine, date or code, or with a field that can't be read, go to the quarantine folder. A batch is
+    decoded once, and its landed and quarantined rows are counted in that pass.
     """
 
     def __init__(self, path: str):
         self.path = f"{path}/faults"
         self.quarantine = f"{path}/faults_quarantine"
+        self.counts = LandingCounts(path, "faults")
 
     def decode(self, messages: DataFrame) -> DataFrame:
         rows = decode(messages, FAULT_MESSAGE)
         return rows.withColumn("event_date", F.try_to_date("event_date"))
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        if batch.isEmpty():
-            return
         good = (F.col("equipment_id").isNotNull() & F.col("event_date").isNotNull() & F.col("fault_code").isNotNull()
                 & ~F.col("malformed"))
         folder = batch_folder(batch, batch_id)
-        batch.filter(good).drop("raw", "malformed", POSITION).write.mode("overwrite").parquet(f"{self.path}/{folder}")
-        batch.filter(~good).select("raw").write.mode("overwrite").parquet(f"{self.quarantine}/{folder}")
+        kept, counted = self.counts.observed(batch, good)
+        kept.filter(good).drop("raw", "malformed", POSITION).write.mode("overwrite").parquet(f"{self.path}/{folder}")
+        kept.filter(~good).select("raw").write.mode("overwrite").parquet(f"{self.quarantine}/{folder}")
+        self.counts.store(batch, folder, counted)
+        kept.unpersist()
 
     def read(self, spark: SparkSession) -> DataFrame:
         return spark.read.schema(
@@ -100,6 +129,7 @@ class KeyedUpsert:
         self.path = f"{path}/{name}"
         self.staging = f"{path}/{name}_staging"
         self.quarantine = f"{path}/{name}_quarantine"
+        self.counts = LandingCounts(path, name)
         self.schema, self.keys, self.update, self.day = schema, list(keys), list(update), day
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
@@ -109,18 +139,21 @@ class KeyedUpsert:
         folder = batch_folder(batch, batch_id)
         staged = f"{self.staging}/{folder}"
         if not path_exists(spark, f"{staged}/_SUCCESS"):
-            kept = batch.persist()
+            kept, counted = self.counts.observed(batch, self._readable(batch))
             self._stage(kept, folder, staged)
+            self.counts.store(batch, folder, counted)
             kept.unpersist()
         merged = spark.read.schema(self.schema).parquet(staged)
         merged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(self.day).parquet(self.path)
         # a later batch only starts once the one before is committed, so its staging can never be needed again
         drop_path(spark, f"{self.staging}/{batch_folder(batch, batch_id - 1)}")
 
-    def _stage(self, batch: DataFrame, folder: str, staged: str) -> None:
+    def _readable(self, batch: DataFrame) -> Column:
         good = reduce(Column.__and__, [F.col(k).isNotNull() for k in self.keys])
-        if "malformed" in batch.columns:
-            good = good & ~F.col("malformed")
+        return good & ~F.col("malformed") if "malformed" in batch.columns else good
+
+    def _stage(self, batch: DataFrame, folder: str, staged: str) -> None:
+        good = self._readable(batch)
         rows = batch.filter(good)
         if "raw" in batch.columns:
             batch.filter(~good).select("raw").write.mode("overwrite").parquet(f"{self.quarantine}/{folder}")
@@ -182,11 +215,11 @@ def drain(rows: DataFrame, sink, checkpoint: str) -> None:
     query.awaitTermination()
 
 
-def land_streams(faults: DataFrame | None, telemetry: DataFrame | None, path: str, checkpoint: str) -> None:
-    """Land fault messages, then daily telemetry messages."""
-    if faults is not None:
-        sink = FaultLanding(path)
-        drain(sink.decode(faults), sink, f"{checkpoint}/faults")
-    if telemetry is not None:
-        sink = TelemetryLanding(path)
-        drain(sink.decode(telemetry), sink, f"{checkpoint}/telemetry_daily")
+def land_streams(faults: DataFrame | None, telemetry: DataFrame | None, path: str,
+                 checkpoint: str) -> tuple[FaultLanding, TelemetryLanding]:
+    """Land fault messages, then daily telemetry messages, each with its own checkpoint. Returns both sinks."""
+    sinks = FaultLanding(path), TelemetryLanding(path)
+    for messages, sink, topic in zip((faults, telemetry), sinks, ("faults", "telemetry_daily")):
+        if messages is not None:
+            drain(sink.decode(messages), sink, f"{checkpoint}/{topic}")
+    return sinks

@@ -440,6 +440,33 @@ check("audit_four_tables", "row_key:i table_name:s operation:s old_value:f new_v
     _changes("customer", "c_custkey", "c_acctbal"), _changes("orders", "o_orderkey", "o_totalprice"),
     _changes("part", "p_partkey", "p_retailprice"), _changes("supplier", "s_suppkey", "s_acctbal")]))
 
+_near = "(o_orderkey BETWEEN 300 AND 2900 OR o_orderkey BETWEEN 4000 AND 5100)"
+check("audit_parts", "o_orderkey:i operation:s old_price:f new_price:f", f"""
+SELECT o_orderkey, 'DELETE' AS operation, ROUND(o_totalprice, 2) AS old_price, NULL AS new_price
+FROM orders WHERE {_near} AND o_orderkey % 17 = 0
+UNION ALL SELECT o_orderkey, 'UPDATE', ROUND(o_totalprice, 2), ROUND(o_totalprice + 1, 2)
+FROM orders WHERE {_near} AND o_orderkey % 17 <> 0 AND o_orderkey % 13 = 0
+UNION ALL SELECT -o_orderkey, 'INSERT', NULL, ROUND(o_totalprice, 2) FROM orders WHERE {_near} AND o_orderkey % 19 = 0""")
+
+check("encrypt_rotation", "c_custkey:i key_id:i decrypted:s swapped_opens:b opens_without_key_2:b", """
+SELECT c_custkey, CASE WHEN c_custkey % 4 = 0 THEN 3 WHEN c_custkey % 2 = 0 THEN 1 ELSE 2 END AS key_id, c_name AS decrypted,
+  false AS swapped_opens, c_custkey % 2 = 0 AS opens_without_key_2
+FROM customer""")
+
+check("fault_code_index", "fault_code:s signal_id:i position:i", """
+SELECT listed[i] AS fault_code, signal_id, i - 1 AS position
+FROM (SELECT *, unnest(range(1, len(listed) + 1)) AS i
+      FROM (SELECT signal_id, string_split(contributing_fault_codes, ',') AS listed FROM signals WHERE contributing_fault_codes IS NOT NULL))""")
+
+check("machines_served", "grain:s branch:s period_start:d exact:i within_bound:i", " UNION ALL ".join(f"""
+SELECT '{grain}' AS grain, region AS branch, date_trunc('{grain}', scheduled_date)::DATE AS period_start,
+  COUNT(DISTINCT equipment_id) AS exact, 1 AS within_bound
+FROM jobs JOIN clients USING (customer_id) GROUP BY ALL""" for grain in ("quarter", "year")))
+
+check("streams_landed", "topic:s landed:i quarantined:i stored:i", """
+SELECT 'faults' AS topic, COUNT(*) AS landed, COUNT(*) FILTER (WHERE equipment_id % 5 = 0) AS quarantined, COUNT(*) AS stored FROM alerts
+UNION ALL SELECT 'telemetry_daily', COUNT(*), COUNT(*) FILTER (WHERE equipment_id % 5 = 0), COUNT(*) FROM daily""")
+
 check("encrypt_roundtrip", "c_custkey:i decrypted:s matches:b cipher_bytes:i", """
 SELECT c_custkey, c_name AS decrypted, true AS matches, strlen(c_name) + 28 AS cipher_bytes FROM customer""")
 

@@ -1,11 +1,15 @@
 from __future__ import annotations
 
+import datetime as dt
 import json
+import random
 
+import pytest
 from pyspark.sql import functions as F
 
 from fleetworks.plans import governance, quality
 from fleetworks.schemas import CONSTRAINTS, TABLES, Constraints
+from fleetworks.session import settle
 from tests.conftest import tuples
 
 CUSTOMERS = [(1, "Western"), (2, "Greater Accra"), (3, "Ahafo"), (4, None)]
@@ -37,6 +41,65 @@ def test_audit_log(frame):
     assert log[3]["new_data"] is None and log[5]["old_data"] is None and log[5]["db_user"] == "me"
 
 
+@pytest.mark.parametrize("width", [None, 10])
+def test_audit_of_changed_parts_equals_the_whole_audit(spark, frame, width):
+    rng = random.Random(3)
+    rows = {k: rng.randrange(5) for k in range(-60, 400) if rng.random() < 0.9}
+    after = {k: v + (k % 9 == 0 and -20 < k < 40) for k, v in rows.items() if k not in (100, 101, -50)} | {1000: 1, -1000: 2, -7: 9}
+    schema = "id long, v int"
+    a, b = frame(schema, list(rows.items())), frame(schema, list(after.items()))
+    whole = governance.audit_diff(a, b, ["id"], "t", "me", dt.datetime(2024, 1, 1))
+    for parts in (64, 1):
+        some = governance.audit_changed_parts(a, b, ["id"], "t", "me", dt.datetime(2024, 1, 1), parts=parts, width=width)
+        assert tuples(some) == tuples(whole) and whole.count() > 5
+
+
+def test_unchanged_ranges_ship_no_row_images(spark, frame, tmp_path):
+    spark.range(5000).selectExpr("id", "id % 7 AS v").repartitionByRange(5, "id").write.parquet(str(tmp_path / "a"))
+    a = spark.read.parquet(str(tmp_path / "a"))
+    b = a.withColumn("v", F.when(F.col("id") == 1234, 99).otherwise(F.col("v")))
+    part = F.expr("id div 100")
+    assert tuples(governance.changed_parts(a, b, part)) == [(12,)]
+    log = governance.audit_changed_parts(a, b, ["id"], "t", "me", width=100)
+    assert [(r["id"], r["operation"]) for r in log.collect()] == [(1234, "UPDATE")]
+    plan = log._jdf.queryExecution().executedPlan().toString()
+    # the range reaches the scan, below every shuffle of row images
+    assert plan.count("GreaterThanOrEqual(id,1200)") == plan.count("FileScan parquet") > 0
+
+
+KEYS = [(1, b"0123456789abcdef"), (2, b"fedcba9876543210" * 2)]
+
+
+def sealed(spark, frame):
+    keys = frame("key_id int, secret binary", [(k, bytearray(s)) for k, s in KEYS])
+    df = frame("id long, part int, name string", [(1, 1, "Ama"), (1, 2, "Kofi"), (2, 1, None)])
+    return keys, settle(governance.encrypt_rows(df, "name", keys, F.lit(1), "people", ["id", "part"]), "sealed")
+
+
+def test_keys_live_side_by_side_and_rotate(spark, frame):
+    keys, locked = sealed(spark, frame)
+    mixed = settle(governance.rotate_key(locked.filter("part = 1"), "name", keys, [1], 2, "people", ["id", "part"]).unionByName(
+        locked.filter("part = 2")), "mixed")
+    opened = governance.decrypt_rows(mixed, "name", keys, "people", ["id", "part"])
+    assert tuples(opened, "id", "part", "name", "name_key") == [(1, 1, "Ama", 2), (1, 2, "Kofi", 1), (2, 1, None, 2)]
+    only_new = governance.decrypt_rows(mixed, "name", keys.filter("key_id = 2"), "people", ["id", "part"])
+    assert tuples(only_new, "id", "part", "name") == [(1, 1, "Ama"), (1, 2, None), (2, 1, None)]
+    # rows under other keys are left alone
+    again = governance.rotate_key(mixed, "name", keys, [7], 2, "people", ["id", "part"])
+    assert tuples(again.select("id", "part", F.hex("name"))) == tuples(mixed.select("id", "part", F.hex("name")))
+
+
+def test_ciphertexts_belong_to_their_row_and_table(spark, frame):
+    keys, locked = sealed(spark, frame)
+    moved = locked.withColumn("part", 3 - F.col("part"))
+    for table, rows in (("people", moved), ("others", locked), ("people", locked.withColumn("name", F.reverse(F.hex("name")).cast("binary")))):
+        assert governance.decrypt_rows(rows, "name", keys, table, ["id", "part"]).filter("name is not null").count() == 0
+    with pytest.raises(Exception, match="can't be opened"):
+        governance.rotate_key(moved, "name", keys, [1], 2, "people", ["id", "part"]).collect()
+    with pytest.raises(Exception, match="no key named"):
+        governance.encrypt_rows(frame("id long, name string", [(1, "x")]), "name", keys, F.lit(9), "people", ["id"]).collect()
+
+
 def test_encryption_hides_and_restores(frame):
     df = frame("id long, name string", [(1, "Ama Mensah"), (2, None)])
     key = F.lit("0123456789abcdef").cast("binary")

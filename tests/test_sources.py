@@ -2,10 +2,11 @@ from __future__ import annotations
 
 import pytest
 
+from fleetworks.plans import signals
 from fleetworks.plans.staging import MODELS, stage
-from fleetworks.sources import Catalog, conform, literal_frame, write_csv
+from fleetworks.sources import Catalog, append_missing, conform, literal_frame, write_csv, write_daily_csv
 from fleetworks.schemas import TABLES
-from tests.conftest import day
+from tests.conftest import day, tuples
 
 
 def put(tmp_path, name, text):
@@ -64,4 +65,27 @@ def test_registry_views_and_errors(spark, tmp_path):
 def test_conform(frame):
     df = conform(frame("signal_id int, contributing_fault_codes array<string>", [(1, ["A", "B"])]), "ml_maintenance_signals")
     row = df.first()
-    assert row["contributing_fault_codes"] == "A,B" and row["dismiss_reason"] is None and len(df.columns) == 11
+    assert row["contributing_fault_codes"] == ["A", "B"] and row["dismiss_reason"] is None and len(df.columns) == 11
+
+
+def test_lists_are_text_in_csv_alone(spark, frame, tmp_path):
+    rows = conform(frame("signal_id int, contributing_fault_codes array<string>", [(1, ["A", "B"]), (2, None), (3, ["C"])]),
+                   "ml_maintenance_signals")
+    path = str(tmp_path / "ml_maintenance_signals.csv")
+    write_csv(rows, path)
+    back = Catalog(spark, str(tmp_path), "csv").table("ml_maintenance_signals")
+    assert back.schema == rows.schema
+    assert tuples(back, "signal_id", "contributing_fault_codes") == [(1, ["A", "B"]), (2, None), (3, ["C"])]
+    assert tuples(signals.fault_code_index(back)) == [("A", 1, 0), ("B", 1, 1), ("C", 3, 0)]
+
+
+def test_a_day_stays_in_few_files(spark, frame, tmp_path):
+    rows = frame("d date, n int", [(day(f"2024-01-0{1 + n % 3}"), n) for n in range(60)]).repartition(12)
+    write_daily_csv(rows, "d", str(tmp_path / "days"))
+    assert all(len(list(p.glob("part-*.csv"))) == 1 for p in (tmp_path / "days").glob("d=*"))
+
+
+def test_the_least_of_several_new_rows_is_taken(frame):
+    new = frame("k int, v string, w int", [(1, "b", 1), (1, "a", 9), (1, "a", 3), (2, "x", 1)])
+    got = append_missing(new, frame("k int, v string, w int", [(2, "old", 0)]), ["k"])
+    assert tuples(got) == [(1, "a", 3), (2, "old", 0)]
