@@ -21,8 +21,8 @@ from pyspark.sql import DataFrame, types as T
 
 from fleetworks.llm.frames import append, without
 
-#: Bits of one bitmap word.
-WORD = 64
+#: Bits of one bitmap word, a power of two.
+WORD = 256
 #: Pre-tokens whose ids a task remembers: those of at most so many characters, and so many of them.
 SHORT, REMEMBERED = 48, 200_000
 #: Texts beyond so many characters hand over their pre-tokens one by one instead of as a list.
@@ -30,6 +30,7 @@ LONG_TEXT = 1 << 20
 #: Rows whose ids are decoded at once.
 LANES = 64
 _NONE = -1
+_SHIFT, _MASK, _BITS = WORD.bit_length() - 1, WORD - 1, [1 << i for i in range(WORD)]
 
 
 def vocabulary() -> str:
@@ -52,64 +53,73 @@ def read_ranks(path: str) -> dict[bytes, int]:
 
 
 class RankQueue:
-    """Positions waiting under ranks; the lowest rank comes first, and the leftmost position of a rank."""
+    """Positions waiting under ranks; the lowest rank comes first, and the leftmost position of a rank.
+
+    A rank is a bit of one of ``words``, and a word that isn't zero a bit of ``top``. A bucket is its only position, or
+    a heap of several.
+    """
 
     def __init__(self, ranks: int):
-        self.buckets: dict[int, list[int]] = {}
-        self.levels: list[list[int]] = []
-        while ranks > 1 or not self.levels:
-            ranks = -(-ranks // WORD)
-            self.levels.append([0] * ranks)
+        self.buckets: dict[int, int | list[int]] = {}
+        self.words = [0] * -(-ranks // WORD)
+        self.top = 0
 
     def push(self, rank: int, position: int) -> None:
         bucket = self.buckets.get(rank)
-        if bucket:
+        if bucket is None:
+            self.buckets[rank] = position
+            at = rank >> _SHIFT
+            self.words[at] |= _BITS[rank & _MASK]
+            self.top |= 1 << at
+        elif type(bucket) is int:
+            self.buckets[rank] = [bucket, position] if bucket < position else [position, bucket]
+        else:
             heappush(bucket, position)
-            return
-        self.buckets[rank] = [position]
-        for level in self.levels:
-            word, bit = divmod(rank, WORD)
-            before = level[word]
-            level[word] = before | (1 << bit)
-            if before:
-                return  # the levels above know of this word
-            rank = word
 
     def lowest(self) -> int:
         """The lowest rank with a position, or -1: one find-first-set a level, from the top."""
-        at = 0
-        for level in reversed(self.levels):
-            word = level[at]
-            if not word:
-                return _NONE
-            at = at * WORD + (word & -word).bit_length() - 1
-        return at
+        top = self.top
+        if not top:
+            return _NONE
+        at = (top & -top).bit_length() - 1
+        word = self.words[at]
+        return (at << _SHIFT) + (word & -word).bit_length() - 1
 
     def pop(self, rank: int) -> int:
         bucket = self.buckets[rank]
-        position = heappop(bucket)
-        if not bucket:
-            del self.buckets[rank]
-            for level in self.levels:
-                word, bit = divmod(rank, WORD)
-                level[word] &= ~(1 << bit)
-                if level[word]:
-                    break
-                rank = word
-        return position
+        if type(bucket) is list:
+            position = heappop(bucket)
+            if len(bucket) == 1:
+                self.buckets[rank] = bucket[0]
+            return position
+        del self.buckets[rank]
+        at = rank >> _SHIFT
+        self.words[at] ^= _BITS[rank & _MASK]
+        if not self.words[at]:
+            self.top ^= 1 << at
+        return bucket
 
 
 class _Known(dict):
-    """Packed ids of pre-tokens; long ones, and those beyond the number remembered, are encoded each time."""
+    """Packed ids of pre-tokens met before.
+
+    When it is full it becomes the older half, and starts anew with what comes up of it, so that frequent pre-tokens
+    stay whatever else the texts hold. Long pre-tokens are encoded each time.
+    """
 
     def __init__(self, coder: Coder):
         super().__init__()
-        self.coder = coder
+        self.coder, self.older = coder, {}
 
     def __missing__(self, piece: str) -> bytes:
-        ids = self.coder.merge(piece.encode())
-        packed = struct.pack(f"<{len(ids)}I", *ids)
-        if len(piece) <= SHORT and len(self) < REMEMBERED:
+        packed = self.older.get(piece)
+        if packed is None:
+            ids = self.coder.merge(piece.encode())
+            packed = struct.pack(f"<{len(ids)}I", *ids)
+        if len(piece) <= SHORT:
+            if len(self) >= REMEMBERED:
+                self.older = dict(self)
+                self.clear()
             self[piece] = packed
         return packed
 
@@ -122,7 +132,9 @@ class Coder:
 
     def __init__(self, ranks: dict[bytes, int], split: str):
         self.ranks = ranks
-        self.tokens = {rank: token for token, rank in ranks.items()}
+        self.tokens: list[bytes | None] = [None] * (max(ranks.values(), default=-1) + 1)
+        for token, rank in ranks.items():
+            self.tokens[rank] = token
         self.queue = RankQueue(max(ranks.values(), default=0) + 1)
         self.split = regex.compile(split)
         self.known = _Known(self)
@@ -133,35 +145,36 @@ class Coder:
         whole = ranks.get(piece)
         if whole is not None:
             return [whole]
-        parts: list[bytes | None] = [piece[i:i + 1] for i in range(n)]
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
+        # a token is known by where it starts, and ends where the next one starts
+        before, after = list(range(-1, n)), list(range(1, n + 2))
         awaited = [_NONE] * n  # the rank under which the pair that starts here waits
+        rank_of, push, lowest, pop = ranks.get, queue.push, queue.lowest, queue.pop
         for i in range(n - 1):
-            rank = ranks.get(piece[i:i + 2], _NONE)
+            rank = rank_of(piece[i:i + 2], _NONE)
             if rank >= 0:
                 awaited[i] = rank
-                queue.push(rank, i)
-        while (rank := queue.lowest()) >= 0:
-            at = queue.pop(rank)
+                push(rank, i)
+        while (rank := lowest()) >= 0:
+            at = pop(rank)
             if awaited[at] != rank:
                 continue  # stale: one of the two has become part of another token
             gone = after[at]
-            parts[at] += parts[gone]
-            parts[gone], awaited[gone] = None, _NONE
             right = after[at] = after[gone]
-            if right < n:
-                before[right] = at
-                awaited[at] = ranks.get(parts[at] + parts[right], _NONE)
-                if awaited[at] >= 0:
-                    queue.push(awaited[at], at)
-            else:
-                awaited[at] = _NONE
+            awaited[gone] = _NONE
+            before[right] = at
+            new = awaited[at] = rank_of(piece[at:after[right]], _NONE) if right < n else _NONE
+            if new >= 0:
+                push(new, at)
             left = before[at]
             if left >= 0:
-                awaited[left] = ranks.get(parts[left] + parts[at], _NONE)
-                if awaited[left] >= 0:
-                    queue.push(awaited[left], left)
-        return [ranks[p] for p in parts if p is not None]
+                new = awaited[left] = rank_of(piece[left:right], _NONE)
+                if new >= 0:
+                    push(new, left)
+        ids, at = [], 0
+        while at < n:
+            ids.append(ranks[piece[at:after[at]]])
+            at = after[at]
+        return ids
 
     def encode(self, text: str | None) -> bytes:
         if not text:
@@ -171,7 +184,8 @@ class Coder:
         return b"".join(map(self.known.__getitem__, self.split.findall(text)))
 
     def decode(self, ids: bytes) -> bytes:
-        return b"".join(map(self.tokens.__getitem__, memoryview(ids).cast("I"))) if ids else b""
+        tokens = self.tokens
+        return b"".join([tokens[i] for i in memoryview(ids).cast("I")]) if ids else b""
 
 
 @lru_cache(maxsize=1)  # built once in a worker process

@@ -17,6 +17,8 @@ from fleetworks.llm.frames import append, named
 UNDETERMINED = "und"
 #: Bounds of the learning sample: rows of a language, pieces of a row, bytes of a piece, languages.
 SAMPLE_ROWS, SAMPLE_PIECES, WINDOW, MAX_LANGUAGES = 400, 6, 64, 200
+#: Labelled rows of a language, about, whose scores say which ones are usual, and the share of them that may lie lower.
+USUAL_ROWS, UNUSUAL = 2000, 0.002
 #: Size of either state, steps of learning at least, pieces a step, rate of learning.
 STATE, STEPS, BATCH, RATE = 8, 240, 256, 0.02
 #: Windows read at once by one task.
@@ -177,7 +179,27 @@ def held_out(key: str = "doc_id") -> Column:
     return F.crc32(F.coalesce(named(key).cast("string"), F.lit("")).cast("binary")) % 3 == 1
 
 
-def learning_sample(docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
+def _labelled(docs: DataFrame, key: str, text: str, label: str) -> DataFrame:
+    """(lang, k, body, h): the rows that may be learned from, with a hash of key and text in [0, 1)."""
+    return docs.where(~held_out(key) & named(label).isNotNull() & named(text).rlike(r"\p{L}")).select(
+        named(label).cast("string").alias("lang"), named(key).alias("k"), named(text).alias("body"),
+        (F.shiftrightunsigned(F.xxhash64(named(key), named(text)), 11) / F.lit(2.0 ** 53)).alias("h"))
+
+
+def different_rows(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> dict[str, int]:
+    """About how many different rows each of the ``MAX_LANGUAGES`` most frequent languages has to learn from."""
+    counts = _labelled(docs, key, text, label).groupBy("lang").agg(
+        F.count("*").alias("n"), F.approx_count_distinct("h").alias("different")).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+    return {r["lang"]: max(1, r["different"]) for r in counts.collect()}
+
+
+def _below(different: dict[str, int], rows: int) -> Column:
+    """The hash below which about ``rows`` rows of a language lie; NULL for languages that are not learned."""
+    limits = {lang: min(1.0, rows / n) for lang, n in different.items()} or {"": 0.0}
+    return F.create_map(*[F.lit(x) for pair in limits.items() for x in pair])[F.col("lang")]
+
+
+def learning_sample(docs: DataFrame, key: str, text: str, label: str, different: dict[str, int] | None = None) -> DataFrame:
     """(lang, place, k, pieces): pieces of at most ``SAMPLE_ROWS`` rows of each language, spread over their texts.
 
     The rows with the smallest hashes of key and text are taken, equal ones once. The languages' estimated numbers of
@@ -185,28 +207,42 @@ def learning_sample(docs: DataFrame, key: str, text: str, label: str) -> DataFra
     there are and however often a key or row repeats. Held-out rows, null labels and texts without a letter are left
     out, and languages beyond the ``MAX_LANGUAGES`` most frequent.
     """
-    seen = docs.where(~held_out(key) & named(label).isNotNull() & named(text).rlike(r"\p{L}")).select(
-        named(label).cast("string").alias("lang"), named(key).alias("k"), named(text).alias("body"),
-        (F.shiftrightunsigned(F.xxhash64(named(key), named(text)), 11) / F.lit(2.0 ** 53)).alias("h"))
-    counts = seen.groupBy("lang").agg(F.count("*").alias("n"), F.approx_count_distinct("h").alias("different")).orderBy(
-        F.desc("n"), "lang").limit(MAX_LANGUAGES).collect()
-    # four times the rows wanted, so neither the estimate's 5 % nor chance leaves too few below the limit
-    below = {r["lang"]: min(1.0, 4 * SAMPLE_ROWS / max(1, r["different"])) for r in counts} or {"": 0.0}
-    limit = F.create_map(*[F.lit(x) for pair in below.items() for x in pair])[F.col("lang")]
+    different = different_rows(docs, key, text, label) if different is None else different
     length = F.length("body")
     pieces = F.transform(
         F.sequence(F.lit(0), F.lit(SAMPLE_PIECES - 1)),
         lambda i: F.substring("body", (1 + i * F.greatest(length - WINDOW, F.lit(0)) / (SAMPLE_PIECES - 1)).cast("int"),
                               F.lit(WINDOW)))
-    cut = seen.where(F.col("h") <= limit).select("lang", "h", "k", F.array_distinct(pieces).alias("pieces")).distinct()
+    # four times the rows wanted, so neither the estimate's 5 % nor chance leaves too few below the limit
+    cut = _labelled(docs, key, text, label).where(F.col("h") <= _below(different, 4 * SAMPLE_ROWS)).select(
+        "lang", "h", "k", F.array_distinct(pieces).alias("pieces")).distinct()
     by_hash = Window.partitionBy("lang").orderBy("h", "k", "pieces")
     return cut.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE_ROWS).drop("h")
 
 
-def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang") -> Network:
+def usual_scores(docs: DataFrame, network: Network, key: str = "doc_id", text: str = "text", label: str = "lang",
+                 different: dict[str, int] | None = None) -> dict[str, float]:
+    """Per predicted language the score that all but ``UNUSUAL`` of the labelled rows reach that are predicted so.
+
+    About ``USUAL_ROWS`` rows of each language are scored, whole texts, right or wrong; where there are enough, rows that
+    were not learned from. Pooled scores fall as languages are added, so they have to be taken anew with every network.
+    """
+    if not network.languages:
+        return {}
+    different = different_rows(docs, key, text, label) if different is None else different
+    sampled = _below(different, 4 * SAMPLE_ROWS)
+    rows = _labelled(docs, key, text, label).where(
+        (F.col("h") <= _below(different, 4 * SAMPLE_ROWS + USUAL_ROWS)) & ((F.col("h") > sampled) | (sampled >= 1.0)))
+    scored = identify(rows.dropDuplicates(["lang", "h"]), network, "body", [])
+    found = scored.groupBy("lang_pred").agg(F.percentile_approx("score", UNUSUAL, 10_000).alias("least")).collect()
+    return {r["lang_pred"]: r["least"] for r in found}  # a row per language
+
+
+def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang",
+        different: dict[str, int] | None = None) -> Network:
     """A network fitted to the learning sample. Without any labelled row it knows no language."""
     # at most MAX_LANGUAGES * SAMPLE_ROWS * SAMPLE_PIECES pieces of WINDOW characters
-    rows = learning_sample(docs, key, text, label).orderBy("lang", "place").select("lang", "pieces").collect()
+    rows = learning_sample(docs, key, text, label, different).orderBy("lang", "place").select("lang", "pieces").collect()
     languages = sorted({r["lang"] for r in rows})
     pieces = [(p.encode()[:WINDOW].ljust(WINDOW), languages.index(r["lang"])) for r in rows for p in r["pieces"]]
     network = Network.fresh(languages)

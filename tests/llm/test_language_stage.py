@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
@@ -38,3 +40,55 @@ def test_a_hot_key_leaves_the_sample_whole(spark):
     docs = spark.range(101_000).select(keys, texts, F.lit("en").alias("lang"))
     rows = language.learning_sample(docs, "doc_id", "text", "lang").collect()
     assert len(rows) == language.SAMPLE_ROWS and sum(r["k"] == 7 for r in rows) <= 1
+
+
+def many_languages(count, rows, words, seed):
+    """Invented languages: each has words of its own from a common alphabet, with its own letters more frequent."""
+    rng = random.Random(seed)
+    out = []
+    for n in range(count):
+        letters = [rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(12)] + list("aeiou")
+        lexicon = ["".join(rng.choice(letters) for _ in range(rng.randrange(2, 9))) for _ in range(150)]
+        out += [(f"l{n}", " ".join(rng.choice(lexicon) for _ in range(words))) for _ in range(rows)]
+    rng.shuffle(out)
+    return [(i, text, lang, "s", len(text)) for i, (lang, text) in enumerate(out)]
+
+
+@pytest.mark.parametrize("count", [4, 24])
+def test_clean_documents_stay_however_many_languages(spark, count):
+    docs = spark.createDataFrame(many_languages(count, 150, 100, count), SCHEMA).repartition(4).cache()
+    kept = corpus_pipeline.identify_language(spark, docs, "")
+    unseen, stay = (df.where(language.held_out()).count() for df in (docs, kept))
+    assert stay >= 0.99 * unseen and kept.count() >= 0.99 * docs.count()
+
+
+def test_positions_are_those_of_a_plain_loop():
+    """Padding and ragged windows change nothing: every byte is read in its own window, in both directions."""
+    network = language.Network.fresh(["a", "b", "c"])
+    rng = np.random.default_rng(1)
+    network.parts[:] = [rng.normal(0, 0.5, p.shape).astype(np.float32) for p in network.parts]
+    network = language.Network(network.languages, network.parts)
+    ahead, back = network.parts[0:3], network.parts[3:6]
+    weights = network.parts[6:]
+    for text in ("x", "some text", "é" * 100, "word " * 30, "a" * language.WINDOW, "a" * (language.WINDOW + 1)):
+        raw, total = text.encode(), np.zeros(3)
+        for at in range(0, len(raw), language.WINDOW):
+            piece = raw[at:at + language.WINDOW].ljust(language.WINDOW, b" ")
+            states = []
+            for (byte, gate, candidate), order in ((ahead, range(language.WINDOW)), (back, range(language.WINDOW - 1, -1, -1))):
+                h, found = np.zeros(language.STATE), {}
+                for t in order:
+                    a = byte[:, piece[t]]
+                    u = gate @ h + a[:language.STATE]
+                    g = 0.5 + 0.5 * u / (1 + np.abs(u))
+                    c = candidate @ (g * h) + a[language.STATE:]
+                    h = h + g * (c / (1 + np.abs(c)) - h)
+                    found[t] = h
+                states.append(found)
+            for t in range(min(language.WINDOW, len(raw) - at)):
+                z = weights[0] @ np.concatenate([states[0][t], states[1][t]]) + weights[1].ravel()
+                e = np.exp(z - z.max())
+                total += e / e.sum()
+        pooled = total / len(raw)
+        lang, score = network.read([text])
+        assert lang == [network.languages[int(pooled.argmax())]] and abs(score[0] - pooled.max()) < 1e-4
