@@ -24,7 +24,7 @@ from fleetworks.llm.frames import append, without
 #: Bits of one bitmap word, a power of two.
 WORD = 256
 #: Pre-tokens whose ids a task remembers: those of at most so many characters, and so many of them.
-SHORT, REMEMBERED = 48, 200_000
+SHORT, REMEMBERED = 48, 400_000
 #: Texts beyond so many characters hand over their pre-tokens one by one instead of as a list.
 LONG_TEXT = 1 << 20
 #: Rows whose ids are decoded at once.
@@ -148,28 +148,44 @@ class Coder:
         # a token is known by where it starts, and ends where the next one starts
         before, after = list(range(-1, n)), list(range(1, n + 2))
         awaited = [_NONE] * n  # the rank under which the pair that starts here waits
-        rank_of, push, lowest, pop = ranks.get, queue.push, queue.lowest, queue.pop
+        rank_of, push, buckets, words = ranks.get, queue.push, queue.buckets, queue.words
         for i in range(n - 1):
-            rank = rank_of(piece[i:i + 2], _NONE)
-            if rank >= 0:
+            rank = rank_of(piece[i:i + 2])
+            if rank is not None:
                 awaited[i] = rank
                 push(rank, i)
-        while (rank := lowest()) >= 0:
-            at = pop(rank)
+        while top := queue.top:
+            # RankQueue.lowest and pop, written out: this is where the time goes
+            at_word = (top & -top).bit_length() - 1
+            word = words[at_word]
+            rank = (at_word << _SHIFT) + (word & -word).bit_length() - 1
+            at = buckets[rank]
+            if type(at) is list:
+                at = queue.pop(rank)
+            else:
+                del buckets[rank]
+                words[at_word] = word = word & (word - 1)
+                if not word:
+                    queue.top = top & (top - 1)
             if awaited[at] != rank:
                 continue  # stale: one of the two has become part of another token
             gone = after[at]
             right = after[at] = after[gone]
-            awaited[gone] = _NONE
+            awaited[gone] = awaited[at] = _NONE
             before[right] = at
-            new = awaited[at] = rank_of(piece[at:after[right]], _NONE) if right < n else _NONE
-            if new >= 0:
-                push(new, at)
+            if right < n:
+                rank = rank_of(piece[at:after[right]])
+                if rank is not None:
+                    awaited[at] = rank
+                    push(rank, at)
             left = before[at]
             if left >= 0:
-                new = awaited[left] = rank_of(piece[left:right], _NONE)
-                if new >= 0:
-                    push(new, left)
+                rank = rank_of(piece[left:right])
+                if rank is None:
+                    awaited[left] = _NONE
+                else:
+                    awaited[left] = rank
+                    push(rank, left)
         ids, at = [], 0
         while at < n:
             ids.append(ranks[piece[at:after[at]]])
