@@ -24,6 +24,7 @@ SERVICE = "Service"
 # Failure model
 MODEL_VERSION = "gbt-v1"
 SEVERITY_WEIGHT = {"Critical": "3.0", "Warning": "1.5", "Info": "1.0"}
+FAILURE = "Failure"
 LABEL_WINDOW_DAYS = 21
 HOLDOUT_DAYS = 60
 WATCH_THRESHOLD = 0.4

@@ -168,6 +168,11 @@ def rolling_features(equipment: DataFrame, components: DataFrame, telemetry: Dat
     return labelled_features(equipment, components, telemetry, maintenance, component_faults)
 
 
+def confirmed_failures(calendar: DataFrame) -> DataFrame:
+    """The failures of an event calendar, which also holds false starts."""
+    return calendar.filter(F.col("event_type") == C.FAILURE).select(*GRID, "failure_date")
+
+
 def failure_labels(spine: DataFrame, failures: DataFrame, label_days: int = C.LABEL_WINDOW_DAYS) -> DataFrame:
     """Label grid rows 1 when the same component of the same machine fails in the next ``label_days`` days.
 

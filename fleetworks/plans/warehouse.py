@@ -147,7 +147,7 @@ class DailyRun:
     def features(self) -> DataFrame:
         readings, faults = self._recent()
         by_component = predictive.fault_component_daily(faults, self.table("bridge_faultcode_component"))
-        failures = self.table("failure_calendar").filter(F.col("event_type") == "Failure")
+        failures = predictive.confirmed_failures(self.table("failure_calendar"))
         built = predictive.labelled_features(
             self.table("dim_equipment"), self.table("dim_component"), readings, self.table("fact_maintenance_events"),
             by_component, failures)

@@ -11,9 +11,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from fleetworks.operators import number_rows, scalar_array
 from fleetworks.plans import evaluation, finance, governance, inventory, model, predictive, quality, service, signals, staging, telemetry
 from fleetworks.plans.increments import FeatureStore
-from fleetworks.schemas import Constraints
+from fleetworks.schemas import CONSTRAINTS, Constraints
 from fleetworks.session import scratch_dir, settle
-from fleetworks.sources import Catalog, append_missing, as_messages, conform, literal_frame, write_csv, write_table
+from fleetworks.sources import Catalog, append_missing, as_messages, conform, csv_scan, literal_frame, write_csv, write_table
 from fleetworks.sources.testbed import AS_OF, HOLDOUT_DAYS, REGIONS_BY_ROLE, SNAPSHOT, Testbed
 from fleetworks.streaming import FaultLanding, KeyedUpsert, TelemetryLanding, drain, file_source, land_streams
 from fleetworks.streaming.rollup import COUNTS, DAILY, LateRollup, daily_fault_rollup
@@ -116,6 +116,39 @@ def staged_telemetry(spark, root):
     return present(staging.stage(catalog, "stg_telemetry_daily"))
 
 
+@report
+def staged_faults(spark, root):
+    """Fault events from a CSV folder whose files also name the component at fault, which no scan may show."""
+    events = Testbed(spark, root).fault_events()
+    told = events.withColumn("component_id", (F.pmod("event_id", F.lit(12)) + 1))
+    path = scratch_dir(spark, "told-faults")
+    write_csv(told, path)
+    return present(csv_scan(spark, "fact_fault_events", path).drop("ingested_at"))
+
+
+@report
+def staged_tables(spark, root):
+    """The staging models that pass a table on: rows, columns, distinct keys and empty cells of each."""
+    bed = Testbed(spark, root)
+    chain = SignalChain(bed)
+    given = {
+        "stg_industries": bed.industries(), "stg_customers": bed.customers(), "stg_sites": bed.sites(), "stg_equipment": bed.equipment(),
+        "stg_equipment_models": bed.models(), "stg_equipment_categories": bed.categories(), "stg_components": bed.components(),
+        "stg_parts": bed.parts().withColumnRenamed("unit_cost_usd", "unit_cost"), "stg_technicians": bed.technicians(),
+        "stg_maintenance_parts_used": bed.parts_used(), "stg_ml_signals": chain.triaged(), "stg_parts_demand_forecast": chain.demand(),
+        "stg_parts_mapping_gaps": chain.gaps(),
+    }
+    catalog = _stored("parquet", **{staging.MODELS[name][0]: df for name, df in given.items()})
+    out = None
+    for name in given:
+        staged, key = staging.stage(catalog, name), CONSTRAINTS[staging.MODELS[name][0]].key
+        empty = F.sum(sum((F.col(c).isNull().cast("int") for c in staged.columns), F.lit(0)))
+        row = staged.agg(F.count("*").alias("n_rows"), F.count_distinct(*key).alias("distinct_keys"), F.coalesce(empty, F.lit(0)).alias("empty_cells")).select(
+            F.lit(name).alias("model"), "n_rows", F.lit(",".join(staged.columns)).alias("columns"), "distinct_keys", "empty_cells")
+        out = row if out is None else out.unionByName(row)
+    return present(out)
+
+
 @report
 def staged_tax_filings(spark, root):
     catalog = _stored("parquet", fact_tax_filings=FinanceInputs(spark, root).filings())
@@ -520,11 +553,11 @@ class SignalChain:
     def __init__(self, bed: Testbed):
         self.bed = bed
         inputs = FeatureInputs(bed)
-        latest = predictive.latest_scores(bed.equipment(), bed.components(), inputs.telemetry(), inputs.component_faults())
+        days = settle(bed.telemetry_days(), "telemetry-days")
+        latest = predictive.latest_scores(bed.equipment(), bed.components(), days, inputs.component_faults())
         scored = latest.withColumn(
             "failure_probability", F.round(predictive.risk_score("weighted_score_30d", midpoint=38.0, steepness=0.12), 4))
-        dates = scalar_array(inputs.telemetry(), "date_id")
-        codes = predictive.contributing_fault_codes(bed.faults(), bed.fault_bridge(), F.array_max(dates))
+        codes = predictive.contributing_fault_codes(bed.faults(), bed.fault_bridge(), F.array_max(scalar_array(days, "date_id")))
         self.signals = predictive.signals_table(scored, CREATED_AT, "risk-v1", codes)
 
     @cached_property
@@ -575,6 +608,35 @@ def risk_scored_signals(spark, root):
     return present(flat.drop("created_at"))
 
 
+@report
+def signals_stamped(spark, root):
+    """Stored signals with the stamp and version of their run and the number of codes behind them."""
+    catalog = _stored("parquet", ml_maintenance_signals=SignalChain(Testbed(spark, root)).signals)
+    return present(staging.stage(catalog, "stg_ml_signals").select(
+        "signal_id", "model_version", F.col("created_at").cast("date").alias("created_on"),
+        F.coalesce(F.size("contributing_fault_codes"), F.lit(0)).alias("n_codes")))
+
+
+@report
+def confirmed_failures(spark, root):
+    """Failures out of a stored calendar that holds false starts too."""
+    catalog = _stored("parquet", failure_calendar=Testbed(spark, root).failure_calendar())
+    return present(predictive.confirmed_failures(catalog.table("failure_calendar")))
+
+
+@report
+def secure_sites(spark, root):
+    """Customers and their sites that each role can see."""
+    bed = Testbed(spark, root)
+    sites, result = bed.sites(), None
+    for role in ("analyst", "analyst_asia", "analyst_west", "stranger", "etl"):
+        view = governance.secure_view({"customers": bed.customers(), "sites": sites}, role, REGIONS_BY_ROLE)
+        rows = view["sites"].groupBy("region").agg(F.count("*").alias("sites"), F.count_distinct("customer_id").alias("customers")).select(
+            F.lit(role).alias("role"), "region", "customers", "sites")
+        result = rows if result is None else result.unionByName(rows)
+    return present(result)
+
+
 @report
 def fault_code_index(spark, root):
     """From code to signals, over signals stored with their lists."""

@@ -279,6 +279,30 @@ class Testbed:
             F.col("user_id").alias("equipment_id"), component.alias("component_id"),
             F.col("ts").cast("date").alias("failure_date"))
 
+    def failure_calendar(self) -> DataFrame:
+        """Every error event as a failure, or as a false start if its reading is low."""
+        component = F.element_at(F.array(F.lit(1), F.lit(2), F.lit(12)), (F.pmod(F.col("event_id"), F.lit(3)) + 1).cast("int"))
+        return self.raw("events").filter(F.col("event_type") == "error").select(
+            F.col("event_id").alias("calendar_id"), F.col("user_id").alias("equipment_id"), component.alias("component_id"),
+            F.when(F.col("value") >= 150, C.FAILURE).otherwise("False Start").alias("event_type"),
+            F.col("ts").cast("date").alias("failure_date"))
+
+    def sites(self) -> DataFrame:
+        """A site for each customer, and a second one for every third."""
+        owners = self.customers().select("customer_id", "region", F.explode(F.expr(
+            "CASE WHEN customer_id % 3 = 0 THEN array(0, 1) ELSE array(0) END")).alias("_n"))
+        return owners.select((F.col("customer_id") * 10 + F.col("_n")).alias("site_id"),
+                             F.concat(F.lit("Site "), (F.col("customer_id") * 10 + F.col("_n")).cast("string")).alias("site_name"),
+                             "customer_id", "region")
+
+    def fault_events(self) -> DataFrame:
+        return self.raw("events").select(F.col("event_id"), F.col("user_id").alias("equipment_id"), F.col("ts").cast("date").alias("event_date"),
+                                         F.col("event_type").alias("fault_code"), lookup(SEVERITY_BY_EVENT, F.col("event_type"), "Info").alias("severity"))
+
+    def telemetry_days(self) -> DataFrame:
+        """The dates that have telemetry, one row each: a calendar, however many events there are."""
+        return self.faults().select(F.col("event_date").alias("date_id")).distinct()
+
     def visits_2024(self) -> DataFrame:
         """Open work orders moved into the telemetry month, so that triage has visits to find."""
         shifted = F.date_add(F.lit(date(2024, 1, 28)), F.pmod(F.col("work_order_id"), F.lit(400)).cast("int"))

@@ -580,6 +580,69 @@ def _declared() -> str:
 
 check("declared_constraints", "check_name:s violations:i", _declared())
 
+check("staged_faults", "event_id:i equipment_id:i event_date:d fault_code:s severity:s", """
+SELECT event_id, user_id AS equipment_id, ts::DATE AS event_date, event_type AS fault_code,
+  CASE event_type WHEN 'error' THEN 'Critical' WHEN 'purchase' THEN 'Warning' WHEN 'click' THEN 'Warning' ELSE 'Info' END AS severity
+FROM events""")
+
+_sites = "(SELECT *, customer_id * 10 + n AS site_id, 'Site' AS site_name FROM clients CROSS JOIN (VALUES (0), (1)) AS v(n) WHERE n = 0 OR customer_id % 3 = 0)"
+
+# what each staging model shows, and what fills its columns; the others are empty
+_STAGED = {
+    "stg_industries": ("dim_industry", "industry_id,industry_name"),
+    "stg_customers": ("dim_customer", "customer_id,customer_code,customer_name,customer_type,industry_id,region,contract_tier"),
+    "stg_sites": ("dim_site", "site_id,site_name,customer_id,region,latitude,longitude"),
+    "stg_equipment": ("dim_equipment", "equipment_id,model_id,serial_number,customer_id,site_id,install_date,ownership_type,status"),
+    "stg_equipment_models": ("dim_equipment_model", "model_id,category_id,model_name,engine_series,list_price_usd"),
+    "stg_equipment_categories": ("dim_equipment_category", "category_id,category_name,primary_application"),
+    "stg_components": ("dim_component", "component_id,component_name,system_category"),
+    "stg_parts": ("dim_part", "part_id,part_number,part_name,part_category,unit_cost_usd,lead_time_days"),
+    "stg_technicians": ("dim_technician", "technician_id,technician_name,branch,certification_level"),
+    "stg_maintenance_parts_used": ("fact_maintenance_parts_used", "work_order_id,part_id,qty_used"),
+    "stg_ml_signals": ("ml_maintenance_signals",
+                       "signal_id,equipment_id,scoring_date,predicted_component_id,failure_probability,model_version,"
+                       "recommended_action_window_days,contributing_fault_codes,signal_status,dismiss_reason,created_at"),
+    "stg_parts_demand_forecast": ("parts_demand_forecast",
+                                  "forecast_id,signal_id,equipment_id,part_id,expected_qty,is_primary,needed_by_date,demand_source"),
+    "stg_parts_mapping_gaps": ("parts_mapping_gaps", "gap_id,signal_id,component_id,model_id,resolved"),
+}
+_SOURCES = _FILLED | {
+    "dim_site": (_sites, "site_id site_name customer_id region"),
+    "dim_equipment": ("(SELECT *, 1 AS site_id FROM machines)",
+                      "equipment_id model_id serial_number customer_id site_id install_date ownership_type status"),
+    "dim_part": ("(SELECT *, unit_cost AS unit_cost_usd FROM wares)", "part_id part_number part_name part_category unit_cost_usd lead_time_days"),
+    "ml_maintenance_signals": ("(SELECT *, 1 AS created_at FROM triaged)",
+                               "signal_id equipment_id scoring_date predicted_component_id failure_probability model_version"
+                               " recommended_action_window_days contributing_fault_codes signal_status dismiss_reason created_at"),
+    "parts_demand_forecast": ("demand", "forecast_id signal_id equipment_id part_id expected_qty is_primary needed_by_date demand_source"),
+}
+
+
+def _staged() -> str:
+    parts = []
+    for model, (table, shown) in _STAGED.items():
+        source, given = _SOURCES[table]
+        empty = " + ".join(f"({c} IS NULL)::INT" if c in given.split() else "1" for c in shown.split(","))
+        key = ", ".join(CONSTRAINTS[table].key)
+        parts.append(f"SELECT '{model}' AS model, COUNT(*) AS n_rows, '{shown}' AS columns, COUNT(DISTINCT ({key})) AS distinct_keys,"
+                     f" COALESCE(SUM({empty}), 0) AS empty_cells FROM {source} AS t")
+    return " UNION ALL ".join(parts)
+
+
+check("staged_tables", "model:s n_rows:i columns:s distinct_keys:i empty_cells:i", _staged())
+
+check("signals_stamped", "signal_id:i model_version:s created_on:d n_codes:i", """
+SELECT signal_id, model_version, DATE '2024-01-31' AS created_on, COALESCE(len(string_split(contributing_fault_codes, ',')), 0) AS n_codes
+FROM signals""")
+
+check("confirmed_failures", "equipment_id:i component_id:i failure_date:d", "SELECT * FROM failed")
+
+_roles = {"analyst": "region IN ('AFRICA', 'AMERICA', 'ASIA', 'EUROPE', 'MIDDLE EAST')", "analyst_asia": "region = 'ASIA'",
+          "analyst_west": "region IN ('AMERICA', 'EUROPE')", "stranger": "false", "etl": "true"}
+check("secure_sites", "role:s region:s customers:i sites:i", " UNION ALL ".join(
+    f"SELECT '{role}' AS role, region, COUNT(DISTINCT customer_id) AS customers, COUNT(*) AS sites FROM {_sites} AS t WHERE {seen} GROUP BY region"
+    for role, seen in _roles.items()))
+
 _branch = "branch NOT IN (SELECT r_name FROM region)"
 _fleet = "(SELECT * FROM fleet UNION ALL SELECT * FROM fleet WHERE equipment_id % 97 = 0) AS f"
 check("result_checks", "check_name:s violations:i", _violations({
