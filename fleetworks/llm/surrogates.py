@@ -26,6 +26,13 @@ TITLES = {
     "Señorita": "f", "Monsieur": "m", "Madame": "f", "Mademoiselle": "f", "Mme": "f", "Mlle": "f", "Doña": "f",
     "господин": "m", "госпожа": "f", "г-н": "m", "г-жа": "f", "κύριος": "m", "κυρία": "f",
 }
+#: Titles that tell no gender or stand behind another one; they are never part of a name.
+RANKS = {
+    "Dr": "n", "Doctor": "n", "Doktor": "n", "Prof": "n", "Professor": "n", "Professorin": "f", "Docteur": "n", "Professeur": "n",
+    "Doctora": "f", "Profesor": "m", "Profesora": "f", "Sir": "m", "Dame": "f", "Lord": "m", "Lady": "f", "доктор": "n", "профессор": "n",
+}
+#: Names that are months as well: they are taken behind a title alone.
+MONTHS = {"April", "May", "June", "August", "Mai", "Juni", "Juli", "Mars", "Avril", "Juin", "Abril", "Mayo", "Junio", "Julio"}
 GIVEN = {
     ("latin", "m"): "Adrian Bruno Conrad Daniel Emil Felix Gregor Henri Ivo Julian Lorenz Marco Nils Oscar Paul Victor",
     ("latin", "f"): "Alma Bianca Clara Diana Elena Flora Greta Helena Ines Julia Laura Maria Nora Olivia Paula Vera",
@@ -60,7 +67,16 @@ _CARD = re.compile(r"(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-])")
 _ACCOUNT = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?!\w)")
 _ACCESS = re.compile(r"(?<!\w)(?:AKIA|ASIA)[A-Z0-9]{16}(?!\w)")
 _SECRET = re.compile(r"(?i)(?<!\w)(?:password|passwd|pwd|secret|token|api[_-]?key)\s*[=:]\s*[\"']?([^\s\"',;]{6,})")
-_TITLE = re.compile(rf"(?<!\w)({'|'.join(sorted(TITLES, key=len, reverse=True))})\b\.?")
+#: Tokens told by how they begin, and blocks that hold a private key.
+_TOKEN = re.compile(r"(?<!\w)(?:gh[pousr]_|github_pat_|glpat-|xox[abprs]-|sk_live_|rk_live_|AIza)[A-Za-z0-9_-]{16,}(?![\w-])")
+_KEY_BLOCK = re.compile(r"-----BEGIN ([A-Z ]*PRIVATE KEY)-----(.*?)-----END \1-----", re.DOTALL)
+_ADDRESS_6 = re.compile(r"(?<![\w:.])(?:(?:[0-9A-Fa-f]{1,4}:){7}[0-9A-Fa-f]{1,4}"
+                        r"|(?=[0-9A-Fa-f:]*[0-9A-Fa-f]{3})(?:[0-9A-Fa-f]{1,4}:){1,6}(?::[0-9A-Fa-f]{1,4}){1,6})(?![\w:]|\.\d)")
+#: Networks that are private, and how much of an address of theirs stays.
+_PRIVATE = re.compile(r"10\.|127\.|192\.168\.|169\.254\.|172\.(?:1[6-9]|2\d|3[01])\.")
+_ANY_TITLE = "|".join(sorted([*TITLES, *RANKS], key=len, reverse=True))
+_TITLE = re.compile(rf"(?<!\w)(?:{_ANY_TITLE})\b\.?(?:[ \u00a0](?:{_ANY_TITLE})\b\.?)*")
+_ONE_TITLE = re.compile(_ANY_TITLE)
 _NAME = re.compile(r"[  ]([^\W\d_](?:[\w]|['’-](?=\w))*)")
 _DIGIT = re.compile(r"\d")
 #: Country codes: one digit, two digits, else three.
@@ -102,6 +118,11 @@ def _luhn(digits: str) -> int:
     return total % 10
 
 
+def _remainder(account: str) -> int:
+    """Modulo 97 of an international account number; 1 if its check digits are right."""
+    return int("".join(str(int(c, 36)) for c in account[4:] + account[:4])) % 97
+
+
 def _alike(text: str, draws: Draws, hexadecimal: bool = False) -> str:
     """Each character replaced by one of its class; punctuation stays."""
     out = []
@@ -158,7 +179,13 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         labels = host.split(".")
         return ".".join([_alike(local + "x" * extra, draws) + "@" + _alike(labels[0], draws),
                          *[_alike(x, draws) for x in labels[1:-1]], labels[-1]])
+    if kind == "address-6":
+        return _alike(value + value[-1] * extra, draws, hexadecimal=True)
     if kind == "address":
+        kept = _PRIVATE.match(value)
+        if kept and not extra:
+            rest = value[kept.end():].split(".")
+            return kept[0] + ".".join(str(1 + draws.below(254)) for _ in rest)
         spans = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
         parts = [spans[len(p)] if not extra else (1, 254) for p in value.split(".")]
         return ".".join(str(a + draws.below(b - a + 1)) for a, b in parts)
@@ -175,7 +202,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
     if kind == "access":
         return value[:4] + _alike(value[4:] + "0" * extra, draws)
     if kind == "account":
-        return value[:2] + _alike(value[2:] + "0" * extra, draws)
+        if _remainder(value) != 1:
+            return value[:2] + _alike(value[2:] + "0" * extra, draws)
+        rest = _alike(value[4:] + "0" * extra, draws)
+        return f"{value[:2]}{98 - _remainder(value[:2] + '00' + rest):02}{rest}"
     return _alike(value + value[-1] * extra, draws, hexadecimal=kind == "secret-hex")
 
 
@@ -183,7 +213,7 @@ def _dressed(kind: str, shown: str, new: str) -> str:
     """The surrogate in the mention's upper and lower case and with its blanks and dashes."""
     if kind.startswith("name-"):
         return new.upper() if shown.isupper() and len(shown) > 1 else new[:1].upper() + new[1:] if shown[0].isupper() else new
-    if kind == "email":
+    if kind in ("email", "address-6"):
         return "".join(b.upper() if a.isupper() else b for a, b in zip(shown, new)) + new[len(shown):]
     if kind == "phone":
         code, _ = phone_parts(shown)
@@ -206,6 +236,16 @@ def _found(text: str) -> Iterator[tuple[int, int, str, str]]:
     if "@" in text:
         for m in _EMAIL.finditer(text):
             yield m.start(), m.end(), "email", m[0].lower()
+    if "PRIVATE KEY-----" in text:
+        for m in _KEY_BLOCK.finditer(text):
+            yield m.start(2), m.end(2), "secret", m[2]
+    if "_" in text or "-" in text or "AIza" in text:
+        for m in _TOKEN.finditer(text):
+            at = m.start() + re.match(r"github_pat_|(?:sk|rk)_live_|glpat-|xox.-|gh._|AIza", m[0]).end()
+            yield at, m.end(), "secret", text[at:m.end()]
+    if text.count(":") > 1:
+        for m in _ADDRESS_6.finditer(text):
+            yield m.start(), m.end(), "address-6", m[0].lower()
     if "=" in text or ":" in text:
         for m in _SECRET.finditer(text):
             plain = re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", m[1])
@@ -228,16 +268,21 @@ def _found(text: str) -> Iterator[tuple[int, int, str, str]]:
             yield m.start(), m.end(), "card" if _luhn(digits) == 0 else "number", digits
     known: dict[str, str] = {}
     for m in _TITLE.finditer(text):
-        gender, at, words = TITLES[m[1]], m.end(), []
+        told = [TITLES.get(t) or RANKS[t] for t in _ONE_TITLE.findall(m[0])]
+        gender, at, words = next((g for g in told if g != "n"), "n"), m.end(), []
         while len(words) < 3 and (w := _NAME.match(text, at)) and w[1][0].isupper():
-            words.append((w.start(1), w.end(1), w[1]))
+            word = re.sub(r"['’]s$", "", w[1])
+            words.append((w.start(1), w.start(1) + len(word), word))
             at = w.end()
+            if word != w[1]:
+                break  # whose name it is, and then what is owned
         for i, (a, b, word) in enumerate(words):
             kind = f"name-{'family' if i == len(words) - 1 else 'given'}-{gender}"
             known.setdefault(word, kind)
-            yield a, b, known[word], word.lower()
+            # behind a title of another gender it is another person
+            yield a, b, known[word] if known[word].endswith(f"-{gender}") else kind, word.lower()
     for word, kind in known.items():  # the same person without a title
-        if len(word) > 2:
+        if len(word) > 2 and word not in MONTHS:
             for m in re.finditer(rf"(?<!\w){re.escape(word)}(?!\w)", text):
                 yield m.start(), m.end(), kind, word.lower()
 
