@@ -183,12 +183,10 @@ def surrogate(key: bytes, kind: str, value: str, attempt: int = 0) -> str:
         return _alike(value + value[-1] * extra, draws, hexadecimal=True)
     if kind == "address":
         kept = _PRIVATE.match(value)
-        if kept and not extra:
-            rest = value[kept.end():].split(".")
-            return kept[0] + ".".join(str(1 + draws.below(254)) for _ in rest)
+        head = kept[0] if kept else ""
         spans = {1: (1, 9), 2: (10, 99), 3: (100, 254)}
-        parts = [spans[len(p)] if not extra else (1, 254) for p in value.split(".")]
-        return ".".join(str(a + draws.below(b - a + 1)) for a, b in parts)
+        parts = [spans[len(p)] if not extra else (1, 254) for p in value[len(head):].split(".")]
+        return head + ".".join(str(a + draws.below(b - a + 1)) for a, b in parts)
     if kind == "phone":
         lead = re.match(r"\+\d+ ", value)
         head = lead[0] if lead else ""
