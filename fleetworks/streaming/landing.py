@@ -122,7 +122,9 @@ class KeyedUpsert:
     A batch only touches the dates it carries. The new content of those dates is written to a staging folder of
     its checkpoint and batch first; swapping it in overwrites just these partitions. A replay finds the finished
     staging folder and repeats the swap, so a crash halfway leaves nothing lost and nothing doubled. Of several rows
-    of a key, the one with the greatest position wins; a batch that repeats a key without positions is refused.
+    of a key in a batch, the one with the greatest position wins; a batch that repeats a key without positions is refused.
+    Positions are not stored, so between batches the later batch wins, as a topic's offsets and a folder's file times
+    have it; a file that is older than rows already landed still replaces them.
     """
 
     def __init__(self, path: str, name: str, schema: str, keys: Sequence[str], update: Sequence[str], day: str = "date_id"):

@@ -152,3 +152,28 @@ def test_sinks(spark, frame, tmp_path):
     write_daily_csv(days, "date_id", str(tmp_path / "csv"))
     assert (tmp_path / "csv" / "date_id=2024-01-02").is_dir()
     assert spark.read.option("header", True).csv(str(tmp_path / "csv")).count() == 2
+
+
+def test_landed_and_quarantined_rows_are_counted_on_the_way(spark, frame, tmp_path):
+    source, target, offsets = (str(tmp_path / n) for n in ("in", "out", "offsets"))
+    fault = lambda machine: (str(machine), json.dumps({"equipment_id": machine, "event_date": "2024-01-01", "fault_code": "A", "severity": "Info"}))
+    send(frame, f"{source}/faults", [fault(1), fault(2), ("x", "{bad")], [fault(3), ("y", '{"equipment_id": 4}'), ("z", "")])
+    send(frame, f"{source}/days", [message(1, "2024-01-01"), ("x", "{bad")], [message(1, "2024-01-01", 3.0)])
+    faults, days = land_streams(file_source(spark, f"{source}/faults", 1), file_source(spark, f"{source}/days", 1), target, offsets)
+    assert tuples(faults.counts.read(spark), "batch_id", "landed", "quarantined") == [(0, 2, 1), (1, 1, 2)]
+    assert tuples(days.counts.read(spark), "batch_id", "landed", "quarantined") == [(0, 1, 1), (1, 1, 0)]
+    # a replayed batch counts once
+    batch = faults.decode(frame(MESSAGE, [fault(9), ("q", "{")]))
+    for _ in range(2):
+        faults(batch, 7)
+    assert tuples(faults.counts.read(spark).filter("batch_id = 7"), "landed", "quarantined") == [(1, 1)]
+
+
+def test_a_landed_batch_is_decoded_once(spark, frame, tmp_path, monkeypatch):
+    sink, asked = FaultLanding(str(tmp_path)), []
+    batch = sink.decode(frame(MESSAGE, [("1", json.dumps({"equipment_id": 1, "event_date": "2024-01-01", "fault_code": "A"}))] * 3))
+    monkeypatch.setattr(type(batch), "isEmpty", lambda self: asked.append(1))
+    held = len(spark._jsc.getPersistentRDDs())
+    sink(batch, 0)
+    assert not asked and sink.read(spark).count() == 3
+    assert len(spark._jsc.getPersistentRDDs()) == held  # what was kept for the batch is released
