@@ -447,8 +447,8 @@ def _trained_model(spark: SparkSession, root: str):
 def _newest_features(spark: SparkSession, root: str) -> DataFrame:
     """The newest day's features, added to a store that holds the days before."""
     bed = Testbed(spark, root)
-    store, days = _store_without(bed, 1)
-    return store.add_day(days[0], bed.equipment(), bed.components(), *_increment_inputs(bed))
+    store, days, inputs = _store_without(bed, 1)
+    return store.add_day(days[0], bed.equipment(), bed.components(), *inputs)
 
 
 @report
@@ -524,27 +524,25 @@ def _increment_inputs(bed: Testbed) -> tuple[DataFrame, DataFrame, DataFrame]:
             settle(inputs.component_faults(), "component-faults"))
 
 
-def _store_without(bed: Testbed, last: int) -> tuple[FeatureStore, list]:
-    """A store of all days but the ``last`` ones, and these."""
-    readings, marks, faults = _increment_inputs(bed)
+def _store_without(bed: Testbed, last: int) -> tuple[FeatureStore, list, tuple[DataFrame, ...]]:
+    """A store of all days but the ``last`` ones, these, and the inputs of all days."""
+    readings, marks, faults = inputs = _increment_inputs(bed)
     days = [r["date_id"] for r in readings.select("date_id").distinct().orderBy(F.desc("date_id")).limit(last).collect()]
     before = min(days)
     store = FeatureStore(bed.spark, scratch_dir(bed.spark, "feature-store"))
     store.build(bed.equipment(), bed.components(), readings.filter(F.col("date_id") < before),
                 marks.filter(F.col("scheduled_date") < before), faults.filter(F.col("date_id") < before))
-    return store, sorted(days)
+    return store, sorted(days), inputs
 
 
 @report
 def feature_increments(spark, root):
     """The feature grid of all days but three, to which these are added one by one."""
     bed = Testbed(spark, root)
-    store, days = _store_without(bed, 3)
-    inputs = _increment_inputs(bed)
+    store, days, inputs = _store_without(bed, 3)
     for day in days:
         store.add_day(day, bed.equipment(), bed.components(), *inputs)
-    columns = FeatureInputs(bed).features(labelled=False).columns
-    return present(store.read().select(*columns))
+    return present(store.read())
 
 
 class SignalChain:
