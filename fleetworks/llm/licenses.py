@@ -7,7 +7,7 @@ follows a tag is parsed by the shunting-yard method, ``with`` binding tighter th
 from __future__ import annotations
 
 import re
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 import ahocorasick
 from pyspark.sql import DataFrame
@@ -43,7 +43,7 @@ MORE_PHRASES = {
     "all rights reserved": "all-rights-reserved",
 }
 TAGS = ("spdx-license-identifier:", "license-expression:")
-#: Identifiers an expression may name, with label and whether reuse is permissive.
+#: Identifiers an expression may name, with label and whether reuse is permissive. Of others that is not known.
 IDENTIFIERS = {
     "mit": ("mit", True), "apache-2.0": ("apache-2", True), "bsd-2-clause": ("bsd-2-clause", True),
     "bsd-3-clause": ("bsd-3-clause", True), "isc": ("isc", True), "zlib": ("zlib", True), "0bsd": ("0bsd", True),
@@ -62,7 +62,9 @@ EXCEPTIONS = {"classpath-exception-2.0", "gcc-exception-3.1", "llvm-exception",
 TAG_SCORE, PHRASE_SCORE, WEAK_SCORE = 1.0, 0.9, 0.6
 
 _BINDS = {"or": 1, "and": 2, "with": 3}
-_TOKEN = re.compile(r"[^\S\n\r]*([()]|(?:DocumentRef-[A-Za-z0-9.-]+:)?[A-Za-z0-9][A-Za-z0-9.+-]*)", re.I)
+#: A name that goes on an expression behind an operator in small letters, though it is no identifier.
+_NAME = re.compile(r"[^\S\n\r]*\(*[A-Z]")
+_TOKEN = re.compile(r"[^\S\n\r]*([()]|/(?=[A-Za-z0-9(])|(?:DocumentRef-[A-Za-z0-9.-]+:)?[A-Za-z0-9][A-Za-z0-9.+-]*)", re.I)
 #: What may stand between an expression and the line's end: the end of a comment, a quote, a stop.
 _LINE_END = re.compile(r"[^\S\n\r]*(?:\*+/|-->|[\"'`,;.#*)\]}>])*[^\S\n\r]*(?=[\n\r]|\Z)")
 #: Public identifiers of small letters alone, which nothing else tells from prose.
@@ -75,6 +77,11 @@ RESULT = ("n_words bigint, n_base bigint, first_word bigint, last_word bigint, b
           " score double, expressions array<string>, permissive boolean")
 
 
+def _plain(token: str) -> str:
+    """An identifier without the plus for later versions, or the stop of a sentence."""
+    return token if token in IDENTIFIERS else token.rstrip("+.")
+
+
 def _known(plain: str) -> bool:
     return plain in IDENTIFIERS or plain in _SMALL or plain.startswith(("licenseref-", "documentref-"))
 
@@ -84,26 +91,31 @@ def read_expression(text: str, at: int) -> tuple[list[str], int]:
 
     Any identifier is an operand and any an exception. What tells them from prose: an operator in capitals always is one
     and needs its operand, one in small letters only counts before an identifier of the table or with a digit, and an
-    expression with other names and no operator in capitals ends with its line.
+    expression with other names and no operator in capitals ends with its line. Before any other name in capitals an
+    ``or`` or ``and`` in small letters leaves the expression unread. A slash between names is the old way to write ``or``.
     """
     tokens: list[str] = []
     depth, capitals, foreign, wants = 0, False, False, "operand"
     while match := _TOKEN.match(text, at):
         shown, token = match[1], match[1].lower()
-        plain = token.rstrip("+.") if token not in IDENTIFIERS else token
+        plain = _plain(token)
         if wants == "operand" and token == "(":
             depth += 1
         elif wants == "operand" and token not in _BINDS and token not in _NOTHING and (
                 _known(plain) or re.search(r"[A-Z0-9-]", shown) and re.search(r"[a-z]", plain)):
             foreign = foreign or not _known(plain)
-            token, wants = plain, "operator"
+            token, wants = token.rstrip("."), "operator"
         elif wants == "exception" and re.search(r"[a-z]", plain) and token not in _BINDS:
             token, wants = plain, "operator"
         elif wants == "operator" and token == ")" and depth:
             depth -= 1
+        elif wants == "operator" and token == "/":
+            token, capitals, wants = "or", True, "operand"
         elif wants == "operator" and token in _BINDS and (shown.isupper() or _follows(text, match.end(), token)):
             capitals = capitals or shown.isupper()
             wants = "exception" if token == "with" else "operand"
+        elif wants == "operator" and token in ("or", "and") and _NAME.match(text, match.end()):
+            return [], at
         else:
             break
         tokens.append(token)
@@ -143,21 +155,31 @@ def postfix(tokens: list[str]) -> list[str]:
     return out + waiting[::-1]
 
 
-def evaluate(tokens: list[str]) -> tuple[str, bool]:
-    """The expression fully bracketed, and whether some choice it offers is permissive throughout."""
-    stack: list[tuple[str, bool]] = []
+def _all_hold(flags: Iterable[bool | None]) -> bool | None:
+    """False if one is, else None if one is not known."""
+    flags = set(flags)
+    return False if False in flags else None if None in flags else True
+
+
+def evaluate(tokens: list[str]) -> tuple[str, bool | None]:
+    """The expression fully bracketed, and whether some choice it offers is permissive throughout: None if not known."""
+    stack: list[tuple[str, bool | None]] = []
     for token in postfix(tokens):
         if token in _BINDS:
-            right, left = stack.pop(), stack.pop()
-            holds = {"or": left[1] or right[1], "and": left[1] and right[1], "with": left[1]}[token]
-            stack.append((f"({left[0]} {token} {right[0]})", holds))
+            (right, b), (left, a) = stack.pop(), stack.pop()
+            if token == "or":
+                holds = True if a or b else None if a is None or b is None else False
+            else:
+                holds = _all_hold((a, b)) if token == "and" else a
+            stack.append((f"({left} {token} {right})", holds))
         else:
-            stack.append((token, IDENTIFIERS.get(token, (token, False))[1]))
+            stack.append((token, IDENTIFIERS.get(_plain(token), (token, None))[1]))
     return stack[0]
 
 
 def _label(identifier: str) -> str:
-    return IDENTIFIERS.get(identifier, (identifier, False))[0]
+    plain = _plain(identifier)
+    return IDENTIFIERS.get(plain, (plain, None))[0]
 
 
 class Scanner:
@@ -187,20 +209,20 @@ class Scanner:
                 last = start if last is None else max(last, start)
                 base_labels.add(self.base[phrase])
                 score = max(score, PHRASE_SCORE)
-        expressions, permissive = [], None
+        expressions, flags = [], []
         lowered = text.encode().lower().decode() if text else ""
         for end, _ in self.tags.iter(lowered):
             tokens, _ = read_expression(text, end + 1)
             if tokens:
                 shown, holds = evaluate(tokens)
                 expressions.append(shown)
-                permissive = holds if permissive is None else permissive and holds
+                flags.append(holds)
                 labels.update(_label(t) for before, t in zip(["", *tokens], tokens)
                               if t not in _BINDS and t not in "()" and before != "with")
                 score = TAG_SCORE
         at = [None if s is None else line.count(" ", 0, s) for s in (first, last)]
         return (len(words), n_base, *at, ",".join(sorted(base_labels)), ",".join(sorted(labels)), score, expressions,
-                permissive)
+                _all_hold(flags) if flags else None)
 
 
 def scan_licenses(docs: DataFrame, text: str = "text", keep=None, base: Mapping[str, str] | None = None,
@@ -209,8 +231,9 @@ def scan_licenses(docs: DataFrame, text: str = "text", keep=None, base: Mapping[
 
     ``n_base`` counts all places of base phrases, overlapping ones too; ``first_word`` and ``last_word`` are null
     without any. ``expressions`` lists the bracketed expressions behind tags in order; one that cannot be read to its end
-    is left out, not cut. An identifier beyond ``IDENTIFIERS`` is its own label and not permissive. ``permissive`` is null without an expression, else whether all of them allow permissive reuse. Null and
-    empty texts have no words, empty labels and score 0. Repeated rows stay; clashing columns are replaced.
+    is left out, not cut. An identifier beyond ``IDENTIFIERS`` is its own label. ``permissive`` says whether all
+    expressions allow permissive reuse; it is null without any, and where that hangs on an identifier beyond the table.
+    Null and empty texts have no words, empty labels and score 0. Repeated rows stay; clashing columns are replaced.
     """
     base = BASE_PHRASES if base is None else base
     more = MORE_PHRASES if more is None else more
