@@ -11,13 +11,14 @@ from collections.abc import Iterable, Iterator
 
 from pyspark.sql import DataFrame, functions as F
 
-from fleetworks.llm.frames import append, hidden, named, shown, without
+from fleetworks.llm.frames import append, hidden, named, shown
 from fleetworks.llm.words import lettered_words
-from fleetworks.session import settle
+from fleetworks.session import scratch_dir, settle
 
 WINDOW = 10
 #: Item words that are searched for at once, and held by the driver and by a task.
 BLOCK_WORDS = 100_000
+_FOUND = "spans array<struct<a:bigint,b:bigint>>, items array<string>"
 
 
 class WuManber:
@@ -97,6 +98,17 @@ def _blocks(items: DataFrame, key: str, text: str, window: int, limit: int) -> I
     yield block
 
 
+def _searched(rows: DataFrame, text: str, block: list, window: int, keep: list[str]) -> DataFrame:
+    """``rows`` with n_words, and spans and items of what occurs of one block."""
+    shared = rows.sparkSession.sparkContext.broadcast(block)
+
+    def make():
+        search = Search(shared.value, window)
+        return lambda texts: list(zip(*map(search.read, texts)))
+
+    return append(rows, text, f"n_words bigint, {_FOUND}", make, keep)
+
+
 def mark(docs: DataFrame, items: DataFrame, text: str = "text", keep=None, item_key: str = "item_id",
          item_text: str = "text", window: int = WINDOW, block_words: int = BLOCK_WORDS) -> DataFrame:
     """``docs`` with n_words, n_hit, n_items, ``items`` (names, sorted as strings), ``spans`` and ``contaminated``.
@@ -106,39 +118,33 @@ def mark(docs: DataFrame, items: DataFrame, text: str = "text", keep=None, item_
     words and are clean; items without words match nothing. An item without id counts under the empty name. Repeated
     rows and items change nothing else; without items all documents are clean. Clashing columns are replaced.
     """
-    added = ["n_words", "n_hit", "n_items", "items", "spans", "contaminated", "_new_spans", "_new_items"]
+    added = ["n_words", "n_hit", "n_items", "items", "spans", "contaminated"]
     kept = [c for c in (docs.columns if keep is None else keep) if c.lower() not in added]
-    marked = docs.select(*map(named, kept), *([] if text in kept else [named(text)]))
-    marked = marked.withColumn("spans", F.expr("cast(array() as array<struct<a:bigint,b:bigint>>)")).withColumn(
-        "items", F.expr("cast(array() as array<string>)"))
+    rows, names = hidden(docs.select(*map(named, kept), *([] if text in kept else [named(text)])))
     blocks = _blocks(items, item_key, item_text, window, block_words)
-    block, previous = next(blocks), None
-    while block is not None:
-        following = next(blocks, None)
-        shared = docs.sparkSession.sparkContext.broadcast(block)
-        columns = without(marked, ["n_words"]).columns
-
-        def make(shared=shared):
-            search = Search(shared.value, window)
-            return lambda texts: list(zip(*map(search.read, texts)))
-
-        if following is None:
-            columns = [c for c in columns if c in kept or c in ("spans", "items")]
-        marked = append(marked, text, "n_words bigint, _new_spans array<struct<a:bigint,b:bigint>>, _new_items array<string>",
-                        make, columns)
-        marked = marked.withColumn("spans", F.concat("spans", "_new_spans")).withColumn(
-            "items", F.array_union("items", "_new_items")).drop("_new_spans", "_new_items")
-        if following is not None:
-            marked = settle(marked, "marked")
-            shared.unpersist()
-        block = following
+    block, following = next(blocks), next(blocks, None)
+    if following is None:
+        marked = _searched(rows, names[text], block, window, [names[c] for c in kept])
+    else:
+        # the texts are written once, with numbers, and every block writes no more than what it finds
+        rows = settle(rows.withColumn("_row", F.monotonically_increasing_id()), "numbered-texts")
+        path, n = scratch_dir(docs.sparkSession, "hits"), 0
+        while block is not None:
+            _searched(rows, names[text], block, window, ["_row"]).where(F.size("spans") > 0).drop("n_words").write.parquet(f"{path}/block={n}")
+            block, following, n = following, next(blocks, None), n + 1
+        hits = docs.sparkSession.read.schema(f"_row bigint, {_FOUND}, block int").parquet(path).groupBy("_row").agg(
+            F.flatten(F.collect_list("spans")).alias("spans"), F.array_distinct(F.flatten(F.collect_list("items"))).alias("items"))
+        counted = append(rows, names[text], "n_words bigint", lambda: lambda texts: [[len(lettered_words(t)) for t in texts]],
+                         [*[names[c] for c in kept], "_row"])
+        nothing = {c: F.expr(f"cast(array() as {kind})") for c, kind in (part.split(" ") for part in _FOUND.split(", "))}
+        marked = counted.join(hits, "_row", "left").withColumns({c: F.coalesce(c, empty) for c, empty in nothing.items()})
     # stretches of different blocks may overlap
     hit = F.aggregate(
         F.array_sort("spans"), F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(0).cast("bigint").alias("end")),
         lambda s, x: F.struct((s["n"] + F.greatest(F.lit(0).cast("bigint"), x["b"] - F.greatest(x["a"], s["end"]))).alias("n"),
                               F.greatest(s["end"], x["b"]).alias("end")))["n"]
     return marked.withColumn("items", F.array_sort("items")).select(
-        *map(named, kept), "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), "items", "spans",
+        *[F.col(names[c]).alias(c) for c in kept], "n_words", hit.alias("n_hit"), F.size("items").cast("bigint").alias("n_items"), "items", "spans",
         (F.size("spans") > 0).alias("contaminated"))
 
 
