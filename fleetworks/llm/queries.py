@@ -20,48 +20,58 @@ def _table(spark: SparkSession, root: str, name: str) -> DataFrame:
 
 
 def op1_licenses(spark: SparkSession, root: str) -> DataFrame:
+    """Licence phrases, labels and expressions of every whole text; odd rows as in ``licenses.scan_licenses``."""
     return licenses.scan_licenses(_table(spark, root, "documents"), keep=["doc_id"])
 
 
 def op2_language(spark: SparkSession, root: str) -> DataFrame:
+    """Predicted language of every whole text, learned from the rows that are not held out; odd rows as in ``language``."""
     docs = _table(spark, root, "documents")
     return language.identify(docs, language.fit(docs), keep=["doc_id"]).select(
         "doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
 
 
 def op3_substrings(spark: SparkSession, root: str) -> DataFrame:
+    """Words removed because they lie in a repeated window of 35; odd rows as in ``substrings.remove_repeated``."""
     return substrings.remove_repeated(_table(spark, root, "documents")).drop("kept")
 
 
 def op4_sharding(spark: SparkSession, root: str) -> DataFrame:
+    """Shard and slot of every document by its key; odd rows as in ``sharding.manifest``."""
     return sharding.manifest(_table(spark, root, "documents"), SHARDS).select(
         "doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard")
 
 
 def op5_surrogates(spark: SparkSession, root: str) -> DataFrame:
+    """Every text with its personal data replaced; odd rows as in ``surrogates.anonymize``."""
     return surrogates.anonymize(_table(spark, root, "documents"), corpus_pipeline.SURROGATE_KEY, keep=["doc_id", "text"])
 
 
 def op6_packing(spark: SparkSession, root: str) -> DataFrame:
+    """Pieces of power-of-two lengths, each a sequence; odd rows as in ``packing.pack``."""
     return packing.pack(_table(spark, root, "documents"))
 
 
 def op7_simhash(spark: SparkSession, root: str) -> DataFrame:
+    """Fingerprint and component of every document; odd rows as in ``simhash.near_duplicates``."""
     return simhash.near_duplicates(_table(spark, root, "documents"))
 
 
 def op8_top_products(spark: SparkSession, root: str) -> DataFrame:
+    """Ten best vectors for every hundredth one; odd rows as in ``topk.top_products``."""
     vectors = _table(spark, root, "embeddings")
     return topk.top_products(vectors, vectors.where("vec_id % 100 = 0"))
 
 
 def op9_decontamination(spark: SparkSession, root: str) -> DataFrame:
+    """Words and items of the benchmark found in every document; odd rows as in ``decontaminate.mark``."""
     marked = decontaminate.mark(_table(spark, root, "documents"), _table(spark, root, "benchmark"), keep=["doc_id"])
     return marked.select(
         "doc_id", "n_words", "n_hit", "n_items", F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
 def op10_chat(spark: SparkSession, root: str) -> DataFrame:
+    """Conversations that no longer one begins with, rendered; odd rows as in ``chat.render``."""
     return chat.render(_table(spark, root, "conversations"))
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 import random
 import re
 import struct
@@ -74,6 +75,19 @@ def test_weights_and_clashing_columns(spark):
     assert sharding.manifest(data.where("false"), 3).count() == 0
 
 
+def test_winners_are_those_of_the_hashes(spark):
+    ids = [*range(0, 5000, 17), -1, 2 ** 62]
+    data = spark.createDataFrame([(i,) for i in ids], "doc_id bigint")
+    weights = [1.0, 2.5, 0.5, 1.0]
+
+    def draw(shard, key):
+        seed = xxhash.xxh64_intdigest(struct.pack("<i", shard), 42)
+        return -math.log(((xxhash.xxh64_intdigest(str(key), seed) >> 11) + 0.5) / 2 ** 53) / weights[shard]
+
+    got = {r["doc_id"]: r["shard"] for r in sharding.assign(data, weights).collect()}
+    assert got == {i: min(range(4), key=lambda s: draw(s, i)) for i in ids}
+
+
 def test_sharding_uses_no_python(spark):
     plan = sharding.manifest(docs(spark, ["x"]), 24)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
