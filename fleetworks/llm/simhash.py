@@ -8,11 +8,13 @@ leading bits that its ball touches, with the flips it has left, and the remainin
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from itertools import accumulate, combinations
 from math import ceil, comb, log2
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
@@ -24,6 +26,8 @@ SHINGLE, SEED, RADIUS, BITS = 4, 42, 4, 64
 #: Variants that one task sorts at once; blocks with more are split into slices of the variants.
 SLICE_VARIANTS = 1_000_000
 _HASHES = 1 << 16
+#: Rows of split blocks whose variants a task looks at together.
+_ROUTED = 512
 
 
 def fingerprint(text: str | None, shingle: int = SHINGLE, seed: int = SEED) -> int:
@@ -75,6 +79,37 @@ def _forest(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
             root = root[root]
 
 
+def _ball(low: np.ndarray, left: np.ndarray, low_bits: int, half: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The variants of each row with the flips it has left, and whose they are, about ``SLICE_VARIANTS`` at a time."""
+    for flips in range(half + 1):
+        able = np.flatnonzero(left >= flips)
+        masks = _masks(low_bits, flips)
+        for at in range(0, len(able), step := max(1, SLICE_VARIANTS // len(masks))):
+            who = able[at:at + step]
+            yield (low[who, None] ^ masks[None, :]).ravel(), np.repeat(who, len(masks))
+
+
+def _slice_of(variants: np.ndarray, slices) -> np.ndarray:
+    """The slice of a split block that holds a variant."""
+    return ((variants * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % slices
+
+
+def _route(batches: Iterator[pa.RecordBatch], low_bits: int, half: int) -> Iterator[pa.RecordBatch]:
+    """Rows of split blocks, once for each slice that holds a variant of theirs."""
+    for whole in batches:
+        for start in range(0, whole.num_rows, _ROUTED):
+            block, fp, left, split = (c.to_numpy() for c in whole.slice(start, _ROUTED).columns)
+            low, pieces = fp.view(np.uint64) & np.uint64((1 << low_bits) - 1), split.astype(np.uint64)
+            wide = pieces.max()
+            # row and slice in one number
+            hit = np.unique(np.concatenate([np.unique(by.astype(np.uint64) * wide + _slice_of(got, pieces[by]))
+                                            for got, by in _ball(low, left, low_bits, half)]))
+            row = (hit // wide).astype(np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c) for c in (block[row], fp[row], left[row], split[row], (hit % wide).astype(np.int32))],
+                names=["_block", "_fp", "_left", "_slices", "_slice"])
+
+
 def _meet(part: pd.DataFrame, low_bits: int, half: int, radius: int) -> pd.DataFrame:
     """Links inside one slice of one block: each member with the smallest one it reaches there."""
     part = part.assign(u=part["_fp"].to_numpy().view(np.uint64)).sort_values("u")
@@ -82,18 +117,12 @@ def _meet(part: pd.DataFrame, low_bits: int, half: int, radius: int) -> pd.DataF
     slices, mine = np.uint64(part["_slices"].iloc[0]), np.uint64(part["_slice"].iloc[0])
     low = fp & np.uint64((1 << low_bits) - 1)
     variants, owners = [], []
-    for flips in range(half + 1):
-        able = np.flatnonzero(left >= flips)
-        masks = _masks(low_bits, flips)
-        for at in range(0, len(able), step := max(1, SLICE_VARIANTS // len(masks))):
-            who = able[at:at + step]
-            got = (low[who, None] ^ masks[None, :]).ravel()
-            by = np.repeat(who, len(masks))
-            if slices > 1:
-                own = ((got * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(20)) % slices == mine
-                got, by = got[own], by[own]
-            variants.append(got)
-            owners.append(by.astype(np.int32))
+    for got, by in _ball(low, left, low_bits, half):
+        if slices > 1:
+            own = _slice_of(got, slices) == mine
+            got, by = got[own], by[own]
+        variants.append(got)
+        owners.append(by.astype(np.int32))
     variant, owner = np.concatenate(variants), np.concatenate(owners)
     order = np.argsort(variant, kind="stable")
     variant, owner = variant[order], owner[order]
@@ -111,7 +140,9 @@ def near_links(distinct: DataFrame, count: int, radius: int = RADIUS) -> DataFra
     """Links (a, b) that connect exactly the fingerprints ``_fp`` connected by steps of at most ``radius`` bits.
 
     All members of one variant's ball are within ``radius`` of each other, so a star over them loses no connection and
-    no group emits its pairs. A block holding more variants than a task should sort is split by a hash of the variant.
+    no group emits its pairs. A block holding more variants than a task should sort is split by a hash of the variant, and
+    a fingerprint goes to the slices that its variants hash to: never more often than it has variants there, however
+    many slices a crowded block needs.
     """
     half = (radius + 1) // 2
     high = min(24, max(10, ceil(log2(max(1, count * comb(BITS, half) / SLICE_VARIANTS)))))
@@ -126,12 +157,13 @@ def near_links(distinct: DataFrame, count: int, radius: int = RADIUS) -> DataFra
                 "_move._left", "_move._load")
     )
     loads = sent.groupBy("_block").agg(F.sum("_load").alias("_all"))
-    heavy = loads.where(F.col("_all") > SLICE_VARIANTS).select(
-        "_block", F.ceil(F.col("_all") / SLICE_VARIANTS).cast("int").alias("_split"))
-    placed = (
-        sent.join(heavy, "_block", "left").withColumn("_slices", F.coalesce("_split", F.lit(1)))
-        .select("_block", "_fp", "_left", "_slices", F.explode(F.sequence(F.lit(0), F.col("_slices") - 1)).alias("_slice"))
-    )
+    heavy = settle(loads.where(F.col("_all") > SLICE_VARIANTS).select(
+        "_block", F.ceil(F.col("_all") / SLICE_VARIANTS).cast("int").alias("_split")), "heavy-blocks")
+    whole = sent.join(heavy, "_block", "left_anti").select(
+        "_block", "_fp", "_left", F.lit(1).alias("_slices"), F.lit(0).alias("_slice"))
+    split = sent.join(heavy, "_block").select("_block", "_fp", "_left", "_split").mapInArrow(
+        lambda batches: _route(batches, low_bits, half), "_block int, _fp bigint, _left int, _slices int, _slice int")
+    placed = whole.unionByName(split)
 
     def meet(part: pd.DataFrame) -> pd.DataFrame:
         return _meet(part, low_bits, half, radius)
