@@ -8,18 +8,20 @@ first products, plus the Cauchy-Schwarz bound on the rest, fall short. What rema
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window, functions as F
 
 from fleetworks.llm.frames import named
-from fleetworks.session import settle
+from fleetworks.session import scratch_dir, settle
 
 SCALE, TOP = 1024, 10
-#: Queries searched for at once: what the driver and a task hold. Vectors read at once by a task.
+#: Queries and vectors multiplied at once by a task.
 BLOCK, LANES = 1024, 2048
+#: Queries of one pass over the vectors: what the driver and a task hold of them.
+PASS_BYTES = 16 << 20
 #: Rotated axes whose products are added before each test.
 STEPS = (8, 24)
 #: Vectors that set the first thresholds: the longest ones of each dimension.
@@ -60,45 +62,63 @@ def _matrix(column, dims: int) -> np.ndarray:
     return column.flatten().to_numpy(zero_copy_only=False).reshape(-1, dims)
 
 
+class Piece:
+    """Some vectors, rotated when a block first asks for it."""
+
+    def __init__(self, ids: np.ndarray, v: np.ndarray, norm: np.ndarray, axes: np.ndarray):
+        self.ids, self.v, self.norm, self.axes = ids, v, norm, axes
+
+    @cached_property
+    def turned(self) -> np.ndarray:
+        return self.v @ self.axes
+
+    @cached_property
+    def rest(self) -> list[np.ndarray]:
+        return [np.sqrt((self.turned[:, n:] ** 2).sum(1)) for n in STEPS]
+
+
+def pieces(ids: np.ndarray, v: np.ndarray, norm: np.ndarray, axes: np.ndarray) -> list[Piece]:
+    """The vectors in pieces, longest first."""
+    order = np.argsort(-norm, kind="stable")
+    picks = [order[at:at + LANES] for at in range(0, len(order), LANES)]
+    return [Piece(ids[p], v[p], norm[p], axes) for p in picks]
+
+
 class Block:
     """Queries of one block with their best rows so far."""
 
     def __init__(self, ids: np.ndarray, v: np.ndarray, axes: np.ndarray, top: int, floor: np.ndarray | None = None):
-        self.ids, self.v, self.axes, self.top = ids, v, axes, top
+        self.ids, self.v, self.top = ids, v, top
         self.turned = v @ axes
         self.norm = np.sqrt((self.turned ** 2).sum(1))
         self.rest = [np.sqrt((self.turned[:, n:] ** 2).sum(1)) for n in STEPS]
         self.floor = np.full(len(ids), -np.inf) if floor is None else floor.astype(float)
         self.best = np.empty((0, 3), np.int64)  # query's place, score, id
-        largest = np.abs(v).max(initial=0)
-        self.limit = float(largest) * v.shape[1]
-
-    def read(self, ids: np.ndarray, v: np.ndarray, norm: np.ndarray) -> None:
-        """Take in a batch of vectors, longest first."""
-        if self.limit * float(np.abs(v).max(initial=0)) >= 2 ** 62:
-            raise OverflowError("a product may not fit 64 bits")
-        order = np.argsort(-norm, kind="stable")
-        for at in range(0, len(order), LANES):
-            pick = order[at:at + LANES]
-            if not (self.norm * norm[pick[0]] * (1 + 1e-9) >= self.floor).any():
-                return  # all that follow are shorter still
-            self._chunk(ids[pick], v[pick], norm[pick])
+        self.limit = float(np.abs(v).max(initial=0)) * v.shape[1]
 
-    def _chunk(self, ids: np.ndarray, v: np.ndarray, norm: np.ndarray) -> None:
-        turned = v @ self.axes
-        slack = 1e-9 * self.norm[:, None] * norm[None, :] + 1e-6  # rounding of the rotation
-        floor = self.floor[:, None] - slack
-        near = self.norm[:, None] * norm[None, :] >= floor
+    def read(self, found: list[Piece]) -> None:
+        """Take in vectors, longest first."""
+        for piece in found:
+            if not (self.norm * piece.norm[0] * (1 + 1e-9) >= self.floor).any():
+                return  # all that follow are shorter still
+            if self.limit * float(np.abs(piece.v).max(initial=0)) >= 2 ** 62:
+                raise OverflowError("a product may not fit 64 bits")
+            self._multiply(piece)
+
+    def _multiply(self, piece: Piece) -> None:
+        lengths = self.norm[:, None] * piece.norm[None, :]
+        floor = self.floor[:, None] - (1e-9 * lengths + 1e-6)  # rounding of the rotation
+        near = lengths >= floor
         partial, seen = np.zeros(near.shape), 0
-        for step, rest in zip(STEPS, self.rest):
-            partial += self.turned[:, seen:step] @ turned[:, seen:step].T
+        for step, mine, theirs in zip(STEPS, self.rest, piece.rest):
+            partial += self.turned[:, seen:step] @ piece.turned[:, seen:step].T
             seen = step
-            near &= partial + rest[:, None] * np.sqrt((turned[:, step:] ** 2).sum(1))[None, :] >= floor
-        near &= self.ids[:, None] != ids[None, :]
+            near &= partial + mine[:, None] * theirs[None, :] >= floor
+        near &= self.ids[:, None] != piece.ids[None, :]
         q, c = np.nonzero(near)
         for at in range(0, len(q), 1 << 16):
             a, b = q[at:at + (1 << 16)], c[at:at + (1 << 16)]
-            self.add(a, np.einsum("ij,ij->i", self.v[a], v[b]), ids[b])
+            self.add(a, np.einsum("ij,ij->i", self.v[a], piece.v[b]), piece.ids[b])
 
     def add(self, place: np.ndarray, score: np.ndarray, ids: np.ndarray) -> None:
         """Keep the ``top`` best of old and new rows, ties to the smaller id, and raise the floors."""
@@ -113,30 +133,46 @@ class Block:
 
 
 def _search(vectors: DataFrame, shared, dims: int) -> DataFrame:
-    """(query place, score, id): the best rows of each task for each query of the shared block."""
+    """(query_id, score, id): the best rows of each task for each query of the shared blocks."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block = Block(*shared.value)
+        axes, top, asked = shared.value
+        blocks = [Block(ids, v, axes, top, floor) for ids, v, floor in asked]
         for batch in batches:
-            block.read(batch.column(0).to_numpy(), _matrix(batch.column(1), dims), batch.column(2).to_numpy())
-        yield pa.RecordBatch.from_arrays([pa.array(block.best[:, i]) for i in range(3)], names=["place", "score", "id"])
+            found = pieces(batch.column(0).to_numpy(), _matrix(batch.column(1), dims), batch.column(2).to_numpy(), axes)
+            for block in blocks:
+                block.read(found)
+        for block in blocks:
+            place, score, ids = block.best.T
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in (block.ids[place], score, ids)], names=["query_id", "score", "id"])
 
-    return vectors.select("id", "v", "norm").mapInArrow(run, "place bigint, score bigint, id bigint")
+    return vectors.select("id", "v", "norm").mapInArrow(run, "query_id bigint, score bigint, id bigint")
 
 
 def _best(found: DataFrame, top: int) -> DataFrame:
-    ranked = Window.partitionBy("place").orderBy(F.desc("score"), "id")
+    ranked = Window.partitionBy("query_id").orderBy(F.desc("score"), "id")
     return found.withColumn("rank", F.row_number().over(ranked)).where(F.col("rank") <= top)
 
 
-def _blocks(queries: DataFrame) -> Iterator[pd.DataFrame]:
-    held = []
+def _passes(queries: DataFrame, dims: int) -> Iterator[list[tuple[np.ndarray, np.ndarray]]]:
+    """Blocks of ids and vectors, as many at a time as ``PASS_BYTES`` hold, one at least."""
+    most = max(1, PASS_BYTES // (8 * dims * BLOCK))
+    blocks, held = [], []
+
+    def block():
+        return np.array([i for i, _ in held]), np.array([x for _, x in held], np.int64)
+
     for row in queries.select("id", "v").toLocalIterator():
         held.append((row["id"], row["v"]))
         if len(held) == BLOCK:
-            yield held
+            blocks.append(block())
             held = []
+            if len(blocks) == most:
+                yield blocks
+                blocks = []
     if held:
-        yield held
+        blocks.append(block())
+    if blocks:
+        yield blocks
 
 
 def top_products(table: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding",
@@ -147,7 +183,7 @@ def top_products(table: DataFrame, queries: DataFrame, key: str = "vec_id", vect
     smaller id. A row whose id is the query's is never its answer; a query has fewer rows if there are fewer candidates.
     Vectors that are null, empty or hold null or non-finite components take no part, and vectors of other dimensions
     never meet. Repeated rows are candidates each; a query id given more than once is searched for once, with its
-    smallest vector. Queries pass the driver in blocks of ``BLOCK``; every block reads all vectors.
+    smallest vector. Queries pass the driver ``PASS_BYTES`` at a time, and every pass is one job over all vectors.
     """
     spark = table.sparkSession
     vectors = settle(
@@ -155,22 +191,24 @@ def top_products(table: DataFrame, queries: DataFrame, key: str = "vec_id", vect
     asked = whole_vectors(queries, key, vector, scale).where("id is not null").groupBy("id").agg(
         F.min(F.struct("dims", "v")).alias("_q")).select("id", "_q.dims", "_q.v")
     asked = settle(asked, "asked")
-    found = None
+    parts = []
     for (dims,) in asked.select("dims").distinct().orderBy("dims").toLocalIterator():
         here = vectors.where(F.col("dims") == dims)
         axes = np.linalg.svd(_moments(here, dims))[0]
         # the longest vectors give every query a first threshold; they are read again with the rest
         long = here.orderBy(F.desc("norm"), "id").limit(LONGEST).select("id", "v", "norm").collect()
-        first = [np.array([r[0] for r in long]), np.array([r[1] for r in long], np.int64), np.array([r[2] for r in long])]
-        for held in _blocks(asked.where(F.col("dims") == dims)):
-            ids, v = np.array([i for i, _ in held]), np.array([x for _, x in held], np.int64)
-            start = Block(ids, v, axes, top)
-            start.read(*first)
-            shared = spark.sparkContext.broadcast((ids, v, axes, top, start.floor))
-            names = spark.createDataFrame([(n, int(i)) for n, i in enumerate(ids)], "place bigint, query_id bigint")
-            part = settle(_best(_search(here, shared, dims), top).join(names, "place"), "products")
-            found = part if found is None else found.unionByName(part)
+        first = pieces(np.array([r[0] for r in long]), np.array([r[1] for r in long], np.int64), np.array([r[2] for r in long]), axes)
+        for blocks in _passes(asked.where(F.col("dims") == dims), dims):
+            started = []
+            for ids, v in blocks:
+                start = Block(ids, v, axes, top)
+                start.read(first)
+                started.append((ids, v, start.floor))
+            shared = spark.sparkContext.broadcast((axes, top, started))
+            parts.append(scratch_dir(spark, "products"))
+            _best(_search(here, shared, dims), top).write.parquet(parts[-1])
             shared.unpersist()
-    if found is None:
+    if not parts:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score bigint")
-    return found.select("query_id", F.col("rank").cast("int"), F.col("id").alias("vec_id"), "score")
+    found = spark.read.schema("query_id bigint, rank int, id bigint, score bigint").parquet(*parts)
+    return found.select("query_id", "rank", F.col("id").alias("vec_id"), "score")

@@ -241,7 +241,7 @@ def test_near_duplicates_match_brute_force(spark):
     assert sorted(r["doc_id"] for r in kept.collect()) == sorted(set(brute_components(prints)))
 
 
-@pytest.mark.parametrize("slices", [2_000_000, 3_000])
+@pytest.mark.parametrize("slices", [2_000_000, 3_000, 40])
 def test_links_of_tight_clusters(spark, monkeypatch, slices):
     monkeypatch.setattr(simhash, "SLICE_VARIANTS", slices)
     rng = random.Random(2)
@@ -260,6 +260,25 @@ def test_links_of_tight_clusters(spark, monkeypatch, slices):
     assert len({(a, b) for a, b in zip(wanted, got)}) == len(set(wanted)) == len(set(got))
 
 
+def test_rows_of_split_blocks_go_where_their_variants_are():
+    import pyarrow as pa
+
+    rng = np.random.default_rng(3)
+    fp, left = rng.integers(-2 ** 63, 2 ** 63, 700), rng.integers(0, 3, 700).astype(np.int32)
+    split = rng.choice([2, 50, 5000], 700).astype(np.int32)
+    batch = pa.RecordBatch.from_arrays([pa.array(c) for c in (left, fp, left, split)], names=["b", "f", "l", "s"])
+    got = {}
+    for out in simhash._route(iter([batch]), 20, 2):
+        for _, f, _, n, piece in zip(*(c.to_pylist() for c in out.columns)):
+            assert piece < n
+            got.setdefault(f, []).append(piece)
+    for f, flips, n in zip(fp.tolist(), left.tolist(), split.tolist()):
+        low = f & (2 ** 20 - 1)
+        ball = [low, *(low ^ 1 << a for a in range(20) if flips), *(low ^ 1 << a ^ 1 << b for a in range(20) for b in range(a) if flips > 1)]
+        wanted = {(x * 0x9E3779B97F4A7C15 % 2 ** 64 >> 20) % n for x in ball}
+        assert sorted(got[f]) == sorted(wanted) and len(wanted) <= len(ball)
+
+
 def test_repeated_and_null_keys(spark):
     rows = [(None, "a b c d e"), (3, "a b c d e"), (3, "a b c d e"), (None, "quite another text here"), (9, "x")]
     data = spark.createDataFrame(rows, "doc_id bigint, text string")
@@ -279,10 +298,12 @@ def test_components_of_a_long_chain(spark):
 # Top products
 
 
-@pytest.mark.parametrize("lanes", [2048, 16])
-def test_top_products_match_brute_force(spark, monkeypatch, lanes):
+@pytest.mark.parametrize("lanes, held", [(2048, 1 << 20), (16, 1 << 20), (16, 1)])
+def test_top_products_match_brute_force(spark, monkeypatch, lanes, held):
     monkeypatch.setattr(topk, "LONGEST", 8)
     monkeypatch.setattr(topk, "BLOCK", 3)
+    monkeypatch.setattr(topk, "LANES", lanes)
+    monkeypatch.setattr(topk, "PASS_BYTES", held)
     rng = np.random.default_rng(8)
     vectors = [(i, (rng.normal(size=12) * rng.choice([0.2, 1, 3])).tolist()) for i in range(400)]
     vectors += [(1000 + i, vectors[5][1]) for i in range(15)]  # ties
