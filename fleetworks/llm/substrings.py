@@ -22,7 +22,7 @@ from fleetworks.session import settle
 
 WINDOW = 35
 #: The first level is the window halved as long as at least so many words are left.
-FIRST = 16
+FIRST = 8
 #: Bits of the filter that keeps texts without candidates out of a shuffle: per text, and at most.
 FILTER_BITS, FILTER_MOST = 16, 1 << 27
 
