@@ -7,9 +7,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 from fleetworks import constants as C
 from fleetworks.functions import iso_weekday, month_name
 from fleetworks.operators import active_count_by_day, calendar_days
-
-#: Days of the stretches in which points and intervals meet.
-STAB_DAYS = 32
+from fleetworks.session import settle
 
 
 def telemetry_daily_rollup(events: DataFrame, utilization: Column) -> DataFrame:
@@ -68,18 +66,30 @@ def active_windows_daily(intervals: DataFrame, start: str, end: str, by: list[st
     return active_count_by_day(intervals, start, end, by, "active_count")
 
 
-def stab(points: DataFrame, intervals: DataFrame, keys: list[str], day: str, start: str, end: str) -> DataFrame:
-    """Each point with every interval of its key that contains its day. An interval without end is open.
+def in_stretches(points: DataFrame, intervals: DataFrame, day: str, start: str, end: str) -> tuple[DataFrame, DataFrame]:
+    """Points, and intervals that reach one, with the number ``_stretch`` of each stretch of days they touch.
 
-    An interval meets points in the stretches of ``STAB_DAYS`` days it touches, and in none before the first point or
-    after the last one, so the join is a plain equality one and a long interval costs few rows.
+    Only the part of an interval between the first and the last point counts. A stretch is as long as these parts are on
+    average, so however long they are, there are at most three rows an interval on average. The intervals are written
+    once, since their lengths are read before they are placed.
     """
-    def stretch(at: Column) -> Column:
-        return F.floor(F.unix_date(at) / STAB_DAYS).cast("int")
-
     first, last = (points.agg(bound(day)).scalar() for bound in (F.min, F.max))
     since, until = F.greatest(F.col(start), first), F.least(F.col(end), last)
-    touched = F.when(since <= until, F.sequence(stretch(since), stretch(until)))
-    placed = intervals.filter(F.col(start).isNotNull()).withColumn("_stretch", F.explode(touched))
-    met = points.withColumn("_stretch", stretch(F.col(day))).join(placed, [*keys, "_stretch"])
+    reaching = settle(intervals.filter(F.col(start).isNotNull() & (since <= until)), "intervals")
+    days = F.coalesce(reaching.agg(F.ceil(F.avg(F.datediff(until, since) + 1))).scalar(), F.lit(1))
+
+    def stretch(at: Column) -> Column:
+        return F.floor(F.unix_date(at) / days).cast("int")
+
+    placed = reaching.withColumn("_stretch", F.explode(F.sequence(stretch(since), stretch(until))))
+    return points.withColumn("_stretch", stretch(F.col(day))), placed
+
+
+def stab(points: DataFrame, intervals: DataFrame, keys: list[str], day: str, start: str, end: str) -> DataFrame:
+    """Each point with every interval of its key that contains its day. An interval without end is open.
+
+    Both meet in stretches of days, so the join is a plain equality one.
+    """
+    placed_points, placed = in_stretches(points, intervals, day, start, end)
+    met = placed_points.join(placed, [*keys, "_stretch"])
     return met.filter((F.col(day) >= F.col(start)) & (F.col(end).isNull() | (F.col(day) <= F.col(end)))).drop("_stretch")
