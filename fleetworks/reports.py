@@ -971,11 +971,18 @@ def insert_if_absent(spark, root):
     return present(append_missing(offered, existing, ["c_custkey"]))
 
 
-def _as_files(df: DataFrame, label: str, files: int) -> str:
-    """Rows as several files in shared scratch, for a stream to read in several batches."""
-    path = scratch_dir(df.sparkSession, label)
-    df.repartition(files).write.parquet(path)
-    return path
+#: Batches in which a stream reads what was written for it, however many files that is.
+BATCHES = 2
+
+
+def _as_files(df: DataFrame, path: str) -> int:
+    """Add rows to a folder as many files, no task writing more than its share, and say how many of them are a batch.
+
+    There are as many files as a shuffle has partitions, since a few would each pass through one task.
+    """
+    a_batch = -(-int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")) // BATCHES)
+    df.repartition(BATCHES * a_batch).write.mode("append").parquet(path)
+    return a_batch
 
 
 def _spoiled(messages: DataFrame, every: int) -> DataFrame:
@@ -988,10 +995,11 @@ def _spoiled(messages: DataFrame, every: int) -> DataFrame:
 def stream_fault_append(spark, root):
     """Fault messages over several batches, some of them sent a second time cut off, which lands nowhere."""
     messages = _fault_messages(Testbed(spark, root))
-    source = _as_files(messages.unionByName(_spoiled(messages, 5)), "fault-messages", 4)
+    source = scratch_dir(spark, "fault-messages")
+    a_batch = _as_files(messages.unionByName(_spoiled(messages, 5)), source)
     target, checkpoint = scratch_dir(spark, "landed"), scratch_dir(spark, "offsets")
     sink = FaultLanding(target)
-    drain(sink.decode(file_source(spark, source, 2)), sink, checkpoint)
+    drain(sink.decode(file_source(spark, source, a_batch)), sink, checkpoint)
     return present(sink.read(spark).drop("batch_id"))
 
 
@@ -1003,11 +1011,10 @@ def stream_upsert_daily(spark, root):
     early = as_messages(rows.filter(F.pmod("equipment_id", F.lit(2)) == 0).withColumn(
         "utilization_hours", F.lit(0).cast(rows.schema["utilization_hours"].dataType)), "equipment_id")
     target, checkpoint = scratch_dir(spark, "landed"), scratch_dir(spark, "offsets")
-    source = _as_files(early.unionByName(_spoiled(final, 3)), "telemetry-messages", 2)
-    sink = TelemetryLanding(target)
-    drain(sink.decode(file_source(spark, source, 1)), sink, checkpoint)
-    final.repartition(4).write.mode("append").parquet(source)
-    drain(sink.decode(file_source(spark, source, 2)), sink, checkpoint)
+    source, sink = scratch_dir(spark, "telemetry-messages"), TelemetryLanding(target)
+    for messages in (early.unionByName(_spoiled(final, 3)), final):
+        a_batch = _as_files(messages, source)
+        drain(sink.decode(file_source(spark, source, a_batch)), sink, checkpoint)
     return present(sink.read(spark).drop("engine_hours"))
 
 
@@ -1020,7 +1027,8 @@ def streams_landed(spark, root):
     for name, messages in (("faults", _fault_messages(bed)),
                            ("telemetry", as_messages(_telemetry(bed).drop("engine_hours"), "equipment_id"))):
         short = messages.filter(cut).withColumn("value", F.expr("left(value, length(value) - 2)"))
-        sources.append(file_source(spark, _as_files(messages.unionByName(short), name, 3), 2))
+        source = scratch_dir(spark, name)
+        sources.append(file_source(spark, source, _as_files(messages.unionByName(short), source)))
     faults, days = land_streams(*sources, out, scratch_dir(spark, "offsets"))
     counts = faults.counts.read(spark).unionByName(days.counts.read(spark))
     stored = faults.read(spark).select(F.lit("faults").alias("topic")).unionByName(

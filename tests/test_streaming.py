@@ -7,6 +7,7 @@ import time
 import pytest
 from pyspark.sql import functions as F
 
+from fleetworks import reports
 from fleetworks.sources import append_missing, as_messages, write_daily_csv
 from fleetworks.streaming import FaultLanding, KeyedUpsert, TelemetryLanding, daily_fault_rollup, drain, file_source, land_streams
 from fleetworks.streaming.landing import merge_rows
@@ -177,3 +178,16 @@ def test_a_landed_batch_is_decoded_once(spark, frame, tmp_path, monkeypatch):
     sink(batch, 0)
     assert not asked and sink.read(spark).count() == 3
     assert len(spark._jsc.getPersistentRDDs()) == held  # what was kept for the batch is released
+
+
+def test_files_of_a_stream_follow_the_partitions(spark, tmp_path):
+    """No task writes a third or half of all messages, and the batches stay two however many files there are."""
+    path, partitions = f"{tmp_path}/messages", int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range(0, 4000, 1, 3).selectExpr("string(id) key", "string(id) value")
+    spark.conf.set("spark.sql.shuffle.partitions", "11")
+    try:
+        a_batch = reports._as_files(rows, path)
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
+    files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 12 and a_batch == 6 and max(r["count"] for r in files) < 500
