@@ -1049,21 +1049,24 @@ def stream_daily_rollup(spark, root):
     return present(sink.read(spark))
 
 
-def _scattered_events(bed: Testbed, files: int) -> str:
-    """The events in files of one batch each, every one with rows of all days, so that most come late."""
+def _scattered_events(bed: Testbed, batches: int) -> tuple[str, int]:
+    """The events in files for some batches, every one with rows of all days, so that most come late, and the files of a batch.
+
+    Each batch writes its days anew, so their number must not grow with the files.
+    """
     path = scratch_dir(bed.spark, "scattered-events")
     rows = settle(bed.fault_rows(), "events")
-    for n in range(files):
-        rows.filter(F.pmod(F.xxhash64("equipment_id", "ts"), F.lit(files)) == n).write.mode("append").parquet(path)
-    return path
+    for n in range(batches):
+        rows.filter(F.pmod(F.xxhash64("equipment_id", "ts"), F.lit(batches)) == n).write.mode("append").parquet(path)
+    return path, -(-len(bed.spark.read.parquet(path).inputFiles()) // batches)
 
 
 @report
 def stream_late_rollup(spark, root):
     """Daily counts from events out of order, with a state of two days: late rows are counted from the log."""
-    path = _scattered_events(Testbed(spark, root), 4)
+    path, a_batch = _scattered_events(Testbed(spark, root), 4)
     events = spark.readStream.schema("equipment_id BIGINT, ts TIMESTAMP, severity STRING, reading DOUBLE").option(
-        "maxFilesPerTrigger", 8).parquet(path)
+        "maxFilesPerTrigger", a_batch).parquet(path)
     rollup = LateRollup(scratch_dir(spark, "rollup"))
     rollup.run(events, scratch_dir(spark, "offsets"))
     return present(rollup.table.read(spark))

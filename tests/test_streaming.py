@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from fleetworks import reports
 from fleetworks.sources import append_missing, as_messages, write_daily_csv
+from fleetworks.sources.testbed import Testbed
 from fleetworks.streaming import FaultLanding, KeyedUpsert, TelemetryLanding, daily_fault_rollup, drain, file_source, land_streams
 from fleetworks.streaming.landing import merge_rows
 from tests.conftest import day, tuples
@@ -191,3 +192,14 @@ def test_files_of_a_stream_follow_the_partitions(spark, tmp_path):
         spark.conf.set("spark.sql.shuffle.partitions", str(partitions))
     files = spark.read.parquet(path).groupBy(F.input_file_name()).count().collect()
     assert len(files) == 12 and a_batch == 6 and max(r["count"] for r in files) < 500
+
+
+def test_late_rollup_reads_four_batches_however_many_files(spark, tmp_path):
+    """The days are written anew with each batch, so many files must not make many batches."""
+    rows = spark.range(0, 8000, 1, 12).selectExpr(
+        "id event_id", "timestampadd(SECOND, id * 60, timestamp_ntz'2024-01-01') ts", "id % 50 user_id", "'error' event_type",
+        "double(id) value", "'' props")
+    rows.write.parquet(f"{tmp_path}/events.parquet")
+    path, a_batch = reports._scattered_events(Testbed(spark, str(tmp_path)), 4)
+    files = len(spark.read.parquet(path).inputFiles())
+    assert -(-files // a_batch) <= 4 and spark.read.parquet(path).count() == 8000
