@@ -8,6 +8,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
+from fleetworks.constants import FEATURES
 from fleetworks.operators import number_rows, scalar_array
 from fleetworks.plans import evaluation, finance, governance, inventory, model, predictive, quality, service, signals, staging, telemetry
 from fleetworks.plans.increments import FeatureStore
@@ -439,8 +440,9 @@ def _trained_model(spark: SparkSession, root: str):
     """The classifier and its evaluation, trained once per session and data folder; it is no larger than its trees."""
     key = (spark.sparkContext.applicationId, root)
     if key not in _trained:
+        labelled = FeatureInputs(Testbed(spark, root)).features(labelled=True)
         _trained[key] = model.train_and_evaluate(
-            settle(FeatureInputs(Testbed(spark, root)).features(labelled=True), "features"), HOLDOUT_DAYS)
+            settle(labelled.select("date_id", "label", *FEATURES), "features"), HOLDOUT_DAYS)
     return _trained[key]
 
 
@@ -489,7 +491,7 @@ def gbt_evaluation(spark, root):
     curve = settle(model.judge(fitted, FeatureInputs(Testbed(spark, root)).features(labelled=True), HOLDOUT_DAYS), "curve")
     area, at = evaluation.area_under_curve(curve), evaluation.figures_at(curve, 0.5)
     near = {"auc": judged.auc, "precision": judged.precision, "recall": judged.recall}
-    both = area.join(at, F.lit(True))
+    both = area.select("*", *[at.select(c).scalar().alias(c) for c in at.columns])
     return present(both.select(
         "positives", "negatives", F.col("auc").between(0, 1).cast("int").alias("is_share"),
         # Spark's own area is taken over at most a thousand thresholds
@@ -506,7 +508,8 @@ def risk_threshold_curve(spark, root):
 def risk_evaluation(spark, root):
     """Area under the curve of the fixed risk curve, and precision and recall at one half."""
     curve = settle(_risk_curve(spark, root), "curve")
-    both = evaluation.area_under_curve(curve).join(evaluation.figures_at(curve, 0.5), F.lit(True))
+    at = evaluation.figures_at(curve, 0.5)
+    both = evaluation.area_under_curve(curve).select("*", *[at.select(c).scalar().alias(c) for c in at.columns])
     return present(both, {"auc": 6, "precision": 6, "recall": 6})
 
 
