@@ -22,19 +22,20 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Documents that the network, learned from the labelled ones, takes for one of the languages it knows.
 
     The score has to be ``SURE_SCORE``, or what all but 0.2 % of the labelled documents of that prediction reach; the more
-    languages, the lower that is. Null and empty texts and those without a letter go. Repeated rows are treated alike. If
-    no language could be learned, all documents with a letter stay. An empty table gives an empty result.
+    languages, the lower that is. A sample only gives the network to start from: it then learns from all labelled documents,
+    whole, and all of them have a say in what is usual. Repeated rows are treated alike. If no language could be learned,
+    all documents with a letter stay. An empty table gives an empty result.
     """
     different = language.different_rows(docs)
-    network = language.fit(docs, different=different)
+    network = language.learn_all(docs, language.fit(docs, different=different), different=different)
     inside, names = hidden(docs)
     if not network.languages:
         return docs.where(F.col("text").rlike(r"\p{L}"))
-    usual = language.usual_scores(docs, network, different=different)
+    scored = settle(language.identify(inside, network, names["text"]), "language-scores")
+    usual = language.usual_scores(scored, network, names["doc_id"], names["text"], names["lang"])
     # a language that no labelled document was taken for has no usual score, and nothing to judge by
     least = {lang: min(SURE_SCORE, usual.get(lang, 0.0)) for lang in network.languages}
     wanted = F.create_map(*[F.lit(x) for pair in least.items() for x in pair])[F.col("lang_pred")]
-    scored = language.identify(inside, network, names["text"])
     return shown(scored.where((F.col("lang_pred") != language.UNDETERMINED) & (F.col("score") >= wanted)), names)
 
 

@@ -7,9 +7,12 @@ languages, and a document's is the mean over its positions.
 
 from __future__ import annotations
 
+from collections.abc import Iterable
 from dataclasses import dataclass
+from itertools import islice
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetworks.llm.frames import append, named
@@ -17,12 +20,14 @@ from fleetworks.llm.frames import append, named
 UNDETERMINED = "und"
 #: Bounds of the learning sample: rows of a language, pieces of a row, bytes of a piece, languages.
 SAMPLE_ROWS, SAMPLE_PIECES, WINDOW, MAX_LANGUAGES = 400, 6, 64, 200
-#: Labelled rows of a language, about, whose scores say which ones are usual, and the share of them that may lie lower.
-USUAL_ROWS, UNUSUAL = 2000, 0.002
+#: Share of the labelled rows whose score may lie lower than what is usual.
+UNUSUAL = 0.002
 #: Size of either state, steps of learning at least, pieces a step, rate of learning.
 STATE, STEPS, BATCH, RATE = 8, 240, 256, 0.02
 #: Windows read at once by one task.
 LANES = 4096
+#: The pass over all labelled rows: windows a step, windows shuffled at once, rate of learning.
+PASS_BATCH, PASS_SHUFFLED, PASS_RATE = 1024, 8192, 0.001
 
 
 def _gate(u: np.ndarray) -> np.ndarray:
@@ -54,6 +59,21 @@ class Direction:
         return g, held, c, state + g * (c - state)
 
 
+class Adam:
+    """Steps of learning, each scaled by what the gradients were before."""
+
+    def __init__(self, parts: list[np.ndarray]):
+        self.parts, self.n = parts, 0
+        self.mean, self.square = [np.zeros_like(p) for p in parts], [np.zeros_like(p) for p in parts]
+
+    def step(self, grads: list[np.ndarray], rate: float) -> None:
+        self.n += 1
+        for p, g, m, s in zip(self.parts, grads, self.mean, self.square):
+            m += 0.1 * (g - m)
+            s += 0.01 * (g * g - s)
+            p -= rate * (m / (1 - 0.9 ** self.n)) / (np.sqrt(s / (1 - 0.99 ** self.n)) + 1e-7)
+
+
 class Network:
     """Both directions and the layer that turns their states into languages."""
 
@@ -92,8 +112,8 @@ class Network:
             scores /= scores.sum(0)
             yield t, scores
 
-    def gradients(self, x: np.ndarray, target: np.ndarray) -> tuple[list[np.ndarray], float]:
-        """Backpropagation through time of the mean cross-entropy over all positions."""
+    def gradients(self, x: np.ndarray, target: np.ndarray, weight: np.ndarray | None = None) -> tuple[list[np.ndarray], float]:
+        """Backpropagation through time of the mean cross-entropy over all positions; ``weight`` weighs the lanes' gradients."""
         places, lanes = x.shape
         runs = []
         for direction, order in ((self.ahead, range(places)), (self.back, range(places - 1, -1, -1))):
@@ -114,13 +134,15 @@ class Network:
             loss -= float(np.log(p[target, np.arange(lanes)] + 1e-9).mean()) / places
             p[target, np.arange(lanes)] -= 1
             p /= places * lanes
+            if weight is not None:
+                p *= weight
             grads[6] += p @ both.T
             grads[7] += p.sum(1, keepdims=True)
             d = self.out.T @ p
             slopes[0][t], slopes[1][t] = d[:STATE], d[STATE:]
         for i, (direction, order, kept) in enumerate(runs):
             at, carry = 3 * i, np.zeros((STATE, lanes), np.float32)
-            by_byte = np.zeros((256, 2 * STATE), np.float32)
+            by_byte, slopes_of = np.zeros((256, 2 * STATE), np.float32), np.empty((2 * STATE, places, lanes), np.float32)
             for t in reversed(order):
                 state, g, held, c, _ = kept[t]
                 d = slopes[i][t] + carry
@@ -130,26 +152,41 @@ class Network:
                 carry = d * (1 - g) + d_held * g + direction.gate.T @ gu
                 grads[at + 1] += gu @ state.T
                 grads[at + 2] += cu @ held.T
-                np.add.at(by_byte, x[t], np.concatenate([gu, cu]).T)
+                if weight is None:
+                    np.add.at(by_byte, x[t], np.concatenate([gu, cu]).T)
+                else:
+                    slopes_of[:STATE, t], slopes_of[STATE:, t] = gu, cu
+            if weight is not None:  # all places at once, which is much faster for many lanes
+                flat = x.ravel()
+                by_byte = np.stack([np.bincount(flat, s.ravel(), 256) for s in slopes_of], axis=1)
             grads[at] += by_byte.T
         return grads, loss
 
     def train(self, x: np.ndarray, target: np.ndarray, seed: int = 11) -> None:
         """Adam over shuffled pieces x (pieces, WINDOW)."""
         rng = np.random.default_rng(seed)
-        mean, square, n = [np.zeros_like(p) for p in self.parts], [np.zeros_like(p) for p in self.parts], 0
+        adam = Adam(self.parts)
         passes = -(-STEPS // -(-len(x) // BATCH))
         for done in range(passes):
             rate = RATE * (1 - done / passes)
             order = rng.permutation(len(x))
             for at in range(0, len(x), BATCH):
                 pick = order[at:at + BATCH]
-                grads, _ = self.gradients(np.ascontiguousarray(x[pick].T), target[pick])
-                n += 1
-                for p, g, m, s in zip(self.parts, grads, mean, square):
-                    m += 0.1 * (g - m)
-                    s += 0.01 * (g * g - s)
-                    p -= rate * (m / (1 - 0.9 ** n)) / (np.sqrt(s / (1 - 0.99 ** n)) + 1e-7)
+                adam.step(self.gradients(np.ascontiguousarray(x[pick].T), target[pick])[0], rate)
+
+    def train_once(self, pieces: Iterable[tuple[bytes, int]], weights: np.ndarray, seed: int = 13) -> int:
+        """One pass over windows of WINDOW bytes with their language, as they come, weighed by language. Returns their number."""
+        rng, adam, seen = np.random.default_rng(seed), Adam(self.parts), 0
+        pieces = iter(pieces)
+        while held := list(islice(pieces, PASS_SHUFFLED)):
+            x = np.frombuffer(b"".join(p for p, _ in held), np.uint8).reshape(-1, WINDOW)
+            target = np.array([c for _, c in held])
+            order = rng.permutation(len(x))
+            for at in range(0, len(x), PASS_BATCH):
+                pick = order[at:at + PASS_BATCH]
+                adam.step(self.gradients(np.ascontiguousarray(x[pick].T), target[pick], weights[target[pick]])[0], PASS_RATE)
+            seen += len(x)
+        return seen
 
     def read(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         """Language and pooled probability of each whole text; undetermined and 0 where it has no letter."""
@@ -220,24 +257,63 @@ def learning_sample(docs: DataFrame, key: str, text: str, label: str, different:
     return cut.withColumn("place", F.row_number().over(by_hash)).where(F.col("place") <= SAMPLE_ROWS).drop("h")
 
 
-def usual_scores(docs: DataFrame, network: Network, key: str = "doc_id", text: str = "text", label: str = "lang",
-                 different: dict[str, int] | None = None) -> dict[str, float]:
+def usual_scores(scored: DataFrame, network: Network, key: str = "doc_id", text: str = "text", label: str = "lang") -> dict[str, float]:
     """Per predicted language the score that all but ``UNUSUAL`` of the labelled rows reach that are predicted so.
 
-    About ``USUAL_ROWS`` rows of each language are scored, whole texts, right or wrong; where there are enough, rows that
-    were not learned from. Pooled scores fall as languages are added, so they have to be taken anew with every network.
+    ``scored`` comes from ``identify``. All rows with a learned label count but held-out ones, equal rows once, right or
+    wrong. Pooled scores fall as languages are added, so they have to be taken anew with every network.
     """
-    if not network.languages:
-        return {}
-    different = different_rows(docs, key, text, label) if different is None else different
-    sampled = _below(different, 4 * SAMPLE_ROWS)
-    rows = _labelled(docs, key, text, label).where(
-        (F.col("h") <= _below(different, 4 * SAMPLE_ROWS + USUAL_ROWS)) & ((F.col("h") > sampled) | (sampled >= 1.0)))
-    scored = identify(rows.dropDuplicates(["lang", "h"]), network, "body", [])
-    found = scored.groupBy("lang_pred").agg(F.percentile_approx("score", UNUSUAL, 10_000).alias("least")).collect()
+    rows = scored.where(~held_out(key) & named(label).cast("string").isin(*network.languages) & named(text).rlike(r"\p{L}")).select(
+        "lang_pred", "score", named(label).cast("string").alias("lang"), F.xxhash64(named(key), named(text)).alias("h"))
+    found = rows.distinct().groupBy("lang_pred").agg(F.percentile_approx("score", UNUSUAL, 10_000).alias("least")).collect()
     return {r["lang_pred"]: r["least"] for r in found}  # a row per language
 
 
+def _windows(texts: Iterable[str], classes: Iterable[int]) -> Iterable[tuple[bytes, int]]:
+    for text, c in zip(texts, classes):
+        raw = text.encode()
+        for at in range(0, len(raw), WINDOW):
+            yield raw[at:at + WINDOW].ljust(WINDOW), c
+
+
+def learn_all(docs: DataFrame, network: Network, key: str = "doc_id", text: str = "text", label: str = "lang",
+              different: dict[str, int] | None = None) -> Network:
+    """The network after a pass over every byte of every labelled row of its languages.
+
+    Each task goes on from the given network over its own rows. The results are averaged by the windows behind them, one
+    sum per parameter, so the driver gets a single network however many tasks there are. A frequent language weighs no more
+    than a rare one. Held-out rows are left out.
+    """
+    languages, parts = network.languages, network.parts
+    if len(languages) < 2:
+        return network
+    different = different_rows(docs, key, text, label) if different is None else different
+    counts = np.array([different[lang] for lang in languages], np.float64)
+    weights = (counts.sum() / len(counts) / counts).astype(np.float32)
+    place = {lang: i for i, lang in enumerate(languages)}
+    rows = _labelled(docs, key, text, label).where(F.col("lang").isin(*languages)).select("lang", "body")
+
+    def run(batches: Iterable[pa.RecordBatch]) -> Iterable[pa.RecordBatch]:
+        local = Network(languages, [p.copy() for p in parts])
+        seen = local.train_once(
+            (piece for batch in batches
+             for piece in _windows((v.as_py() for v in batch.column(1)), (place[v.as_py()] for v in batch.column(0)))), weights)
+        if seen:
+            values = np.concatenate([p.ravel() for p in local.parts]).astype(np.float64)
+            yield pa.RecordBatch.from_pydict({
+                "at": pa.array(np.arange(len(values)), pa.int64()), "total": values * seen, "windows": np.full(len(values), float(seen))})
+
+    learned = rows.mapInArrow(run, "at long, total double, windows double").groupBy("at").agg(
+        (F.sum("total") / F.sum("windows")).alias("value")).orderBy("at").collect()  # a row per parameter
+    if not learned:
+        return network
+    values, out, at = np.array([r["value"] for r in learned], np.float32), [], 0
+    for p in parts:
+        out.append(values[at:at + p.size].reshape(p.shape))
+        at += p.size
+    return Network(languages, out)
+
+
 def fit(docs: DataFrame, key: str = "doc_id", text: str = "text", label: str = "lang",
         different: dict[str, int] | None = None) -> Network:
     """A network fitted to the learning sample. Without any labelled row it knows no language."""

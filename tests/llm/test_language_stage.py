@@ -92,3 +92,28 @@ def test_positions_are_those_of_a_plain_loop():
         pooled = total / len(raw)
         lang, score = network.read([text])
         assert lang == [network.languages[int(pooled.argmax())]] and abs(score[0] - pooled.max()) < 1e-4
+
+
+def test_every_labelled_row_is_learned_from_and_judged_by(spark):
+    """More rows than the sample takes: another text in any of them changes the network, and all have a say in the thresholds."""
+    rows = many_languages(2, 2 * language.SAMPLE_ROWS, 30, 5)
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(2, "doc_id").cache()
+    sampled = {r["k"] for r in language.learning_sample(docs, "doc_id", "text", "lang").collect()}
+    free = docs.where(~language.held_out()).where(~F.col("doc_id").isin(*sampled)).first()
+    start = language.fit(docs)
+    learned = language.learn_all(docs, start)
+    changed = docs.withColumn("text", F.when(F.col("doc_id") == free["doc_id"], F.lit("q" * 900)).otherwise(F.col("text")))
+    other = language.learn_all(changed, start)
+    assert any((a != b).any() for a, b in zip(start.parts, learned.parts))
+    assert any(np.abs(a - b).max() > 1e-5 for a, b in zip(learned.parts, other.parts))
+    scored = language.identify(docs, learned)
+    low = scored.withColumn("score", F.when(F.col("doc_id") % 20 == 0, 0.0).otherwise(F.col("score")))
+    assert set(language.usual_scores(low, learned).values()) == {0.0}
+
+
+def test_held_out_rows_change_nothing_in_the_pass_over_all_rows(spark):
+    docs = spark.createDataFrame(many_languages(2, 60, 30, 6), SCHEMA).coalesce(1)
+    start = language.fit(docs)
+    changed = docs.withColumn("text", F.when(language.held_out(), F.lit("zzz")).otherwise(F.col("text")))
+    for a, b in zip(language.learn_all(docs, start).parts, language.learn_all(changed, start).parts):
+        assert (a == b).all()
