@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from fleetworks import constants as C
 from fleetworks.operators import each_of, scalar_array
-from fleetworks.plans.predictive import GRID, SCORE, labelled_features
+from fleetworks.plans.predictive import GRID, ROWS_A_TASK, SCORE, grid_partitions, labelled_features
 
 #: The longest rolling window in days; a day needs as many partitions of fault scores.
 WINDOW_DAYS = 30
@@ -28,9 +28,11 @@ class FeatureStore:
     def _folder(self, table: str) -> str:
         return f"{self.path}/{table}"
 
-    def _write(self, df: DataFrame, table: str) -> None:
-        # rebalancing by day keeps files large and splits a day too big for one task
-        df.hint("rebalance", "date_id").write.mode("overwrite").partitionBy("date_id").parquet(self._folder(table))
+    def _write(self, df: DataFrame, table: str, partitions: int, slices: int) -> None:
+        # rows of a day stay together, in as many slices as the day's grid needs: a task sorts what it writes, and adaptive
+        # execution would size it by bytes that shrink in a shuffle far more than they do in a sort
+        slice_of_day = F.pmod(F.xxhash64("equipment_id"), F.lit(slices))
+        df.repartition(partitions, "date_id", slice_of_day).write.mode("overwrite").partitionBy("date_id").parquet(self._folder(table))
 
     def _write_day(self, df: DataFrame, table: str, day: date) -> None:
         df.drop("date_id").write.mode("overwrite").parquet(f"{self._folder(table)}/date_id={day.isoformat()}")
@@ -50,9 +52,12 @@ class FeatureStore:
               component_faults: DataFrame) -> None:
         """Everything from the whole history given."""
         newest = telemetry.agg(F.max("date_id")).first()[0]
-        self._write(labelled_features(equipment, components, telemetry, maintenance, component_faults), "features")
+        partitions = grid_partitions(equipment, components, telemetry)
+        slices = -(-equipment.count() * components.count() // ROWS_A_TASK) or 1
+        features = labelled_features(equipment, components, telemetry, maintenance, component_faults, partitions=partitions)
+        self._write(features, "features", partitions, slices)
         dates = scalar_array(telemetry, "date_id")
-        self._write(component_faults.filter(F.array_contains(dates, F.col("date_id"))), "fault_days")
+        self._write(component_faults.filter(F.array_contains(dates, F.col("date_id"))), "fault_days", partitions, slices)
         marks = maintenance.filter(F.col("scheduled_date") <= newest).groupBy("equipment_id").agg(
             F.max("scheduled_date").alias("last_mark"))
         self._write_day(marks, "marks", newest)

@@ -37,13 +37,25 @@ def fault_component_daily(faults: DataFrame, bridge: DataFrame) -> DataFrame:
     )
 
 
-def _by_machine(df: DataFrame) -> DataFrame:
+#: Grid rows that one task expands, sorts and keeps in its windows.
+ROWS_A_TASK = 400_000
+
+
+def grid_partitions(equipment: DataFrame, components: DataFrame, telemetry: DataFrame, rows_a_task: int = ROWS_A_TASK) -> int:
+    """Partitions for the machine × component × day grid: as many as a shuffle has, or more for a grid that needs them."""
+    days = telemetry.select("date_id").distinct().count()
+    rows = equipment.count() * components.count() * days
+    return max(int(equipment.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-rows // rows_a_task))
+
+
+def _by_machine(df: DataFrame, partitions: int | None = None) -> DataFrame:
     """Rows placed by machine in a stated number of partitions.
 
     Without a number, adaptive execution would size the partitions by the rows that move, which are few, and not by the
     grid that is expanded behind them.
     """
-    return df.repartition(int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "equipment_id")
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(least if partitions is None else partitions, "equipment_id")
 
 
 def machine_days(equipment: DataFrame, telemetry: DataFrame) -> DataFrame:
@@ -76,18 +88,19 @@ def maintenance_asof(telemetry: DataFrame, maintenance: DataFrame) -> DataFrame:
     return carry_forward(days, marks, ["equipment_id"], "date_id", "date_id", "last_maint_date", unique=True)
 
 
-def machine_day_context(equipment: DataFrame, telemetry: DataFrame, maintenance: DataFrame) -> DataFrame:
+def machine_day_context(equipment: DataFrame, telemetry: DataFrame, maintenance: DataFrame,
+                        partitions: int | None = None) -> DataFrame:
     """Machine-days with age, engine hours, use and days since maintenance, at machine-day grain.
 
     Grid rows, telemetry rows and maintenance marks meet in one window per machine. The result stays
     partitioned by machine, which is what the feature windows need next.
     """
-    grid = machine_days(_by_machine(equipment), telemetry).withColumn("_kind", F.lit(0))
+    grid = machine_days(_by_machine(equipment, partitions), telemetry).withColumn("_kind", F.lit(0))
     readings = telemetry.select("equipment_id", "date_id", "engine_hours", "utilization_hours").withColumn(
-        "_kind", F.lit(1)).transform(_by_machine)
+        "_kind", F.lit(1)).transform(_by_machine, partitions)
     marks = (
         maintenance.select("equipment_id", F.col("scheduled_date").alias("date_id")).distinct()
-        .withColumn("_mark", F.col("date_id")).withColumn("_kind", F.lit(2)).transform(_by_machine)
+        .withColumn("_mark", F.col("date_id")).withColumn("_kind", F.lit(2)).transform(_by_machine, partitions)
     )
     rows = grid.unionByName(readings, allowMissingColumns=True).unionByName(marks, allowMissingColumns=True)
     order = Window.partitionBy("equipment_id").orderBy("_day")
@@ -112,21 +125,23 @@ def machine_day_context(equipment: DataFrame, telemetry: DataFrame, maintenance:
 
 def labelled_features(equipment: DataFrame, components: DataFrame, telemetry: DataFrame, maintenance: DataFrame,
                       component_faults: DataFrame, failures: DataFrame | None = None,
-                      label_days: int = C.LABEL_WINDOW_DAYS) -> DataFrame:
+                      label_days: int = C.LABEL_WINDOW_DAYS, partitions: int | None = None) -> DataFrame:
     """Rolling 7/14/30-day features, and with ``failures`` the label, for the whole grid.
 
     Grid, fault days and failure days are unioned, each partitioned by machine, and every rolling sum
     and the look-ahead label come out of windows over that one placement: the grid, by far the largest
-    frame, is expanded after the shuffle and never moves. Faults on a day outside the grid do not count.
+    frame, is expanded after the shuffle and never moves; the partitions grow with it. Faults on a day outside the
+    grid do not count.
     """
-    context = machine_day_context(equipment, telemetry, maintenance)
+    partitions = partitions or grid_partitions(equipment, components, telemetry)
+    context = machine_day_context(equipment, telemetry, maintenance, partitions)
     grid = each_of(context, scalar_array(components, "component_id"), "component_id").withColumn("_grid", F.lit(1))
-    faults = component_faults.withColumn("_grid", F.lit(0)).transform(_by_machine)
+    faults = component_faults.withColumn("_grid", F.lit(0)).transform(_by_machine, partitions)
     rows = grid.unionByName(faults, allowMissingColumns=True)
     if failures is not None:
         failed = (
             failures.select("equipment_id", "component_id", F.col("failure_date").alias("date_id")).distinct()
-            .withColumn("_failed", F.lit(1)).withColumn("_grid", F.lit(0)).transform(_by_machine)
+            .withColumn("_failed", F.lit(1)).withColumn("_grid", F.lit(0)).transform(_by_machine, partitions)
         )
         rows = rows.unionByName(failed, allowMissingColumns=True)
     rows = rows.withColumn("_day", day_number(F.col("date_id")))

@@ -8,7 +8,7 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from fleetworks.plans import predictive
+from fleetworks.plans import increments, predictive
 from fleetworks.plans.increments import FeatureStore
 from tests.conftest import day, tuples
 
@@ -71,3 +71,18 @@ def test_a_day_reads_the_partitions_of_its_windows(spark, inputs, tmp_path):
     assert folders == {at(n).isoformat() for n in range(16, 46)} and len(folders) == 30
     plan = tail._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date_id" in plan
+
+
+def test_partitions_grow_with_the_grid(frame):
+    machines = frame("equipment_id long", [(i,) for i in range(6)])
+    components = frame("component_id int", [(1,), (2,)])
+    telemetry = frame("equipment_id long, date_id date", [(i, at(n)) for i in range(6) for n in range(5)])
+    assert predictive.grid_partitions(machines, components, telemetry) == 4  # as many as a shuffle has in the tests
+    assert predictive.grid_partitions(machines, components, telemetry, rows_a_task=7) == 9
+
+
+def test_a_large_day_is_written_by_several_tasks(spark, inputs, tmp_path, monkeypatch):
+    monkeypatch.setattr(increments, "ROWS_A_TASK", 4)
+    store = FeatureStore(spark, str(tmp_path / "store"))
+    store.build(*inputs[:5])
+    assert len(list((tmp_path / "store" / "features" / f"date_id={at(48)}").glob("*.parquet"))) > 1
