@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from datetime import date
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from fleetworks import constants as C
 from fleetworks.functions import coin, elapsed_months, month_start, prorate, quarter_end, quarter_start
@@ -46,6 +46,20 @@ def monthly_lines(lines: DataFrame) -> DataFrame:
     ).agg(F.sum("amount").cast(TOTAL).alias("amount"), F.sum("cost").cast(TOTAL).alias("cost"))
 
 
+#: Monthly rows that one task holds. What is sorted at once in a task is some times as many.
+ROWS_A_TASK = 150_000
+
+
+def by_customer(df: DataFrame, rows_a_task: int = ROWS_A_TASK) -> DataFrame:
+    """Rows placed by customer in a stated number of partitions, which grows with the rows.
+
+    Sums per month or quarter and windows on a customer's rows then find them where they are. Meant for settled monthly rows:
+    they are counted first, and their number per customer is bounded by the months of history, however hot the customer is.
+    """
+    least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return df.repartition(max(least, -(-df.count() // rows_a_task)), "customer_id")
+
+
 def earned(frame: DataFrame) -> DataFrame:
     """Rows that count as revenue: all sales and rentals, service once completed."""
     return frame.filter((F.col("revenue_stream") != C.SERVICE) | (F.col("status") == "Completed"))
@@ -117,11 +131,15 @@ def allocate_period_to_month(filings: DataFrame, revenue: DataFrame) -> DataFram
 
     A quarter without revenue is split evenly. Amounts are rounded to cents; the leftover cent stays out.
     """
-    monthly = revenue.groupBy("customer_id", "period_month").agg(F.sum("revenue").cast(TOTAL).alias("month_revenue"))
-    months = expand_months(filings, F.col("period_start"), 3, "period_month")
+    keys = ["customer_id", "period_month"]
+    monthly = revenue.groupBy(*keys).agg(F.sum("revenue").cast(TOTAL).alias("month_revenue"))
+    months = expand_months(filings, F.col("period_start"), 3, "period_month").withColumn("_filed", F.lit(True))
+    # a union and a window, not a join: rows that are placed by customer stay where they are
+    found = F.when(F.col("customer_id").isNotNull(), share_of_group("month_revenue", keys))
     joined = (
-        months.join(monthly, ["customer_id", "period_month"], "left")
-        .withColumn("month_revenue", F.coalesce("month_revenue", F.lit(0).cast(TOTAL)))
+        months.unionByName(monthly, allowMissingColumns=True)
+        .withColumn("month_revenue", F.coalesce(found, F.lit(0)).cast(TOTAL))
+        .filter("_filed")
         .withColumn("quarter_revenue", share_of_group("month_revenue", ["customer_id", "period_start"]).cast(TOTAL))
     )
     # without revenue the quarter splits evenly: one part of three
@@ -164,7 +182,7 @@ def finance_monthly(revenue: DataFrame, allocated_tax: DataFrame, margin: DataFr
     """One row per customer and month: revenue by stream, sales margin and allocated tax.
 
     Revenue is 0 in a month that only a filing covers; tax stays NULL in a month no filing covers; the
-    margin percentage is NULL where nothing was sold.
+    margin percentage is NULL where nothing was sold. ``margin`` has at most one row per customer and month.
     """
     keys = ["customer_id", "period_month"]
     pivoted = conditional_pivot(revenue, keys, "revenue_stream", "revenue", {
@@ -172,10 +190,26 @@ def finance_monthly(revenue: DataFrame, allocated_tax: DataFrame, margin: DataFr
         C.RENTAL: "rental_revenue",
         C.SERVICE: "service_revenue",
     }).withColumnRenamed("total", "total_revenue")
-    # a month with margin always has sales revenue, so the margin can join before the outer join,
-    # where both sides are already partitioned by the same keys
-    with_margin = pivoted.join(margin, keys, "left")
-    combined = with_margin.join(allocated_tax, keys, "full_outer")
+    # an outer join of revenue with its margin and tax, as a union and a window: rows that are placed by customer stay
+    # where they are; as in a join, a row with a NULL key meets no other
+    earnings = [c for c in pivoted.columns if c not in keys]
+    margins = ["equipment_sales_cost", "equipment_sales_margin"]
+    rows = (
+        pivoted.select(*keys, F.struct(*earnings).alias("_earned"))
+        .unionByName(margin.select(*keys, F.struct(*margins).alias("_margin")), allowMissingColumns=True)
+        .unionByName(allocated_tax.withColumn("_taxed", F.lit(True)), allowMissingColumns=True)
+    )
+    month = Window.partitionBy(*keys)
+    matched = F.col("customer_id").isNotNull() & F.col("period_month").isNotNull()
+    met = (
+        rows.withColumn("_month_earned", F.when(matched, F.first("_earned", ignorenulls=True).over(month)).otherwise(F.col("_earned")))
+        .withColumn("_month_margin", F.when(matched, F.first("_margin", ignorenulls=True).over(month)))
+        .withColumn("_month_taxed", F.when(matched, F.max("_taxed").over(month)))
+        .filter(F.col("_taxed") | (F.col("_earned").isNotNull() & F.col("_month_taxed").isNull()))
+    )
+    combined = met.select(
+        *allocated_tax.columns, *[F.col(f"_month_earned.{c}").alias(c) for c in earnings],
+        *[F.when(F.col("_month_earned").isNotNull(), F.col(f"_month_margin.{c}")).alias(c) for c in margins])
 
     def amount(name: str) -> Column:
         return F.coalesce(F.col(name), F.lit(0)).cast(TOTAL)

@@ -50,11 +50,11 @@ def report(function: Report) -> Report:
 
 
 class FinanceInputs:
-    """The monthly base, written once, and what derives from it."""
+    """The monthly base, written once, and what derives from it. Rows are placed by customer, so no later step moves them."""
 
     def __init__(self, spark: SparkSession, root: str):
         self.bed = Testbed(spark, root)
-        self.monthly = settle(finance.monthly_lines(self.bed.revenue_lines()), "monthly-lines")
+        self.monthly = finance.by_customer(settle(finance.monthly_lines(self.bed.revenue_lines()), "monthly-lines"))
 
     def revenue(self) -> DataFrame:
         return finance.revenue_rows(self.monthly)

@@ -4,6 +4,8 @@ from decimal import Decimal as D
 
 from hypothesis import HealthCheck, given, settings, strategies as st
 
+from pyspark.sql import functions as F
+
 from fleetworks.plans import finance
 from tests.conftest import day, tuples
 
@@ -135,3 +137,34 @@ def test_rental_billing(frame):
         (day("2024-01-01"), None, "Monthly", D(100))])
     got = tuples(finance.rental_billing(contracts, day("2024-07-01")), "elapsed_months", "total_billed")
     assert got == [(1, D("260.00")), (3, D("300.00")), (6, D("600.00"))]
+
+
+MONTHLY = "customer_id long, period_month date, revenue_stream string, status string, amount decimal(20,2), cost decimal(20,2)"
+
+
+def test_rows_placed_by_customer_do_not_move_again(frame):
+    monthly = finance.by_customer(frame(MONTHLY, [(1, MONTHS[0], "Rental", None, D(5), None)]))
+    filings = finance.quarterly_tax_filings(monthly, day("2024-12-31"))
+    allocated = finance.allocate_period_to_month(filings, finance.revenue_rows(monthly))
+    assert "ENSURE_REQUIREMENTS" not in allocated._jdf.queryExecution().executedPlan().toString()
+    people = frame("customer_id long, customer_name string, customer_type string, contract_tier string, industry_id int,"
+                   " region string", [(1, "A", "t", "Gold", 1, "r")])
+    joined = finance.finance_monthly(finance.revenue_rows(monthly), allocated, finance.sales_margin_by_month(monthly), people,
+                                     frame("industry_id int, industry_name string", [(1, "Mining")]))
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    moved = [line for line in plan.splitlines() if "ENSURE_REQUIREMENTS" in line and "period" in line]
+    assert not moved and [r["total_revenue"] for r in joined.orderBy("period_month").collect()] == [5, 0, 0]
+
+
+def test_partitions_by_customer_grow_with_the_rows(frame):
+    monthly = frame(MONTHLY, [(i, MONTHS[0], "Rental", None, D(5), None) for i in range(20)])
+    assert finance.by_customer(monthly, rows_a_task=2).rdd.getNumPartitions() == 10
+
+
+def test_null_keys_meet_nothing_and_repeated_filings_stay(frame):
+    revenue = frame(REVENUE, [(None, MONTHS[0], "Rental", D(9)), (1, MONTHS[0], "Rental", D(5))])
+    allocated = finance.allocate_period_to_month(
+        frame(FILING, [filing(300, customer=None), filing(300, customer=1), filing(300, customer=1)]), revenue)
+    got = tuples(allocated.filter(F.col("period_month") == MONTHS[0]), "customer_id", "vat_amount_allocated")
+    # nobody's filing finds no revenue and splits evenly; filings that repeat share their quarter's revenue
+    assert got == [(1, D("150.00")), (1, D("150.00")), (None, D("100.00"))]
