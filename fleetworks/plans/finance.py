@@ -131,15 +131,14 @@ def allocate_period_to_month(filings: DataFrame, revenue: DataFrame) -> DataFram
 
     A quarter without revenue is split evenly. Amounts are rounded to cents; the leftover cent stays out.
     """
-    keys = ["customer_id", "period_month"]
-    monthly = revenue.groupBy(*keys).agg(F.sum("revenue").cast(TOTAL).alias("month_revenue"))
-    months = expand_months(filings, F.col("period_start"), 3, "period_month").withColumn("_filed", F.lit(True))
-    # a union and a window, not a join: rows that are placed by customer stay where they are
-    found = F.when(F.col("customer_id").isNotNull(), share_of_group("month_revenue", keys))
+    monthly = revenue.groupBy("customer_id", "period_month").agg(F.sum("revenue").cast(TOTAL).alias("month_revenue"))
+    # a customer's months as one map, no longer than the history: rows that are placed by customer stay where they are
+    earned_in = F.map_from_entries(F.collect_list(F.struct("period_month", "month_revenue")))
+    of_customer = monthly.filter(F.col("period_month").isNotNull()).groupBy("customer_id").agg(earned_in.alias("_earned_in"))
+    months = expand_months(filings.join(of_customer, "customer_id", "left"), F.col("period_start"), 3, "period_month")
     joined = (
-        months.unionByName(monthly, allowMissingColumns=True)
-        .withColumn("month_revenue", F.coalesce(found, F.lit(0)).cast(TOTAL))
-        .filter("_filed")
+        months.withColumn("month_revenue", F.coalesce(F.try_element_at("_earned_in", F.col("period_month")), F.lit(0)).cast(TOTAL))
+        .drop("_earned_in")
         .withColumn("quarter_revenue", share_of_group("month_revenue", ["customer_id", "period_start"]).cast(TOTAL))
     )
     # without revenue the quarter splits evenly: one part of three
