@@ -10,7 +10,7 @@ from collections.abc import Mapping, Sequence
 from dataclasses import replace
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F, types as T
 
 from fleetworks import constants as C
 from fleetworks.schemas import CONSTRAINTS, Constraints
@@ -44,16 +44,36 @@ def orphans(df: DataFrame, column: str, parent: DataFrame, parent_column: str) -
 
 #: Kinds of tagged rows: a broken row rule, an occurrence of a key, a reference.
 BROKEN, KEY, REFERENCE = 0, 1, 2
-_ENTRY = "struct<rule:int,kind:int,h1:bigint,h2:bigint,n:bigint,parent:boolean>"
+_WHOLE_NUMBERS = (T.ByteType, T.ShortType, T.IntegerType, T.LongType)
 
 
-def _entry(when: Column, rule: int, kind: int, columns: Sequence[str] = (), n: int = 1) -> Column:
-    """A tagged row where the condition holds. The key is 128 bits of hash of its values as text, so types may differ."""
-    texts = [F.col(c).cast("string") for c in columns]
-    halves = [F.xxhash64(F.lit(seed), *texts) if texts else F.lit(0).cast("bigint") for seed in (1, 2)]
-    row = F.struct(F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), halves[0].alias("h1"), halves[1].alias("h2"),
-                   F.lit(n).cast("bigint").alias("n"), F.lit(n == 0).alias("parent"))
-    return F.when(when, row).cast(_ENTRY)
+def _entry(when: Column, rule: int, kind: int, key: Sequence[Column] = (), n: int = 1) -> Column:
+    """A tagged row where the condition holds, NULL elsewhere, with the two halves of its key."""
+    low, high = key or [F.lit(0).cast("bigint")] * 2
+    return F.when(when, F.struct(
+        F.lit(rule).alias("rule"), F.lit(kind).alias("kind"), low.alias("h1"), high.alias("h2"),
+        F.lit(n).cast("bigint").alias("n"), F.lit(n == 0).alias("parent")))
+
+
+def _numbers(df: DataFrame, columns: Sequence[str]) -> list[Column] | None:
+    """The columns as longs, if they are at most two whole numbers or days."""
+    kinds = [df.schema[c].dataType for c in columns]
+    if len(kinds) > 2 or not all(isinstance(kind, (*_WHOLE_NUMBERS, T.DateType)) for kind in kinds):
+        return None
+    return [(F.unix_date(c) if isinstance(kind, T.DateType) else F.col(c)).cast("bigint") for c, kind in zip(columns, kinds)]
+
+
+def _keys(*sides: tuple[DataFrame, Sequence[str]]) -> list[list[Column]]:
+    """Each side's columns as two longs, equal where the values are.
+
+    One or two whole numbers or days are taken as they are, any other key as 128 bits of hash of its values as text, so
+    types may differ.
+    """
+    kinds = [["day" if isinstance(df.schema[c].dataType, T.DateType) else "other" for c in columns] for df, columns in sides]
+    numbers = [_numbers(df, columns) for df, columns in sides]
+    if all(kind == kinds[0] for kind in kinds) and None not in numbers:
+        return [[*side, F.lit(0).cast("bigint")][:2] for side in numbers]
+    return [[F.xxhash64(F.lit(seed), *[F.col(c).cast("string") for c in columns]) for seed in (1, 2)] for _, columns in sides]
 
 
 def _whole(columns: Sequence[str]) -> Column:
@@ -83,15 +103,19 @@ def check_constraints(tables: Mapping[str, DataFrame], declared: Mapping[str, Co
             entries[table].append(_entry(violated, rule(f"{table}: {name}"), BROKEN))
         for key in (rules.key, *rules.unique):
             if key:
-                entries[table].append(_entry(_whole(key), rule(f"{table}: {'+'.join(key)} unique"), KEY, key))
+                halves, = _keys((tables[table], key))
+                entries[table].append(_entry(_whole(key), rule(f"{table}: {'+'.join(key)} unique"), KEY, halves))
         for column, (parent, parent_column) in rules.references.items():
             if parent not in tables:
                 unchecked.append(f"{table}: {column} in {parent} (not checked)")
                 continue
             number = rule(f"{table}: {column} in {parent}")
-            entries[table].append(_entry(_whole([column]), number, REFERENCE, [column]))
-            entries[parent].append(_entry(_whole([parent_column]), number, REFERENCE, [parent_column], 0))
-    tagged = [df.select(F.inline(F.array_compact(F.array(*entries[name])))) for name, df in tables.items() if entries[name]]
+            child, known = _keys((tables[table], [column]), (tables[parent], [parent_column]))
+            entries[table].append(_entry(_whole([column]), number, REFERENCE, child))
+            entries[parent].append(_entry(_whole([parent_column]), number, REFERENCE, known, 0))
+    # rules that a row keeps give NULL, dropped here and not by a lambda over the array: all of it is generated code
+    tagged = [df.select(F.inline(F.array(*entries[name]))).filter(F.col("rule").isNotNull())
+              for name, df in tables.items() if entries[name]]
     spark = next(iter(tables.values())).sparkSession
     counted = reduce(DataFrame.unionByName, tagged).groupBy("rule", "kind", "h1", "h2").agg(
         F.sum("n").alias("n"), F.max("parent").alias("parent"))

@@ -170,3 +170,22 @@ def test_result_checks(frame):
         "warehouse_inventory: branch in domain": 1, "warehouse_inventory: inventory value not negative": 1,
         "predictive_signals: signal_status in domain": 1, "predictive_signals: failure probability in range": 1,
         "predictive_signals: signal_id unique": 1}
+
+
+def test_rules_are_tagged_in_generated_code_and_keys_stay_exact(frame):
+    tables = {
+        "a": frame("k int, day date, v string, other string", [
+            (1, dt.date(1970, 1, 2), "x", "1"), (1, dt.date(1970, 1, 2), "y", "3"), (2, dt.date(1970, 1, 3), "x", None), (None, None, None, "2")]),
+        "b": frame("k long, day date, n int, text string", [
+            (1, dt.date(1970, 1, 2), 1, "1"), (2, dt.date(1970, 1, 4), 2, "2"), (2**40, None, None, "x"), (2, dt.date(1970, 1, 4), 9, "2")])}
+    declared = {
+        "a": Constraints(("k", "day"), ("v",), (("k", "v"), ("k", "day", "v")), {"k": ("b", "k"), "day": ("b", "day"), "other": ("b", "k")}),
+        "b": Constraints(("k",), (), (("day", "k"),), {"n": ("a", "k"), "day": ("a", "day"), "text": ("a", "k"), "k": ("a", "day")})}
+    report = quality.check_constraints(tables, declared)
+    assert tuples(report) == [
+        ("a: day in b", 1), ("a: day not null", 1), ("a: k in b", 0), ("a: k not null", 1), ("a: k+day unique", 1),
+        ("a: k+day+v unique", 0), ("a: k+v unique", 0), ("a: other in b", 1), ("a: v not null", 1),
+        ("b: day in a", 2), ("b: day+k unique", 1), ("b: k in a", 4), ("b: k not null", 0), ("b: k unique", 1),
+        ("b: n in a", 1), ("b: text in a", 1)]
+    # a lambda over the array would be interpreted for every row, with all rules inside it
+    assert "lambda" not in report._jdf.queryExecution().executedPlan().toString()
