@@ -36,6 +36,22 @@ def revenue_lines(sales: DataFrame, rentals: DataFrame, work_orders: DataFrame)
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
 
 
+def _cents(amount: Column) -> Column:
+    """Money with two decimals as whole cents in a long; what does not fit one fails."""
+    return (amount * 100).cast("bigint")
+
+
+def _summed(amount: Column) -> Column:
+    """The exact sum of money of at most 18 digits.
+
+    Sums per key are held in longs: decimals beyond 18 digits are read from and written to bytes for every row. Cents are
+    summed in two parts, so that neither sum can overflow.
+    """
+    cents, part = _cents(amount), F.lit(10**9)
+    whole = F.sum(F.call_function("div", cents, part)).cast("decimal(20,0)") * part + F.sum(cents % part)
+    return (whole * F.lit("0.01").cast("decimal(2,2)")).cast(TOTAL)
+
+
 def monthly_lines(lines: DataFrame) -> DataFrame:
     """Revenue lines summed per customer, month, stream and status.
 
@@ -43,7 +59,7 @@ def monthly_lines(lines: DataFrame) -> DataFrame:
     """
     return lines.groupBy(
         "customer_id", month_start(F.col("event_date")).alias("period_month"), "revenue_stream", "status"
-    ).agg(F.sum("amount").cast(TOTAL).alias("amount"), F.sum("cost").cast(TOTAL).alias("cost"))
+    ).agg(_summed(F.col("amount")).alias("amount"), _summed(F.col("cost")).alias("cost"))
 
 
 #: Monthly rows that one task holds. What is sorted at once in a task is some times as many.
@@ -94,7 +110,8 @@ def quarterly_tax_filings(monthly: DataFrame, as_of: date, overdue_rate: float =
     whatever its status. A past quarter is Overdue for a repeatable ``overdue_rate`` share of filings.
     """
     def of(stream: str) -> Column:
-        return F.sum(F.when(F.col("revenue_stream") == stream, F.col("amount")).otherwise(F.lit(0))).cast(MONEY)
+        cents = F.sum(F.when(F.col("revenue_stream") == stream, _cents(F.col("amount"))).otherwise(F.lit(0)))
+        return (cents.cast("decimal(20,0)") * F.lit("0.01").cast("decimal(2,2)")).cast(MONEY)
 
     bases = monthly.groupBy("customer_id", quarter_start(F.col("period_month")).alias("period_start")).agg(
         of(C.EQUIPMENT_SALES).alias("goods"), of(C.RENTAL).alias("services"), of(C.SERVICE).alias("works"))

@@ -110,6 +110,23 @@ def test_service_counts_only_completed_but_tax_counts_all(frame):
     assert pending["filing_status"] == "Pending"
 
 
+def test_sums_of_money_are_exact_at_any_size_and_held_in_longs(frame):
+    most = D("9999999999999999.99")
+    lines = frame("customer_id long, event_date date, revenue_stream string, amount decimal(18,2), cost decimal(18,2), status string", [
+        *[(1, day("2024-01-15"), "Service", most, -most, "Completed")] * 12, (1, day("2024-01-16"), "Service", D("0.01"), None, "Completed"),
+        (2, day("2024-01-15"), "Rental", D("-12345678901.23"), None, None), (2, day("2024-01-15"), "Rental", D("0.29"), None, None),
+        (2, day("2024-03-15"), "Equipment Sales", D("99999999999.99"), D("1.00"), None), (3, None, None, None, None, None)])
+    monthly = finance.monthly_lines(lines)
+    assert tuples(monthly, "customer_id", "amount", "cost") == [
+        (1, most * 12 + D("0.01"), -most * 12), (2, D("-12345678900.94"), None), (2, D("99999999999.99"), D("1.00")), (3, None, None)]
+    filings = finance.quarterly_tax_filings(monthly.filter("customer_id > 1"), day("2024-12-31"))
+    assert tuples(filings, "customer_id", "vat_amount") == [(2, D("13148148164.86"))]
+    # whole cents are summed for every row; decimals only come back once a group
+    plan = filings._jdf.queryExecution().sparkPlan().toString()
+    sums = [line for line in plan.splitlines() if "HashAggregate(" in line]
+    assert len(sums) == 4 and all("sum(" in line and "sum(amount" not in line and "as bigint)" in line for line in sums)
+
+
 def _concentration(frame, revenue):
     money = frame("customer_id long, total_revenue decimal(20,2)", [(c, D(r)) for c, r in revenue])
     people = frame("customer_id long, customer_name string, customer_type string, contract_tier string, industry_id int",
