@@ -80,10 +80,11 @@ def _spread(cells: DataFrame) -> DataFrame:
     return cells.repartition(max(1, tasks), "label", *BINS).sortWithinPartitions("label", *BINS)
 
 
-def confusion_counts(predictions: DataFrame) -> DataFrame:
-    """Rows per (label, prediction); ``weight`` says how many a row stands for."""
+def confusion_counts(predictions: DataFrame, weight: str | None = None) -> DataFrame:
+    """Rows per (label, prediction); the column named by ``weight``, if any, says how many a row stands for."""
+    n = F.count("*") if weight is None else F.sum(weight).cast("bigint")
     return predictions.groupBy(F.col("label").cast("int").alias("label"),
-                               F.col("prediction").cast("int").alias("prediction")).agg(F.sum("weight").cast("bigint").alias("n"))
+                               F.col("prediction").cast("int").alias("prediction")).agg(n.alias("n"))
 
 
 def train_and_evaluate(features: DataFrame, holdout_days: int = C.HOLDOUT_DAYS, purge_days: int = 0,
@@ -107,7 +108,7 @@ def train_and_evaluate(features: DataFrame, holdout_days: int = C.HOLDOUT_DAYS,
     fitted = Pipeline(stages=stages).fit(_spread(cells.filter(F.col("split") == "train").drop("split")))
     model = PipelineModel(stages=[bins, *fitted.stages])
     judged = fitted.transform(cells.filter(F.col("split") == "test")).select("label", "prediction", "rawPrediction", "weight").persist()
-    counts = {(r["label"], r["prediction"]): r["n"] for r in confusion_counts(judged).collect()}  # at most four rows
+    counts = {(r["label"], r["prediction"]): r["n"] for r in confusion_counts(judged, "weight").collect()}  # at most four rows
     hit = counts.get((1, 1), 0)
     flagged = hit + counts.get((0, 1), 0)
     actual = hit + counts.get((1, 0), 0)

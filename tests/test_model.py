@@ -51,3 +51,12 @@ def test_edges_leave_room_beside_frequent_values(spark):
     mostly, few, none = model.bin_edges(many, ["a b", "few", "none"])
     assert len(mostly) <= model.MAX_BINS - 1 and mostly[0] == 0.0 and sum(e >= 9_300 for e in mostly) >= 25
     assert few == [0.0, 1.0, 2.0, 3.0, 4.0] and none == []
+
+
+def test_confusion_counts_rows_unless_a_weight_says_how_many_they_stand_for(frame):
+    judged = frame("label int, prediction double, weight double", [
+        (1, 1.0, 3.0), (1, 1.0, 4.0), (0, 1.0, 2.0), (0, 0.0, 5.0), (None, 0.0, 1.0)])
+    columns = ("label", "prediction", "n")
+    assert tuples(model.confusion_counts(judged.drop("weight")), *columns) == [(0, 0, 1), (0, 1, 1), (1, 1, 2), (None, 0, 1)]
+    assert tuples(model.confusion_counts(judged), *columns) == [(0, 0, 1), (0, 1, 1), (1, 1, 2), (None, 0, 1)]
+    assert tuples(model.confusion_counts(judged, "weight"), *columns) == [(0, 0, 5), (0, 1, 2), (1, 1, 7), (None, 0, 1)]
